@@ -6,7 +6,8 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import mixing, topk
+from . import bpe, grammar, mixing, topk
+from .common import documents
 
 TOPK_SQL = """
 WITH v AS (
@@ -28,8 +29,22 @@ def op10(spark, sf_dir):
     return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), k=10, scale=1024.0)
 
 
+def op2(spark, sf_dir):
+    import public_tokenizers
+
+    return grammar.token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6(spark, sf_dir):
+    import public_tokenizers
+
+    return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict:
     return {
+        "op2_token_files": op2,
+        "op6_byte_bpe": op6,
         "op7_mix_sources": mixing.op7,
         "op10_exact_top_k": op10,
     }
