@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import bpe, grammar, mixing, topk
+from . import bpe, grammar, mixing, neardup, topk
 from .common import documents
 
 TOPK_SQL = """
@@ -35,6 +35,10 @@ def op2(spark, sf_dir):
     return grammar.token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3(spark, sf_dir):
+    return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
 def op6(spark, sf_dir):
     import public_tokenizers
 
@@ -44,6 +48,7 @@ def op6(spark, sf_dir):
 def queries() -> dict:
     return {
         "op2_token_files": op2,
+        "op3_near_duplicates": op3,
         "op6_byte_bpe": op6,
         "op7_mix_sources": mixing.op7,
         "op10_exact_top_k": op10,
