@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import bpe, grammar, mixing, neardup, topk
+from . import bpe, grammar, mixing, neardup, quality, topk
 from .common import documents
 
 TOPK_SQL = """
@@ -39,6 +39,10 @@ def op3(spark, sf_dir):
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
 
+def op4(spark, sf_dir):
+    return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6(spark, sf_dir):
     import public_tokenizers
 
@@ -49,6 +53,7 @@ def queries() -> dict:
     return {
         "op2_token_files": op2,
         "op3_near_duplicates": op3,
+        "op4_line_quality": op4,
         "op6_byte_bpe": op6,
         "op7_mix_sources": mixing.op7,
         "op10_exact_top_k": op10,
