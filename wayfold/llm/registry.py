@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import bpe, grammar, mixing, neardup, quality, topk
+from . import bpe, grammar, mixing, neardup, pii, quality, topk
 from .common import documents
 
 TOPK_SQL = """
@@ -49,6 +49,10 @@ def op6(spark, sf_dir):
     return bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8(spark, sf_dir):
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {
         "op2_token_files": op2,
@@ -56,6 +60,7 @@ def queries() -> dict:
         "op4_line_quality": op4,
         "op6_byte_bpe": op6,
         "op7_mix_sources": mixing.op7,
+        "op8_personal_data": op8,
         "op10_exact_top_k": op10,
     }
 
