@@ -9,7 +9,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
-import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,6 +114,6 @@ def text_chunks(batches, limit: int = 4 << 20):
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index("text"))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, limit):
             yield batch.slice(a, b - a)

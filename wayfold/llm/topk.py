@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,9 +37,9 @@ def integers(column, scale: float) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.empty(0, np.int64), np.empty((0, 0))
     flat, starts = column.flatten(), column.value_lengths()
-    lengths = np.asarray(pa.compute.fill_null(starts, 0)).astype(np.int64)
+    lengths = np.asarray(pc.fill_null(starts, 0)).astype(np.int64)
     ok = np.asarray(column.is_valid())
-    values = np.asarray(pa.compute.fill_null(flat.cast(pa.float64()), float("nan")), dtype=np.float64)
+    values = np.asarray(pc.fill_null(flat.cast(pa.float64()), float("nan")), dtype=np.float64)
     ends = np.cumsum(lengths)
     bad = np.concatenate([[0], np.cumsum(~np.isfinite(values))])
     ok &= (bad[ends] - bad[ends - lengths]) == 0
