@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import bpe, grammar, mixing, neardup, pii, quality, topk
+from . import bpe, fingerprint, grammar, mixing, neardup, pii, quality, topk
 from .common import documents
 
 TOPK_SQL = """
@@ -53,6 +53,10 @@ def op8(spark, sf_dir):
     return pii.personal_data(documents(spark, sf_dir))
 
 
+def op9(spark, sf_dir):
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {
         "op2_token_files": op2,
@@ -61,6 +65,7 @@ def queries() -> dict:
         "op6_byte_bpe": op6,
         "op7_mix_sources": mixing.op7,
         "op8_personal_data": op8,
+        "op9_paragraph_sketch": op9,
         "op10_exact_top_k": op10,
     }
 
