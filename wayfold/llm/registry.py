@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, grammar, mixing, neardup, pii, quality, topk
+from . import bpe, fingerprint, grammar, licenses, mixing, neardup, pii, quality, rollup, topk
 from .common import documents
 
 TOPK_SQL = """
@@ -29,6 +29,20 @@ def op10(spark, sf_dir):
     return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), k=10, scale=1024.0)
 
 
+def op1(spark, sf_dir):
+    import public_tokenizers
+
+    return rollup.maintained(documents(spark, sf_dir), "byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op1_words(spark, sf_dir):
+    return rollup.maintained(documents(spark, sf_dir), "words-1")
+
+
+def op5(spark, sf_dir):
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 def op2(spark, sf_dir):
     import public_tokenizers
 
@@ -59,9 +73,12 @@ def op9(spark, sf_dir):
 
 def queries() -> dict:
     return {
+        "op1_token_rollup": op1,
+        "token_rollup_words": op1_words,
         "op2_token_files": op2,
         "op3_near_duplicates": op3,
         "op4_line_quality": op4,
+        "op5_license_scan": op5,
         "op6_byte_bpe": op6,
         "op7_mix_sources": mixing.op7,
         "op8_personal_data": op8,
@@ -71,4 +88,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix_sources": mixing.MIX_SQL, "op10_exact_top_k": TOPK_SQL}
+    return {"token_rollup_words": rollup.ROLLUP_SQL, "op7_mix_sources": mixing.MIX_SQL, "op10_exact_top_k": TOPK_SQL}
