@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pick, shuffle_partitions, stored
+from .common import WORD, shuffle_partitions, stored
 
 CAP = 3
 SEED = "mix-1"
@@ -56,9 +56,11 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED, keep: tuple[str, ...]
     give every document its place, so that a hot source is spread over many tasks.
     """
     spark = docs.sparkSession
-    cols = list(dict.fromkeys(["doc_id", "source", "text", *keep]))
-    rows = pick(docs, *cols)
-    rows = rows.withColumn("_size", word_count(F.col("text"))).select("doc_id", "source", "_size", *[F.col(c).alias(f"_k_{c}") for c in keep])
+    held = [f"_k{i}" for i in range(len(keep))]  # by place, as kept names may clash with those here
+    place = [docs.columns.index(c) for c in keep]
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    own = dict(zip(("doc_id", "source", "text"), [F.col(f"_c{docs.columns.index(c)}") for c in ("doc_id", "source", "text")], strict=True))
+    rows = plain.select(own["doc_id"].alias("doc_id"), own["source"].alias("source"), word_count(own["text"]).alias("_size"), *[F.col(f"_c{i}").alias(h) for i, h in zip(place, held, strict=True)])
     if not keep:
         rows = stored(rows, "mix-sizes")  # narrow from here on: the texts are read once
     order = [F.asc_nulls_last("source"), F.asc("_size"), F.asc("doc_id")]
@@ -74,16 +76,17 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED, keep: tuple[str, ...]
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     parts = parts.alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select("p.source", "p._block", "p._first", "p._before", "g.source_size", "g.target", "g._u", "g._e")
     r, p = ranged.alias("r"), parts.alias("q")
-    full = r.join(p, (F.col("r._block") == F.col("q._block")) & F.col("r.source").eqNullSafe(F.col("q.source"))).select("r.doc_id", "r.source", "r._size", *[F.col(f"r._k_{c}") for c in keep], "q.source_size", "q.target", "q._u", "q._e", (F.col("r._at") - F.col("q._first") + F.col("q._before")).alias("_i"))
+    full = r.join(p, (F.col("r._block") == F.col("q._block")) & F.col("r.source").eqNullSafe(F.col("q.source"))).select("r.doc_id", "r.source", "r._size", *[F.col(f"r.{h}") for h in held], "q.source_size", "q.target", "q._u", "q._e", (F.col("r._at") - F.col("q._first") + F.col("q._before")).alias("_i"))
     i, e, u = F.col("_i").cast("double"), F.col("_e"), F.col("_u")
     copies = F.least(F.floor((i + 1) * e + u) - F.floor(i * e + u), F.lit(cap).cast("long")).cast("long")
-    return full.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), *[F.col(f"_k_{c}") for c in keep])
+    return full.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), *held)
 
 
 def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """One row a copy with the kept columns: what the mix holds."""
-    names = {c: (f"_k_{c}" if f"_k_{c}" in mixed.columns else c) for c in columns}
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(n).alias(c) for c, n in names.items()])
+    """One row a copy of what mix(keep=columns) kept: what the mix holds."""
+    held = [f"_k{i}" for i in range(len(columns))]
+    copies = mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return copies.select(*held).toDF(*columns)
 
 
 MIX_SQL = r"""
