@@ -1,11 +1,71 @@
-"""The corpus pipeline: stages over documents, each writing what the next one reads."""
+"""The corpus pipeline: stages over documents, each writing what the next one reads.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
+columns of documents. The driver, or run(), writes each result as Parquet and rereads it.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from wayfold.llm import bpe, mixing, neardup, pii, quality
+from wayfold.llm.common import stored
+
+
+def keep_quality(spark, docs, sf_dir):
+    """Documents that the line model rejects go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """The document with the smallest id of each group of near duplicates stays (five words, 0.8).
+
+    Rows that share an id are one document, of which the row with the smallest text stays.
+    """
+    marked = stored(neardup.near_duplicates(docs, width=5, percent=80).select("doc_id", "kept"), "pipeline-marked")
+    names, at = docs.columns, docs.columns.index("doc_id")
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    small = lambda df: F.broadcast(df) if df.count() <= neardup.BROADCAST_ROWS else df
+    gone = marked.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = plain.join(small(gone), F.col(f"_c{at}") == F.col("_gone"), "left_anti")
+    again = marked.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").select("_again")
+    if again.isEmpty():
+        return left.toDF(*names)
+    again, same = small(again), F.col(f"_c{at}") == F.col("_again")
+    first = Window.partitionBy(f"_c{at}").orderBy(f"_c{names.index('text')}")
+    one = left.join(again, same, "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return left.join(again, same, "left_anti").union(one).toDF(*names)
+
+
+def redact_personal_data(spark, docs, sf_dir):
+    return pii.redact(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Each document as often as the mix takes it."""
+    return mixing.emit(mixing.mix(docs, keep=tuple(docs.columns)), docs.columns)
+
+
+def encode(spark, docs, sf_dir):
+    """doc_id, n_tokens and digests of the ids and of the decoded text, for each row of the mix."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", redact_personal_data),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode),
+]
+#: Fitted models, shingle sets and byte-pair merges are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
