@@ -6,11 +6,14 @@ hash. An empty bin takes the value of the bin that a second hash points to, trie
 until that one is filled. BINS // r bands of r bins are bucketed, r being the largest
 that misses a pair at the threshold with a probability under MISS.
 
-In every bucket only star edges run from its smallest node to the others, and each is
-confirmed on full shingle sets. What a star can't see, a pair of members of which the
-centre links at most one, is looked at afterwards: in buckets that still hold more than
-one component, members outside the centre's component are compared with those of other
-components, in turns of at most TURN pairs a bucket until every such pair had its turn.
+In every bucket only star edges run from its smallest node, the centre, to the others. A
+centre meets its members on full shingle sets, in slices of bounded size that each carry
+the centre along; that confirms the star's links. What a star can't see, a link between
+two members of which the centre has at most one, follows from how the members differ from
+the centre: with R removed and P added shingles,
+    |z & x| = |c| - |Rz| - |Rx| + |Rz & Rx| + |Pz & Px|,
+so only these short differences are compared, for members without a link to the centre,
+and no pair is emitted but links that join something.
 
 Defined results: a text without words has an empty set and is linked with nothing;
 fewer words than a shingle form one shingle; rows with equal ids are one document; rows
@@ -21,6 +24,7 @@ are none; equal word sequences are always linked.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +32,11 @@ from pyspark.sql import functions as F
 from .common import pick, ship, stored, text_chunks
 from .shingles import U, mix, shingle_sets
 
-BINS, MISS, TURN = 128, 1e-6, 20_000
+BINS, MISS = 128, 1e-6
+#: Shingles of a slice of a star's members, and elements of a slice of their differences, about.
+SLICE, PART = 600_000, 600_000
+#: Ids sent along to every task at most (three numbers each).
+BROADCAST_ROWS = 1_000_000
 
 
 def rows_per_band(percent: int) -> int:
@@ -83,30 +91,130 @@ def sketch(width: int, r: int):
     return run
 
 
-def full_sets(width: int):
-    schema = pa.schema([("node", pa.int64()), ("grams", pa.list_(pa.int64()))])
+def split_sets(texts: list[str], width: int) -> list[np.ndarray]:
+    hashes, counts, _, _ = shingle_sets(texts, width)
+    return np.split(hashes, np.cumsum(counts)[:-1])
 
-    def run(batches):
-        for b in text_chunks(batches):
-            hashes, counts, _, _ = shingle_sets(b.column(1).to_pylist(), width)
-            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.astype(np.int64)))], schema=schema)
+
+class Forest:
+    """Joined labels; join() tells whether two were apart."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def top(self, a: int) -> int:
+        while (b := self.up.setdefault(a, a)) != a:
+            self.up[a] = self.up[b]
+            a = b
+        return a
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.top(a), self.top(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def links_between(members, n_center: int, percent: int, forest: Forest, split: int | None = None):
+    """Links that join something, found from differences to one centre.
+
+    members: (node, n, linked, removed, added). Those without a link to the centre are
+    compared with all; with split, only pairs across that position count.
+    """
+    nodes = np.array([m[0] for m in members])
+    n = np.array([m[1] for m in members])
+    removed = np.array([len(m[3]) for m in members])
+    owner = np.concatenate([np.full(len(m[3]) + len(m[4]), i) for i, m in enumerate(members)])
+    element = np.concatenate([x for m in members for x in (np.asarray(m[3], np.int64), np.asarray(m[4], np.int64) ^ np.int64(0x5555555555555555))])
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    start = np.concatenate([[0], np.nonzero(element[1:] != element[:-1])[0] + 1, [len(element)]])
+    size = np.diff(start)
+    which = np.repeat(np.arange(len(size)), size)
+    shared = size[which] > 1
+    by_owner = np.argsort(owner[shared], kind="stable")
+    groups, held = which[shared][by_owner], owner[shared][by_owner]
+    at = np.searchsorted(held, np.arange(len(members) + 1))
+    for z in np.nonzero([not m[2] for m in members])[0]:
+        mine = groups[at[z] : at[z + 1]]
+        if not len(mine):
+            continue
+        lengths = size[mine]
+        ends = np.cumsum(lengths)
+        rows = owner[np.repeat(start[mine] - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
+        both = n_center - removed[z] - removed + np.bincount(rows, minlength=len(members))
+        hit = 100 * both >= percent * (n[z] + n - both)
+        hit[z] = False
+        if split is not None:
+            hit[:split] &= z >= split
+            hit[split:] &= z < split
+        for x in np.nonzero(hit)[0]:
+            if forest.join(int(nodes[z]), int(nodes[x])):
+                yield int(nodes[z]), int(nodes[x])
+
+
+STAR = "center long, node long, other long, n_center long, n long, linked boolean, removed array<long>, added array<long>"
+
+
+def star_links(width: int, percent: int):
+    """Of one slice of a star: its links, and if it is not the only slice, the differences."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        center = int(pdf["center"].iloc[0])
+        pdf = pdf.drop_duplicates(["node", "text"]).sort_values(["node", "text"])
+        nodes, sets = pdf["node"].to_numpy(), split_sets(pdf["text"].tolist(), width)
+        base = int(np.nonzero(nodes == center)[0][0])
+        c, members, out, forest = sets[base], [], [], Forest()
+        for i, (node, s) in enumerate(zip(nodes.tolist(), sets, strict=True)):
+            if i == base:
+                continue
+            gone = ~np.isin(c, s, assume_unique=True)
+            both = len(c) - int(gone.sum())
+            linked = node == center or 100 * both >= percent * (len(c) + len(s) - both)
+            if linked and node != center:
+                forest.join(node, center)
+                out.append((center, node, center, None, None, None, None, None))
+            members.append((node, len(s), linked, c[gone].view(np.int64), s[~np.isin(s, c, assume_unique=True)].view(np.int64)))
+        if pdf["slices"].iloc[0] == 1:
+            if len(members) > 1 and not all(m[2] for m in members):
+                out += [(center, a, b, None, None, None, None, None) for a, b in links_between(members, len(c), percent, forest)]
+        else:
+            out += [(center, node, None, len(c), n, linked, r.tolist(), a.tolist()) for node, n, linked, r, a in members]
+        return pd.DataFrame(out, columns=["center", "node", "other", "n_center", "n", "linked", "removed", "added"])
+
+    return run
+
+
+def part_links(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        pdf = pdf.sort_values(["part", "node", "n"])
+        members = list(zip(pdf["node"], pdf["n"], pdf["linked"], pdf["removed"], pdf["added"], strict=True))
+        split = None if i == j else int((pdf["part"] == i).sum())
+        found = links_between(members, int(pdf["n_center"].iloc[0]), percent, Forest(), split)
+        return pd.DataFrame(list(found), columns=["a", "b"]).astype("int64")
 
     return run
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; sizes: node, n of every node."""
-    sa, sb = sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
-    close = pairs.join(sa, "a").join(sb, "b").where((100 * F.least("na", "nb")) >= percent * F.greatest("na", "nb"))
-    close = stored(close.select("a", "b"), "near-close")
-    wanted = close.select(F.col("a").alias("doc_id")).union(close.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(full_sets(width), "node long, grams array<long>")
-    sets = stored(sets, "near-sets")
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    both = F.size(F.array_intersect("ga", "gb"))
-    return close.join(right, "b").join(left, "a").where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
+def confirmed(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links a, b of the stars: pairs has center, node."""
+    stars = pairs.join(sizes, "node").groupBy("center").agg(F.ceil(F.sum("n") / F.lit(SLICE)).cast("int").alias("slices"))
+    members = pairs.join(stars, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"), "slices")
+    centers = stars.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "slices")
+    wanted = stored(members.union(centers), "near-wanted")
+    # few of the documents are in a star: their ids go to the texts if their number is small
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    rows = docs.where("text is not null").join(side, docs["doc_id"] == wanted["node"]).select("center", "node", "slice", "slices", "text")
+    met = stored(rows.groupBy("center", "slice").applyInPandas(star_links(width, percent), STAR), "near-stars")
+    links = met.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    apart = met.where("other is null")
+    # only the stars of several slices are left; without a member that lacks a link they are done
+    weight = F.sum(F.size("removed") + F.size("added") + 50)
+    parts = apart.groupBy("center").agg(F.ceil(weight / F.lit(PART)).cast("int").alias("parts"), F.min("linked").alias("all")).where("not all").select("center", "parts")
+    apart = apart.join(parts, "center").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
+    other = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least("part", p).alias("i"), F.greatest("part", p).alias("j")))
+    apart = apart.withColumn("ij", F.explode(other)).select("center", "node", "n_center", "n", "linked", "removed", "added", "part", "ij.i", "ij.j")
+    return links.union(apart.groupBy("center", "i", "j").applyInPandas(part_links(percent), "a long, b long"))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -144,48 +252,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = classes.where("node is not null")
     sizes = nodes.groupBy("node").agg(F.max("n").alias("n"))
     spread = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    centres = spread.groupBy("band", "hash").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1").select("band", "hash", "centre")
-    members = stored(spread.join(centres, ["band", "hash"]).where("node <> centre").select("band", "hash", "centre", "node"), "near-members")
-    pairs = stored(members.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    links = stored(confirmed(docs, pairs, width, percent, sizes), "near-links")
+    centers = spread.groupBy("band", "hash").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").select("band", "hash", "center")
+    pairs = stored(spread.join(centers, ["band", "hash"]).where("node <> center").select("center", "node").distinct(), "near-pairs")
+    links = stored(confirmed(docs, pairs, sizes, width, percent), "near-links")
     comp = components(spark, links)
-    done, later = pairs, turns_of(members, comp)
-    turns = later.agg(F.max("turns")).first()[0] or 0
-    for turn in range(turns):
-        more = stored(unseen(members, comp, later, turn).join(done, ["a", "b"], "left_anti"), "near-more")
-        found = stored(confirmed(docs, more, width, percent, sizes), "near-links")
-        if not found.isEmpty():
-            links = stored(links.union(found), "near-links")
-            comp = components(spark, links)
-        if turn + 1 < turns:
-            done = stored(done.union(more), "near-pairs")
     named = classes.join(comp, "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
     out = rows.select("doc_id", "n_shingles", "key1", "key2").join(named, ["key1", "key2"], "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
-
-
-def labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Bucket members with their component, and whether it is another than their centre's."""
-    own, main = comp.select("node", F.col("component").alias("own")), comp.select(F.col("node").alias("centre"), F.col("component").alias("main"))
-    m = members.join(own, "node", "left").join(main, "centre", "left")
-    m = m.select("band", "hash", "node", F.coalesce("own", "node").alias("own"), F.coalesce("main", "centre").alias("main"))
-    return m.withColumn("other", F.col("own") != F.col("main"))
-
-
-def turns_of(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Buckets in which some pair of members is neither compared nor joined, and their turns.
-
-    A member may leave the others as components grow, but none joins them, so the turns
-    that are set at first hold for good.
-    """
-    m = labelled(members, comp).groupBy("band", "hash").agg(F.count("*").alias("size"), F.sum(F.col("other").cast("long")).alias("others"), (F.min("own") != F.max("own")).alias("mixed"))
-    return stored(m.where("others > 0 and mixed").select("band", "hash", F.ceil(F.col("size") * F.col("others") / F.lit(TURN)).cast("long").alias("turns")), "near-turns")
-
-
-def unseen(members: DataFrame, comp: DataFrame, later: DataFrame, turn: int) -> DataFrame:
-    """The turn's pairs: members outside their centre's component with those of other components."""
-    m = stored(labelled(members.join(later, ["band", "hash"]).select(*members.columns), comp).join(later, ["band", "hash"]), "near-unseen")
-    z = m.where("other").where(F.pmod(F.xxhash64("node"), F.col("turns")) == turn).select("band", "hash", F.col("node").alias("z"), F.col("own").alias("zo"))
-    x = m.select("band", "hash", F.col("node").alias("x"), F.col("own").alias("xo"))
-    return z.join(x, ["band", "hash"]).where("zo <> xo").select(F.least("z", "x").alias("a"), F.greatest("z", "x").alias("b")).distinct()
