@@ -10,8 +10,8 @@ from .quality import FAIL, PASS, WARN, Check
 
 #: The descriptors that name each category of complaint.
 PASSENGER = ["Car Service Company Complaint", "Driver Complaint - Passenger"]
-NON_PASSENGER = ["Driver Complaint - Non Passenger"]
-PICKUP_REASONS = ["Denied Request", "No Show", "Refused Pick Up"]
+NON_PASSENGER = ["Driver Complaint - Non Passenger", "Driver Report - Non Passenger"]
+PICKUP_REASONS = ["Denied Request", "Refused Pick-Up", "Service Delay/No Show"]
 COUNTERS = ["complaints_all", "complaints_passenger", "complaints_non_passenger", "complaints_pickup_reliability"]
 REQUIRED = ["unique_key", "created_date", "complaint_type", "descriptor", "borough"]
 

@@ -9,7 +9,7 @@ from ..functions import expressions as x
 
 VALIDATION = ["valid", "pickup_before_request", "dropoff_not_after_pickup", "missing_timestamp"]
 ON_SCENE = ["observed", "same_as_pickup", "before_request", "after_pickup", "missing"]
-PERIODS = ["overnight_0_5", "am_peak_6_9", "midday_10_15", "pm_peak_16_19", "evening_20_23"]
+PERIODS = ["overnight_00_05", "am_peak_06_09", "midday_10_15", "pm_peak_16_19", "evening_20_23"]
 BANDS = ["dry", "light_rain", "moderate_or_heavy_rain", "weather_unavailable"]
 
 

@@ -100,7 +100,7 @@ JOURNEY_SQL = f"""{RIDES_SQL}, {ZONES_SQL}, {WEATHER_SQL}, journey AS (
     CASE WHEN w.precipitation_mm IS NULL THEN 'weather_unavailable' WHEN w.precipitation_mm = 0 THEN 'dry' WHEN w.precipitation_mm > 0 AND w.precipitation_mm < 2.5 THEN 'light_rain'
       WHEN w.precipitation_mm >= 2.5 THEN 'moderate_or_heavy_rain' ELSE 'weather_unavailable' END AS precip_band,
     CAST(hour(request_datetime) AS INTEGER) AS request_hour, CAST(isodow(request_datetime) - 1 AS INTEGER) AS request_weekday, isodow(request_datetime) >= 6 AS is_weekend,
-    CASE WHEN hour(request_datetime) < 6 THEN 'overnight_0_5' WHEN hour(request_datetime) < 10 THEN 'am_peak_6_9' WHEN hour(request_datetime) < 16 THEN 'midday_10_15'
+    CASE WHEN hour(request_datetime) < 6 THEN 'overnight_00_05' WHEN hour(request_datetime) < 10 THEN 'am_peak_06_09' WHEN hour(request_datetime) < 16 THEN 'midday_10_15'
       WHEN hour(request_datetime) < 20 THEN 'pm_peak_16_19' ELSE 'evening_20_23' END AS time_period
   FROM life l LEFT JOIN zones p ON l.PULocationID = p.location_id LEFT JOIN zones d ON l.DOLocationID = d.location_id
     LEFT JOIN weather w ON date_trunc('hour', request_datetime) = w.hour
