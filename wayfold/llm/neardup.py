@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, ship, stored, text_chunks
+from .common import pick, release, ship, slices, stored, text_chunks
 from .shingles import U, mix, shingle_sets
 
 BINS, MISS = 128, 1e-6
 #: Shingles of a slice of a star's members, and elements of a slice of their differences, about.
 SLICE, PART = 600_000, 600_000
+#: Bytes of text that are hashed together, about.
+TEXT = 1 << 20
 #: Ids sent along to every task at most (three numbers each).
 BROADCAST_ROWS = 1_000_000
 
@@ -81,7 +83,7 @@ def sketch(width: int, r: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
-        for b in text_chunks(batches):
+        for b in text_chunks(batches, TEXT):
             hashes, counts, k1, k2 = shingle_sets(b.column(1).to_pylist(), width)
             m = bands(signatures(hashes, counts), r).astype(np.int64)
             ends = np.arange(len(counts) + 1, dtype=np.int32) * m.shape[1]
@@ -92,8 +94,11 @@ def sketch(width: int, r: int):
 
 
 def split_sets(texts: list[str], width: int) -> list[np.ndarray]:
-    hashes, counts, _, _ = shingle_sets(texts, width)
-    return np.split(hashes, np.cumsum(counts)[:-1])
+    out = []
+    for a, b in slices(np.array([len(t) for t in texts]), TEXT):
+        hashes, counts, _, _ = shingle_sets(texts[a:b], width)
+        out += np.split(hashes, np.cumsum(counts)[:-1])
+    return out
 
 
 class Forest:
@@ -179,6 +184,8 @@ def star_links(width: int, percent: int):
                 out += [(center, a, b, None, None, None, None, None) for a, b in links_between(members, len(c), percent, forest)]
         else:
             out += [(center, node, None, len(c), n, linked, r.tolist(), a.tolist()) for node, n, linked, r, a in members]
+        del sets, members
+        release()
         return pd.DataFrame(out, columns=["center", "node", "other", "n_center", "n", "linked", "removed", "added"])
 
     return run

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, ship, text_chunks
-from .shingles import words_of
+from .common import pick, ship, slices, text_chunks
+from .shingles import PIECE, words_of
 
 #: Bound of the fitting sample: documents, and lines in one of them. Scoring has no bound.
 SAMPLE_DOCS, SAMPLE_LINES = 4000, 400
@@ -44,7 +44,11 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     size = np.fromiter(map(len, raw), np.int64, n)
     buf = np.frombuffer(b"".join(raw), np.uint8)
     k = len(CLASSES) + 1
-    share = np.bincount(np.repeat(np.arange(n) * k, size) + CLASS_OF[buf], minlength=n * k).reshape(n, k) / np.maximum(size, 1)[:, None]
+    ends, share = np.cumsum(size), np.empty((n, k))
+    for a, b in slices(size, PIECE):  # lines of about PIECE bytes at a time
+        part = buf[ends[a] - size[a] : ends[b - 1]]
+        share[a:b] = np.bincount(np.repeat(np.arange(b - a) * k, size[a:b]) + CLASS_OF[part], minlength=(b - a) * k).reshape(b - a, k)
+    share /= np.maximum(size, 1)[:, None]
     word, count = words_of(lines)
     owner = np.repeat(np.arange(n), count)
     again = np.zeros((n, 2))
@@ -54,7 +58,7 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     first = np.zeros(n, bool)
     first[(np.cumsum(per) - per)] = True
     marks = np.zeros(n)
-    last = np.cumsum(size) - 1
+    last = ends - 1
     full = size > 0
     marks[full] = np.isin(buf[last[full]], list(b".!?"))
     cap = np.zeros(n)
@@ -151,7 +155,7 @@ class Model:
 
 def sample_features(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.binary()), ("size", pa.binary())])
-    for b in text_chunks(batches):
+    for b in text_chunks(batches, PIECE):
         x, size, per = line_features(b.column(1).to_pylist())
         ends = np.cumsum(per).tolist()
         starts = [0, *ends[:-1]]
@@ -187,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
 
 def scorer(model: Model):
     def run(batches):
-        for b in text_chunks(batches):
+        for b in text_chunks(batches, PIECE):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(b.column(b.schema.get_field_index("text")).to_pylist()), pa.float64())], names=[*b.schema.names, "_score"])
 
     return run
@@ -195,7 +199,7 @@ def scorer(model: Model):
 
 def ids_scorer(model: Model):
     def run(batches):
-        for b in text_chunks(batches):
+        for b in text_chunks(batches, PIECE):
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(model.score(b.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
 
     return run

@@ -11,17 +11,19 @@ import numpy as np
 
 U = np.uint64
 ODD, INVERSE = 0x9E3779B97F4A7C15 | 1, pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
+#: Bytes that are hashed at once, about.
+PIECE = 1 << 20
 _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
     held = _POWERS.get(base)
     if held is None or len(held) < n:
-        size = max(n, 5 << 20)
+        size = max(n, PIECE + 1)
         held = np.full(size, base, U)
         held[0] = 1
         np.multiply.accumulate(held, out=held)
-        if n <= 5 << 20:
+        if size <= 4 * PIECE:
             _POWERS[base] = held
     return held[:n]
 
@@ -33,23 +35,43 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word, and the number of words of each text."""
-    raw = [(t or "").encode() for t in texts]
-    buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
-    if not len(raw):
-        return np.empty(0, U), np.empty(0, np.int64)
-    ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+def hashed(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every word of a piece of bytes that begins and ends between words."""
     gap = (buf == 32) | ((buf >= 9) & (buf <= 13))
-    edge = np.diff(np.concatenate([[True], gap]).view(np.int8))
+    edge = np.diff(np.concatenate([[True], gap, [True]]).view(np.int8))
     start, stop = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
     low = buf + np.where((buf >= 65) & (buf <= 90), np.uint8(32), np.uint8(0))
     total = np.zeros(len(buf) + 1, U)
     np.cumsum((low.astype(U) + U(1)) * powers(ODD, len(buf)), out=total[1:])
     word = (total[stop] - total[start]) * powers(INVERSE, len(buf))[start]
-    word = mix(word + (stop - start).astype(U) * U(0xD6E8FEB86659FD93))
-    count = np.diff(np.concatenate([[0], np.searchsorted(start, ends)]))
-    return word, count
+    return start, mix(word + (stop - start).astype(U) * U(0xD6E8FEB86659FD93))
+
+
+def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and the number of words of each text.
+
+    Bytes go through in pieces of about PIECE that are cut between words, so that memory
+    stays a small multiple of the text however long one is."""
+    raw = [(t or "").encode() for t in texts]
+    if not raw:
+        return np.empty(0, U), np.empty(0, np.int64)
+    ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+    joined = b" ".join(raw) + b" "
+    buf = np.frombuffer(joined, np.uint8)
+    starts, words, a = [], [], 0
+    while a < len(buf):
+        b = min(a + PIECE, len(buf))
+        if b < len(buf):
+            at = max(joined.rfind(g, a, b) for g in (b" ", b"\n"))
+            if at < 0:  # a word longer than a piece: up to the next space, which there is
+                at = joined.find(b" ", b)
+            b = at + 1
+        s, w = hashed(buf[a:b])
+        starts.append(s + a)
+        words.append(w)
+        a = b
+    start = np.concatenate(starts)
+    return np.concatenate(words), np.diff(np.concatenate([[0], np.searchsorted(start, ends)]))
 
 
 def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
