@@ -23,6 +23,8 @@ from .pieces import Memo, splitter
 
 NONE = np.int64(1) << 62
 WIDEST = 64
+#: Leaves of the trees that are worked on together; bytes of text that are split together.
+CELLS, TEXT = 1 << 17, 1 << 19
 
 
 class Ranks:
@@ -35,13 +37,12 @@ class Ranks:
         for token, r in self.rank.items():
             self.bytes_of[r] = token
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
-        self.pair = {(self.rank[t[:i]], self.rank[t[i:]]): r for t, r in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank}
-        bits = max(10, len(self.pair).bit_length() + 2)
+        pairs = [((self.rank[t[:i]] << 20) | self.rank[t[i:]], r) for t, r in self.rank.items() for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
+        bits = max(10, len(pairs).bit_length() + 1)
         self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
         self.keys = np.full(1 << bits, -1, np.int64)
         self.values = np.full(1 << bits, NONE, np.int64)
-        keys = np.array([(a << 20) | b for a, b in self.pair], np.int64)
-        values = np.array(list(self.pair.values()), np.int64)
+        keys, values = np.array(pairs, np.int64).reshape(-1, 2).T
         at = self.place(keys)
         while len(keys):  # linear probing, all keys a step at a time
             free = self.keys[at] < 0
@@ -70,6 +71,16 @@ class Ranks:
             at[todo] = (at[todo] + 1) & self.mask
         return out
 
+    def rank_of(self, a: int, b: int) -> int | None:
+        """The rank of one pair, for trees of their own."""
+        key = (a << 20) | b
+        at = ((key * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
+        while (seen := self.keys.item(at)) != key:
+            if seen < 0:
+                return None
+            at = (at + 1) & self.mask
+        return self.values.item(at)
+
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         raw = [p.encode() for p in pieces]
         out: list[bytes | None] = [None] * len(raw)
@@ -83,8 +94,9 @@ class Ranks:
             else:
                 groups.setdefault(max(8, 1 << (len(w) - 1).bit_length()), []).append(i)
         for width, rows in groups.items():
-            for a in range(0, len(rows), 20_000):
-                part = rows[a : a + 20_000]
+            step = max(1, CELLS // width)
+            for a in range(0, len(rows), step):
+                part = rows[a : a + step]
                 for i, ids in zip(part, self.merge_many([raw[i] for i in part], width), strict=True):
                     out[i] = ids
         return out
@@ -149,10 +161,10 @@ class Ranks:
         width = 1 << (n - 1).bit_length()
         ids = [int(self.byte_id[b]) for b in word]
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        none, pair = (1 << 62), self.pair
+        none, pair = (1 << 62), self.rank_of
         tree = [none] * (2 * width)
         for i in range(n - 1):
-            r = pair.get((ids[i], ids[i + 1]))
+            r = pair(ids[i], ids[i + 1])
             if r is not None:
                 tree[width + i] = r * width + i
         for j in range(width - 1, 0, -1):
@@ -170,7 +182,7 @@ class Ranks:
                 j >>= 1
 
         def pair_at(pos, after):
-            r = pair.get((ids[pos], ids[after])) if after < n else None
+            r = pair(ids[pos], ids[after]) if after < n else None
             return none if r is None else r * width + pos
 
         while tree[1] < none:
@@ -205,7 +217,7 @@ def round_trip(path: str, pattern: str, with_ids: bool):
 
     def run(batches):
         table, split = ranks(path), splitter(pattern)
-        for b in text_chunks(batches):
+        for b in text_chunks(batches, TEXT):
             docs = [split.findall(t or "") for t in b.column(1).to_pylist()]
             ids = table.memo.encode(docs)
             cols = [b.column(0).cast(pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(table.decode(x)).hexdigest() for x in ids])]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +87,8 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Makes this package importable on the executors, whatever their Python path is."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")  # rows hold whole texts
     if sc.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent
@@ -108,12 +112,25 @@ def slices(sizes: np.ndarray, limit: int):
         yield start, len(sizes)
 
 
-def text_chunks(batches, limit: int = 4 << 20):
+def text_chunks(batches, limit: int = 1 << 20):
     """Record batches cut to pieces with about limit bytes of text each."""
+    passed = 0
     for batch in batches:
         if not batch.num_rows:
             continue
+        if (passed := passed + batch.nbytes) > 8 * limit:
+            passed = 0
+            release()
         col = batch.column(batch.schema.get_field_index("text"))
         sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, limit):
             yield batch.slice(a, b - a)
+    release()
+
+
+def release() -> None:
+    """Gives memory that was freed back to the system, as workers wait for their next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -1,20 +1,11 @@
-"""Splitting texts into the pieces that byte-level BPE merges separately, and a bounded memo.
-
-Texts with characters outside a plainly classified range (controls, unusual spaces, later
-scripts) can be classed differently by different regex libraries, so callers hand those
-whole to the library that defines the result.
-"""
+"""Splitting texts into the pieces that byte-level BPE merges separately, and a bounded memo."""
 
 from __future__ import annotations
 
-import re
-
 import regex
 
-#: Characters that every Unicode regex library puts into the same classes.
-ODD = re.compile("[^\t\n\r -~¡-ɏ‐-‧€]")
 #: Pieces that a worker remembers at most; past that it forgets them all and starts anew.
-MEMO = 400_000
+MEMO = 100_000
 
 #: White_Space of Unicode, which the pattern's \s means.
 SPACE = r"\t-\r \x85\xa0  -     　"
