@@ -1,0 +1,227 @@
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+
+from wayfold.llm import licenses, pii, quality
+
+# ---- quality ------------------------------------------------------------------------------
+
+
+def test_marginals_equal_enumeration():
+    r = np.random.default_rng(0)
+    per = np.array([3, 1, 5])
+    e, move = r.normal(size=9), r.normal(size=(2, 2))
+    good, moves, log_z = quality.marginals(e, per, move, pairs=True)
+    at, want, expected, total = 0, [], np.zeros((2, 2)), 0.0
+    for n in per:
+        paths = list(itertools.product((0, 1), repeat=int(n)))
+        w = np.array([math.exp(sum(e[at + i] * y for i, y in enumerate(p)) + sum(move[a, b] for a, b in itertools.pairwise(p))) for p in paths])
+        total += math.log(w.sum())
+        w /= w.sum()
+        want += [sum(x for x, p in zip(w, paths, strict=True) if p[i]) for i in range(n)]
+        for x, p in zip(w, paths, strict=True):
+            for a, b in itertools.pairwise(p):
+                expected[a, b] += x
+        at += n
+    assert good == pytest.approx(want) and moves == pytest.approx(expected) and log_z == pytest.approx(total)
+
+
+def test_features_don_t_depend_on_neighbours_in_the_batch(monkeypatch):
+    t = ["a b\nC d!!\n\n", None, "", "x | y | z", "same\nsame\nother one."]
+    x, size, per = quality.line_features(t)
+    assert per.tolist() == [4, 1, 1, 1, 3] and x.shape == (10, quality.FEATURES) and np.isfinite(x).all()
+    at = 0
+    for one, n in zip(t, per, strict=True):
+        assert quality.line_features([one])[0].tolist() == x[at : at + n].tolist()
+        at += n
+    monkeypatch.setattr(quality, "PIECE", 3)
+    assert quality.line_features(t)[0].tolist() == x.tolist()
+
+
+def labelled(spark, n=300):
+    r = random.Random(3)
+    rows = []
+    for i in range(n):
+        words = ["".join(r.choice("abcdeilnorst") for _ in range(r.randint(2, 8))) for _ in range(r.randint(5, 60))]
+        good = r.random() < 0.8
+        lines = [" ".join(words[k : k + 9]).capitalize() + "." if good else " ".join(w.upper() + "!!" for w in words[k : k + 9]) for k in range(0, len(words), 9)]
+        rows.append((i, "\n".join(lines), int(good)))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    return docs, spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, quality int")
+
+
+def test_learns_from_rows_that_are_not_held_out(spark):
+    import zlib
+
+    docs, labels = labelled(spark)
+    got = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    held = [i for i in got if got[i].held_out]
+    assert sum(got[i].predicted == truth[i] for i in held) >= 0.95 * len(held) and all(0 <= r.score <= 1 for r in got.values())
+    # labels of held-out rows change nothing
+    from pyspark.sql import functions as F
+
+    turned = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = {r.doc_id: r.score for r in quality.quality(docs, turned).collect()}
+    assert again == {i: r.score for i, r in got.items()}
+
+
+def test_quality_awkward(spark, awkward, empty):
+    _, labels = labelled(spark)
+    odd = labels.union(spark.createDataFrame([(None, 1), (1, None), (2, 5), (3, 0), (3, 1)], "doc_id long, quality int"))
+    rows = quality.quality(awkward, odd).collect()
+    assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
+    assert {r.held_out for r in rows if r.doc_id is None} == {False}
+    assert quality.quality(empty, odd).count() == 0
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in quality.quality(awkward, none).collect()} == {0.5}
+    kept = quality.keep_good(awkward, none)
+    assert kept.count() == awkward.count() and kept.columns == awkward.columns
+    assert quality.keep_good(empty, none).count() == 0
+
+
+# ---- personal data ------------------------------------------------------------------------
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def by_patterns(t):
+    n = lambda m: re.sub("[^0-9]", "", m[0])
+    out = [(m.start(), m.end(), 0) for m in EMAIL.finditer(t)]
+    out += [(m.start(), m.end(), 1) for m in IP.finditer(t) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), m.end(), 2) for m in CARD.finditer(t) if 14 <= len(n(m)) <= 19 and pii.luhn(n(m))]
+    out += [(m.start(), m.end(), 3) for m in PHONE.finditer(t) if 10 <= len(n(m)) <= 15]
+    return sorted(out, key=lambda s: (s[0], s[2]))
+
+
+def test_base_spans_equal_the_patterns():
+    r = random.Random(11)
+    for _ in range(4000):
+        t = "".join(r.choice("a1.@_+- (2)9%é\n") for _ in range(r.randint(0, 50)))
+        assert pii.base_spans(t) == by_patterns(t)
+    for t, _ in pii.examples(200, 3):
+        assert pii.base_spans(t) == by_patterns(t)
+
+
+def test_long_runs_stay_linear():
+    t = "1" * 200_000 + " " + "a" * 200_000 + " " + "1-" * 50_000 + "@" * 1000
+    assert pii.base_spans(t) == []
+
+
+def test_the_field_finds_new_examples():
+    w = pii.fitted()
+    hit = made = wrong = 0
+    for t, spans in pii.examples(200, 99):
+        got = set(pii.decode(w, t))
+        hit, made, wrong = hit + len(got & set(spans)), made + len(spans), wrong + len(got - set(spans))
+    assert hit >= 0.98 * made and wrong <= 0.02 * made
+
+
+def test_best_segmentation_is_the_best_of_all():
+    w = np.random.default_rng(5).normal(size=pii.fitted().shape)
+    for t, _ in pii.examples(25, 8):
+        tokens, found = pii.candidates(t, 0, len(t))
+        s = [float(np.dot(f, w[k])) for *_, k, f in found]
+
+        def best(at, tokens=tokens, found=found, s=s):
+            if at >= len(tokens):
+                return 0.0
+            return max([best(at + 1)] + [s[x] + best(j) for x, (i, j, _, _) in enumerate(found) if i == at])
+
+        got = pii.decode(w, t) if list(pii.windows(t)) == [(0, len(t))] else None
+        if got is not None and len(found) < 40:
+            place = {(tokens[i][0], tokens[j - 1][1], k): x for x, (i, j, k, _) in enumerate(found)}
+            assert sum(s[place[g]] for g in got) == pytest.approx(best(0))
+
+
+def test_added_spans_and_redaction():
+    w = pii.fitted()
+    t = 'é x a.b@c.de, call +1 (663) 555-6869 4539578763621486 token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" v 1.2.3'
+    base, every = pii.all_spans(w, t)
+    assert set(base) < set(every) and {pii.KINDS[k] for _, _, k in every} >= {"email", "phone", "card", "secret"}
+    assert pii.redacted(w, t).startswith("é x [EMAIL], call [PHONE] [CARD] token")
+    assert pii.redacted(w, "nothing here 42") == "nothing here 42"
+
+
+def test_pii_awkward(spark, awkward, empty):
+    rows = pii.personal_data(awkward).collect()
+    none = hashlib.sha256(b"").hexdigest()
+    assert len(rows) == awkward.count() and all(r.base_sha256 == none and r.n_email == 0 for r in rows if r.doc_id in (None, 1, 2, 3))
+    one = pii.personal_data(spark.createDataFrame([(1, "mail a@b.co and 10.0.0.1")], "doc_id long, text string")).first()
+    assert (one.n_email, one.n_ip, one.spans) == (1, 1, "email:5:11,ip:16:24")
+    assert one.base_sha256 == hashlib.sha256(b"email:5:11,ip:16:24").hexdigest()
+    out = pii.redact(awkward)
+    assert out.columns == awkward.columns and out.count() == awkward.count() and pii.redact(empty).count() == 0
+    d = pii.redact(spark.createDataFrame([(1, "to a@b.co", 9), (2, None, 0)], "doc_id long, text string, n_chars int")).collect()
+    assert [(r.text, r.n_chars) for r in d] == [("to [EMAIL]", 10), (None, None)]
+
+
+# ---- licenses -----------------------------------------------------------------------------
+
+
+def longest_common(a, b):
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, j in itertools.product(range(len(a)), range(len(b))):
+        t[i + 1][j + 1] = t[i][j] + 1 if a[i] == b[j] else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
+
+
+def test_alignment_is_common_and_ascending():
+    r = random.Random(2)
+    for _ in range(300):
+        a, b = ([r.choice("abcdefghijklmnop") for _ in range(r.randint(0, 14))] for _ in range(2))
+        m = licenses.align(a, b)
+        assert all(a[i] == b[j] for i, j in m) and all(p < q and s < t for (p, s), (q, t) in itertools.pairwise(m))
+        assert len(m) <= longest_common(a, b)
+        if len(set(a)) == len(a) and len(set(b)) == len(b):
+            assert len(m) == longest_common(a, b)  # all words unique: the anchors are everything
+
+
+def test_increasing_is_longest():
+    r = random.Random(4)
+    for _ in range(200):
+        p = list(enumerate(r.sample(range(30), r.randint(0, 9))))
+        want = max((len(c) for n in range(len(p) + 1) for c in itertools.combinations(p, n) if all(x[1] < y[1] for x, y in itertools.pairwise(c))), default=0)
+        assert len(licenses.increasing(p)) == want
+
+
+def test_templates_are_found_whole_changed_and_repeated():
+    known = [licenses.Template(k, v) for k, v in sorted(licenses.TEMPLATES.items())]
+    noise = "the of and license to under a version " * 40
+    for name, text in licenses.TEMPLATES.items():
+        for t in (text, noise + "\n" + text + "\n" + noise, (text + "\n") * 4):
+            found = {f[0]: f for f in licenses.scan(t, known)}
+            assert found[name][1] == 1.0
+            assert licenses.words(t[found[name][2] : found[name][3]]) == licenses.words(text)
+    w = licenses.TEMPLATES["mit-notice"].split()
+    changed = " ".join(w[:6] + ["dear", "reader,"] + w[9:])
+    assert licenses.scan(changed, known)[0][0] == "mit-notice" and licenses.scan(changed, known)[0][1] < 1
+    assert licenses.scan("a text under no license at all", known) == []
+
+
+def test_no_text_with_enough_coverage_is_skipped():
+    """What is looked at first must not lose a text that covers enough."""
+    known = [licenses.Template(k, v) for k, v in sorted(licenses.TEMPLATES.items())]
+    r = random.Random(9)
+    for t in known:
+        for _ in range(40):
+            kept = sorted(r.sample(range(len(t.words)), -int(-licenses.THRESHOLD * len(t.words) // 1)))
+            low = " ".join(t.words[i] for i in kept)
+            assert any(w in low for w in t.needed)
+
+
+def test_license_awkward(spark, awkward, empty):
+    rows = licenses.license_scan(awkward).collect()
+    assert len(rows) == awkward.count() and {r.license for r in rows} == {None}
+    one = licenses.license_scan(spark.createDataFrame([(1, "İ x. Released under the MIT License.")], "doc_id long, text string")).first()
+    assert (one.license, one.coverage, one.start, one.end) == ("mit", 1.0, 5, 35)
+    assert licenses.license_scan(empty).count() == 0

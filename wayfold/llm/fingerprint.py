@@ -194,3 +194,22 @@ def described(rows: DataFrame, results: DataFrame, prints: DataFrame) -> DataFra
         return F.when(both + d > 0, (both - d) / (both + d)).otherwise(F.lit(1.0))
 
     return j.select("doc_id", "n_chars", "edited_sha256", F.concat(hexed(F.col("k2")), hexed(F.col("c2"))).alias("fingerprint"), F.concat(hexed(F.col("k3")), hexed(F.col("c3"))).alias("edited_fingerprint"), alike("a", "b", "d0").alias("near_edited"), alike("a", "c", "d1").alias("near_next"))
+
+
+LIKENESS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS rn, count(*) OVER () AS n FROM documents
+), e AS (
+  SELECT a.doc_id, a.t, b.t AS nt, substr(a.t, 1, length(a.t) - length(a.t) // 2) || substr(b.t, 1, length(a.t) // 2) AS et FROM d a JOIN d b ON b.rn = a.rn % a.n + 1
+), p AS (
+  SELECT *, list_distinct(list_filter(string_split(regexp_replace(t, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '')) AS a,
+    list_distinct(list_filter(string_split(regexp_replace(et, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '')) AS b,
+    list_distinct(list_filter(string_split(regexp_replace(nt, '([.!?])[ \t\r]+', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '')) AS c FROM e
+), s AS (
+  SELECT *, len(list_intersect(a, b)) AS ab, len(list_intersect(a, c)) AS ac FROM p
+)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(et) AS edited_sha256,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE ab / (len(a) + len(b) - ab)::DOUBLE END AS near_edited,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE ac / (len(a) + len(c) - ac)::DOUBLE END AS near_next
+FROM s
+"""

@@ -71,6 +71,11 @@ def op9(spark, sf_dir):
     return fingerprint.fingerprints(documents(spark, sf_dir))
 
 
+def likeness(spark, sf_dir):
+    """What SQL can say about op9: all but the sketches' own digests."""
+    return fingerprint.fingerprints(documents(spark, sf_dir)).drop("fingerprint", "edited_fingerprint")
+
+
 def queries() -> dict:
     return {
         "op1_token_rollup": op1,
@@ -83,9 +88,10 @@ def queries() -> dict:
         "op7_mix_sources": mixing.op7,
         "op8_personal_data": op8,
         "op9_paragraph_sketch": op9,
+        "edited_likeness": likeness,
         "op10_exact_top_k": op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"token_rollup_words": rollup.ROLLUP_SQL, "op7_mix_sources": mixing.MIX_SQL, "op10_exact_top_k": TOPK_SQL}
+    return {"token_rollup_words": rollup.ROLLUP_SQL, "op3_near_duplicates": neardup.SQL, "edited_likeness": fingerprint.LIKENESS_SQL, "op7_mix_sources": mixing.MIX_SQL, "op10_exact_top_k": TOPK_SQL}
