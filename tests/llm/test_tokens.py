@@ -85,7 +85,7 @@ def test_other_tokenizers_go_whole(awkward):
 
 def test_the_memo_forgets_without_harm():
     e = grammar.LibraryEncoder(JSON)
-    e.words.limit = e.firsts.limit = 3
+    e.words = grammar.WordTable(e.kind, bits=6)
     r = random.Random(2)
     for _ in range(20):
         x = [" ".join(r.choice("alpha beta gamma delta. zeta, eta! theta-9".split()) for _ in range(9)) + "\nend" for _ in range(5)]

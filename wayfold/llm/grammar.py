@@ -14,7 +14,9 @@ rows with equal ids follow in the order of their texts.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -24,13 +26,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import new_folder, pick, ship, shuffle_partitions, text_chunks
-from .pieces import ODD, Memo, splitter
+from .shingles import ODD, PIECE, mix, span_hashes
 
 BLOCK = 1 << 20
 #: A pair must occur so often in a block to become a rule; a round must shorten it by this share.
-FREQUENT, GAIN, STEP = 32, 0.01, 4
+FREQUENT, GAIN, STEP = 64, 0.01, 16
 END_ID = 2
 HASH_BITS = 20
+#: Bytes of text that are encoded together, about.
+TEXT = 12 << 20
+#: A worker remembers 0.7 * 2 ** MEMO_BITS words at most.
+MEMO_BITS = 22
+#: Odd factors of the two hashes that tell words apart.
+ODDS = (ODD, 0xC2B2AE3D27D4EB4F)
+#: Controls, and all that some library may take for white space.
+SPACES = re.compile("[\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
 
 
 class Grammar:
@@ -143,30 +153,165 @@ def compress(ids: np.ndarray, base: int, frequent: int = FREQUENT, gain: float =
     return Grammar(base, np.concatenate([empty, *rules]), np.concatenate([np.empty(0, np.int64), *lengths]), s)
 
 
+class WordTable:
+    """A bounded memo in arrays: two hashes of a word -> a stretch of ids. Full, it starts anew."""
+
+    def __init__(self, kind: np.dtype, bits: int = MEMO_BITS):
+        self.bits, self.kind = bits, kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.key, self.check = (np.zeros(1 << self.bits, np.uint64) for _ in range(2))
+        self.off, self.size = (np.zeros(1 << self.bits, np.int32) for _ in range(2))
+        self.pool, self.used, self.count = np.empty(1 << 20, self.kind), 0, 0
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The slot of each word, or -1."""
+        out = np.full(len(key), -1, np.int64)
+        at = (key >> np.uint64(64 - self.bits)).astype(np.int64)
+        todo = np.arange(len(key))
+        while len(todo):
+            seen = self.key[at[todo]]
+            hit = (seen == key[todo]) & (self.check[at[todo]] == check[todo])
+            out[todo[hit]] = at[todo[hit]]
+            todo = todo[~hit & (seen != 0)]
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Puts in words that aren't there; ids has theirs one after another. Their slots."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty(len(self.pool), self.kind)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        off = self.used + np.cumsum(size) - size
+        self.used, self.count = self.used + len(ids), self.count + len(key)
+        slot = (key >> np.uint64(64 - self.bits)).astype(np.int64)
+        todo = np.arange(len(key))
+        while len(todo):  # linear probing, all words a step at a time; the last of those at a slot has it
+            free = todo[self.key[slot[todo]] == 0]
+            self.key[slot[free]] = key[free]
+            self.check[slot[free]] = check[free]
+            won = free[(self.key[slot[free]] == key[free]) & (self.check[slot[free]] == check[free])]
+            self.off[slot[won]], self.size[slot[won]] = off[won], size[won]
+            rest = np.ones(len(key), bool)
+            rest[won] = False
+            todo = todo[rest[todo]]
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+        return slot
+
+
 class LibraryEncoder:
-    """The tokenizers library's ids; pieces that recur are asked for once."""
+    """The tokenizers library's ids; each different word of a batch is looked up or asked for once.
+
+    Byte-level pre-tokenizers always start a piece at a single space between other
+    characters, and a single line feed is a piece of its own. So a text whose white space
+    is only that is the sum of its words, each with the space before it. Texts with any
+    other white space or control, or with the name of a special token, go whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.base = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if self.base <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        kind = self.tokenizer.pre_tokenizer.__class__.__name__
-        self.split = splitter(public_tokenizers.PATTERN) if kind == "ByteLevel" else None
-        self.memo = Memo(self.ask)
-
-    def ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts that the split pattern may class differently, or that name a special token, go whole."""
-        whole = [self.split is None or ODD.search(t) is not None or any(x in t for x in self.special) for t in texts]
-        asked = iter(self.ask([t for t, w in zip(texts, whole, strict=True) if w]))
-        split = iter(self.memo.encode([self.split.findall(t) for t, w in zip(texts, whole, strict=True) if not w]))
-        return [next(asked if w else split) for w in whole]
+        with open(path, "rb") as f:
+            made = json.load(f)
+        pre = made.get("pre_tokenizer") or {}
+        self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not made.get("normalizer") and not any(SPACES.search(x) for x in self.special)
+        if self.by_word:
+            self.spaced = np.zeros(self.base, bool)
+            self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
+            self.tokenizer.model._resize_cache(0)  # what recurs is remembered here
+            self.line = self.ask(["\n"])[0]
+            self.words = WordTable(self.kind)
+
+    def ask(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words (kind 0 after a space, 1 after a line feed, 2 after nothing): the places
+        of those that can be encoded on their own, their ids one after another, their sizes."""
+        joined = "".join(words)
+        good = np.ones(len(words), bool)
+        if SPACES.search(joined) or any(x in joined for x in self.special):
+            good[[i for i, w in enumerate(words) if SPACES.search(w) or any(x in w for x in self.special)]] = False
+        spaced, ids, size = np.nonzero(good & (kind == 0))[0], [], []
+        for a in range(0, len(spaced), 4000):
+            part = self.ask([" " + " ".join([words[i] for i in spaced[a : a + 4000].tolist()])])[0]
+            at = np.nonzero(self.spaced[part])[0]  # each word's first id has the space
+            ids.append(part)
+            size.append(np.diff(at, append=len(part)))
+        first = np.nonzero(good & (kind > 0))[0]
+        for x, k in zip(self.ask([words[i] for i in first.tolist()]), kind[first].tolist(), strict=True):
+            ids += [self.line, x] if k == 1 else [x]
+            size.append([len(x) + (len(self.line) if k == 1 else 0)])
+        return np.concatenate([spaced, first]), np.concatenate([np.empty(0, self.kind), *ids]), np.concatenate([np.empty(0, np.int64), *size]).astype(np.int64)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_word or not texts:
+            return self.ask(texts)
+        raw = [t.encode() for t in texts]
+        joined = b" ".join(raw) + b" "
+        buf = np.frombuffer(joined, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+        of = lambda place: np.searchsorted(ends, place, side="right")  # noqa: E731  the text a byte belongs to
+        gap = (buf == 32) | (buf == 10)
+        whole = np.zeros(len(raw), bool)
+        whole[of(np.nonzero(((buf < 32) & (buf != 10)) | (buf == 127))[0])] = True
+        whole[of(np.nonzero(gap[1:] & gap[:-1])[0] + 1)] = True
+        whole[0] |= bool(gap[0])
+        start, stop, key, check = word_keys(joined, buf)
+        text_of = of(start)
+        kind = np.where(buf[start - 1] == 10, 1, 0)
+        kind[start == (ends - np.diff(ends, prepend=0))[text_of]] = 2  # after a space, a line feed, nothing
+        key = mix(key + kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+        check = check + kind.astype(np.uint64)
+        order = np.argsort(key)
+        ranked = key[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(key) else np.zeros(0, bool)
+        which = np.empty(len(key), np.int64)
+        which[order] = np.cumsum(new) - 1
+        rep = order[new]
+        if not (np.array_equal(check[rep][which], check) and np.array_equal((stop - start)[rep][which], stop - start)):
+            return self.ask(texts)  # two words with one key
+        table = self.words
+        if table.count + len(rep) > 0.7 * (1 << table.bits):
+            table.clear()
+        if len(rep) > 0.7 * (1 << table.bits):
+            return self.ask(texts)
+        slot = table.find(key[rep], check[rep])
+        lack = np.nonzero(slot < 0)[0]
+        spans = zip(start[rep[lack]].tolist(), stop[rep[lack]].tolist(), strict=True)
+        good, ids, size = self.learn([joined[a:e].decode() for a, e in spans], kind[rep[lack]])
+        slot[lack[good]] = table.add(key[rep[lack[good]]], check[rep[lack[good]]], ids, size)
+        whole[text_of[(slot < 0)[which]]] = True
+        n = np.where(slot < 0, 0, table.size[slot])[which].astype(np.int64)
+        stops = np.cumsum(n)
+        ids = table.pool[np.repeat(table.off[slot][which] - (stops - n), n) + np.arange(int(stops[-1]) if len(stops) else 0)]
+        cut = np.concatenate([[0], stops])[np.searchsorted(start, ends)]
+        out = np.split(ids, cut[:-1])
+        for i, x in zip(np.nonzero(whole)[0].tolist(), self.ask([texts[i] for i in np.nonzero(whole)[0].tolist()]), strict=True):
+            out[i] = x
+        return out
+
+
+def word_keys(joined: bytes, buf: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, stop and two hashes of every run of bytes other than space and line feed."""
+    parts, a = [], 0
+    while a < len(buf):
+        b = min(a + PIECE, len(buf))
+        if b < len(buf):
+            at = max(joined.rfind(b" ", a, b), joined.rfind(b"\n", a, b))
+            b = (at if at >= 0 else joined.find(b" ", b)) + 1
+        piece = buf[a:b]
+        edge = np.diff(np.concatenate([[True], (piece == 32) | (piece == 10), [True]]).view(np.int8))
+        start, stop = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
+        parts.append((start + a, stop + a, *(span_hashes(piece, start, stop, odd) for odd in ODDS)))
+        a = b
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -188,20 +333,20 @@ def write_blocks(path: str, end_id: int, block: int):
 
         def row():
             nonlocal held, ids, size, at
-            g = compress(np.frombuffer(b"".join(held), "<u4"), max(enc.base, end_id + 1))
-            out = {k: [v] for k, v in ({"shard": shard, "block": at, "doc_id": ids, "n_tokens": [len(x) // 4 for x in held]} | g.row()).items()}
+            g = compress(np.concatenate(held), max(enc.base, end_id + 1))
+            out = {k: [v] for k, v in ({"shard": shard, "block": at, "doc_id": ids, "n_tokens": [len(x) + 1 for x in held[::2]]} | g.row()).items()}
             held, ids, size, at = [], [], 0, at + 1
             return pa.RecordBatch.from_pydict(out, schema=pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("base", pa.int32()), ("width", pa.int32()), ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("symbols", pa.binary())]))
 
-        end = np.array([end_id], "<u4").tobytes()
-        for b in text_chunks(batches):
+        end = np.array([end_id], np.uint32)
+        for b in text_chunks(batches, TEXT):
             texts = [t or "" for t in b.column(1).to_pylist()]
             for doc, x in zip(b.column(0).to_pylist(), enc.encode(texts), strict=True):
-                if held and size + len(x) // 4 + 1 > block:
+                if held and size + len(x) + 1 > block:
                     yield row()
-                held.append(x + end)
+                held += [x, end]
                 ids.append(doc)
-                size += len(x) // 4 + 1
+                size += len(x) + 1
         if held:
             yield row()
 

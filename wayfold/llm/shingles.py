@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-ODD, INVERSE = 0x9E3779B97F4A7C15 | 1, pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
+ODD = 0x9E3779B97F4A7C15
 #: Bytes that are hashed at once, about.
 PIECE = 1 << 20
 _POWERS: dict[int, np.ndarray] = {}
@@ -40,11 +40,15 @@ def hashed(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     gap = (buf == 32) | ((buf >= 9) & (buf <= 13))
     edge = np.diff(np.concatenate([[True], gap, [True]]).view(np.int8))
     start, stop = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
-    low = buf + np.where((buf >= 65) & (buf <= 90), np.uint8(32), np.uint8(0))
+    return start, span_hashes(buf + np.where((buf >= 65) & (buf <= 90), np.uint8(32), np.uint8(0)), start, stop, ODD)
+
+
+def span_hashes(buf: np.ndarray, start: np.ndarray, stop: np.ndarray, odd: int) -> np.ndarray:
+    """A hash of each span of bytes: a polynomial in an odd number, from running sums."""
     total = np.zeros(len(buf) + 1, U)
-    np.cumsum((low.astype(U) + U(1)) * powers(ODD, len(buf)), out=total[1:])
-    word = (total[stop] - total[start]) * powers(INVERSE, len(buf))[start]
-    return start, mix(word + (stop - start).astype(U) * U(0xD6E8FEB86659FD93))
+    np.cumsum((buf.astype(U) + U(1)) * powers(odd, len(buf)), out=total[1:])
+    word = (total[stop] - total[start]) * powers(pow(odd, -1, 1 << 64), len(buf))[start]
+    return mix(word + (stop - start).astype(U) * U(0xD6E8FEB86659FD93))
 
 
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
