@@ -50,7 +50,7 @@ def blocks(rows: DataFrame, n: int) -> DataFrame:
     at = F.size(F.filter(edges, lambda b: b <= F.col("doc_id")))
     low, high = F.element_at(edges, F.greatest(at, F.lit(1))), F.element_at(edges, F.least(at + 1, F.lit(len(bounds))))
     inside = F.when((at < 1) | (high <= low), 0).otherwise(F.least(F.floor((F.col("doc_id") - low) / (high - low) * fine), F.lit(fine - 1)))
-    return rows.withColumn("block", F.coalesce(at * fine + inside, F.lit(-1)).cast("long"))
+    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(at * fine + inside).cast("long"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:

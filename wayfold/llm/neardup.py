@@ -242,6 +242,16 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return labels
 
 
+def same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links a, b between the classes of ids whose rows hold different texts; there are few."""
+    ids = rows.where("n_shingles > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+    ids = stored(ids.agg(F.min("key1").alias("a"), F.max("key1").alias("b")).where("a <> b").select("_id"), "near-ids")
+    of = rows.where("n_shingles > 0").join(ids, F.col("doc_id") == F.col("_id")).select("_id", "key1", "key2")
+    nodes = of.join(classes.select("key1", "key2", "node"), ["key1", "key2"]).select("_id", "node").distinct()
+    least = nodes.groupBy("_id").agg(F.min("node").alias("a"))
+    return nodes.join(least, "_id").select("a", F.col("node").alias("b")).where("a <> b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
@@ -262,7 +272,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     centers = spread.groupBy("band", "hash").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").select("band", "hash", "center")
     pairs = stored(spread.join(centers, ["band", "hash"]).where("node <> center").select("center", "node").distinct(), "near-pairs")
     links = stored(confirmed(docs, pairs, sizes, width, percent), "near-links")
-    comp = components(spark, links)
+    comp = components(spark, links.union(same_ids(rows, classes)))
     named = classes.join(comp, "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
     out = rows.select("doc_id", "n_shingles", "key1", "key2").join(named, ["key1", "key2"], "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
