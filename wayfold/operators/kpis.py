@@ -54,10 +54,10 @@ def arrival_share(rides: DataFrame) -> DataFrame:
     stage = F.col("in_stage_population")
     r2o, r2p = x.micros("on_scene_datetime", "request_datetime"), x.micros("pickup_datetime", "request_datetime")
     return rides.agg(
-        (F.lit(100.0) * F.sum(F.when(stage, r2o)) / F.sum(F.when(stage, r2p))).alias("arrival_share_pct"),
+        F.try_divide(F.lit(100.0) * F.sum(F.when(stage, r2o)), F.sum(F.when(stage, r2p))).alias("arrival_share_pct"),
         F.count_if(stage).alias("stage_rides"),
-        (F.lit(100.0) * F.count_if(stage) / F.count_if(F.col("in_kpi_population"))).alias("share_of_kpi_pct"),
-        (F.count_if(F.col("on_scene_status") == "observed") / F.count("*")).alias("observed_share"),
+        F.try_divide(F.lit(100.0) * F.count_if(stage), F.count_if(F.col("in_kpi_population"))).alias("share_of_kpi_pct"),
+        F.try_divide(F.count_if(F.col("on_scene_status") == "observed"), F.count("*")).alias("observed_share"),
         *[x.quantile_if(c, stage, q).alias(f"{n}_{c}") for c in ("request_to_on_scene_min", "on_scene_to_pickup_min") for n, q in (("median", 0.5), ("p90", 0.9))],
     )
 

@@ -71,19 +71,35 @@ def daily(rides: DataFrame, first, last) -> DataFrame:
     return days.join(n, "day", "left").select("day", F.coalesce("rides", F.lit(0)).alias("rides"))
 
 
-def timestamp_coverage(rides: DataFrame) -> DataFrame:
+def coverage_facts() -> list:
     some = [F.avg(F.col(f"{c}_datetime").isNotNull().cast("int")).alias(f"{c}_share") for c in ("request", "on_scene", "pickup", "dropoff")]
-    return rides.agg(F.count("*").alias("rows"), *some, F.count_if(F.col("validation_status") == "missing_timestamp").alias("missing_core"))
+    return [F.count("*").alias("rows"), *some, F.count_if(F.col("validation_status") == "missing_timestamp").alias("missing_core")]
 
 
-def chronology(rides: DataFrame) -> DataFrame:
+def chronology_facts() -> list:
     early = F.col("validation_status") == VALIDATION[1]
-    n = F.count("*")
-    return rides.agg(F.count_if(early).alias("pickup_before_request"), F.count_if(F.col("validation_status") == VALIDATION[2]).alias("dropoff_not_after_pickup"), (F.count_if(~F.col("in_kpi_population")) / n).alias("excluded_share"), (F.count_if(early & F.col("request_on_whole_minute")) / F.greatest(F.count_if(early), F.lit(1))).alias("whole_minute_share"))
+    return [F.count_if(early).alias("pickup_before_request"), F.count_if(F.col("validation_status") == VALIDATION[2]).alias("dropoff_not_after_pickup"), F.try_divide(F.count_if(~F.col("in_kpi_population")), F.count("*")).alias("excluded_share"), (F.count_if(early & F.col("request_on_whole_minute")) / F.greatest(F.count_if(early), F.lit(1))).alias("whole_minute_share")]
+
+
+def on_scene_facts() -> list:
+    return [*[F.count_if(F.col("on_scene_status") == s).alias(s) for s in ON_SCENE], F.try_divide(F.count_if(F.col("on_scene_status") == "observed"), F.count("*")).alias("observed_share")]
+
+
+def plausibility_facts(t: Thresholds) -> list:
+    m = F.col("trip_miles")
+    return [F.count_if(m <= 0).alias("miles_not_positive"), F.count_if(m > t.max_plausible_trip_miles).alias("miles_too_far"), F.count_if(F.col("base_passenger_fare") < 0).alias("fare_negative"), F.count_if(F.col("in_kpi_population") & (F.col("request_to_pickup_min") > t.max_plausible_request_to_pickup_min)).alias("wait_too_long"), F.count_if(F.col("trip_time_mismatch")).alias("trip_time_mismatch")]
+
+
+def timestamp_coverage(rides: DataFrame) -> DataFrame:
+    return rides.agg(*coverage_facts())
+
+
+def chronology(rides: DataFrame) -> DataFrame:
+    return rides.agg(*chronology_facts())
 
 
 def on_scene(rides: DataFrame) -> DataFrame:
-    return rides.agg(*[F.count_if(F.col("on_scene_status") == s).alias(s) for s in ON_SCENE], (F.count_if(F.col("on_scene_status") == "observed") / F.count("*")).alias("observed_share"))
+    return rides.agg(*on_scene_facts())
 
 
 def location_integrity(rides: DataFrame, zones: DataFrame) -> DataFrame:
@@ -99,8 +115,7 @@ def location_integrity(rides: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def plausibility(rides: DataFrame, t: Thresholds) -> DataFrame:
-    m = F.col("trip_miles")
-    return rides.agg(F.count_if(m <= 0).alias("miles_not_positive"), F.count_if(m > t.max_plausible_trip_miles).alias("miles_too_far"), F.count_if(F.col("base_passenger_fare") < 0).alias("fare_negative"), F.count_if(F.col("in_kpi_population") & (F.col("request_to_pickup_min") > t.max_plausible_request_to_pickup_min)).alias("wait_too_long"), F.count_if(F.col("trip_time_mismatch")).alias("trip_time_mismatch"))
+    return rides.agg(*plausibility_facts(t))
 
 
 def populations(journey: DataFrame) -> DataFrame:
@@ -111,28 +126,26 @@ def populations(journey: DataFrame) -> DataFrame:
 
 def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds) -> list[Check]:
     """Every rule about the trips; the aggregates above, each a single row, decide."""
-    n = rides.count()
+    inside = F.to_date("pickup_datetime").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+    f = rides.agg(*coverage_facts(), *chronology_facts(), *on_scene_facts(), *plausibility_facts(t), F.count_if(~inside).alias("outside")).first()
+    n = f.rows
     if not n:
         return [Check("hvfhv.file_readable", FAIL, detail="no rows", category="completeness")]
     out = [Check("hvfhv.file_readable", PASS, detail=f"rows={n}", category="completeness")]
     rule = lambda bad, some: FAIL if bad else WARN if some else PASS
-    d = daily(rides, first, last).agg(F.count_if(F.col("rides") == 0).alias("empty"), F.sum("rides").alias("inside")).first()
-    outside = rides.where("pickup_datetime is not null").count() - d.inside
-    out.append(Check("hvfhv.month_coverage", rule(d.empty, outside), detail=f"empty days {d.empty}, outside {outside}", category="completeness"))
-    c = timestamp_coverage(rides).first()
-    out.append(Check("hvfhv.timestamp_coverage", rule(c.missing_core / n > t.max_excluded_share, c.missing_core), detail=f"missing {c.missing_core}", category="completeness"))
+    told = lambda *names: ", ".join(f"{k} {f[k]}" for k in names)
+    empty = daily(rides, first, last).where("rides = 0").count()
+    out.append(Check("hvfhv.month_coverage", rule(empty, f.outside), detail=f"empty days {empty}, outside {f.outside}", category="completeness"))
+    out.append(Check("hvfhv.timestamp_coverage", rule(f.missing_core / n > t.max_excluded_share, f.missing_core), detail=told("missing_core"), category="completeness"))
     dup = duplicates(rides, NATURAL_KEY).first().duplicate_rows
     out.append(Check("hvfhv.trip_uniqueness", rule(dup / n > t.max_duplicate_share, dup), detail=f"duplicates {dup}", category="uniqueness"))
-    k = chronology(rides).first()
-    out.append(Check("hvfhv.chronology_request_pickup_dropoff", rule(k.excluded_share > t.max_excluded_share, k.excluded_share), detail=str(k.asDict()), category="chronology"))
-    o = on_scene(rides).first()
-    out.append(Check("hvfhv.on_scene_semantics", WARN if o.observed_share >= t.min_on_scene_observed_share else FAIL, "info", str(o.asDict()), "semantic"))
+    out.append(Check("hvfhv.chronology_request_pickup_dropoff", rule(f.excluded_share > t.max_excluded_share, f.excluded_share), detail=told("pickup_before_request", "dropoff_not_after_pickup", "excluded_share", "whole_minute_share"), category="chronology"))
+    out.append(Check("hvfhv.on_scene_semantics", WARN if f.observed_share >= t.min_on_scene_observed_share else FAIL, "info", told(*ON_SCENE, "observed_share"), "semantic"))
     for r in location_integrity(rides, zones).collect():
         bad = r.null_ids + r.unmatched
         out.append(Check(f"hvfhv.{r.side}_location_integrity", rule(bad / n > t.max_excluded_share, bad or r.placeholder), detail=str(r.asDict()), category="location"))
-    p = plausibility(rides, t).first()
-    out.append(Check("hvfhv.numeric_plausibility", WARN, "info", str(p.asDict()), "plausibility"))
-    out.append(Check("hvfhv.trip_time_consistency", WARN if p.trip_time_mismatch else PASS, "info", f"{p.trip_time_mismatch} differ", "semantic"))
+    out.append(Check("hvfhv.numeric_plausibility", WARN, "info", told("miles_not_positive", "miles_too_far", "fare_negative", "wait_too_long"), "plausibility"))
+    out.append(Check("hvfhv.trip_time_consistency", WARN if f.trip_time_mismatch else PASS, "info", f"{f.trip_time_mismatch} differ", "semantic"))
     out.append(Check("hvfhv.request_semantics_scheduled_rides", UNKNOWN, "info", "the source doesn't tell booked from live requests", "semantic"))
     return out
 
