@@ -48,6 +48,18 @@ def test_mix_meets_its_targets(spark, seed):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_both_ways_to_the_mixed_rows_agree(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(i, " ".join(["w"] * r.randint(0, 9)), r.choice("aab"), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    whole = sorted(map(tuple, mixing.emit(mixing.mix(df, keep=tuple(df.columns)), df.columns).collect()))
+    assert sorted(map(tuple, mixing.mixed_rows(df).collect())) == whole
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 1)
+    assert sorted(map(tuple, mixing.mixed_rows(df).collect())) == whole and mixing.mixed_rows(df).columns == df.columns
+    twice = df.union(df.limit(3))
+    assert sorted(map(tuple, mixing.mixed_rows(twice).collect())) == sorted(map(tuple, mixing.emit(mixing.mix(twice, keep=tuple(df.columns)), df.columns).collect()))
+
+
 def test_mix_awkward(spark, awkward, empty):
     rows = mixing.mix(awkward).collect()
     assert len(rows) == awkward.count() and {r.size for r in rows if r.doc_id in (1, 2, 3)} == {0}

@@ -20,6 +20,8 @@ from .common import WORD, shuffle_partitions, stored
 
 CAP = 3
 SEED = "mix-1"
+#: Ids with their copies that are sent along to every task at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def word_count(col):
@@ -89,6 +91,24 @@ def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
     return copies.select(*held).toDF(*columns)
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """What the mix of docs holds, with all columns of docs.
+
+    Where ids tell the rows apart, only ids and copies meet the texts again, and by a
+    broadcast if they are few: then no text is shuffled. Otherwise rows go through whole.
+    """
+    names, at = docs.columns, docs.columns.index("doc_id")
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    ids = plain.groupBy(f"_c{at}").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.count_if(F.col(f"_c{at}").isNull()).alias("nulls"), F.count("*").alias("ids")).first()
+    if (ids.most or 0) > 1 or ids.nulls:
+        return emit(mix(docs, keep=tuple(names)), names)
+    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
+    taken = F.broadcast(taken) if ids.ids <= BROADCAST_ROWS else taken
+    both = plain.join(taken, F.col(f"_c{at}") == F.col("_id"))
+    copies = both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return copies.select(*[f"_c{i}" for i in range(len(names))]).toDF(*names)
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
