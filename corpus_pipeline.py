@@ -45,7 +45,7 @@ def redact_personal_data(spark, docs, sf_dir):
 
 def mix_sources(spark, docs, sf_dir):
     """Each document as often as the mix takes it."""
-    return mixing.emit(mixing.mix(docs, keep=tuple(docs.columns)), docs.columns)
+    return mixing.mixed_rows(docs)
 
 
 def encode(spark, docs, sf_dir):
