@@ -79,13 +79,70 @@ def test_small_slices_change_nothing(spark, monkeypatch):
 
 
 def test_links_between_members_alone():
-    """Two members whose centre is too far from both still find each other, whole or in parts."""
+    """Two members whose centre is too far from both still find each other."""
     c = np.arange(100, dtype=np.int64)
     far = lambda extra: (np.arange(0, 20, dtype=np.int64), np.array(extra, np.int64))
-    members = [(7, 100, False, *far(range(200, 220))), (8, 99, False, *far(range(200, 219))), (9, 100, False, np.arange(50, 70, dtype=np.int64), np.arange(900, 920, dtype=np.int64))]
-    assert list(neardup.links_between(members, len(c), 85, neardup.Forest())) == [(7, 8)]
-    assert list(neardup.links_between(members, len(c), 85, neardup.Forest(), split=1)) == [(7, 8)]
-    assert list(neardup.links_between(members, len(c), 85, neardup.Forest(), split=2)) == []
+    members = [(7, 100, *far(range(200, 220))), (8, 99, *far(range(200, 219))), (9, 100, np.arange(50, 70, dtype=np.int64), np.arange(900, 920, dtype=np.int64))]
+    between = lambda q, t: list(neardup.links_between(q, t, len(c), 85, neardup.Forest()))
+    assert between(members, members) == [(7, 8)] and between(members[1:], members[:1]) == [(8, 7)]
+    assert between(members[2:], members) == [] and between([], members) == [] and between(members, []) == []
+
+
+def thue_morse(n, swap=False):
+    return ["ab"[(bin(i).count("1") + swap) % 2] for i in range(n)]
+
+
+def test_sequences_that_polynomial_hashes_confuse(spark):
+    """Thue-Morse letters between unique words, and long words of them: no shingle in common."""
+    rows = [(k, " ".join(f"u{i} {w}" for i, w in enumerate(thue_morse(1024, k)))) for k in (0, 1)]
+    rows += [(k + 2, "".join(thue_morse(2048, k)) + " is one word") for k in (0, 1)] + [(k + 4, "".join(thue_morse(256, k)) + " is one word") for k in (0, 1)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert all(r.kept and r.component_id == r.doc_id for r in got) and len(got) == 6
+
+
+def test_links_stand_on_words_not_hashes(spark, monkeypatch):
+    """Even where hashes tell only the lengths of words apart."""
+    from wayfold.llm.shingles import shingle_sets as real
+
+    monkeypatch.setattr(neardup, "shingle_sets", lambda texts, width: real([" ".join("x" * len(w) for w in t.split()) for t in texts], width))
+    rows = [(1, "the red fox ran far away home"), (2, "the old dog sat far away here"), (3, "the red fox ran far away home now"), (4, "the red fox ran far away home")]
+    for slices in (1, 2):
+        found = list(neardup.star(1, slices, rows, 3, 80))
+        assert {r[:3] for r in found if r[2] is not None} == {(1, 3, 1), (1, 4, 1)}
+        assert {r[1]: r[5] for r in found if r[2] is None} == ({2: False, 3: True, 4: True} if slices > 1 else {})
+    # what hashes propose is looked at again
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, sizes = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "center long, node long"), spark.createDataFrame([(i, 6) for i, _ in rows], "node long, n long")
+    assert {tuple(sorted(r)) for r in neardup.confirmed(docs, pairs, sizes, 3, 80).collect()} == {(1, 3)}
+
+
+def test_exact_sets_are_sets_of_words():
+    from wayfold.llm.shingles import exact_sets, shingle_sets
+
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["A", "a", "b", "é", "cc", "d\te"]) for _ in range(r.randint(0, 12))) for _ in range(200)]
+    many = texts + [" ".join(f"w{r.randint(0, 9000)}" for _ in range(9000))] * 2
+    for t, width in ((texts, 1), (texts, 3), (many, 5), (texts, 5)):
+        codes, counts = exact_sets(t, width)
+        want = [next(iter(sets_of([(0, x)], width)[0])) for x in t]
+        assert counts.tolist() == [len(s) for s in want] == shingle_sets(t, width)[1].tolist()
+        split = np.split(codes, np.cumsum(counts)[:-1])
+        for _ in range(200):
+            i, j = r.randrange(len(t)), r.randrange(len(t))
+            assert len(np.intersect1d(split[i], split[j])) == len(want[i] & want[j])
+
+
+def test_recall_on_the_shared_documents(spark):
+    """Every link between whole texts of sf0.01 is found: recall against all pairs, at both production settings."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    for width, percent in ((3, 85), (5, 80)):
+        want = brute(rows, width, percent)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, width, percent).collect()}
+        groups = lambda of: {(i, j) for i, j in of.items() if i != j}
+        recall = len(groups(got) & groups(want)) / max(len(groups(want)), 1)
+        print(f"width {width}, {percent} %: recall {recall:.4f} of {len(groups(want))} linked documents")
+        assert recall >= 0.9 and not groups(got) - groups(want)
 
 
 def test_awkward_rows(spark, awkward, empty):

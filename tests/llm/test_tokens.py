@@ -51,13 +51,33 @@ def test_bpe_query_on_awkward_rows(spark, awkward, empty, multi):
 def test_grammar_round_trip_and_random_access():
     r = np.random.default_rng(4)
     for ids in ([], [5], [3, 3], [3, 3, 3, 3, 3], [1] * 100 + [2] * 7 + [1, 2] * 50, r.integers(0, 9, 3000).tolist(), (r.integers(0, 4, 500).tolist() + [7, 8, 9, 7, 8]) * 6):
-        g = grammar.compress(np.array(ids, np.uint16), 10, frequent=2, gain=0.0)
+        g = grammar.compress(np.array(ids, np.uint16), 10)
         back = grammar.Grammar.of_row(g.row())
         assert back.ids().tolist() == ids
         for a, b in ((0, 0), (0, len(ids)), (len(ids) // 3, len(ids) // 2), (max(0, len(ids) - 1), len(ids))):
             assert back.range(a, b).tolist() == ids[a:b]
     text = r.integers(0, 9, 3000).tolist()
-    assert len(grammar.compress(np.array(text * 3, np.uint32), 10, 2, 0.0).symbols) < 3 * 3000
+    g = grammar.compress(np.array(text * 3, np.uint32), 10)
+    assert len(g.symbols) < 6000
+
+
+def test_grammar_ends_when_nothing_shrinks(monkeypatch):
+    """No pair is left whose replacement would shorten the written block."""
+    r = np.random.default_rng(7)
+    ids = np.concatenate([r.integers(0, 300, 20_000), np.tile(r.integers(0, 300, 500), 20)])
+    g = grammar.compress(ids, 300)
+    pairs, n = np.unique(np.stack([g.symbols[:-1], g.symbols[1:]]), axis=1, return_counts=True)
+    assert grammar.written(300, len(g.rules), len(g.symbols)) < 0.85 * 2 * len(ids)
+    assert (n >= 5).sum() == 0 and g.ids().tolist() == ids.tolist()
+    monkeypatch.setattr(grammar, "SHORT", 320)  # two bytes hold 20 rules: the most frequent pairs
+    h = grammar.compress(ids, 300)
+    assert len(h.rules) == 20 or len(h.rules) > 300
+    assert h.ids().tolist() == ids.tolist()
+
+
+def test_runs_pair_up_from_the_left():
+    at, rank = grammar.leftmost(np.array([0, 1, 2, 5, 6, 9]), np.array([0, 0, 0, 1, 0, 2]))
+    assert at.tolist() == [0, 2, 6, 9] and rank.tolist() == [0, 0, 0, 2]
 
 
 @pytest.mark.parametrize("block", [5, 1 << 20])
@@ -65,15 +85,64 @@ def test_token_files(spark, awkward, empty, tmp_path, block):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(JSON)
-    rows = sorted(texts(awkward), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    want, start = [], 0
+    from pyspark.sql import functions as F
+
+    hashed = {(r.doc_id, r.t or ""): r.h for r in awkward.toDF(*"abcdefgh").select(F.col("a").alias("doc_id"), F.col("b").alias("t"), F.xxhash64("b").alias("h")).collect()}
+    rows = sorted(texts(awkward), key=lambda r: (r[0] is not None, r[0] or 0, hashed[r]))
+    want, windows, start = [], [], 0
     for i, x in rows:
         ids = [*t.encode(x, add_special_tokens=False).ids, 2]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        windows.append((i, len(ids) // 2, ids[len(ids) // 2 :][:16]))
         start += len(ids)
     got = grammar.token_files(awkward, JSON, block=block, folder=f"file://{tmp_path}/a").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    seen = grammar.token_windows(spark, f"file://{tmp_path}/a").collect()
+    assert sorted(map(repr, map(tuple, seen))) == sorted(map(repr, windows))
     assert grammar.token_files(empty, JSON, folder=f"file://{tmp_path}/b").count() == 0
+    assert grammar.token_windows(spark, f"file://{tmp_path}/b").count() == 0
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 128, 1024, 2048])
+def test_words_that_polynomial_hashes_confuse(n):
+    """In both orders, twice in one session, alone and together."""
+    a = thue_morse(n)
+    b = a.translate(str.maketrans("ab", "ba"))
+    e = grammar.LibraryEncoder(JSON)
+    for x in ([a], [b], [b], [a], [a, b], [f"x {a} y", f"x {b} y"], [f"x {b} y", f"x {a} y"]):
+        assert [i.tolist() for i in e.encode(x)] == [i.ids for i in e.tokenizer.encode_batch(x, add_special_tokens=False)]
+
+
+def test_bytes_decide_and_not_their_hash(monkeypatch):
+    """Even with a hash that tells only lengths apart."""
+    monkeypatch.setattr(grammar, "span_hashes", lambda buf, start, stop: (stop - start).astype(np.uint64) << np.uint64(40))
+    e = grammar.LibraryEncoder(JSON)
+    r = random.Random(3)
+    for _ in range(30):
+        x = [" ".join(r.choice("ab cd ef alpha gamma delta beta. zeta theta-12345 omega-12345".split()) for _ in range(r.randint(1, 9))) for _ in range(4)]
+        assert [i.tolist() for i in e.encode(x)] == [i.ids for i in e.tokenizer.encode_batch(x, add_special_tokens=False)]
+
+
+def test_every_text_as_the_library_has_it():
+    import pyarrow.parquet as pq
+
+    e = grammar.LibraryEncoder(JSON)
+    x = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    for a in range(0, len(x), 100):
+        want = e.tokenizer.encode_batch(x[a : a + 100], add_special_tokens=False)
+        assert [i.tolist() for i in e.encode(x[a : a + 100])] == [i.ids for i in want]
+
+
+def test_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(grammar, "TEXT", 300)
+    e = grammar.LibraryEncoder(JSON)
+    r = random.Random(5)
+    x = ["  ".join(" ".join(r.choice(["alpha", "b.", "it's", "9"]) for _ in range(30)) for _ in range(6)), "x" * 5000, "a b", "", "z " * 700]
+    assert [i.tolist() for i in e.encode(x)] == [i.ids for i in e.tokenizer.encode_batch(x, add_special_tokens=False)]
 
 
 def test_other_tokenizers_go_whole(awkward):
@@ -93,7 +162,7 @@ def test_the_memo_forgets_without_harm():
         assert [i.tolist() for i in e.encode(x)] == want
 
 
-def test_word_sums_equal_whole_texts(monkeypatch):
+def test_word_sums_equal_whole_texts():
     e = grammar.LibraryEncoder(JSON)
     r = random.Random(12)
     parts = ["the", "The", "of,", "it's", "'s", "!!", "...", "é", "naïve.", "日本", "a\u3000b", "x\x1cy", "<|endoftext|>", "w<|endoftext|>", "12", "3.14", "_a_", "--", "e\u0301", "\u200b", "don't!"]
@@ -101,8 +170,7 @@ def test_word_sums_equal_whole_texts(monkeypatch):
     x += ["".join(r.choice(parts) + r.choice([" ", " ", " ", "\n", "", "  "]) for _ in range(r.randint(0, 30))) for _ in range(400)]
     want = [i.ids for i in e.tokenizer.encode_batch(x, add_special_tokens=False)]
     assert [i.tolist() for i in e.encode(x)] == want
-    monkeypatch.setattr(grammar, "PIECE", 16)
-    assert [i.tolist() for i in e.encode(x)] == want and [i.tolist() for i in e.encode(x[5:6])] == want[5:6] and e.encode([]) == []
+    assert [i.tolist() for i in e.encode(x[5:6])] == want[5:6] and e.encode([]) == []
 
 
 def test_rollup_follows_changes(spark, tmp_path):

@@ -1,15 +1,20 @@
 """Token ids as Re-Pair grammars: binary shards with random access.
 
 Documents are put in the order of doc_id, encoded, closed with an end id and cut into
-blocks of about BLOCK ids at document bounds. In each block the most frequent pairs of
-ids become nonterminals, round by round, until no pair is frequent or a round saves
-little; a round takes the pairs within a factor of the most frequent one, the more
-frequent first where two overlap. A shard file (Parquet) has a row a block: rules,
-expansion lengths, the symbols that are left, and the documents' ids and lengths, so any
-range of ids is decoded by expanding only the symbols that cover it.
+blocks of about BLOCK ids at document bounds. In each block frequent pairs of ids become
+nonterminals until no pair is left whose replacement would make the written block smaller:
+a rule takes as many bytes as two symbols and a length, so that is a pair that occurs five
+times, or four times past 65,536 symbols. The order of replacement: the first round takes
+all pairs that occur at least half as often as the most frequent one, each further round
+halves that number. Of more rules than two bytes can tell apart, the most frequent ones come
+first, and a round that needs wider symbols is only made if the block still gets smaller.
+Where two pairs overlap, the more frequent one goes first, of equals the one with the
+smaller ids; runs of one symbol pair up from the left. A shard file (Parquet) has a row a block: rules, expansion lengths,
+the symbols that are left, and the documents' ids and lengths, so any range of ids is
+decoded by expanding only the symbols that cover it.
 
 Defined results: a null text is empty (its only id is the end id); null ids come first;
-rows with equal ids follow in the order of their texts.
+rows with equal ids follow in the order of a hash of their texts.
 """
 
 from __future__ import annotations
@@ -26,21 +31,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import new_folder, pick, ship, shuffle_partitions, text_chunks
-from .shingles import ODD, PIECE, mix, span_hashes
+from .shingles import FIRST_BYTES, span_hashes
 
 BLOCK = 1 << 20
-#: A pair must occur so often in a block to become a rule; a round must shorten it by this share.
-FREQUENT, GAIN, STEP = 64, 0.01, 16
 END_ID = 2
 HASH_BITS = 20
-#: Bytes of text that are encoded together, about.
-TEXT = 12 << 20
-#: A worker remembers 0.7 * 2 ** MEMO_BITS words at most.
-MEMO_BITS = 22
-#: Odd factors of the two hashes that tell words apart.
-ODDS = (ODD, 0xC2B2AE3D27D4EB4F)
+#: So many symbols fit two bytes.
+SHORT = 1 << 16
+#: Bytes of text that are encoded together, about; a longer text is cut between words.
+TEXT = 4 << 20
+#: A worker remembers 0.7 * 2 ** MEMO_BITS words of at most LONGEST bytes.
+MEMO_BITS, LONGEST = 21, 200
 #: Controls, and all that some library may take for white space.
 SPACES = re.compile("[\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
+#: A place where a text may be cut: a single space between plain letters or digits.
+CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
 class Grammar:
@@ -50,30 +55,29 @@ class Grammar:
         self.base, self.rules, self.lengths, self.symbols = base, rules, lengths, symbols
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Symbols to ids: each rule's expansion once, then one gather."""
-        used = np.zeros(len(self.rules), bool)
-        used[symbols[symbols >= self.base] - self.base] = True
-        pairs = self.rules.tolist()
-        for k in range(len(pairs) - 1, -1, -1):  # rules refer to earlier rules only
-            if used[k]:
-                for s in pairs[k]:
-                    if s >= self.base:
-                        used[s - self.base] = True
-        start = np.zeros(self.base + len(pairs), np.int64)
-        start[: self.base] = np.arange(self.base)
-        flat: dict[int, list[int]] = {}
-        pool, at = [np.arange(self.base, dtype=np.uint32)], self.base
-        for k in np.nonzero(used)[0].tolist():
-            a, b = pairs[k]
-            whole = (flat[a] if a >= self.base else [a]) + (flat[b] if b >= self.base else [b])
-            flat[self.base + k] = whole
-            start[self.base + k] = at
-            pool.append(np.array(whole, np.uint32))
-            at += len(whole)
-        n = self.lengths_of(symbols)
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        return np.concatenate(pool)[np.repeat(start[symbols] - (ends - n), n) + np.arange(total)]
+        """Symbols to ids: the rules that they need are expanded once, the shallow ones first."""
+        base, rules = self.base, self.rules
+        needed = np.zeros(len(rules), bool)
+        todo = np.unique(symbols[symbols >= base]) - base
+        while len(todo):
+            needed[todo] = True
+            below = rules[todo].ravel()
+            todo = np.unique(below[below >= base]) - base
+            todo = todo[~needed[todo]]
+        k = np.nonzero(needed)[0]
+        size, start = self.lengths_of(np.arange(base + len(rules))), np.arange(base + len(rules))
+        start[base + k] = base + np.cumsum(size[base + k]) - size[base + k]
+        pool = np.empty(base + int(size[base + k].sum()), np.uint32)
+        pool[:base] = np.arange(base)
+        ready = np.zeros(base + len(rules), bool)
+        ready[:base] = True
+        while len(k):
+            now = ready[rules[k]].all(axis=1)
+            level, k = k[now], k[~now]
+            for child, shift in ((rules[level, 0], 0), (rules[level, 1], size[rules[level, 0]])):
+                pool[spread(start[base + level] + shift, size[child])] = pool[spread(start[child], size[child])]
+            ready[base + level] = True
+        return pool[spread(start[symbols], size[symbols])]
 
     def lengths_of(self, symbols: np.ndarray) -> np.ndarray:
         every = np.concatenate([np.ones(self.base, np.int64), self.lengths.astype(np.int64)])
@@ -82,117 +86,177 @@ class Grammar:
     def ids(self) -> np.ndarray:
         return self.expand(self.symbols)
 
-    def range(self, a: int, b: int) -> np.ndarray:
-        """Ids a to b, from the symbols that cover them."""
+    def ranges(self, begin: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+        """The ids from each begin to its stop, from the symbols that cover them."""
         ends = np.cumsum(self.lengths_of(self.symbols))
-        i, j = np.searchsorted(ends, [a, max(a, b - 1)], side="right")
-        before = int(ends[i - 1]) if i else 0
-        return self.expand(self.symbols[i : j + 1])[a - before : b - before] if b > a else np.empty(0, np.uint32)
+        out = []
+        for a, b in zip(begin.tolist(), stop.tolist(), strict=True):
+            i, j = np.searchsorted(ends, [a, max(a, b - 1)], side="right")
+            before = int(ends[i - 1]) if i else 0
+            out.append((self.symbols[i : j + 1] if b > a else self.symbols[:0], a - before, b - before))
+        whole = self.expand(np.concatenate([s for s, _, _ in out])) if out else np.empty(0, np.uint32)
+        cuts = np.cumsum([int(self.lengths_of(s).sum()) for s, _, _ in out])
+        return [part[a:b] if b > a else part[:0] for part, (_, a, b) in zip(np.split(whole, cuts[:-1]), out, strict=True)] if out else []
+
+    def range(self, a: int, b: int) -> np.ndarray:
+        return self.ranges(np.array([a]), np.array([b]))[0]
 
     def row(self) -> dict:
-        width = 2 if self.base + len(self.rules) <= 1 << 16 else 4
+        width = width_of(self.base, len(self.rules))
         kind = f"<u{width}"
         return {"base": self.base, "width": width, "rules": self.rules.astype(kind).tobytes(), "rule_lengths": self.lengths.astype("<u4").tobytes(), "symbols": self.symbols.astype(kind).tobytes()}
 
     @staticmethod
     def of_row(row: dict) -> Grammar:
         kind = f"<u{row['width']}"
-        return Grammar(row["base"], np.frombuffer(row["rules"], kind).astype(np.int64).reshape(-1, 2), np.frombuffer(row["rule_lengths"], "<u4"), np.frombuffer(row["symbols"], kind).astype(np.int64))
+        rules = np.frombuffer(row["rules"], kind).astype(np.int64).reshape(-1, 2)
+        return Grammar(row["base"], rules, np.frombuffer(row["rule_lengths"], "<u4"), np.frombuffer(row["symbols"], kind).astype(np.int64))
+
+
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1 ... of each stretch, one after another."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def width_of(base: int, n_rules: int) -> int:
+    return 2 if base + n_rules <= SHORT else 4
 
 
-def compress(ids: np.ndarray, base: int, frequent: int = FREQUENT, gain: float = GAIN) -> Grammar:
-    s = ids.astype(np.int64)
-    rules, lengths = [], []
-    length_of = [np.ones(base, np.int64)]
-    least = None
+def written(base: int, n_rules: int, n_symbols: int) -> int:
+    """Bytes of a block: symbols, two of them a rule, and four for a rule's expansion length."""
+    return width_of(base, n_rules) * (n_symbols + 2 * n_rules) + 4 * n_rules
+
+
+def compress(ids: np.ndarray, base: int) -> Grammar:
+    s = ids.astype(np.uint32)
+    rules, lengths, known = [np.empty((0, 2), np.int64)], [], np.ones(base, np.int64)
+    least = len(s)
     while len(s) > 1:
-        key = ((s[:-1] << 32) | s[1:]).astype(np.uint64)
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+        slot = (s[:-1] * np.uint32(0x9E3779B1) + s[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - HASH_BITS)
         count = np.bincount(slot, minlength=1 << HASH_BITS)
-        top = int(count.max())
-        if top < frequent:
-            break
-        least = max(frequent, (top if least is None else min(top, least)) // STEP)
-        at = np.nonzero(count[slot] >= least)[0]  # slots may be shared: count these exactly
-        pairs, which, n = np.unique(key[at], return_inverse=True, return_counts=True)
+        worth = 4 // width_of(base, len(known) - base) + 3
+        least, last = max(worth, min(least, int(count.max())) // 2), least
+        at = np.nonzero(count[slot] >= least)[0]  # pairs may share a slot: count these exactly
+        key = (s[at].astype(np.uint64) << np.uint64(32)) | s[at + 1]
+        pairs, which, n = np.unique(key, return_inverse=True, return_counts=True)
         good = np.nonzero(n >= least)[0]
-        if not len(good):
-            if least == frequent:
+        good = good[np.lexsort((pairs[good], -n[good]))]
+        if len(known) < SHORT < len(known) + len(good):
+            good = good[: SHORT - len(known)]
+        rank = np.full(len(pairs), len(pairs), np.int64)
+        rank[good] = np.arange(len(good))
+        rank = rank[which]
+        at, rank = at[rank < len(pairs)], rank[rank < len(pairs)]
+        took, first = leftmost(at, rank)
+        used, place = np.unique(first, return_inverse=True)
+        if not len(used):
+            if last == worth:
                 break
             continue
-        good = good[np.lexsort((pairs[good], -n[good]))]
-        order = np.full(len(pairs), len(good), np.int64)
-        order[good] = np.arange(len(good))
-        rank = np.full(len(key) + 2, len(good), np.int64)  # with a border on either side
-        rank[at + 1] = order[which]
-        change = np.nonzero(np.diff(rank))[0] + 1  # runs of one pair, as in aaaa
-        first, last = np.concatenate([[0], change]), np.concatenate([change, [len(rank)]])
-        value = rank[first]
-        low = (value < np.concatenate([[len(good)], value[:-1]])) & (value < np.concatenate([value[1:], [len(good)]])) & (value < len(good))
-        low |= (value < len(good)) & (first == 1) & (last == len(rank) - 1)
-        first, size = first[low], (last - first)[low]
-        steps = (size + 1) // 2
-        ends = np.cumsum(steps)
-        took = np.repeat(first - 1, steps) + 2 * (np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - steps, steps))
-        used, place = np.unique(rank[took + 1], return_inverse=True)
-        known = np.concatenate(length_of)
-        chosen = pairs[good[used]]
-        new = np.stack([(chosen >> np.uint64(32)).astype(np.int64), (chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)], 1)
-        start = len(known)
+        new = np.stack([pairs[good[used]] >> np.uint64(32), pairs[good[used]] & np.uint64(0xFFFFFFFF)], 1).astype(np.int64)
+        start, n_rules = len(known), len(known) - base
+        if written(base, n_rules + len(new), len(s) - len(took)) >= written(base, n_rules, len(s)):
+            break
         rules.append(new)
-        length_of.append(known[new[:, 0]] + known[new[:, 1]])
-        lengths.append(length_of[-1])
+        lengths.append(known[new[:, 0]] + known[new[:, 1]])
+        known = np.concatenate([known, lengths[-1]])
+        s[took] = (start + place).astype(np.uint32)
         keep = np.ones(len(s), bool)
         keep[took + 1] = False
-        s[took] = start + place
-        before = len(s)
         s = s[keep]
-        if least == frequent and before - len(s) < gain * before:
-            break
-    empty = np.empty((0, 2), np.int64)
-    return Grammar(base, np.concatenate([empty, *rules]), np.concatenate([np.empty(0, np.int64), *lengths]), s)
+    return Grammar(base, np.concatenate(rules), np.concatenate([np.empty(0, np.int64), *lengths]), s.astype(np.int64))
+
+
+def leftmost(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending places of pairs, those that are replaced, and their ranks: a place gives way
+    to an overlapping one of lower rank; of a run of one pair, as in aaaa, every other."""
+    if not len(at):
+        return at, rank
+    new = np.ones(len(at), bool)  # a run: neighbouring places of one rank
+    touch = np.zeros(len(at) + 1, bool)
+    touch[1:-1] = at[1:] == at[:-1] + 1
+    new[1:] = ~touch[1:-1] | (rank[1:] != rank[:-1])
+    first = np.nonzero(new)[0]
+    size = np.diff(first, append=len(at))
+    last = first + size - 1
+    value, none = rank[first], np.int64(1) << 62
+    before = np.where(touch[first], rank[first - 1], none)
+    after = np.where(touch[last + 1], rank[np.minimum(last + 1, len(at) - 1)], none)
+    low = (value < before) & (value < after)
+    steps = (size[low] + 1) // 2
+    ends = np.cumsum(steps)
+    step = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - steps, steps)
+    return at[np.repeat(first[low], steps) + 2 * step], np.repeat(value[low], steps)
+
+
+def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether size bytes at these places are equal; eight more bytes follow the last place."""
+    eights = [np.ndarray(len(x) - 7, "<u8", x, strides=(1,)) for x in (a, b)]
+    out, todo, done = np.ones(len(size), bool), np.arange(len(size)), 0
+    while len(todo):
+        mask = FIRST_BYTES[np.minimum(size[todo] - done, 8)]
+        out[todo] &= ((eights[0][a_at[todo] + done] ^ eights[1][b_at[todo] + done]) & mask) == 0
+        done += 8
+        todo = todo[size[todo] > done]
+    return out
 
 
 class WordTable:
-    """A bounded memo in arrays: two hashes of a word -> a stretch of ids. Full, it starts anew."""
+    """A bounded memo in arrays: a word's bytes -> a stretch of ids. Full, it starts anew.
+
+    A hash finds a word's slot; what is there counts only if the bytes are the same.
+    """
 
     def __init__(self, kind: np.dtype, bits: int = MEMO_BITS):
         self.bits, self.kind = bits, kind
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.check = (np.zeros(1 << self.bits, np.uint64) for _ in range(2))
-        self.off, self.size = (np.zeros(1 << self.bits, np.int32) for _ in range(2))
+        self.key = np.zeros(1 << self.bits, np.uint64)
+        self.off, self.size, self.word, self.length = (np.zeros(1 << self.bits, np.int32) for _ in range(4))
         self.pool, self.used, self.count = np.empty(1 << 20, self.kind), 0, 0
+        self.bytes, self.held = np.zeros(1 << 20, np.uint8), 0
 
-    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
-        """The slot of each word, or -1."""
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The slot of each key, or -1."""
         out = np.full(len(key), -1, np.int64)
         at = (key >> np.uint64(64 - self.bits)).astype(np.int64)
         todo = np.arange(len(key))
         while len(todo):
             seen = self.key[at[todo]]
-            hit = (seen == key[todo]) & (self.check[at[todo]] == check[todo])
+            hit = seen == key[todo]
             out[todo[hit]] = at[todo[hit]]
             todo = todo[~hit & (seen != 0)]
             at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
         return out
 
-    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Puts in words that aren't there; ids has theirs one after another. Their slots."""
+    def holds(self, slot: np.ndarray, buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Whether the slot's word is the one at start; buf goes on for eight bytes past the last."""
+        same = self.length[slot] == length
+        same[same] = same_bytes(self.bytes, self.word[slot[same]].astype(np.int64), buf, start[same], length[same])
+        return same
+
+    def add(self, key: np.ndarray, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Puts in words with different keys that aren't there; ids has theirs one after another. Their slots."""
+        text = np.frombuffer(b"".join(words), np.uint8)
+        length = np.fromiter(map(len, words), np.int64, len(words))
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty(len(self.pool), self.kind)])
+        while self.held + len(text) + 8 > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros(len(self.bytes), np.uint8)])
         self.pool[self.used : self.used + len(ids)] = ids
-        off = self.used + np.cumsum(size) - size
-        self.used, self.count = self.used + len(ids), self.count + len(key)
+        self.bytes[self.held : self.held + len(text)] = text
+        off, word = self.used + np.cumsum(size) - size, self.held + np.cumsum(length) - length
+        self.used, self.held, self.count = self.used + len(ids), self.held + len(text), self.count + len(key)
         slot = (key >> np.uint64(64 - self.bits)).astype(np.int64)
         todo = np.arange(len(key))
         while len(todo):  # linear probing, all words a step at a time; the last of those at a slot has it
             free = todo[self.key[slot[todo]] == 0]
             self.key[slot[free]] = key[free]
-            self.check[slot[free]] = check[free]
-            won = free[(self.key[slot[free]] == key[free]) & (self.check[slot[free]] == check[free])]
+            won = free[self.key[slot[free]] == key[free]]
             self.off[slot[won]], self.size[slot[won]] = off[won], size[won]
+            self.word[slot[won]], self.length[slot[won]] = word[won], length[won]
             rest = np.ones(len(key), bool)
             rest[won] = False
             todo = todo[rest[todo]]
@@ -205,8 +269,9 @@ class LibraryEncoder:
 
     Byte-level pre-tokenizers always start a piece at a single space between other
     characters, and a single line feed is a piece of its own. So a text whose white space
-    is only that is the sum of its words, each with the space before it. Texts with any
-    other white space or control, or with the name of a special token, go whole.
+    is only that is the sum of its words, each with the space or line feed before it. Texts
+    with any other white space or control, with the name of a special token, with a word
+    of over LONGEST bytes, or with a word whose hash is another word's, go whole.
     """
 
     def __init__(self, path: str):
@@ -220,98 +285,99 @@ class LibraryEncoder:
         with open(path, "rb") as f:
             made = json.load(f)
         pre = made.get("pre_tokenizer") or {}
-        self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not made.get("normalizer") and not any(SPACES.search(x) for x in self.special)
+        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        self.by_word = plain and not made.get("normalizer") and not any(SPACES.search(x) for x in self.special)
         if self.by_word:
             self.spaced = np.zeros(self.base, bool)
             self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
             self.tokenizer.model._resize_cache(0)  # what recurs is remembered here
-            self.line = self.ask(["\n"])[0]
             self.words = WordTable(self.kind)
 
     def ask(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of words (kind 0 after a space, 1 after a line feed, 2 after nothing): the places
-        of those that can be encoded on their own, their ids one after another, their sizes."""
-        joined = "".join(words)
-        good = np.ones(len(words), bool)
+    def long(self, text: str) -> np.ndarray:
+        """Ids of a text that goes whole; where words tell its pieces apart, a long one is cut between words."""
+        parts, a = [], 0
+        while self.by_word and len(text) - a > TEXT and (m := CUT.search(text, a + TEXT // 2)):
+            parts.append(text[a : m.start()])
+            a = m.start()
+        return np.concatenate([x for t in [*parts, text[a:]] for x in self.ask([t])])
+
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """words with the space or line feed before them: the places of those that can be encoded
+        on their own, their ids one after another, their sizes."""
+        rest = [w[1:] if w[:1] in (" ", "\n") else w for w in words]
+        good = np.array([len(w) > 0 for w in rest], bool)
+        joined = "".join(rest)
         if SPACES.search(joined) or any(x in joined for x in self.special):
-            good[[i for i, w in enumerate(words) if SPACES.search(w) or any(x in w for x in self.special)]] = False
-        spaced, ids, size = np.nonzero(good & (kind == 0))[0], [], []
+            good[[i for i, w in enumerate(rest) if SPACES.search(w) or any(x in w for x in self.special)]] = False
+        space = np.array([w[:1] == " " for w in words], bool)
+        spaced, other, ids, size = np.nonzero(good & space)[0], np.nonzero(good & ~space)[0], [], []
         for a in range(0, len(spaced), 4000):
-            part = self.ask([" " + " ".join([words[i] for i in spaced[a : a + 4000].tolist()])])[0]
+            part = self.ask(["".join([words[i] for i in spaced[a : a + 4000].tolist()])])[0]
             at = np.nonzero(self.spaced[part])[0]  # each word's first id has the space
             ids.append(part)
             size.append(np.diff(at, append=len(part)))
-        first = np.nonzero(good & (kind > 0))[0]
-        for x, k in zip(self.ask([words[i] for i in first.tolist()]), kind[first].tolist(), strict=True):
-            ids += [self.line, x] if k == 1 else [x]
-            size.append([len(x) + (len(self.line) if k == 1 else 0)])
-        return np.concatenate([spaced, first]), np.concatenate([np.empty(0, self.kind), *ids]), np.concatenate([np.empty(0, np.int64), *size]).astype(np.int64)
+        for x in self.ask([words[i] for i in other.tolist()]):
+            ids.append(x)
+            size.append([len(x)])
+        empty = np.empty(0, np.int64)
+        return np.concatenate([spaced, other]), np.concatenate([np.empty(0, self.kind), *ids]), np.concatenate([empty, *size]).astype(np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word or not texts:
-            return self.ask(texts)
+            return [self.long(t) for t in texts]
+        short = [len(t) <= TEXT for t in texts]
+        if not all(short):
+            some = iter(self.encode([t for t, s in zip(texts, short, strict=True) if s]))
+            return [next(some) if s else self.long(t) for t, s in zip(texts, short, strict=True)]
         raw = [t.encode() for t in texts]
-        joined = b" ".join(raw) + b" "
+        joined = b"\x00".join(raw) + bytes(9)
         buf = np.frombuffer(joined, np.uint8)
-        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
-        of = lambda place: np.searchsorted(ends, place, side="right")  # noqa: E731  the text a byte belongs to
-        gap = (buf == 32) | (buf == 10)
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)  # past the zero byte after each
+        first = np.concatenate([[0], ends[:-1]])
+        gap = (buf[: ends[-1]] == 32) | (buf[: ends[-1]] == 10)
+        head = gap.copy()
+        head[first] = True
+        start = np.nonzero(head)[0]
+        of = np.searchsorted(ends, start, side="right")
+        stop = np.minimum(np.append(start[1:], ends[-1]), ends[of] - 1)
         whole = np.zeros(len(raw), bool)
-        whole[of(np.nonzero(((buf < 32) & (buf != 10)) | (buf == 127))[0])] = True
-        whole[of(np.nonzero(gap[1:] & gap[:-1])[0] + 1)] = True
-        whole[0] |= bool(gap[0])
-        start, stop, key, check = word_keys(joined, buf)
-        text_of = of(start)
-        kind = np.where(buf[start - 1] == 10, 1, 0)
-        kind[start == (ends - np.diff(ends, prepend=0))[text_of]] = 2  # after a space, a line feed, nothing
-        key = mix(key + kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-        check = check + kind.astype(np.uint64)
-        order = np.argsort(key)
-        ranked = key[order]
-        new = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(key) else np.zeros(0, bool)
-        which = np.empty(len(key), np.int64)
-        which[order] = np.cumsum(new) - 1
-        rep = order[new]
-        if not (np.array_equal(check[rep][which], check) and np.array_equal((stop - start)[rep][which], stop - start)):
-            return self.ask(texts)  # two words with one key
+        odd = np.nonzero(((buf[: ends[-1]] < 32) & (buf[: ends[-1]] != 10)) | (buf[: ends[-1]] == 127))[0]
+        odd = np.setdiff1d(odd, ends - 1, assume_unique=True)
+        whole[np.searchsorted(ends, odd, side="right")] = True
+        length = stop - start
+        whole[of[(length > LONGEST) | ((length == 1) & gap[start])]] = True  # a gap without a word after it
+        inside = (length > 0) & ~whole[of]
+        start, stop, of, length = start[inside], stop[inside], of[inside], length[inside]
+        key = span_hashes(buf, start, stop) | np.uint64(1)
+        slot = self.slots(joined, buf, start, stop, key)
+        known = slot >= 0
+        known[known] = self.words.holds(slot[known], buf, start[known], length[known])
+        whole[of[~known]] = True
+        n = np.where(known, self.words.size[slot], 0).astype(np.int64)
+        ids = self.words.pool[spread(self.words.off[slot].astype(np.int64), n)]
+        per = np.bincount(of, weights=n, minlength=len(raw)).astype(np.int64)
+        out = np.split(ids, np.cumsum(per)[:-1])
+        for i in np.nonzero(whole)[0].tolist():
+            out[i] = self.long(texts[i])
+        return out
+
+    def slots(self, joined: bytes, buf: np.ndarray, start: np.ndarray, stop: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The memo's slot for every word's key, of which one word is learned; -1 for what isn't learned."""
+        pairs, rep, which = np.unique(key, return_index=True, return_inverse=True)
         table = self.words
-        if table.count + len(rep) > 0.7 * (1 << table.bits):
+        if table.count + len(pairs) > 0.7 * (1 << table.bits):
             table.clear()
-        if len(rep) > 0.7 * (1 << table.bits):
-            return self.ask(texts)
-        slot = table.find(key[rep], check[rep])
+        if len(pairs) > 0.7 * (1 << table.bits):
+            return np.full(len(key), -1, np.int64)
+        slot = table.find(pairs)
         lack = np.nonzero(slot < 0)[0]
-        spans = zip(start[rep[lack]].tolist(), stop[rep[lack]].tolist(), strict=True)
-        good, ids, size = self.learn([joined[a:e].decode() for a, e in spans], kind[rep[lack]])
-        slot[lack[good]] = table.add(key[rep[lack[good]]], check[rep[lack[good]]], ids, size)
-        whole[text_of[(slot < 0)[which]]] = True
-        n = np.where(slot < 0, 0, table.size[slot])[which].astype(np.int64)
-        stops = np.cumsum(n)
-        ids = table.pool[np.repeat(table.off[slot][which] - (stops - n), n) + np.arange(int(stops[-1]) if len(stops) else 0)]
-        cut = np.concatenate([[0], stops])[np.searchsorted(start, ends)]
-        out = np.split(ids, cut[:-1])
-        for i, x in zip(np.nonzero(whole)[0].tolist(), self.ask([texts[i] for i in np.nonzero(whole)[0].tolist()]), strict=True):
-            out[i] = x
-        return out
-
-
-def word_keys(joined: bytes, buf: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Start, stop and two hashes of every run of bytes other than space and line feed."""
-    parts, a = [], 0
-    while a < len(buf):
-        b = min(a + PIECE, len(buf))
-        if b < len(buf):
-            at = max(joined.rfind(b" ", a, b), joined.rfind(b"\n", a, b))
-            b = (at if at >= 0 else joined.find(b" ", b)) + 1
-        piece = buf[a:b]
-        edge = np.diff(np.concatenate([[True], (piece == 32) | (piece == 10), [True]]).view(np.int8))
-        start, stop = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
-        parts.append((start + a, stop + a, *(span_hashes(piece, start, stop, odd) for odd in ODDS)))
-        a = b
-    return tuple(map(np.concatenate, zip(*parts, strict=True)))
+        words = [joined[a:e] for a, e in zip(start[rep[lack]].tolist(), stop[rep[lack]].tolist(), strict=True)]
+        good, ids, size = self.learn([w.decode() for w in words])
+        slot[lack[good]] = table.add(pairs[lack[good]], [words[i] for i in good.tolist()], ids, size)
+        return slot[which]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -324,6 +390,8 @@ def encoder(path: str) -> LibraryEncoder:
 
 
 FILE = "shard int, block int, doc_id array<bigint>, n_tokens array<bigint>, base int, width int, rules binary, rule_lengths binary, symbols binary"
+ROWS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64()))]
+                 + [("base", pa.int32()), ("width", pa.int32()), ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("symbols", pa.binary())])
 
 
 def write_blocks(path: str, end_id: int, block: int):
@@ -336,7 +404,7 @@ def write_blocks(path: str, end_id: int, block: int):
             g = compress(np.concatenate(held), max(enc.base, end_id + 1))
             out = {k: [v] for k, v in ({"shard": shard, "block": at, "doc_id": ids, "n_tokens": [len(x) + 1 for x in held[::2]]} | g.row()).items()}
             held, ids, size, at = [], [], 0, at + 1
-            return pa.RecordBatch.from_pydict(out, schema=pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("doc_id", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("base", pa.int32()), ("width", pa.int32()), ("rules", pa.binary()), ("rule_lengths", pa.binary()), ("symbols", pa.binary())]))
+            return pa.RecordBatch.from_pydict(out, schema=ROWS)
 
         end = np.array([end_id], np.uint32)
         for b in text_chunks(batches, TEXT):
@@ -359,11 +427,31 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID
     ship(spark)
     rows = pick(docs, "doc_id", "text")
     n = max(shuffle_partitions(spark), rows.rdd.getNumPartitions())
-    # the bounds of the range shuffle come from a sample of ids: equal ids stay together
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # the last two keys tell rows of one id apart, so that these can lie in several partitions
+    order = ["doc_id", "_hash", "_row"]
+    keyed = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
+    ordered = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(write_blocks(tokenizer, end_id, block), FILE).write.option("parquet.page.size.row.check.min", 4).option("parquet.block.size.row.check.min", 4).parquet(folder)
 
 
+def read_windows(width: int):
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                n = np.array(row["n_tokens"])
+                middle = np.cumsum(n) - n + n // 2
+                found = Grammar.of_row(row).ranges(middle, np.minimum(middle + width, np.cumsum(n)))
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["doc_id"], pa.int64()), "first": pa.array(n // 2, pa.int64()), "ids": pa.array([x.astype(np.int64) for x in found], pa.list_(pa.int64()))})
+
+    return run
+
+
+def token_windows(spark, folder: str, width: int = 16) -> DataFrame:
+    """doc_id, first, ids: width ids from the middle of every document (place floor(n / 2) of
+    its ids, the end id among them), by random access: only the symbols over them are expanded."""
+    return spark.read.schema(FILE).parquet(folder).mapInArrow(read_windows(width), "doc_id long, first long, ids array<bigint>")
+
+
 def read_documents(batches):
     for b in batches:
         for row in b.to_pylist():

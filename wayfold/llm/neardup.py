@@ -1,19 +1,23 @@
 """Near-duplicate documents by MinHash: one permutation, optimal densification, star edges.
 
-Each distinct word sequence is one node (exact copies never meet each other). Its
-shingles are hashed once; the top bits choose one of BINS bins, which keep their least
-hash. An empty bin takes the value of the bin that a second hash points to, tried again
+Each distinct word sequence, told by its SHA-256, is one node (exact copies never meet each
+other). Its shingles are hashed once; the top bits choose one of BINS bins, which keep their
+least hash. An empty bin takes the value of the bin that a second hash points to, tried again
 until that one is filled. BINS // r bands of r bins are bucketed, r being the largest
 that misses a pair at the threshold with a probability under MISS.
 
 In every bucket only star edges run from its smallest node, the centre, to the others. A
-centre meets its members on full shingle sets, in slices of bounded size that each carry
-the centre along; that confirms the star's links. What a star can't see, a link between
+centre meets its members on the words of their texts, in slices of bounded size that each
+carry the centre along; that confirms the star's links. What a star can't see, a link between
 two members of which the centre has at most one, follows from how the members differ from
 the centre: with R removed and P added shingles,
     |z & x| = |c| - |Rz| - |Rx| + |Rz & Rx| + |Pz & Px|,
 so only these short differences are compared, for members without a link to the centre,
-and no pair is emitted but links that join something.
+and no pair is emitted but links that join something. Within a slice the differences are
+exact; across slices they are hashes, and what they propose is confirmed on the words.
+
+Joins meet tables that were written before, so that adaptive execution can split the
+partition of a hot centre, bucket, label or copied text.
 
 Defined results: a text without words has an empty set and is linked with nothing;
 fewer words than a shingle form one shingle; rows with equal ids are one document; rows
@@ -23,14 +27,16 @@ are none; equal word sequences are always linked.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pick, release, ship, slices, stored, text_chunks
-from .shingles import U, mix, shingle_sets
+from .shingles import U, exact_sets, mix, sequence, shingle_sets
 
 BINS, MISS = 128, 1e-6
 #: Shingles of a slice of a star's members, and elements of a slice of their differences, about.
@@ -80,15 +86,17 @@ def bands(sig: np.ndarray, r: int) -> np.ndarray:
 
 
 def sketch(width: int, r: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in text_chunks(batches, TEXT):
-            hashes, counts, k1, k2 = shingle_sets(b.column(1).to_pylist(), width)
+            texts = b.column(1).to_pylist()
+            hashes, counts = shingle_sets(texts, width)
             m = bands(signatures(hashes, counts), r).astype(np.int64)
             ends = np.arange(len(counts) + 1, dtype=np.int32) * m.shape[1]
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(m.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(counts.astype(np.int64)), pa.array(k1.astype(np.int64)), pa.array(k2.astype(np.int64)), lists], schema=schema)
+            keys = [hashlib.sha256(sequence(t)).digest() if n else None for t, n in zip(texts, counts.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(counts.astype(np.int64)), pa.array(keys, pa.binary()), lists], schema=schema)
 
     return run
 
@@ -96,7 +104,7 @@ def sketch(width: int, r: int):
 def split_sets(texts: list[str], width: int) -> list[np.ndarray]:
     out = []
     for a, b in slices(np.array([len(t) for t in texts]), TEXT):
-        hashes, counts, _, _ = shingle_sets(texts[a:b], width)
+        hashes, counts = shingle_sets(texts[a:b], width)
         out += np.split(hashes, np.cumsum(counts)[:-1])
     return out
 
@@ -119,109 +127,150 @@ class Forest:
         return a != b
 
 
-def links_between(members, n_center: int, percent: int, forest: Forest, split: int | None = None):
-    """Links that join something, found from differences to one centre.
+def links_between(queries: list[tuple], targets: list[tuple], n_center: int, percent: int, forest: Forest):
+    """Links of queries with targets that join something, found from differences to one centre.
 
-    members: (node, n, linked, removed, added). Those without a link to the centre are
-    compared with all; with split, only pairs across that position count.
+    Both are (node, n, removed, added); a node isn't linked with itself.
     """
-    nodes = np.array([m[0] for m in members])
-    n = np.array([m[1] for m in members])
-    removed = np.array([len(m[3]) for m in members])
-    owner = np.concatenate([np.full(len(m[3]) + len(m[4]), i) for i, m in enumerate(members)])
-    element = np.concatenate([x for m in members for x in (np.asarray(m[3], np.int64), np.asarray(m[4], np.int64) ^ np.int64(0x5555555555555555))])
+    if not queries or not targets:
+        return
+    nodes = np.array([m[0] for m in targets])
+    n = np.array([m[1] for m in targets])
+    removed = np.array([len(m[2]) for m in targets])
+    added = lambda x: np.asarray(x, np.int64) ^ np.int64(0x5555555555555555)  # noqa: E731  apart from what was removed
+    owner = np.concatenate([np.full(len(m[2]) + len(m[3]), i) for i, m in enumerate(targets)])
+    element = np.concatenate([x for m in targets for x in (np.asarray(m[2], np.int64), added(m[3]))])
     order = np.argsort(element, kind="stable")
     element, owner = element[order], owner[order]
-    start = np.concatenate([[0], np.nonzero(element[1:] != element[:-1])[0] + 1, [len(element)]])
-    size = np.diff(start)
-    which = np.repeat(np.arange(len(size)), size)
-    shared = size[which] > 1
-    by_owner = np.argsort(owner[shared], kind="stable")
-    groups, held = which[shared][by_owner], owner[shared][by_owner]
-    at = np.searchsorted(held, np.arange(len(members) + 1))
-    for z in np.nonzero([not m[2] for m in members])[0]:
-        mine = groups[at[z] : at[z + 1]]
-        if not len(mine):
-            continue
-        lengths = size[mine]
-        ends = np.cumsum(lengths)
-        rows = owner[np.repeat(start[mine] - (ends - lengths), lengths) + np.arange(int(ends[-1]))]
-        both = n_center - removed[z] - removed + np.bincount(rows, minlength=len(members))
-        hit = 100 * both >= percent * (n[z] + n - both)
-        hit[z] = False
-        if split is not None:
-            hit[:split] &= z >= split
-            hit[split:] &= z < split
-        for x in np.nonzero(hit)[0]:
-            if forest.join(int(nodes[z]), int(nodes[x])):
-                yield int(nodes[z]), int(nodes[x])
+    for z, z_n, z_removed, z_added in queries:
+        mine = np.concatenate([np.asarray(z_removed, np.int64), added(z_added)])
+        a, b = np.searchsorted(element, mine, "left"), np.searchsorted(element, mine, "right")
+        ends = np.cumsum(b - a)
+        rows = owner[np.repeat(a - (ends - (b - a)), b - a) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        both = n_center - len(z_removed) - removed + np.bincount(rows, minlength=len(targets))
+        hit = (100 * both >= percent * (z_n + n - both)) & (nodes != z)
+        for x in nodes[hit].tolist():
+            if forest.join(int(z), x):
+                yield int(z), x
 
 
 STAR = "center long, node long, other long, n_center long, n long, linked boolean, removed array<long>, added array<long>"
+STAR_ROWS = pa.schema([(k, pa.int64()) for k in ("center", "node", "other", "n_center", "n")] + [("linked", pa.bool_()), ("removed", pa.list_(pa.int64())), ("added", pa.list_(pa.int64()))])
+
+
+def groups_of(batches, keys: int) -> Iterator[list[tuple]]:
+    """Rows of one group after another; they come sorted by their first keys columns."""
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            if held and held[0][:keys] != row[:keys]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def star(center: int, slices_: int, members: list[tuple[int, str]], width: int, percent: int) -> Iterator[tuple]:
+    """Rows of STAR of one slice of a star: its links on the words, and if it isn't the only
+    slice, its members' differences to the centre. members: (node, text), the centre among them."""
+    members = sorted(set(members))
+    nodes = np.array([m[0] for m in members])
+    codes, counts = exact_sets([m[1] for m in members], width)
+    ends = np.cumsum(counts)
+    base = int(np.nonzero(nodes == center)[0][0])
+    c = codes[ends[base] - counts[base] : ends[base]]
+    owner = np.repeat(np.arange(len(nodes)), counts)
+    shared = np.isin(codes, c)
+    both = np.bincount(owner[shared], minlength=len(nodes))
+    linked = (100 * both >= percent * (len(c) + counts - both)) | (nodes == center)
+    forest = Forest()
+    for node in nodes[linked & (nodes != center)].tolist():
+        forest.join(node, center)
+        yield center, node, center, None, None, None, None, None
+    if slices_ == 1:
+        if len(members) < 3 or linked.all():
+            return
+        sets = np.split(codes, ends[:-1])
+        apart = [(node, len(x), c[~np.isin(c, x, assume_unique=True)], x[~np.isin(x, c, assume_unique=True)]) for node, x in zip(nodes.tolist(), sets, strict=True)]
+        for a, b in links_between([m for m, k in zip(apart, linked.tolist(), strict=True) if not k], apart, len(c), percent, forest):
+            yield center, a, b, None, None, None, None, None
+        return
+    hashes = split_sets([m[1] for m in members], width)
+    c = hashes[base]
+    for i, (node, s) in enumerate(zip(nodes.tolist(), hashes, strict=True)):
+        if i != base:
+            gone = c[~np.isin(c, s, assume_unique=True)].view(np.int64)
+            more = s[~np.isin(s, c, assume_unique=True)].view(np.int64)
+            yield center, node, None, len(c), len(s), bool(linked[i]), gone.tolist(), more.tolist()
 
 
 def star_links(width: int, percent: int):
-    """Of one slice of a star: its links, and if it is not the only slice, the differences."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        center = int(pdf["center"].iloc[0])
-        pdf = pdf.drop_duplicates(["node", "text"]).sort_values(["node", "text"])
-        nodes, sets = pdf["node"].to_numpy(), split_sets(pdf["text"].tolist(), width)
-        base = int(np.nonzero(nodes == center)[0][0])
-        c, members, out, forest = sets[base], [], [], Forest()
-        for i, (node, s) in enumerate(zip(nodes.tolist(), sets, strict=True)):
-            if i == base:
-                continue
-            gone = ~np.isin(c, s, assume_unique=True)
-            both = len(c) - int(gone.sum())
-            linked = node == center or 100 * both >= percent * (len(c) + len(s) - both)
-            if linked and node != center:
-                forest.join(node, center)
-                out.append((center, node, center, None, None, None, None, None))
-            members.append((node, len(s), linked, c[gone].view(np.int64), s[~np.isin(s, c, assume_unique=True)].view(np.int64)))
-        if pdf["slices"].iloc[0] == 1:
-            if len(members) > 1 and not all(m[2] for m in members):
-                out += [(center, a, b, None, None, None, None, None) for a, b in links_between(members, len(c), percent, forest)]
-        else:
-            out += [(center, node, None, len(c), n, linked, r.tolist(), a.tolist()) for node, n, linked, r, a in members]
-        del sets, members
-        release()
-        return pd.DataFrame(out, columns=["center", "node", "other", "n_center", "n", "linked", "removed", "added"])
+    """Rows (center, slice, slices, node, text), sorted by center and slice."""
+
+    def run(batches):
+        out, seen = [], 0
+        for rows in groups_of(text_chunks(batches), 2):
+            out += star(rows[0][0], rows[0][2], [r[3:5] for r in rows], width, percent)
+            if len(out) >= 2000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), STAR_ROWS.types, strict=True)], schema=STAR_ROWS)
+                out = []
+            seen += sum(len(r[4]) for r in rows)
+            if seen > 1 << 24:
+                seen = 0
+                release()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), STAR_ROWS.types, strict=True)], schema=STAR_ROWS)
 
     return run
 
 
 def part_links(percent: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        pdf = pdf.sort_values(["part", "node", "n"])
-        members = list(zip(pdf["node"], pdf["n"], pdf["linked"], pdf["removed"], pdf["added"], strict=True))
-        split = None if i == j else int((pdf["part"] == i).sum())
-        found = links_between(members, int(pdf["n_center"].iloc[0]), percent, Forest(), split)
-        return pd.DataFrame(list(found), columns=["a", "b"]).astype("int64")
+    """Rows (center, i, j, asks, node, n_center, n, removed, added), sorted by center, i and j."""
+
+    def run(batches):
+        for rows in groups_of(batches, 3):
+            rows = sorted(rows, key=lambda r: (r[4], r[6], r[7], r[8]))
+            of = lambda asks: [(r[4], *r[6:9]) for r in rows if r[3] == asks]
+            found = list(links_between(of(True), of(False), rows[0][5], percent, Forest()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links a, b of the stars: pairs has center, node."""
-    stars = pairs.join(sizes, "node").groupBy("center").agg(F.ceil(F.sum("n") / F.lit(SLICE)).cast("int").alias("slices"))
-    members = pairs.join(stars, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"), "slices")
-    centers = stars.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "slices")
+def stars(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Rows of STAR for pairs center, node, in slices of about SLICE shingles."""
+    weigh = pairs.join(sizes, "node").groupBy("center").agg(F.ceil(F.sum("n") / F.lit(SLICE)).cast("int").alias("slices"))
+    weigh = stored(weigh, "near-slices")
+    members = pairs.join(weigh, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"), "slices")
+    centers = weigh.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "slices")
     wanted = stored(members.union(centers), "near-wanted")
     # few of the documents are in a star: their ids go to the texts if their number is small
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    rows = docs.where("text is not null").join(side, docs["doc_id"] == wanted["node"]).select("center", "node", "slice", "slices", "text")
-    met = stored(rows.groupBy("center", "slice").applyInPandas(star_links(width, percent), STAR), "near-stars")
+    rows = docs.where("text is not null").join(side, docs["doc_id"] == wanted["node"]).select("center", "slice", "slices", "node", "text")
+    return rows.repartition("center", "slice").sortWithinPartitions("center", "slice").mapInArrow(star_links(width, percent), STAR)
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links a, b of the stars: pairs has center, node."""
+    met = stored(stars(docs, pairs, sizes, width, percent), "near-stars")
     links = met.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    # only stars of several slices are left; their members without a link meet all members
+    weight = lambda c: F.sum(F.when(c, F.size("removed") + F.size("added") + 50).otherwise(0)) / F.lit(PART)
     apart = met.where("other is null")
-    # only the stars of several slices are left; without a member that lacks a link they are done
-    weight = F.sum(F.size("removed") + F.size("added") + 50)
-    parts = apart.groupBy("center").agg(F.ceil(weight / F.lit(PART)).cast("int").alias("parts"), F.min("linked").alias("all")).where("not all").select("center", "parts")
-    apart = apart.join(parts, "center").withColumn("part", F.pmod(F.xxhash64("node", "n"), F.col("parts")).cast("int"))
-    other = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least("part", p).alias("i"), F.greatest("part", p).alias("j")))
-    apart = apart.withColumn("ij", F.explode(other)).select("center", "node", "n_center", "n", "linked", "removed", "added", "part", "ij.i", "ij.j")
-    return links.union(apart.groupBy("center", "i", "j").applyInPandas(part_links(percent), "a long, b long"))
+    parts = apart.groupBy("center").agg(F.ceil(weight(F.lit(True))).cast("int").alias("js"), F.ceil(weight(~F.col("linked"))).cast("int").alias("is")).where("is > 0")
+    parts = stored(parts, "near-parts")
+    if parts.isEmpty():
+        return links
+    apart = apart.join(parts, "center").withColumn("own", F.xxhash64("node", "n"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["asks", "node", "n_center", "n", "removed", "added"]
+    asked = apart.withColumn("asks", F.lit(False)).withColumn("j", F.pmod("own", "js").cast("int")).select("center", every("is").alias("i"), "j", *cols)
+    asking = apart.where("not linked").withColumn("asks", F.lit(True)).withColumn("i", F.pmod("own", "is").cast("int")).select("center", "i", every("js").alias("j"), *cols)
+    placed = asked.union(asking).repartition("center", "i", "j").sortWithinPartitions("center", "i", "j")
+    found = stored(placed.mapInArrow(part_links(percent), "a long, b long").distinct(), "near-found")
+    again = stars(docs, found.select(F.col("a").alias("center"), F.col("b").alias("node")), sizes, width, percent)
+    return links.union(again.where("center = other").select("node", "other"))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -235,6 +284,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     while True:
         around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
         taken = labels.join(around, labels["node"] == around["a"]).select("node", F.col("component").alias("was"), F.least("component", "m").alias("c"))
+        taken = stored(taken, "near-taken")
         jump = labels.select(F.col("node").alias("c"), F.col("component").alias("cc"))
         new = stored(taken.join(jump, "c", "left").select("node", "was", F.coalesce("cc", "c").alias("component")), "near-labels")
         labels = new.select("node", "component")
@@ -245,10 +295,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Links a, b between the classes of ids whose rows hold different texts; there are few."""
     ids = rows.where("n_shingles > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
-    ids = stored(ids.agg(F.min("key1").alias("a"), F.max("key1").alias("b")).where("a <> b").select("_id"), "near-ids")
-    of = rows.where("n_shingles > 0").join(ids, F.col("doc_id") == F.col("_id")).select("_id", "key1", "key2")
-    nodes = of.join(classes.select("key1", "key2", "node"), ["key1", "key2"]).select("_id", "node").distinct()
-    least = nodes.groupBy("_id").agg(F.min("node").alias("a"))
+    ids = stored(ids.agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("_id"), "near-ids")
+    of = rows.where("n_shingles > 0").join(ids, F.col("doc_id") == F.col("_id")).select("_id", "key").distinct()
+    nodes = stored(of.join(classes.select("key", "node"), "key").select("_id", "node").distinct(), "near-same")
+    least = stored(nodes.groupBy("_id").agg(F.min("node").alias("a")), "near-least")
     return nodes.join(least, "_id").select("a", F.col("node").alias("b")).where("a <> b")
 
 
@@ -262,19 +312,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ship(spark)
     docs = pick(docs, "doc_id", "text")
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = stored(docs.mapInArrow(sketch(width, rows_per_band(percent)), "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"), "near-rows")
-    classes = rows.where("n_shingles > 0").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("s"), F.min("doc_id").alias("node"))
+    rows = stored(docs.mapInArrow(sketch(width, rows_per_band(percent)), "doc_id long, n_shingles long, key binary, bands array<long>"), "near-rows")
+    classes = rows.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("s"), F.min("doc_id").alias("node"))
     # min of the structs may be that of a null id: its bands are the same, the sequence being the same
-    classes = stored(classes.select("key1", "key2", "node", F.col("s.n_shingles").alias("n"), "s.bands"), "near-classes")
+    classes = stored(classes.select("key", "node", F.col("s.n_shingles").alias("n"), "s.bands"), "near-classes")
     nodes = classes.where("node is not null")
-    sizes = nodes.groupBy("node").agg(F.max("n").alias("n"))
+    sizes = stored(nodes.groupBy("node").agg(F.max("n").alias("n")), "near-sizes")
     spread = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     centers = spread.groupBy("band", "hash").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").select("band", "hash", "center")
+    centers = stored(centers, "near-centers")
     pairs = stored(spread.join(centers, ["band", "hash"]).where("node <> center").select("center", "node").distinct(), "near-pairs")
     links = stored(confirmed(docs, pairs, sizes, width, percent), "near-links")
     comp = components(spark, links.union(same_ids(rows, classes)))
-    named = classes.join(comp, "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "key1", "key2").join(named, ["key1", "key2"], "left")
+    named = stored(classes.join(comp, "node", "left").select("key", F.coalesce("component", "node").alias("component")), "near-named")
+    out = rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 

@@ -49,6 +49,16 @@ def op2(spark, sf_dir):
     return grammar.token_files(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def token_windows(spark, sf_dir):
+    import public_tokenizers
+
+    from .common import new_folder
+
+    folder = new_folder(spark, "token-ids")
+    grammar.write_ids(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return grammar.token_windows(spark, folder)
+
+
 def op3(spark, sf_dir):
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
@@ -81,6 +91,7 @@ def queries() -> dict:
         "op1_token_rollup": op1,
         "token_rollup_words": op1_words,
         "op2_token_files": op2,
+        "token_windows": token_windows,
         "op3_near_duplicates": op3,
         "op4_line_quality": op4,
         "op5_license_scan": op5,
