@@ -1,10 +1,15 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds spans.
 
 The fixed patterns give the base spans. Around digits and @ the field scores candidate
-segments of at most MAX_TOKENS tokens by features of the whole span and its neighbours;
-a dynamic program over token positions picks boundaries and types together. It is fitted
-by maximum likelihood (forward-backward over segments) to generated examples whose spans
-are known. Its spans are added where they don't overlap a base span.
+segments by features of the whole span and its neighbours; a dynamic program over token
+positions picks boundaries and types together. It is fitted by maximum likelihood
+(forward-backward over segments) to generated examples whose spans are known. Its spans are
+added where they don't overlap a base span.
+
+Candidates are bounded by what they are and not by a number of tokens: numbers of all kinds
+have at most 23 digits, which fit REACH characters with their separators; an address or a
+key is a whole run of the characters it may hold, however long. Stretches reach AROUND
+characters past a digit or @, and on to the next white space, so no token is cut.
 
 Defined results: a null text is empty; no spans give the digest of the empty string;
 offsets count code points; equal texts give equal spans.
@@ -27,7 +32,7 @@ from .common import pick, ship, text_chunks
 
 KINDS = ["email", "ip", "card", "phone", "iban", "secret", "ssn"]
 BASE = KINDS[:4]
-MAX_TOKENS, AROUND = 14, 64
+AROUND, REACH = 64, 80
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: No match starts inside a run of digits unless one starts with the run, so runs are tried once.
@@ -36,19 +41,26 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile("[^0-9]+")
 TRIGGER = re.compile("[0-9@]+")
+NOT_SPACE = re.compile(r"\S*")
 TOKEN = re.compile(r"[A-Za-z0-9]+|\s|.", re.S)
 #: What a segment must look like to be a candidate of each kind, in the order of KINDS.
 SHAPES = [
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"),
     re.compile(r"[0-9]{1,4}(?:\.[0-9]{1,4}){3}"),
-    re.compile(r"[0-9](?:[ -]?[0-9]){11,22}"),
-    re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,16}"),
+    re.compile(r"(?=[0-9](?:[ -]?[0-9]){11,22}\Z)[0-9]{3,}(?:[ -][0-9]{3,})*(?:[ -][0-9]{1,2})?"),
+    re.compile(r"(?=\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,16}\Z)\+?\(?[0-9]+(?:[ ().-]{1,2}[0-9]{2,})*"),
     re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,5}){2,8}"),
     re.compile(r"(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[A-Za-z])[A-Za-z0-9_-]{16,}"),
     re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
 ]
+MIXED, TURN = re.compile(r"(?=.*[A-Z])(?=.*[a-z])(?=.*[0-9])", re.S), re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+NUMBER = re.compile(r"\+?\(?[0-9]+(?:[ ().-]{1,2}[0-9]{2,})*(?:[ -][0-9](?![0-9]))?")
+ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]*")
+KEY_RUN = re.compile(r"[A-Za-z0-9_-]{16,}")
+#: What an address has after its @; unlike the fixed pattern it needs no dot.
+HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
 CUES = [("mail", "contact"), ("ip", "host", "address", "server"), ("card", "visa", "payment"), ("phone", "tel", "call", "mobile"), ("iban", "account", "bank"), ("token", "secret", "key", "password", "passwd", "api", "bearer"), ("ssn", "social", "security")]
-FEATURES = 22
+FEATURES = 25
 
 
 def luhn(digits: str) -> bool:
@@ -72,7 +84,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             pos = m.end()
         at = text.find("@", max(at + 1, pos))
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in m[0].split(".")):
             out.append((m.start(), m.end(), 1))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := NOT_DIGIT.sub("", m[0])) <= 19 and luhn(d):
@@ -86,24 +98,36 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, list[float]]]]:
     """Tokens of text[start:end], and segments (first token, past last, kind, features)."""
     tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text, start, end)]
-    found = []
-    for i, (a, first_end) in enumerate(tokens):
-        c = text[a]
-        if not (c.isascii() and (c.isalnum() or c in "+(._%-")):
+    begins, ends = {a: i for i, (a, _) in enumerate(tokens)}, {e: i + 1 for i, (_, e) in enumerate(tokens)}
+    spans: set[tuple[int, int, int]] = set()
+    for m in KEY_RUN.finditer(text, start, end):
+        if SHAPES[5].fullmatch(m[0]):
+            spans.add((m.start(), m.end(), 5))
+    at, past = text.find("@", start, end), start
+    while at >= 0:
+        a = at
+        while a > past and text[a - 1] in LOCAL:
+            a -= 1
+        m = HOST.match(text, at + 1, end) if a < at else None
+        if m:
+            spans.add((a, m.end(), 0))
+        past, at = at + 1, text.find("@", at + 1, end)
+    for i, (a, _) in enumerate(tokens):
+        c, stop = text[a], min(end, a + REACH)
+        if c in "0123456789+(":
+            m, kinds = NUMBER.match(text, a, stop), (2, 3)
+            spans.update((a, x.end(), k) for k in (1, 6) if (x := SHAPES[k].match(text, a, stop)))
+        elif "A" <= c <= "Z":
+            m, kinds = ACCOUNT.match(text, a, stop), (4,)
+        else:
             continue
-        trigger = False
-        for j in range(i, min(i + MAX_TOKENS, len(tokens))):
-            s, e = tokens[j]
-            piece = text[s:e]
-            if piece == "\n" or not (piece.isascii()):
+        for j in range(i, len(tokens) if m else i):
+            e = tokens[j][1]
+            if e > m.end():
                 break
-            trigger = trigger or piece == "@" or any(x.isdigit() for x in piece)
-            if not trigger or piece.isspace():
-                continue
-            span = text[a:e]
-            for kind, shape in enumerate(SHAPES):
-                if (kind != 0) != ("@" in span) and shape.fullmatch(span):
-                    found.append((i, j + 1, kind, features(text, a, e, span, kind)))
+            if text[e - 1] not in " .-()":
+                spans.update((a, e, k) for k in kinds if SHAPES[k].fullmatch(text, a, e))
+    found = [(begins[a], ends[e], k, features(text, a, e, text[a:e], k)) for a, e, k in sorted(spans) if a in begins and e in ends]
     return tokens, found
 
 
@@ -117,15 +141,19 @@ def features(text: str, a: int, e: int, span: str, kind: int) -> list[float]:
     wider = (before in ".-+_" and before != "" and text[a - 2 : a - 1].isalnum()) or (after in ".-@_" and after != "" and text[e + 1 : e + 2].isalnum())
     parts = span.split(".")
     octets = kind == 1 and all(int(p) <= 255 for p in parts)
-    f = [1.0, 10 <= n <= 15, 13 <= n <= 19, 14 <= n <= 19 and luhn(digits), octets, joined, wider, before == '"' and after == '"', cue[kind], any(c for k, c in enumerate(cue) if k != kind), span[0] == "+", " " in span, "(" in span or "-" in span, kind == 0 and "." in span.partition("@")[2], len(span) / 32, len(span) >= 32, len(set(span)) / max(len(span), 1), all(c in "0123456789abcdef" for c in span), n / max(len(span), 1), span[:1].isupper() and span[:2].isupper(), n < 10, before in "" or before.isspace() or before in "\"'=:,(<[{"]
+    f = [1.0, 10 <= n <= 15, 13 <= n <= 19, 14 <= n <= 19 and luhn(digits), octets, joined, wider, before == '"' and after == '"', cue[kind], any(c for k, c in enumerate(cue) if k != kind), span[0] == "+", " " in span, "(" in span or "-" in span, kind == 0 and "." in span.partition("@")[2], min(len(span), 128) / 32, len(span) >= 32, len(set(span)) / max(len(span), 1), all(c in "0123456789abcdef" for c in span), n / max(len(span), 1), span[:1].isupper() and span[:2].isupper(), n < 10, before in "" or before.isspace() or before in "\"'=:,(<[{", bool(MIXED.match(span)), len(TURN.findall(span)) / len(span), "-" in span or "_" in span]
     return [float(x) for x in f]
 
 
 def windows(text: str):
-    """Stretches around digits and @, merged where they touch."""
+    """Stretches around digits and @ up to white space, merged where they touch."""
     start = end = -1
     for m in TRIGGER.finditer(text):
-        a, e = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+        if m.end() + AROUND <= end:
+            continue
+        a, e = max(0, m.start() - AROUND), NOT_SPACE.match(text, min(len(text), m.end() + AROUND)).end()
+        while a > max(end, 0) and not text[a - 1].isspace():
+            a -= 1
         if start < 0:
             start, end = a, e
         elif a <= end:
@@ -165,7 +193,7 @@ def decode(weights: np.ndarray, text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
-def examples(n: int = 700, seed: int = 7):
+def examples(n: int = 900, seed: int = 7):
     """Generated stretches with the spans they hold, and look-alikes that hold none."""
     r = random.Random(seed)
     number = lambda k: "".join(r.choice("0123456789") for _ in range(k))
@@ -179,13 +207,30 @@ def examples(n: int = 700, seed: int = 7):
     def phone():
         return r.choice([f"+{r.randint(1, 99)} ({number(3)}) {number(3)}-{number(4)}", f"+{r.randint(1, 99)} {number(3)} {number(3)} {number(4)}", f"({number(3)}) {number(3)}-{number(4)}", f"+{number(11)}"])
 
+    letters = lambda k, among: "".join(r.choice(among) for _ in range(k))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def key():
+        hexed = lambda k: letters(k, "0123456789abcdef")
+        made = r.choice([
+            lambda: hexed(r.choice([32, 40, 40, 64, 124])),
+            lambda: hexed(r.choice([32, 40, 40, 64])),
+            lambda: letters(r.choice([24, 32, 48, 120]), lower + upper + "0123456789"),
+            lambda: r.choice(["AKIA", "ASIA"]) + letters(16, upper + "234567"),
+            lambda: r.choice(["ghp_", "sk-", "xoxb-", "pk_live_"]) + letters(r.choice([24, 36, 40]), lower + upper + "0123456789"),
+            lambda: "-".join(hexed(k) for k in (8, 4, 4, 4, 12)),
+            lambda: "_".join(letters(r.randint(4, 7), lower + upper + "0123456789") for _ in range(r.randint(6, 9))),
+            lambda: letters(r.randint(60, 118), lower + upper) + hexed(6),
+        ])()
+        return made if any(c.isdigit() for c in made) and any(c.isalpha() for c in made) else made + "7f3a9b"
+
     make = [
         lambda: f"{r.choice(['', word() + '.'])}{word()}{number(r.randint(0, 2))}@{word()}{number(r.randint(0, 1))}.example.{r.choice(['com', 'org', 'net'])}".replace("ó", "o"),
         lambda: ".".join(str(r.randint(0, 255)) for _ in range(4)),
         card,
         phone,
         lambda: r.choice(["DE", "FR", "ES", "GB"]) + number(2) + number(r.randint(12, 18)),
-        lambda: "".join(r.choice("0123456789abcdef") for _ in range(r.choice([32, 40, 40, 64]))),
+        key,
         lambda: f"{r.randint(100, 899)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}",
     ]
     cue = [["", "mail "], ["", "host "], ["", "card "], ["", "call "], ["IBAN ", "account ", ""], ['token = "', 'key = "', 'password: "', 'secret = "'], ["SSN ", "ssn: ", "social security "]]
@@ -193,6 +238,7 @@ def examples(n: int = 700, seed: int = 7):
         lambda: number(r.randint(1, 8)), lambda: f"Version {r.randint(1, 9)}.{r.randint(0, 9)}.", lambda: f"{r.randint(1900, 2099)}-{r.randint(10, 12)}-{r.randint(10, 28)}",
         lambda: f"{r.randint(1, 9)}.{r.randint(256, 999)}.{r.randint(256, 999)}.{r.randint(0, 9)}", lambda: (d := number(15)) + next(c for c in "0123456789" if not luhn(d + c)), lambda: f"@{word()}", lambda: f"{number(3)}.{number(2)}",
         lambda: f"{word()}{number(2)}{word()}{word()}{word()}{number(1)}", lambda: f"{number(2)}:{number(2)}:{number(2)}", lambda: f"{number(3)},{number(3)},{number(3)}", lambda: f"{number(4)} {number(3)}", lambda: f"{word()}@{word()}", lambda: number(r.randint(20, 30)),
+        lambda: "-".join([*(word() for _ in range(r.randint(3, 6))), number(r.choice([1, 2, 4]))]), lambda: "_".join([word(), word(), number(4), word(), number(1)]), lambda: f"{word()}{word()}{word()}{word()}{word()}{number(2)}",
     ]
     for _ in range(n):
         text, spans = "", []
