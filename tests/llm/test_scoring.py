@@ -16,17 +16,19 @@ def test_marginals_equal_enumeration():
     r = np.random.default_rng(0)
     per = np.array([3, 1, 5])
     e, move = r.normal(size=9), r.normal(size=(2, 2))
-    good, moves, log_z = quality.marginals(e, per, move, pairs=True)
+    weight = np.array([0.7, 2.0, 1.5])
+    good, moves, log_z = quality.marginals(e, per, move, weight)
+    assert good.tolist() == quality.marginals(e, per, move).tolist()
     at, want, expected, total = 0, [], np.zeros((2, 2)), 0.0
-    for n in per:
+    for n, v in zip(per, weight, strict=True):
         paths = list(itertools.product((0, 1), repeat=int(n)))
         w = np.array([math.exp(sum(e[at + i] * y for i, y in enumerate(p)) + sum(move[a, b] for a, b in itertools.pairwise(p))) for p in paths])
-        total += math.log(w.sum())
+        total += v * math.log(w.sum())
         w /= w.sum()
         want += [sum(x for x, p in zip(w, paths, strict=True) if p[i]) for i in range(n)]
         for x, p in zip(w, paths, strict=True):
             for a, b in itertools.pairwise(p):
-                expected[a, b] += x
+                expected[a, b] += v * x
         at += n
     assert good == pytest.approx(want) and moves == pytest.approx(expected) and log_z == pytest.approx(total)
 
@@ -43,6 +45,99 @@ def test_features_don_t_depend_on_neighbours_in_the_batch(monkeypatch):
     assert quality.line_features(t)[0].tolist() == x.tolist()
 
 
+def small_sample(seed=1):
+    r = np.random.default_rng(seed)
+    per = np.array([4, 1, 6, 3, 2])
+    m = quality.Model()
+    m.weights, m.move = r.normal(size=quality.FEATURES) * 0.3, r.normal(size=(2, 2)) * 0.3
+    return m, r.normal(size=(per.sum(), quality.FEATURES)), per, np.array([1, 0, 1, 1, 0])
+
+
+def test_the_gradient_is_that_of_the_objective():
+    m, x, per, label = small_sample()
+    _, g = m.objective(x, per, label)
+    theta = np.concatenate([m.weights, m.move.ravel()])
+
+    def at(t):
+        m.weights, m.move = t[: quality.FEATURES], t[quality.FEATURES :].reshape(2, 2)
+        return m.objective(x, per, label)[0]
+
+    for i in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[i] = 1e-5
+        assert (at(theta + step) - at(theta - step)) / 2e-5 == pytest.approx(g[i], abs=1e-7)
+
+
+def test_fitting_goes_down_to_a_flat_place():
+    m, x, per, label = small_sample()
+    before = m.objective(x, per, label)[0]
+    m.fit(x, np.ones(len(x), np.int64), per, label)
+    loss, g = m.objective(x, per, label)
+    assert loss < 0.05 * before and np.abs(g).max() < 0.01
+
+
+def plain_features(text):
+    """The features of every line, a line and a character at a time."""
+    lines, own = (text or "").split("\n"), []
+    for k, line in enumerate(lines):
+        raw = line.encode()
+        size = len(raw)
+        share = [sum(chr(b) in c for b in raw) / max(size, 1) for c in quality.CLASSES]
+        share.append(sum(not any(chr(b) in c for c in quality.CLASSES) for b in raw) / max(size, 1))
+        words = raw.lower().split()
+        again = [sum(a == b for a, b in zip(words, words[i:], strict=False)) / max(len(words), 1) for i in (1, 2)]
+        marks = [float(raw[-1:] in (b".", b"!", b"?") and size > 0), float(raw[:1].isupper()), float(k > 0 and lines[k - 1] == line)]
+        own.append(share + again + marks + [math.log1p(size) / 8, math.log1p(len(words)) / 6, min(size / max(len(words), 1), 30) / 30])
+    none = [0.0] * len(own[0])
+    return [own[k] + (own[k - 1] if k else none) + (own[k + 1] if k + 1 < len(own) else none) + [float(k == 0), float(k + 1 == len(own)), 1.0] for k in range(len(own))], [len(x.encode()) for x in lines]
+
+
+def plain_score(m, text):
+    """The score by summing over all labellings."""
+    x, sizes = plain_features(text)
+    e = [float(np.dot(f, m.weights)) for f in x]
+    total, good = 0.0, [0.0] * len(x)
+    for p in itertools.product((0, 1), repeat=len(x)):
+        w = math.exp(sum(e[i] for i, y in enumerate(p) if y) + sum(m.move[a, b] for a, b in itertools.pairwise(p)))
+        total += w
+        for i, y in enumerate(p):
+            good[i] += w * y
+    s = sum(g / total * (n + 1) for g, n in zip(good, sizes, strict=True)) / sum(n + 1 for n in sizes)
+    return 1 / (1 + math.exp(-(m.curve[0] * s + m.curve[1])))
+
+
+def test_scores_equal_brute_force(spark):
+    docs, labels = labelled(spark, 120)
+    odd = [(1000 + i, t) for i, t in enumerate(["", None, "é\n\nA b. a B!\nx | y", "same\nsame\nsame", "\n\n", "12 12 12 # $\tz"])]
+    every = docs.union(spark.createDataFrame(odd, "doc_id long, text string"))
+    m = quality.fit(docs, labels)
+    text = {r.doc_id: r.text for r in every.collect()}
+    for r in quality.quality(every, labels).collect():
+        if (text[r.doc_id] or "").count("\n") < 8:
+            assert r.score == pytest.approx(plain_score(m, text[r.doc_id]), abs=1e-6)
+
+
+def test_held_out_documents_of_the_shared_tables(spark):
+    """Fitted to rows that aren't held out; the others are ranked and told apart."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    held = [(r.score, truth[r.doc_id], r.predicted) for r in quality.quality(docs, labels).collect() if r.held_out and truth.get(r.doc_id) in (0, 1)]
+    good, bad = [h for h in held if h[1]], [h for h in held if not h[1]]
+    auc = sum((g[0] > b[0]) + 0.5 * (g[0] == b[0]) for g in good for b in bad) / (len(good) * len(bad))
+    kept, passed = sum(h[2] for h in good) / len(good), sum(h[2] for h in bad) / len(bad)
+    print(f"held out {len(held)}: AUC {auc:.4f}, good kept {kept:.4f}, bad kept {passed:.4f}")
+    assert auc >= 0.99 and kept >= 0.99 and passed <= 0.15
+
+
+def test_long_and_repeated_documents_are_fitted_to(spark):
+    docs, labels = labelled(spark, 60)
+    long = spark.createDataFrame([(2001, "WORD!! WORD!!\n" * 5000), (2001, "a fine line.\n" * 5000), (2002, "one more fine line.\n" * 3000)], "doc_id long, text string")
+    more = spark.createDataFrame([(2001, 0), (2002, 1)], "doc_id long, quality int")
+    a, b = quality.fit(docs.union(long), labels.union(more)), quality.fit(docs.union(long).repartition(7), labels.union(more))
+    assert a.weights.tolist() == b.weights.tolist() and a.weights.tolist() != quality.fit(docs, labels).weights.tolist()
+
+
 def labelled(spark, n=300):
     r = random.Random(3)
     rows = []

@@ -2,17 +2,23 @@
 
 Every line is good or bad. A line's features describe it and its neighbouring lines; the
 chain adds weights for two lines in a row. The field is fitted to a bounded sample of
-labelled documents, whose lines carry their document's label. Forward-backward marginals
-of the lines, weighted by length, give a document's share of good text, and a logistic
-curve fitted to the same sample turns that into the score.
+labelled documents, whose lines carry their document's label: at most SAMPLE_DOCS documents,
+of a longer one SAMPLE_LINES lines in a row from a place that a hash of its text chooses.
+It minimises one objective, the negative conditional log-likelihood of the labelled chains,
+in which both classes weigh alike, a line's mean of it, with a quadratic penalty.
+Forward-backward marginals of the lines, weighted by length, give a document's share of good
+text, and a logistic curve fitted to the same sample turns that into the score.
 
 Defined results: a null or empty text is one empty line and has a score too; labels with
 null ids or qualities are ignored, of repeated ones the least counts; without usable
-labels every score is 0.5; a null doc_id is not held out.
+labels every score is 0.5; a null doc_id is not held out; of rows that share a labelled id
+one is fitted to, and all are scored.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import pick, ship, slices, text_chunks
 from .shingles import PIECE, words_of
 
-#: Bound of the fitting sample: documents, and lines in one of them. Scoring has no bound.
-SAMPLE_DOCS, SAMPLE_LINES = 4000, 400
+#: Bound of the fitting sample: documents, and lines of one of them. Scoring has no bound.
+SAMPLE_DOCS, SAMPLE_LINES = 4000, 100
 STEPS, RATE, PENALTY = 200, 0.1, 1e-4
 THRESHOLD = 0.3
 #: Classes of bytes whose share in a line is a feature.
@@ -75,8 +81,9 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     return np.column_stack([own, before, after, first, end, np.ones(n)]), size, per
 
 
-def marginals(emission: np.ndarray, per: np.ndarray, move: np.ndarray, pairs: bool = False):
-    """P(good) of every line (and, with pairs, the expected moves and the log of the partition).
+def marginals(emission: np.ndarray, per: np.ndarray, move: np.ndarray, weight: np.ndarray | None = None):
+    """P(good) of every line (and, with a weight a document, the weighted sums of the expected
+    moves and of the logs of the partitions).
 
     emission: log potential of good against bad a line; move: log potentials [from, to].
     All documents advance a line at a time, the longer ones for longer.
@@ -99,14 +106,14 @@ def marginals(emission: np.ndarray, per: np.ndarray, move: np.ndarray, pairs: bo
     for t in range(longest - 1, 0, -1):
         at = first[: active[t]] + t
         back = pot[at] * beta[at]
-        if pairs:
+        if weight is not None:
             both = alpha[at - 1][:, :, None] * a[None] * back[:, None, :]
-            expected += (both / both.sum(axis=(1, 2))[:, None, None]).sum(axis=0)
+            expected += (both * (weight[order[: len(at)]] / both.sum(axis=(1, 2)))[:, None, None]).sum(axis=0)
         b = back @ a.T
         beta[at - 1] = b / b.sum(axis=1)[:, None]
     g = alpha * beta
     good = g[:, 1] / np.maximum(g.sum(axis=1), 1e-300)
-    return (good, expected, np.log(scale).sum()) if pairs else good
+    return good if weight is None else (good, expected, (np.log(scale) * np.repeat(weight, per)).sum())
 
 
 def weighted(good: np.ndarray, size: np.ndarray, per: np.ndarray) -> np.ndarray:
@@ -122,18 +129,25 @@ class Model:
     def __init__(self):
         self.weights, self.move, self.curve = np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(2)
 
-    def fit(self, x: np.ndarray, size: np.ndarray, per: np.ndarray, label: np.ndarray) -> Model:
-        """Maximum likelihood by Adam; lines count less in longer documents, classes count alike."""
-        y = np.repeat(label, per)
+    def objective(self, x: np.ndarray, per: np.ndarray, label: np.ndarray) -> tuple[float, np.ndarray]:
+        """The weighted negative log-likelihood of a line, and its gradient in weights and moves."""
         share = np.array([max((label == c).sum(), 1) for c in (0, 1)]) / max(len(label), 1)
+        weight, y, total = 0.5 / share[label], np.repeat(label, per), max(per.sum(), 1)
+        emission = x @ self.weights
+        good, expected, log_z = marginals(emission, per, self.move, weight)
+        each, seen = np.repeat(weight, per), np.zeros((2, 2))
+        for c in (0, 1):
+            seen[c, c] = (weight * (per - 1))[label == c].sum()
+        held = (each * y * np.clip(emission, -30, 30)).sum() + (seen * self.move).sum()
+        loss = (log_z - held) / total + PENALTY / 2 * ((self.weights**2).sum() + (self.move**2).sum())
+        by_weight = x.T @ (each * (good - y) * (np.abs(emission) <= 30)) / total + PENALTY * self.weights
+        return loss, np.concatenate([by_weight, ((expected - seen) / total + PENALTY * self.move).ravel()])
+
+    def fit(self, x: np.ndarray, size: np.ndarray, per: np.ndarray, label: np.ndarray) -> Model:
+        """The objective's minimum by Adam, then the curve by Newton's steps."""
         moments = [np.zeros(FEATURES + 4), np.zeros(FEATURES + 4)]
-        steps = per - 1
-        seen = np.zeros((2, 2))
-        seen[0, 0], seen[1, 1] = steps[label == 0].sum(), steps[label == 1].sum()
-        balance = 0.5 / share[y]
         for step in range(1, STEPS + 1):
-            good, expected, _ = marginals(x @ self.weights, per, self.move, pairs=True)
-            g = np.concatenate([x.T @ (balance * (good - y)) / len(y) + PENALTY * self.weights, ((expected - seen) / max(steps.sum(), 1) + PENALTY * self.move).ravel()])
+            _, g = self.objective(x, per, label)
             moments[0] = 0.9 * moments[0] + 0.1 * g
             moments[1] = 0.999 * moments[1] + 0.001 * g * g
             d = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
@@ -141,7 +155,7 @@ class Model:
             self.move -= d[FEATURES:].reshape(2, 2)
         s = weighted(marginals(x @ self.weights, per, self.move), size, per)
         z = np.column_stack([s, np.ones(len(s))])
-        for _ in range(30):  # Newton's steps with a small penalty
+        for _ in range(30):  # with a small penalty
             p = 1 / (1 + np.exp(-z @ self.curve))
             h = z.T @ (z * (p * (1 - p))[:, None]) + 0.1 * np.eye(2)
             self.curve -= np.linalg.solve(h, z.T @ (p - label) + 0.1 * self.curve)
@@ -154,12 +168,16 @@ class Model:
 
 
 def sample_features(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("x", pa.binary()), ("size", pa.binary())])
+    """doc_id, a hash, and features and lengths of a document's stretch of at most SAMPLE_LINES lines."""
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("x", pa.binary()), ("size", pa.binary())])
     for b in text_chunks(batches, PIECE):
-        x, size, per = line_features(b.column(1).to_pylist())
-        ends = np.cumsum(per).tolist()
-        starts = [0, *ends[:-1]]
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([x[a:e].astype(np.float32).tobytes() for a, e in zip(starts, ends, strict=True)], pa.binary()), pa.array([size[a:e].tobytes() for a, e in zip(starts, ends, strict=True)], pa.binary())], schema=schema)
+        texts = b.column(1).to_pylist()
+        x, size, per = line_features(texts)
+        hashes = [zlib.crc32((t or "").encode()) for t in texts]
+        first = np.cumsum(per) - per + np.array(hashes, np.int64) % np.maximum(per - SAMPLE_LINES + 1, 1)
+        spans = list(zip(first.tolist(), (first + np.minimum(per, SAMPLE_LINES)).tolist(), strict=True))
+        rows = [[x[a:e].astype(np.float32).tobytes() for a, e in spans], [size[a:e].tobytes() for a, e in spans]]
+        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(hashes, pa.int64()), *[pa.array(r, pa.binary()) for r in rows]], schema=schema)
 
 
 def held_out(doc_id):
@@ -180,8 +198,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
         return Model()
     label_of = {r.doc_id: r.quality for r in chosen}
     ids = docs.sparkSession.createDataFrame([(i,) for i in label_of], "id long")
-    texts = pick(docs, "doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).where(F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)) <= SAMPLE_LINES)
-    rows = sorted(texts.select("doc_id", "text").mapInArrow(sample_features, "doc_id long, x binary, size binary").collect())
+    texts = pick(docs, "doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("doc_id", "text")
+    features = texts.mapInArrow(sample_features, "doc_id long, hash long, x binary, size binary")
+    one = features.groupBy("doc_id").agg(F.min(F.struct("hash", "x", "size")).alias("f")).select("doc_id", "f.x", "f.size")
+    rows = sorted(one.collect())
     if not rows:
         return Model()
     x = np.concatenate([np.frombuffer(r.x, np.float32).reshape(-1, FEATURES) for r in rows]).astype(np.float64)
