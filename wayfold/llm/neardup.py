@@ -258,6 +258,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, p
     # only stars of several slices are left; their members without a link meet all members
     weight = lambda c: F.sum(F.when(c, F.size("removed") + F.size("added") + 50).otherwise(0)) / F.lit(PART)
     apart = met.where("other is null")
+    if apart.isEmpty():
+        return links
     parts = apart.groupBy("center").agg(F.ceil(weight(F.lit(True))).cast("int").alias("js"), F.ceil(weight(~F.col("linked"))).cast("int").alias("is")).where("is > 0")
     parts = stored(parts, "near-parts")
     if parts.isEmpty():
@@ -284,7 +286,6 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     while True:
         around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
         taken = labels.join(around, labels["node"] == around["a"]).select("node", F.col("component").alias("was"), F.least("component", "m").alias("c"))
-        taken = stored(taken, "near-taken")
         jump = labels.select(F.col("node").alias("c"), F.col("component").alias("cc"))
         new = stored(taken.join(jump, "c", "left").select("node", "was", F.coalesce("cc", "c").alias("component")), "near-labels")
         labels = new.select("node", "component")
@@ -296,6 +297,8 @@ def same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Links a, b between the classes of ids whose rows hold different texts; there are few."""
     ids = rows.where("n_shingles > 0 and doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
     ids = stored(ids.agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("_id"), "near-ids")
+    if ids.isEmpty():
+        return classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     of = rows.where("n_shingles > 0").join(ids, F.col("doc_id") == F.col("_id")).select("_id", "key").distinct()
     nodes = stored(of.join(classes.select("key", "node"), "key").select("_id", "node").distinct(), "near-same")
     least = stored(nodes.groupBy("_id").agg(F.min("node").alias("a")), "near-least")
@@ -317,14 +320,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # min of the structs may be that of a null id: its bands are the same, the sequence being the same
     classes = stored(classes.select("key", "node", F.col("s.n_shingles").alias("n"), "s.bands"), "near-classes")
     nodes = classes.where("node is not null")
-    sizes = stored(nodes.groupBy("node").agg(F.max("n").alias("n")), "near-sizes")
+    sizes = nodes.groupBy("node").agg(F.max("n").alias("n"))
     spread = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     centers = spread.groupBy("band", "hash").agg(F.min("node").alias("center"), F.count("*").alias("n")).where("n > 1").select("band", "hash", "center")
     centers = stored(centers, "near-centers")
     pairs = stored(spread.join(centers, ["band", "hash"]).where("node <> center").select("center", "node").distinct(), "near-pairs")
     links = stored(confirmed(docs, pairs, sizes, width, percent), "near-links")
     comp = components(spark, links.union(same_ids(rows, classes)))
-    named = stored(classes.join(comp, "node", "left").select("key", F.coalesce("component", "node").alias("component")), "near-named")
+    named = classes.join(comp, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
     out = rows.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
