@@ -41,7 +41,7 @@ SHORT = 1 << 16
 #: Bytes of text that are encoded together, about; a longer text is cut between words.
 TEXT = 4 << 20
 #: A worker remembers 0.7 * 2 ** MEMO_BITS words of at most LONGEST bytes.
-MEMO_BITS, LONGEST = 21, 200
+MEMO_BITS, LONGEST = 22, 200
 #: Controls, and all that some library may take for white space.
 SPACES = re.compile("[\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
 #: A place where a text may be cut: a single space between plain letters or digits.
@@ -366,18 +366,21 @@ class LibraryEncoder:
 
     def slots(self, joined: bytes, buf: np.ndarray, start: np.ndarray, stop: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The memo's slot for every word's key, of which one word is learned; -1 for what isn't learned."""
-        pairs, rep, which = np.unique(key, return_index=True, return_inverse=True)
         table = self.words
-        if table.count + len(pairs) > 0.7 * (1 << table.bits):
-            table.clear()
-        if len(pairs) > 0.7 * (1 << table.bits):
-            return np.full(len(key), -1, np.int64)
-        slot = table.find(pairs)
+        slot = table.find(key)
         lack = np.nonzero(slot < 0)[0]
-        words = [joined[a:e] for a, e in zip(start[rep[lack]].tolist(), stop[rep[lack]].tolist(), strict=True)]
+        new, rep = np.unique(key[lack], return_index=True)
+        if table.count + len(new) > 0.7 * (1 << table.bits):
+            table.clear()
+            new, rep = np.unique(key, return_index=True)
+            slot[:], lack = -1, np.arange(len(key))
+        if len(new) > 0.7 * (1 << table.bits):
+            return slot
+        words = [joined[a:e] for a, e in zip(start[lack[rep]].tolist(), stop[lack[rep]].tolist(), strict=True)]
         good, ids, size = self.learn([w.decode() for w in words])
-        slot[lack[good]] = table.add(pairs[lack[good]], [words[i] for i in good.tolist()], ids, size)
-        return slot[which]
+        table.add(new[good], [words[i] for i in good.tolist()], ids, size)
+        slot[lack] = table.find(key[lack])
+        return slot
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
