@@ -149,37 +149,60 @@ def test_no_python_in_the_plan(spark, awkward):
 
 
 def exact_rows(rows, queries, k, scale):
+    """Every query row against every other row."""
     keep = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in keep:
+    for at, (q, v) in enumerate(keep):
         if q in queries:
-            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in keep if i != q)[:k]
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for other, (i, w) in enumerate(keep) if other != at)[:k]
             out += [(q, n, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scored, 1)]
     return sorted(out)
 
 
 @pytest.mark.parametrize("block,first", [(4096, 32), (7, 2)])
 def test_top_k_equals_all_scores(spark, monkeypatch, block, first):
-    monkeypatch.setattr(topk, "BLOCK", block)
-    monkeypatch.setattr(topk, "FIRST", first)
-    monkeypatch.setattr(topk, "QUERY_BYTES", 1500)
     r = np.random.default_rng(8)
     v = r.normal(size=(300, 8)).astype(np.float32).round(2)
     rows = [(i, [float(x) for x in v[i % 200]]) for i in range(300)]  # a third are copies: ties
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
-    got = topk.top_k(df, df.where(F.col("vec_id") % 10 == 0), k=10, scale=1024.0).collect()
-    assert sorted(map(tuple, got)) == exact_rows(rows, set(range(0, 300, 10)), 10, 1024.0)
+    monkeypatch.setattr(topk, "QUERY_BYTES", 500)
+    monkeypatch.setattr(topk, "GROUP_BYTES", 6000)
+    got = topk.top_k(df, F.col("vec_id") % 10 == 0, k=10, scale=1024.0)
+    assert sorted(map(tuple, got.collect())) == exact_rows(rows, set(range(0, 300, 10)), 10, 1024.0)
+    # the same a block at a time, in this process
+    monkeypatch.setattr(topk, "FIRST", first)
+    ints = np.floor(1024 * v[np.arange(300) % 200].astype(np.float64))
+    best, read = topk.Best(30, 10), 0
+    for a in range(0, 300, block):
+        uid = np.arange(a, min(a + block, 300))
+        read += topk.scan_block(best, np.arange(0, 300, 10), ints[::10], uid, uid, ints[uid])
+    assert read < 30 * 300 or first == 32
+    assert sorted((q * 10, n + 1, int(best.id[q, n]), int(best.score[q, n])) for q in range(30) for n in range(10)) == exact_rows(rows, set(range(0, 300, 10)), 10, 1024.0)
+
+
+def test_bounds_hold():
+    r = np.random.default_rng(3)
+    for scale in (1, 1e3, 1e9, 1e30):
+        v, q = np.floor(r.normal(size=(500, 16)) * scale), np.floor(r.normal(size=(40, 16)) * scale)
+        upper = topk.upper_bounds(q, *topk.cells_of(v))
+        assert (upper >= q @ v.T).all() and (upper - q @ v.T).max() < 0.2 * (np.abs(q) @ np.abs(v).T).max() + 100
+
+
+def test_top_k_of_rows_that_share_an_id(spark):
+    rows = [(0, [1.0]), (0, [5.0]), (1, [2.0]), (0, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 100 == 0, 10).collect()))
+    assert got == exact_rows(rows, {0}, 10, 1024.0) and len(got) == 9
 
 
 def test_top_k_awkward(spark):
     schema = "vec_id long, embedding array<float>, EMBEDDING string, score int"
     raw = [(0, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (None, [1.0, 1.0]), (5, [1.0]), (6, []), (7, [3e9, -3e9]), (8, [1.0, 2.0]), (100, [0.5, 0.5])]
     df = spark.createDataFrame([(*r, "x", 1) for r in raw], schema)
-    q = df.where(F.col("vec_id") % 100 == 0)
-    got = sorted(map(tuple, topk.top_k(df, q, k=4, scale=1024.0).collect()))
+    asks = F.col("vec_id") % 100 == 0
+    got = sorted(map(tuple, topk.top_k(df, asks, k=4, scale=1024.0).collect()))
     assert got == exact_rows([(i, None if v is None else v) for i, v in raw], {0, 100}, 4, 1024.0)
     big = spark.createDataFrame([(0, [1e18, 1e18]), (1, [1e18, 1e18]), (2, [-1e18, -1e18])], "vec_id long, embedding array<double>")
-    assert [(r.vec_id, r.score) for r in topk.top_k(big, big.where("vec_id = 0"), 2).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, -(2**63))]
+    assert [(r.vec_id, r.score) for r in topk.top_k(big, F.col("vec_id") == 0, 2).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, -(2**63))]
     none = spark.createDataFrame([], schema)
-    assert topk.top_k(none, none).count() == 0 and topk.top_k(df, none).count() == 0
-    assert topk.top_k(none, q).count() == 0
+    assert topk.top_k(none, asks).count() == 0 and topk.top_k(df, F.lit(False)).count() == 0

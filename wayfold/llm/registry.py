@@ -11,14 +11,14 @@ from .common import documents
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.rid <> q.rid
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
@@ -26,7 +26,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 def op10(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return topk.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), k=10, scale=1024.0)
+    return topk.top_k(rows, F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
 
 
 def op1(spark, sf_dir):

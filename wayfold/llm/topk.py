@@ -1,15 +1,20 @@
 """Exact top-k search by inner product with vector-approximation files.
 
-Components become integers floor(scale * x). Each block of candidates gets 8-bit cells
-per dimension; one product of the queries with the cells bounds every score from both
-sides. Exact vectors are then read in the order of their bounds until the kth best
-exact score is above every bound that is left, so the result is exact.
+Components become integers floor(scale * x). One pass writes the approximation file: blocks
+of vectors with an 8-bit cell for each component next to the exact ones. A search meets
+groups of blocks with groups of queries, both of bounded size: one single-precision product
+of the queries with a block's cells bounds every score from above, exact vectors are read
+in the order of these bounds, and a block is done for a query once its kth best exact score
+is above every bound that is left, which mostly holds before any vector is read. So the
+result is exact. Groups pass on k rows a query.
+
+Queries and candidates are rows of tables from start to end; the driver sees two counts.
 
 Defined results: vectors that are null or hold nulls, NaN or infinities, and rows with a
 null id, take no part. Vectors of unequal length are compared as if padded with zeros.
-A candidate with the query's id is the query's own row. Repeated rows all count; equal
-scores go to the smaller id. Fewer than k candidates give fewer rows. Scores that leave
-64 bits are held at its ends.
+Only the query's own row is no candidate, others with its id are. Repeated rows all count,
+as queries too; equal scores go to the smaller id. Fewer than k candidates give fewer rows.
+Scores that leave 64 bits are held at its ends.
 """
 
 from __future__ import annotations
@@ -17,16 +22,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick, ship
+from .common import pick, ship, stored
 
 CELLS = 255
-BLOCK = 4096
-FIRST = 32
-#: Bytes of query vectors that one pass over the candidates takes along.
-QUERY_BYTES = 8 << 20
+#: Vectors of a block; the best bounds of a block that are read at once.
+BLOCK, FIRST = 2048, 32
+#: Bytes of exact vectors in a group of queries, and in a group of candidates, about.
+QUERY_BYTES, GROUP_BYTES = 8 << 20, 64 << 20
 FAR_SCORE = np.iinfo(np.int64).min
 
 
@@ -90,117 +96,163 @@ class Best:
         self.score[rows], self.id[rows], self.full[rows] = (np.take_along_axis(x, order, 1) for x in (s, i, f))
 
 
-def scan_block(best: Best, qid: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray) -> int:
+def cells_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each component's lowest value, the width of its cells, and the cells of a block."""
+    low, high = v.min(axis=0), v.max(axis=0)
+    step = np.maximum((high - low) / CELLS, 1.0)
+    return low, step, np.minimum(np.floor((v - low) / step), CELLS).astype(np.uint8)
+
+
+def upper_bounds(q: np.ndarray, low: np.ndarray, step: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """No score of a query with a vector of the block is above its bound."""
+    scaled = q * step
+    top = np.abs(scaled).max(initial=0)
+    shrink = 1.0 if top < 1e30 else 1e30 / top  # single precision must hold it
+    rough = (scaled * shrink).astype(np.float32) @ cells.T.astype(np.float32)
+    error = (q.shape[1] + 4) * 2.0**-22 * CELLS * np.abs(scaled).sum(axis=1)  # of rounding, with room to spare
+    error += 1e-9 * (np.abs(q) @ (np.abs(low) + CELLS * step)) + 1e-6
+    return rough.astype(np.float64) / shrink + (q @ low + np.maximum(scaled, 0).sum(axis=1) + error)[:, None]
+
+
+def scan_block(best: Best, quid: np.ndarray, q: np.ndarray, uid: np.ndarray, ids: np.ndarray, v: np.ndarray, approximation: tuple | None = None) -> int:
     """One block of candidates against some queries; returns the exact vectors read."""
-    lo, hi = v.min(axis=0), v.max(axis=0)
-    step = np.maximum((hi - lo) / CELLS, 1.0)
-    codes = np.floor((v - lo) / step).astype(np.uint8)
-    pos = np.maximum(q, 0) @ step
-    low = (q * step) @ codes.T.astype(np.float64) + (q @ lo)[:, None]
-    slack = 1e-9 * (np.abs(q) @ (np.abs(lo) + np.abs(hi) + CELLS * step)) + 1e-6
-    upper = low + (pos + slack)[:, None]
-    upper[qid[:, None] == ids[None, :]] = -np.inf
-    m = min(FIRST, len(ids))
-    first = np.argpartition(-upper, m - 1, axis=1)[:, :m]
-    bound = np.take_along_axis(upper, first, 1)
-    read = first.size
-    best.add(np.arange(len(q)), exact(q[:, None, :], v[first]), ids[first], bound > -np.inf)
-    if m < len(ids):
-        np.put_along_axis(upper, first, -np.inf, 1)
-        for i in np.nonzero(upper.max(axis=1) >= np.where(np.isinf(best.kth()), -np.finfo(np.float64).max, best.kth()))[0]:
-            order = np.nonzero(upper[i] > -np.inf)[0]
-            order = order[np.argsort(-upper[i, order], kind="stable")]
-            a = 0
-            while a < len(order) and upper[i, order[a]] >= best.kth()[i]:
-                part = order[a : a + 4 * FIRST]
-                part = part[upper[i, part] >= best.kth()[i]]
-                best.add(np.array([i]), exact(q[i][None, :], v[part])[None, :], ids[part][None, :], np.ones((1, len(part)), bool))
-                read += len(part)
-                a += 4 * FIRST
+    upper = upper_bounds(q, *(approximation or cells_of(v)))
+    upper[quid[:, None] == uid[None, :]] = -np.inf
+    read, m = 0, min(FIRST, len(ids))
+    open_ = lambda rows: upper[rows].max(axis=1) >= np.maximum(best.kth()[rows], -np.finfo(np.float64).max)
+    rows = np.arange(len(q))
+    rows = rows[open_(rows)]
+    if len(rows):
+        first = np.argpartition(-upper[rows], m - 1, axis=1)[:, :m]
+        bound = np.take_along_axis(upper[rows], first, 1)
+        best.add(rows, exact(q[rows][:, None, :], v[first]), ids[first], bound > -np.inf)
+        read += first.size
+        upper[rows[:, None], first] = -np.inf
+        rows = rows[open_(rows)]
+    for i in rows.tolist():
+        order = np.nonzero(upper[i] >= max(best.kth()[i], -np.finfo(np.float64).max))[0]
+        order = order[np.argsort(-upper[i, order], kind="stable")]
+        a = 0
+        while a < len(order) and upper[i, order[a]] >= best.kth()[i]:
+            part = order[a : a + 4 * FIRST]
+            part = part[upper[i, part] >= best.kth()[i]]
+            best.add(np.array([i]), exact(q[i][None, :], v[part])[None, :], ids[part][None, :], np.ones((1, len(part)), bool))
+            read += len(part)
+            a += 4 * FIRST
     return read
 
 
-def pack(scale: float, schema_rows: int):
+FILE = "uid long, n int, width int, ids binary, asks binary, low binary, step binary, cells binary, vectors binary"
+ROWS = pa.schema([("uid", pa.int64()), ("n", pa.int32()), ("width", pa.int32())] + [(k, pa.binary()) for k in ("ids", "asks", "low", "step", "cells", "vectors")])
+GRID = "g int, h int, kind int, " + FILE
+GRID_COLS = ["g", "h", "kind", *ROWS.names]
+
+
+def approximate(scale: float):
+    """Rows (id, vector, asks) to rows of the approximation file; uid numbers all vectors."""
+
     def run(batches):
+        at = TaskContext.get().partitionId() << 40
+        held: list[tuple] = []
+
+        def block():
+            nonlocal at, held
+            width = max(v.shape[1] for _, _, v in held)
+            v = np.concatenate([padded(v, width) for _, _, v in held])
+            low, step, cells = cells_of(v)
+            binary = [np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), low, step, cells, v]
+            row = {"uid": [at], "n": [len(v)], "width": [width]} | {k: [x.tobytes()] for k, x in zip(ROWS.names[3:], binary, strict=True)}
+            at, held = at + len(v), []
+            return pa.RecordBatch.from_pydict(row, schema=ROWS)
+
         for b in batches:
-            ids = b.column(0)
-            keep = np.asarray(ids.is_valid())
-            b = b.filter(pa.array(keep))
-            at, v = integers(b.column(1), scale)
-            qid = np.asarray(b.column(0).take(pa.array(at)), dtype=np.int64)
-            for a in range(0, len(at), schema_rows):
-                yield pa.RecordBatch.from_pydict({"ids": [qid[a : a + schema_rows].tobytes()], "vecs": [v[a : a + schema_rows].tobytes()], "width": [v.shape[1]]}, schema=pa.schema([("ids", pa.binary()), ("vecs", pa.binary()), ("width", pa.int32())]))
+            b = b.filter(b.column(0).is_valid())
+            rows, v = integers(b.column(1), scale)
+            ids = np.asarray(b.column(0).take(pa.array(rows)), dtype=np.int64)
+            asks = np.asarray(pc.fill_null(b.column(2).take(pa.array(rows)), False)).astype(np.uint8)
+            a = 0
+            while a < len(ids):
+                e = min(len(ids), a + BLOCK - sum(len(h[0]) for h in held))
+                held.append((ids[a:e], asks[a:e], v[a:e]))
+                a = e
+                if sum(len(h[0]) for h in held) >= BLOCK:
+                    yield block()
+        if held:
+            yield block()
 
     return run
 
 
-def search(qid_b, q_b, first_query: int, scale: float, k: int):
+def asking(batches):
+    """Blocks of the file with only the vectors that ask; their uids are in cells."""
+    for b in batches:
+        for row in b.to_pylist():
+            at = np.nonzero(np.frombuffer(row["asks"], np.uint8))[0]
+            if len(at):
+                v = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], row["width"])[at]
+                ids = np.frombuffer(row["ids"], np.int64)[at]
+                out = row | {"n": len(at), "ids": ids.tobytes(), "asks": b"", "low": b"", "step": b"", "cells": (row["uid"] + at).astype(np.int64).tobytes(), "vectors": v.tobytes()}
+                yield pa.RecordBatch.from_pydict({k: [x] for k, x in out.items()}, schema=ROWS)
+
+
+def search(k: int):
+    """Rows of GRID, sorted by g, h and kind: a group's queries (kind 0), then its candidates."""
+
     def run(batches):
-        qid, q = qid_b.value, q_b.value
-        best, held, held_ids = Best(len(qid), k), [], []
+        group, held, best, quid, qid, q = None, [], None, None, None, None
 
-        def flush():
-            if not held:
+        def found():
+            if best is None:
                 return
-            width = max([q.shape[1], *(x.shape[1] for x in held)])
-            v, ids, qq = np.concatenate([padded(x, width) for x in held]), np.concatenate(held_ids), padded(q, width)
-            for a in range(0, len(ids), BLOCK):
-                for c in range(0, len(qid), 512):
-                    part = Best.__new__(Best)
-                    part.k, part.score, part.id, part.full = k, best.score[c : c + 512], best.id[c : c + 512], best.full[c : c + 512]
-                    scan_block(part, qid[c : c + 512], qq[c : c + 512], ids[a : a + BLOCK], v[a : a + BLOCK])
-            held.clear()
-            held_ids.clear()
+            row, place = np.nonzero(best.full)
+            yield pa.RecordBatch.from_pydict({"q": pa.array(quid[row], pa.int64()), "query_id": pa.array(qid[row], pa.int64()), "vec_id": pa.array(best.id[row, place], pa.int64()), "score": pa.array(best.score[row, place], pa.int64())})
 
         for b in batches:
-            b = b.filter(b.column(0).is_valid())
-            at, v = integers(b.column(1), scale)
-            if len(at):
-                held.append(v)
-                held_ids.append(np.asarray(b.column(0).take(pa.array(at)), dtype=np.int64))
-                if sum(map(len, held_ids)) >= BLOCK:
-                    flush()
-        flush()
-        row, place = np.nonzero(best.full)
-        yield pa.RecordBatch.from_pydict({"q": pa.array(row + first_query, pa.int64()), "query_id": pa.array(qid[row], pa.int64()), "vec_id": pa.array(best.id[row, place], pa.int64()), "score": pa.array(best.score[row, place], pa.int64())})
+            for row in b.to_pylist():
+                if (row["g"], row["h"]) != group:
+                    yield from found()
+                    group, held, best = (row["g"], row["h"]), [], None
+                v = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], row["width"])
+                ids = np.frombuffer(row["ids"], np.int64)
+                if row["kind"] == 0:
+                    held.append((np.frombuffer(row["cells"], np.int64), ids, v))
+                    continue
+                if held:
+                    width = max(x.shape[1] for _, _, x in held)
+                    quid, qid, q = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), np.concatenate([padded(x[2], width) for x in held])
+                    held, best = [], Best(len(quid), k)
+                if best is None:
+                    continue  # no queries here
+                width, uid = max(q.shape[1], v.shape[1]), row["uid"] + np.arange(row["n"])
+                low, step = (np.frombuffer(row[x], np.float64) for x in ("low", "step"))
+                cells = np.frombuffer(row["cells"], np.uint8).reshape(row["n"], row["width"])
+                more = width - row["width"]
+                near = (np.pad(low, (0, more)), np.pad(step, (0, more)), np.pad(cells, ((0, 0), (0, more))))
+                for a in range(0, len(quid), 512):
+                    part = Best.__new__(Best)
+                    part.k, part.score, part.id, part.full = k, best.score[a : a + 512], best.id[a : a + 512], best.full[a : a + 512]
+                    scan_block(part, quid[a : a + 512], padded(q[a : a + 512], width), uid, ids, padded(v, width), near)
+        yield from found()
 
     return run
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k best candidates of each query row.
+def top_k(rows: DataFrame, asks: Column, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score: the k best rows for each row where asks holds.
 
-    Queries go to the executors in blocks of at most QUERY_BYTES; each block is one pass
-    over the candidates, whose tasks send on only k rows a query.
+    asks: a condition on the id column, under its name.
     """
-    spark = candidates.sparkSession
-    ship(spark)
-    cands = pick(candidates, id_col, vec_col)
-    packed = pick(queries, id_col, vec_col).mapInArrow(pack(scale, 1024), "ids binary, vecs binary, width int")
-    passes, ids, vecs, held, first = [], [], [], 0, 0
-
-    def one_pass():
-        nonlocal ids, vecs, held, first
-        width = max(x.shape[1] for x in vecs)
-        qid, q = np.concatenate(ids), np.concatenate([padded(x, width) for x in vecs])
-        sc = spark.sparkContext
-        passes.append(cands.mapInArrow(search(sc.broadcast(qid), sc.broadcast(q), first, scale, k), "q long, query_id long, vec_id long, score long"))
-        first += len(qid)
-        ids, vecs, held = [], [], 0
-
-    for row in packed.toLocalIterator():
-        i = np.frombuffer(row.ids, np.int64)
-        ids.append(i)
-        vecs.append(np.frombuffer(row.vecs, np.float64).reshape(len(i), row.width))
-        held += len(row.vecs)
-        if held >= QUERY_BYTES:
-            one_pass()
-    if ids:
-        one_pass()
-    if not passes:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = passes[0]
-    for p in passes[1:]:
-        found = found.unionByName(p)
+    ship(rows.sparkSession)
+    picked = pick(rows, id_col, vec_col)
+    file = stored(picked.withColumn("_asks", asks).mapInArrow(approximate(scale), FILE), "vector-file")
+    queries = stored(file.mapInArrow(asking, FILE), "vector-queries")
+    size = lambda df, limit: max(1, -(-int(df.agg(F.sum(F.length("vectors"))).first()[0] or 0) // limit))
+    gs, hs = size(file, GROUP_BYTES), size(queries, QUERY_BYTES)
+    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    own = lambda n, name: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int").alias(name)
+    asked = queries.select(own(hs, "h"), F.lit(0).alias("kind"), *ROWS.names).select("*", every(gs, "g")).select(GRID_COLS)
+    given = file.select(own(gs, "g"), F.lit(1).alias("kind"), *ROWS.names).select("*", every(hs, "h")).select(GRID_COLS)
+    grid = asked.union(given).repartition("g", "h").sortWithinPartitions("g", "h", "kind")
+    found = grid.mapInArrow(search(k), "q long, query_id long, vec_id long, score long")
     w = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
