@@ -39,8 +39,9 @@ from .common import pick, release, ship, slices, stored, text_chunks
 from .shingles import U, exact_sets, mix, sequence, shingle_sets
 
 BINS, MISS = 128, 1e-6
-#: Shingles of a slice of a star's members, and elements of a slice of their differences, about.
-SLICE, PART = 600_000, 600_000
+#: Shingles of a slice of a star's members, ROW more for each, and elements of a slice of their
+#: differences, about: a slice has some hundred members, beside which the centre counts little.
+SLICE, ROW, PART = 150_000, 500, 600_000
 #: Bytes of text that are hashed together, about.
 TEXT = 1 << 20
 #: Ids sent along to every task at most (three numbers each).
@@ -239,8 +240,8 @@ def part_links(percent: int):
 
 
 def stars(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows of STAR for pairs center, node, in slices of about SLICE shingles."""
-    weigh = pairs.join(sizes, "node").groupBy("center").agg(F.ceil(F.sum("n") / F.lit(SLICE)).cast("int").alias("slices"))
+    """Rows of STAR for pairs center, node, in slices of about SLICE."""
+    weigh = pairs.join(sizes, "node").groupBy("center").agg(F.ceil(F.sum(F.col("n") + ROW) / F.lit(SLICE)).cast("int").alias("slices"))
     weigh = stored(weigh, "near-slices")
     members = pairs.join(weigh, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"), "slices")
     centers = weigh.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "slices")
