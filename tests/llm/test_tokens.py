@@ -185,12 +185,54 @@ def test_rollup_follows_changes(spark, tmp_path):
     assert not store.commit("a", c((1, "s", "en", "v", 10, "insert", "")))
     assert not store.commit("b", c((1, "t", "en", "v", 7, "revise", "")))
     assert total() == [("s", "en", 1, 5), ("t", "en", 1, 7)]
-    # a batch that failed before its mark left files; it runs again and counts once
-    c((2, "s", "en", "v", 99, "insert", "")).toDF(*"abcdefg").write.parquet(f"file://{tmp_path}/r/ledger/c")
+    # a batch that failed before its entry left files; it runs again and counts once
+    store._write(spark.createDataFrame([(2, "v", "s", "en", 99, 1, 3)], rollup.LEDGER))
+    assert total() == [("s", "en", 1, 5), ("t", "en", 1, 7)]
     assert store.commit("c", c((2, "s", "en", "v", 1, "delete", ""), (2, "s", "en", "v", 4, "revise", ""), (2, "s", "en", "v", 6, "revise", "")))
     assert total() == [("s", "en", 1, 6), ("t", "en", 1, 7)]
     assert sorted((r.doc_id, r.n_tokens) for r in store.current().collect()) == [(1, 7), (2, 6)]
     assert store.commit("d", c()) and total() == [("s", "en", 1, 6), ("t", "en", 1, 7)]
+    assert store.compact() and total() == [("s", "en", 1, 6), ("t", "en", 1, 7)] and len(store.live(store.log())) == 1
+    assert not store.commit("a", c((1, "s", "en", "v", 10, "insert", "")))
+    assert store.commit("e", c((1, "t", "en", "v", 8, "revise", ""))) and total() == [("s", "en", 1, 6), ("t", "en", 1, 8)]
+
+
+@pytest.mark.parametrize("other", ["same", "different"])
+def test_two_writers(spark, tmp_path, other):
+    """One that comes between a writer's reading and its commit: each batch counts once, on top of the other."""
+    c = lambda *rows: spark.createDataFrame(rows, "doc_id long, source string, lang string, tokenizer_version string, n_tokens long, change string")
+    folder = f"file://{tmp_path}/{other}"
+    assert rollup.TokenRollup(spark, folder).commit("load", c((1, "s", "en", "v", 10, "insert"), (2, "s", "en", "v", 5, "insert")))
+
+    class Slow(rollup.TokenRollup):
+        tries = 0
+
+        def _append(self, entry):
+            self.tries += 1
+            if self.tries == 1:
+                change = (1, "s", "en", "v", 7, "revise") if other == "same" else (1, "t", "en", "v", 20, "revise")
+                assert rollup.TokenRollup(spark, folder).commit("x" if other == "same" else "y", c(change))
+            return super()._append(entry)
+
+    slow = Slow(spark, folder)
+    assert slow.commit("x", c((1, "s", "en", "v", 7, "revise"))) == (other == "different")
+    assert {(r.source, r.n_docs, r.n_tokens) for r in slow.totals().collect()} == {("s", 2, 12)}
+    assert sorted((r.doc_id, r.n_tokens) for r in slow.current().collect()) == [(1, 7), (2, 5)]
+    assert len([e for e in slow.log() if e["batch"] == "x"]) == 1
+    import os
+
+    assert len(os.listdir(f"{tmp_path}/{other}/ledger")) == len(slow.log())
+
+
+def test_the_ledger_is_rewritten_after_some_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rollup, "COMPACT", 3)
+    store = rollup.TokenRollup(spark, f"file://{tmp_path}/r")
+    c = lambda *rows: spark.createDataFrame(rows, "doc_id long, source string, lang string, tokenizer_version string, n_tokens long, change string")
+    for k in range(7):
+        assert store.commit(f"b{k}", c((k % 3, "s", "en", "v", k, "revise")))
+        assert len(store.live(store.log())) <= 4
+    assert sorted((r.doc_id, r.n_tokens) for r in store.current().collect()) == [(0, 6), (1, 4), (2, 5)]
+    assert [(r.n_docs, r.n_tokens) for r in store.totals().collect()] == [(3, 15)]
 
 
 def test_maintained_equals_counting_again(spark, awkward, empty, tmp_path):

@@ -3,9 +3,17 @@
 A store is a folder in shared storage. A batch of changes (insert, revise, delete) becomes
 signed ledger rows: what a changed document counted before with -1, what it counts now
 with +1. Their sums by group are the batch's delta, and totals are the sum of the deltas
-of all committed batches. A batch counts once its commit file exists, which is created
-last and only if absent; so a batch that failed half-way can run again, and one that was
-committed is ignored when it comes again.
+of all committed batches.
+
+A batch is written under a name of its own and counts once an entry of the log has it. The
+entry's number is the length of the log that the batch was computed from, and it is created
+only if it is absent; so of two writers one wins, and the other computes its rows anew from
+the longer log, or finds its batch there and stops. A batch that failed half-way is in no
+entry and can run again; one that was committed is ignored when it comes again.
+
+The ledger is written in BUCKETS by a hash of its key, and a batch reads only the buckets
+that its documents fall into. After COMPACT batches the ledger is rewritten to what is
+current, and their deltas to their sum.
 
 Defined results: a document has one count per tokenizer version, an insert of a known one
 revises it, a deletion of an unknown one does nothing; of several changes of a document in
@@ -16,60 +24,141 @@ languages are values like any other; a null text has no tokens; no changes give
 from __future__ import annotations
 
 import base64
+import json
+import os
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, hadoop_fs, new_folder, pick, ship, text_chunks
+from .common import WORD, hadoop_fs, new_folder, pick, ship, stored, text_chunks
 
 KEY = ["doc_id", "tokenizer_version"]
 GROUP = ["source", "lang", "tokenizer_version"]
-LEDGER = "doc_id long, tokenizer_version string, source string, lang string, n_tokens long, sign int"
+COUNT = ["doc_id", "tokenizer_version", "source", "lang", "n_tokens"]
+LEDGER = "doc_id long, tokenizer_version string, source string, lang string, n_tokens long, sign int, bucket int"
 DELTA = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
+BUCKETS, COMPACT = 64, 24
 
 
 class TokenRollup:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def committed(self) -> list[str]:
-        fs, path = hadoop_fs(self.spark, f"{self.folder}/commits")
-        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+    def log(self) -> list[dict]:
+        """The entries in their order: batch, folder, and whether it replaces all before it."""
+        fs, path = hadoop_fs(self.spark, f"{self.folder}/log")
+        if not fs.exists(path) or not fs.listStatus(path):
+            return []
+        rows = self.spark.read.text(f"{self.folder}/log", wholetext=True).collect()
+        return sorted((json.loads(r.value) for r in rows), key=lambda e: e["version"])
+
+    def live(self, log: list[dict]) -> list[str]:
+        """Names of what counts: from the last entry that replaces the others."""
+        first = max([k for k, e in enumerate(log) if e["replaces"]], default=0)
+        return [e["folder"] for e in log[first:]]
+
+    def _append(self, entry: dict) -> bool:
+        """Creates the entry's file if it is absent, whole or not at all. False if another writer was first."""
+        text = json.dumps(entry).encode()
+        fs, mark = hadoop_fs(self.spark, f"{self.folder}/log/{entry['version']:012d}.json")
+        fs.mkdirs(mark.getParent())
+        uri = fs.makeQualified(mark).toUri()
+        if uri.getScheme() == "file":
+            own = os.path.join(os.path.dirname(uri.getPath()), f"_{uuid.uuid4().hex}")
+            with open(own, "wb") as f:
+                f.write(text)
+            try:
+                os.link(own, uri.getPath())
+            except FileExistsError:
+                return False
+            finally:
+                os.unlink(own)
+            return True
+        try:
+            out = fs.create(mark, False)
+        except Exception:
+            if fs.exists(mark):
+                return False
+            raise
+        out.write(text)
+        out.close()
+        return True
 
-    def _read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.folder}/{kind}/{b}" for b in self.committed()]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+    def _ledger(self, log: list[dict]) -> DataFrame:
+        """The live ledger rows; the folders of buckets that a filter leaves out are not read."""
+        root = f"{self.folder}/ledger"
+        roots = [f"{root}/batch={f}" for f in self.live(log)]
+        if not roots:
+            return self.spark.createDataFrame([], LEDGER)
+        return self.spark.read.schema(f"{LEDGER}, batch string").option("basePath", root).parquet(*roots).drop("batch")
+
+    def _deltas(self, log: list[dict]) -> DataFrame:
+        roots = [f"{self.folder}/delta/{f}" for f in self.live(log)]
+        rows = self.spark.read.schema(DELTA).parquet(*roots) if roots else self.spark.createDataFrame([], DELTA)
+        return rows.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
 
     def current(self) -> DataFrame:
         """The count of every document that is in."""
-        cols = [c for c in ("doc_id", "tokenizer_version", "source", "lang", "n_tokens")]
-        return self._read("ledger", LEDGER).groupBy(*cols).agg(F.sum("sign").alias("_n")).where("_n > 0").drop("_n")
+        return standing(self._ledger(self.log())).select(*COUNT)
 
     def totals(self) -> DataFrame:
-        t = self._read("deltas", DELTA).groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return t.where("n_docs <> 0 or n_tokens <> 0")
+        return self._deltas(self.log())
+
+    def _write(self, ledger: DataFrame, delta: DataFrame | None = None) -> str:
+        """Writes ledger rows and their delta under a new name."""
+        name = uuid.uuid4().hex
+        ledger.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/ledger/batch={name}")
+        if delta is None:
+            rows = self.spark.read.schema(LEDGER).parquet(f"{self.folder}/ledger/batch={name}")
+            delta = rows.groupBy(*GROUP).agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("n_tokens"))
+        delta.write.parquet(f"{self.folder}/delta/{name}")
+        return name
+
+    def _drop(self, name: str) -> None:
+        for path in (f"ledger/batch={name}", f"delta/{name}"):
+            fs, at = hadoop_fs(self.spark, f"{self.folder}/{path}")
+            fs.delete(at, True)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """changes: doc_id, source, lang, tokenizer_version, n_tokens, change. False if it was in."""
-        fs, mark = hadoop_fs(self.spark, f"{self.folder}/commits/{batch}")
-        if fs.exists(mark):
+        if any(e["batch"] == batch for e in self.log()):
             return False
         state = F.struct((F.col("change") != "delete").alias("stays"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "source", "lang")
-        new = pick(changes, "doc_id", "source", "lang", "tokenizer_version", "n_tokens", "change").groupBy(*KEY).agg(F.max(state).alias("s"))
-        new = new.select(F.col("doc_id").cast("long").alias("doc_id"), "tokenizer_version", "s.*")
-        plus = new.where("stays").select("doc_id", "tokenizer_version", "source", "lang", "n_tokens", F.lit(1).alias("sign"))
-        rows = plus
-        if self.committed():
-            old, keys = self.current().alias("o"), new.select(*KEY).alias("k")
-            same = F.col("o.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("o.tokenizer_version").eqNullSafe(F.col("k.tokenizer_version"))
-            rows = plus.union(old.join(keys, same, "left_semi").select("doc_id", "tokenizer_version", "source", "lang", "n_tokens", F.lit(-1)))
-        rows.write.mode("overwrite").parquet(f"{self.folder}/ledger/{batch}")
-        ledger = self.spark.read.schema(LEDGER).parquet(f"{self.folder}/ledger/{batch}")
-        delta = ledger.groupBy(*GROUP).agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("n_tokens"))
-        delta.write.mode("overwrite").parquet(f"{self.folder}/deltas/{batch}")
-        fs.create(mark, False).close()  # fails if another writer was first
-        return True
+        new = pick(changes, "doc_id", "source", "lang", "tokenizer_version", "n_tokens", "change").withColumn("doc_id", F.col("doc_id").cast("long"))
+        new = new.groupBy(*KEY).agg(F.max(state).alias("s")).select(*KEY, "s.*")
+        new = stored(new.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int")), "rollup-batch")
+        plus = new.where("stays").select(*COUNT, F.lit(1).alias("sign"), "bucket")
+        while True:
+            log, rows = self.log(), plus
+            if any(e["batch"] == batch for e in log):
+                return False
+            if log:
+                touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+                old, keys = standing(self._ledger(log).where(F.col("bucket").isin(touched))).alias("o"), new.select(*KEY).alias("k")
+                same = F.col("o.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("o.tokenizer_version").eqNullSafe(F.col("k.tokenizer_version"))
+                rows = plus.union(old.join(keys, same, "left_semi").select(*COUNT, F.lit(-1).alias("sign"), "bucket"))
+            name = self._write(rows)
+            if self._append({"version": len(log), "batch": batch, "folder": name, "replaces": False}):
+                if len(self.live([*log, {"folder": name, "replaces": False}])) > COMPACT:
+                    self.compact()
+                return True
+            self._drop(name)
+
+    def compact(self) -> bool:
+        """Replaces the live folders by what they add up to. False if another writer came between."""
+        log = self.log()
+        name = self._write(standing(self._ledger(log)).select(*COUNT, F.lit(1).alias("sign"), "bucket"), self._deltas(log))
+        done = self._append({"version": len(log), "batch": None, "folder": name, "replaces": True})
+        if not done:
+            self._drop(name)
+        return done
+
+
+def standing(ledger: DataFrame) -> DataFrame:
+    """The ledger's rows that weren't taken back."""
+    return ledger.groupBy(*COUNT, "bucket").agg(F.sum("sign").alias("_n")).where("_n > 0").drop("_n")
 
 
 _CODERS: dict = {}
@@ -125,8 +214,9 @@ def maintained(docs: DataFrame, version: str, path: str | None = None, pattern:
     repeats = plain.where(F.size(F.array_distinct(lines)) < F.size(lines)).withColumn("text", without_repeated_lines(F.col("text")))
     revised = count(repeats, "revise")
     store.commit("2-lines", revised)
-    keyed = plain.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"))
+    keyed = stored(plain.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")), "rollup-keys")
     first = keyed.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    first = stored(first, "rollup-first")  # written, so that a text with very many copies can be split in the join
     copies = keyed.join(first, "key").where("doc_id > first").select("doc_id", "source", "lang")
     store.commit("3-copies", copies.select("*", F.lit(version).alias("tokenizer_version"), F.lit(0).cast("long").alias("n_tokens"), F.lit("delete").alias("change")))
     store.commit("2-lines", revised)
