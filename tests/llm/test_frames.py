@@ -82,8 +82,9 @@ def alike(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def held_against(rows, got):
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+def held_against(spark, rows, got):
+    hashes = {r.t: r.h for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1] or ""]))
     texts = [t or "" for _, t in order]
     want = []
     for k, t in enumerate(texts):
@@ -101,13 +102,13 @@ def test_fingerprints_equal_sets(spark, monkeypatch, cells):
     pool = [" ".join(f"é{r.randint(0, 99)}" for _ in range(r.randint(1, 6))) + r.choice(".!?") for _ in range(200)]
     rows = [(i * 3, r.choice(["\n", " "]).join(r.choices(pool, k=r.randint(0, 60)))) for i in range(80)] + [(1000, pool[0] + "\n" + "\n".join(pool))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    held_against(rows, fingerprint.fingerprints(df).collect())
+    held_against(spark, rows, fingerprint.fingerprints(df).collect())
 
 
 def test_equal_texts_have_equal_fingerprints(spark, awkward, empty):
     rows = [(r.doc_id, r[1]) for r in awkward.collect()]
     got = fingerprint.fingerprints(awkward).collect()
-    held_against(rows, got)
+    held_against(spark, rows, got)
     text = dict(rows)
     by = {}
     for r in got:
@@ -129,11 +130,42 @@ def test_peeling_recovers_the_difference(spark):
 
 
 def test_blocks_ascend(spark):
-    ids = spark.createDataFrame([(i * i,) for i in range(500)] + [(None,), (7,), (7,)], "doc_id long")
-    rows = fingerprint.blocks(ids, 300).collect()
-    known = sorted((r.doc_id, r.block) for r in rows if r.doc_id is not None)
-    assert [b for _, b in known] == sorted(b for _, b in known) and len({b for d, b in known if d == 7}) == 1
-    assert {r.block for r in rows if r.doc_id is None} == {-1}
+    ids = [(i * i, i) for i in range(500)] + [(None, k * 10**16) for k in range(-300, 300)] + [(7, k * 10**16) for k in range(-400, 400)]
+    rows = fingerprint.blocks(spark.createDataFrame(ids, "doc_id long, tie long"), 300).collect()
+    known = sorted((r.doc_id, r.tie, r.block) for r in rows if r.doc_id is not None)
+    assert [b for *_, b in known] == sorted(b for *_, b in known)
+    null = sorted((r.tie, r.block) for r in rows if r.doc_id is None)
+    assert [b for _, b in null] == sorted(b for _, b in null) and max(b for _, b in null) < known[0][2]
+    # null ids and a repeated id are spread
+    assert len({b for _, b in null}) > 20 and len({b for d, _, b in known if d == 7}) > 20
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_rows_of_one_id(spark, monkeypatch, doc_id):
+    """They lie in several blocks, in one order."""
+    r = random.Random(2)
+    rows = [(doc_id, f"line {r.randint(0, 40)}.\nline {r.randint(0, 40)}. {i}") for i in range(150)] + [(i, f"text {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(fingerprint, "BLOCK_CHARS", 50)
+    held_against(spark, rows, fingerprint.fingerprints(df).collect())
+    tied = fingerprint.with_next(df).where("end = 0").groupBy("block").count().collect()
+    assert len(tied) > 10
+
+
+def test_stored_sketches_are_subtracted_later(spark, tmp_path):
+    r = random.Random(5)
+    pool = [f"paragraph {i} has words." for i in range(300)]
+    old = {i: r.sample(pool, r.randint(0, 30)) for i in range(40)} | {None: pool[:3]}
+    new = {i: [p for p in t if r.random() > 0.1] + r.sample(pool, 2) for i, t in old.items() if i != 3} | {99: pool[:5]}
+    df = lambda of: spark.createDataFrame([(i, "\n".join(t)) for i, t in of.items()], "doc_id long, text string")
+    for name, of in (("old", old), ("new", new)):
+        fingerprint.sketch_table(df(of)).write.parquet(f"file://{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"file://{tmp_path}/{n}") for n in ("old", "new"))
+    assert {x.doc_id: x.n_digests for x in a.collect()} == {i: len(set(t)) for i, t in old.items()}
+    got = {x.doc_id: (x.found, x.left) for x in fingerprint.differences(a, b).collect()}
+    assert got == {i: (len(set(old.get(i, [])) ^ set(new.get(i, []))), 0) for i in old.keys() | new.keys()}
+    small = fingerprint.differences(fingerprint.sketch_table(df(old), 2), fingerprint.sketch_table(df(new), 2), 2)
+    assert small.where("left > 0").count() > 0
 
 
 def test_no_python_in_the_plan(spark, awkward):
@@ -141,6 +173,7 @@ def test_no_python_in_the_plan(spark, awkward):
     plan = df._jdf.queryExecution().executedPlan().toString()
     rows = spark.createDataFrame([], "block long, rid int, own array<long>, edited array<long>")
     plan += fingerprint.peeled(fingerprint.subtracted(fingerprint.sketches(rows, 8), True), 8)._jdf.queryExecution().executedPlan().toString()
+    plan += fingerprint.differences(fingerprint.sketch_table(awkward), fingerprint.sketch_table(awkward))._jdf.queryExecution().executedPlan().toString()
     plan += fingerprint.with_next(awkward)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 

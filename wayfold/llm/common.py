@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -37,19 +38,30 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"_p{i}").alias(n) for i, n in zip(at, names, strict=True)])
 
 
+def text_batches(spark: SparkSession) -> None:
+    """For applications: Arrow batches of 500 rows where the session has Spark's 10,000, as rows
+    hold whole texts or blocks. Operators leave the session as it is."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir where it is set.
 
-    Only where it is unset (tests, local mode) a folder of this machine is set instead.
+    Only where it is unset and driver and executors are one process (local mode, as in
+    tests) a folder of this machine is set instead; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir isn't set: executors and driver need a shared folder")
         base = "file://" + tempfile.mkdtemp(prefix="wayfold-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -87,8 +99,6 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Makes this package importable on the executors, whatever their Python path is."""
     sc = spark.sparkContext
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")  # rows hold whole texts
     if sc.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent

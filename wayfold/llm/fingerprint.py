@@ -5,14 +5,20 @@ A text's paragraphs are its lines, cut further at sentence ends; each distinct o
 each, which keeps how many fell there, the exclusive or of the digests and that of their
 checks. Subtracting two sketches cell by cell leaves only what differs; a cell that holds
 one digest gives it away, and taking it out of its other cells frees more (peeling).
-Where cells remain, both texts are sketched anew with GROW times the cells.
+Where cells remain, both texts are sketched anew with GROW times the cells and other hashes,
+until every difference is peeled.
 
 All of it is DataFrame work. Documents lie in blocks of neighbouring ids, each wholly in
 one partition: the next document, sketches, differences and every round of peeling need
-no further shuffle, and no text moves more than once.
+no further shuffle, and no text moves more than once. There are as many blocks as the text
+needs; null ids, and an id that very many rows share, are spread over blocks by a hash of
+the text.
 
-Defined results: a null text is empty; null ids come first, in one block; rows with equal
-ids follow in the order of their texts; the last row's next is the first, so a single row
+sketch_table keeps the cells themselves, and differences subtracts two such tables, of
+two versions of a collection say, that were made at any time.
+
+Defined results: a null text is empty; null ids come first; rows with equal ids follow in
+the order of a hash of their texts; the last row's next is the first, so a single row
 is its own next; two texts without paragraphs are alike (1.0).
 """
 
@@ -23,12 +29,16 @@ from pyspark.sql import functions as F
 
 from .common import pick, shuffle_partitions, stored
 
-TABLES, CELLS, GROW, ROUNDS = 3, 64, 8, 12
-#: Paragraph digests a partition of the sketching work has, about.
-DIGESTS = 150_000
+TABLES, CELLS, GROW = 3, 64, 8
+#: Rounds of peeling, a table each: for all pairs, and for those that are sketched anew.
+ROUNDS, MORE_ROUNDS = 6, 12
+#: Characters a block has, and paragraph digests a partition of the sketching work, about.
+BLOCK_CHARS, DIGESTS = 2_000_000, 150_000
+#: Quantiles of the ids that are fetched; more blocks divide their gaps evenly.
+QUANTILES = 1024
+#: Blocks whose first rows' ids are sent along to every task at most.
+BROADCAST_BLOCKS = 500_000
 BREAKS = "\\n|(?<=[.!?])[ \\t\\r]+"
-#: Past so many cells a digest of the pair, peeling is given up for a set difference.
-ENOUGH = 64
 
 
 def digests(text):
@@ -37,35 +47,49 @@ def digests(text):
 
 
 def blocks(rows: DataFrame, n: int) -> DataFrame:
-    """rows with a block: a step function of doc_id with about equal numbers of rows.
+    """rows with a block: a step function of doc_id and tie with about equal numbers of rows.
 
-    At most 256 quantiles of the ids are fetched; more blocks divide their gaps evenly.
+    An id that takes up several quantiles is spread by tie, a 64-bit hash; so are null ids.
     """
-    coarse = min(n, 256)
+    coarse = min(n, QUANTILES)
+    nulls, total = rows.agg(F.count_if(F.col("doc_id").isNull()), F.count("*")).first()
+    quantiles = rows.where("doc_id is not null").select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / coarse for i in range(coarse + 1)], 0.2 / coarse)
     fine = -(-n // coarse)
-    bounds = sorted(set(rows.where("doc_id is not null").select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / coarse for i in range(coarse + 1)], 0.0005)))
+    bounds = sorted(set(quantiles))
+    times = [quantiles.count(b) for b in bounds]
+    share = (F.col("tie") / F.lit(2.0**64) + 0.5) * F.lit(1 - 1e-12)  # from 0 to 1
+    apart = lambda k: F.floor(share * k).cast("long")
+    of_null = F.lit(-(1 << 40)).cast("long") + apart(F.lit(max(1, -(-n * int(nulls or 0) // max(int(total or 0), 1)))))
     if not bounds:
-        return rows.withColumn("block", F.lit(-1).cast("long"))
-    edges = F.array(*[F.lit(b) for b in bounds])
+        return rows.withColumn("block", of_null)
+    edges, held = F.array(*[F.lit(b) for b in bounds]), F.array(*[F.lit(fine * t) for t in times])
     at = F.size(F.filter(edges, lambda b: b <= F.col("doc_id")))
     low, high = F.element_at(edges, F.greatest(at, F.lit(1))), F.element_at(edges, F.least(at + 1, F.lit(len(bounds))))
     inside = F.when((at < 1) | (high <= low), 0).otherwise(F.least(F.floor((F.col("doc_id") - low) / (high - low) * fine), F.lit(fine - 1)))
-    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(at * fine + inside).cast("long"))
+    # an id with a block of its own: a step before the ids that follow it
+    width = fine * (max(times) + 1)
+    heavy = (at >= 1) & (F.col("doc_id") == low) & (F.element_at(held, F.greatest(at, F.lit(1))) > 2 * fine)
+    own = at * width + apart(F.element_at(held, F.greatest(at, F.lit(1))))
+    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), of_null).when(heavy, own).otherwise(at * width + fine * max(times) + inside).cast("long"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """block, rid (place in the block), doc_id, text, next; the block's last row is followed by
     a row without id and next, which stands for the first row of the next block."""
-    n = shuffle_partitions(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = blocks(rows, 4 * n)
-    # one row a block, of which there are at most a fixed number: small enough to send along
-    least = rows.groupBy("block").agg(F.min("doc_id").alias("least")).withColumnRenamed("block", "b")
-    first = rows.join(F.broadcast(least), (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("block").agg(F.min("text").alias("text"))
-    order = Window.orderBy("block")
-    ends = first.select("block", F.coalesce(F.lead("text").over(order), F.first("text").over(order)).alias("text"))
-    every = rows.select("block", F.lit(0).alias("end"), "doc_id", "text").union(ends.select("block", F.lit(1), F.lit(None).cast("long"), "text"))
-    w = Window.partitionBy("block").orderBy("end", F.asc_nulls_first("doc_id"), "text")
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    rows = blocks(rows, max(4 * shuffle_partitions(docs.sparkSession), int(chars // BLOCK_CHARS)))
+    # the first row of each block: a row a block, without its text but for the few that it names
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
+    least = rows.groupBy("block").agg(F.min(order).alias("m")).select(F.col("block").alias("b"), F.col("m.doc_id").alias("least"), F.col("m.tie").alias("least_tie"))
+    least = stored(least, "print-firsts")
+    side = F.broadcast(least) if least.count() <= BROADCAST_BLOCKS else least
+    first = rows.join(side, (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("tie") == F.col("least_tie"))).groupBy("block").agg(F.min("text").alias("text"))
+    by_block = Window.orderBy("block")
+    ends = first.select("block", F.coalesce(F.lead("text").over(by_block), F.first("text").over(by_block)).alias("text"))
+    every = rows.select("block", F.lit(0).alias("end"), "doc_id", "tie", "text").union(ends.select("block", F.lit(1), F.lit(None).cast("long"), F.lit(0).cast("long"), "text"))
+    w = Window.partitionBy("block").orderBy("end", F.asc_nulls_first("doc_id"), "tie", "text")
     return every.select("block", "end", F.row_number().over(w).alias("rid"), "doc_id", "text", F.lead("text").over(w).alias("next"))
 
 
@@ -79,8 +103,8 @@ def row(cell, n, key, check):
     return F.struct(cell.cast("int").alias("cell"), n.cast("int").alias("n"), key.alias("key"), check.alias("chk"))
 
 
-def check_of(key):
-    return F.xxhash64(key, F.lit(77))
+def check_of(key, cells: int):
+    return F.xxhash64(key, F.lit(77), F.lit(cells))
 
 
 def cell_of(key, table: int, cells: int):
@@ -89,12 +113,14 @@ def cell_of(key, table: int, cells: int):
 
 def sketches(rows: DataFrame, cells: int) -> DataFrame:
     """block, rid, version (0: text, 1: edited), cell, n, key, chk of the cells that hold something."""
-    d = rows.select("block", "rid", F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("own").alias("keys")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("keys")))).alias("v")).select("block", "rid", "v.version", F.explode("v.keys").alias("key"))
-    d = d.withColumn("chk", check_of(F.col("key"))).select("*", F.explode(F.array(*[cell_of(F.col("key"), t, cells) for t in range(TABLES)])).alias("cell"))
+    both = F.array(F.struct(F.lit(0).alias("version"), F.col("own").alias("keys")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("keys")))
+    d = rows.select("block", "rid", F.explode(both).alias("v")).select("block", "rid", "v.version", F.explode("v.keys").alias("key"))
+    d = d.withColumn("chk", check_of(F.col("key"), cells)).select("*", F.explode(F.array(*[cell_of(F.col("key"), t, cells) for t in range(TABLES)])).alias("cell"))
     return d.groupBy("block", "rid", "version", "cell").agg(F.count("*").cast("int").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("chk").alias("chk"))
 
 
 PAIR_EDITED, PAIR_NEXT, PRINT = 0, 1, 2
+PLACE = ["block", "rid", "pair"]
 
 
 def subtracted(cells: DataFrame, prints: bool) -> DataFrame:
@@ -112,31 +138,31 @@ def subtracted(cells: DataFrame, prints: bool) -> DataFrame:
     return summed(d)
 
 
-def summed(d: DataFrame) -> DataFrame:
-    d = d.groupBy("block", "rid", "pair", "cell").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("chk").alias("chk"))
+def summed(d: DataFrame, by: list[str] = PLACE) -> DataFrame:
+    d = d.groupBy(*by, "cell").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("chk").alias("chk"))
     return d.where("cell < 0 or n <> 0 or key <> 0 or chk <> 0")
 
 
-def peeled(d: DataFrame, cells: int) -> DataFrame:
+def peeled(d: DataFrame, cells: int, rounds: int = MORE_ROUNDS, by: list[str] = PLACE) -> DataFrame:
     """Rounds of peeling, a table at a time, so that no digest is found twice in a round.
 
     Cell -1 of a pair counts the digests that were recovered.
     """
-    for k in range(ROUNDS):
+    for k in range(rounds):
         t = k % TABLES
         key, pure = F.col("key"), F.floor(F.col("cell") / cells) == t
-        pure = (F.col("pair") < PRINT) & (F.col("cell") >= 0) & pure & (F.abs("n") == 1) & (F.col("chk") == check_of(key)) & (F.col("cell") == cell_of(key, t, cells))
+        pure = (F.col("pair") < PRINT) & (F.col("cell") >= 0) & pure & (F.abs("n") == 1) & (F.col("chk") == check_of(key, cells)) & (F.col("cell") == cell_of(key, t, cells))
         taken = [row(cell_of(key, o, cells), -F.col("n"), key, F.col("chk")) for o in range(TABLES) if o != t]
         found = row(F.lit(-1), F.lit(1), F.lit(0).cast("long"), F.lit(0).cast("long"))
         same = row(F.col("cell"), F.col("n"), key, F.col("chk"))
-        d = summed(d.select("block", "rid", "pair", F.explode(F.when(pure, F.array(*taken, found)).otherwise(F.array(same))).alias("x")).select("block", "rid", "pair", "x.*"))
+        d = summed(d.select(*by, F.explode(F.when(pure, F.array(*taken, found)).otherwise(F.array(same))).alias("x")).select(*by, "x.*"), by)
     return d
 
 
-def outcome(d: DataFrame) -> DataFrame:
+def outcome(d: DataFrame, by: list[str] = PLACE) -> DataFrame:
     """block, rid, pair, found, left (cells that still hold something), key, chk."""
     last = F.col("cell") < 0
-    return d.groupBy("block", "rid", "pair").agg(F.sum(F.when(last, F.col("n")).otherwise(0)).alias("found"), F.sum(F.when(last, 0).otherwise(1)).alias("left"), F.bit_xor(F.when(last, F.col("key"))).alias("key"), F.bit_xor(F.when(last, F.col("chk"))).alias("chk"))
+    return d.groupBy(*by).agg(F.sum(F.when(last, F.col("n")).otherwise(0)).alias("found"), F.sum(F.when(last, 0).otherwise(1)).alias("left"), F.bit_xor(F.when(last, F.col("key"))).alias("key"), F.bit_xor(F.when(last, F.col("chk"))).alias("chk"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -148,7 +174,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum(F.size("own") + F.size("edited"))).first()[0] or 0
     parts = max(shuffle_partitions(spark), int(total // DIGESTS))
     placed = rows.select("block", "rid", "own", "edited").repartition(parts, "block")
-    level = stored(outcome(peeled(subtracted(sketches(placed, CELLS), prints=True), CELLS)), "print-pairs")
+    level = stored(outcome(peeled(subtracted(sketches(placed, CELLS), prints=True), CELLS, ROUNDS)), "print-pairs")
     prints = level.where(F.col("pair") >= PRINT)
     pairs = level.where(F.col("pair") < PRINT).select("block", "rid", "pair", "found", "left")
     done, failed = [pairs.where("left = 0").select("block", "rid", "pair", "found")], pairs.where("left > 0").select("block", "rid", "pair")
@@ -158,9 +184,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         # both texts of a failed pair: its row, and for the next text the row after
         wanted = failed.select("block", "rid").union(failed.where(F.col("pair") == PAIR_NEXT).select("block", F.col("rid") + 1)).distinct()
         some = rows.select("block", "rid", "own", "edited").join(wanted, ["block", "rid"], "left_semi")
-        if cells > ENOUGH * (some.agg(F.max(F.size("own") + F.size("edited"))).first()[0] or 0):
-            done.append(by_sets(rows, failed))
-            break
         some = some.repartition(parts, "block")
         again = outcome(peeled(subtracted(sketches(some, cells), prints=False), cells)).select("block", "rid", "pair", "found", "left")
         level = stored(failed.join(again, ["block", "rid", "pair"], "left").fillna(0, ["found", "left"]), "print-pairs")
@@ -172,11 +195,30 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return described(rows, results, prints)
 
 
-def by_sets(rows: DataFrame, failed: DataFrame) -> DataFrame:
-    a = failed.join(rows.select("block", "rid", "own", "edited"), ["block", "rid"])
-    b = rows.select("block", (F.col("rid") - 1).alias("rid"), F.col("own").alias("after"))
-    j = a.join(b, ["block", "rid"], "left").withColumn("other", F.when(F.col("pair") == PAIR_EDITED, F.col("edited")).otherwise(F.col("after")))
-    return j.select("block", "rid", "pair", (F.size(F.array_except("own", "other")) + F.size(F.array_except("other", "own"))).cast("long").alias("found"))
+def sketch_table(docs: DataFrame, cells: int = CELLS) -> DataFrame:
+    """doc_id, n_digests, cells: each document's sketch itself, to be stored and subtracted later.
+
+    Rows of one id are one document, whose paragraphs are those of all its rows; a null id is
+    an id like any other."""
+    rows = pick(docs, "doc_id", "text").select("doc_id", F.explode_outer(digests(F.coalesce("text", F.lit("")))).alias("key")).distinct()
+    d = rows.withColumn("chk", check_of(F.col("key"), cells)).select("*", F.explode(F.array(*[cell_of(F.col("key"), t, cells) for t in range(TABLES)])).alias("cell"))
+    held = d.groupBy("doc_id", "cell").agg(F.count("key").cast("int").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("chk").alias("chk"))
+    one = F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("cell", "n", "key", "chk"))))
+    return held.groupBy("doc_id").agg((F.sum("n") / TABLES).cast("long").alias("n_digests"), one.alias("cells"))
+
+
+def differences(before: DataFrame, after: DataFrame, cells: int = CELLS) -> DataFrame:
+    """doc_id, found, left of two sketch tables: how many digests differ, and the cells that are
+    left where the sketches are too small for them (make larger ones then). An id that only one
+    table has is held against an empty text."""
+    side = lambda df, sign: df.select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.cell", (F.col("c.n") * sign).alias("n"), "c.key", "c.chk")
+    every = side(before, -1).union(side(after, 1))
+    every = every.withColumn("pair", F.lit(0))
+    by = ["doc_id", "pair"]
+    out = outcome(peeled(summed(every, by), cells, by=by), by).select(F.col("doc_id").alias("_id"), "found", "left")
+    ids = before.select("doc_id").union(after.select("doc_id")).distinct()
+    named = ids.join(out, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    return named.select("doc_id", F.coalesce("found", F.lit(0)).cast("long").alias("found"), F.coalesce("left", F.lit(0)).cast("long").alias("left"))
 
 
 def described(rows: DataFrame, results: DataFrame, prints: DataFrame) -> DataFrame:

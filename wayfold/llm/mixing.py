@@ -1,14 +1,14 @@
 """Mixing sources to target weights by systematic sampling.
 
 Within a source every document expects target / source_size copies. Documents are laid
-on a line in the order of size and id, each as long as its expected copies; with one
+on a line in the order of size, id and a hash of the text, each as long as its expected copies; with one
 random offset a source, a document is emitted once for each whole number its stretch
 crosses. The order by size makes the taken words follow the target closely.
 
 Defined results: a null text has size 0; a null source is a source of its own, after the
-others; a source without words has target 0 and takes nothing; equal rows are taken
-alike; an empty table gives an empty result. The offsets depend on the seed and the
-source's name alone, so reruns agree.
+others; a source without words has target 0 and takes nothing; of rows alike in source,
+size, id and text it doesn't matter which is taken; an empty table gives an empty result.
+The offsets depend on the seed and the source's name alone, so reruns agree.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ def word_count(col):
 def targets(totals: DataFrame, cap: int = CAP, cycle: int = 3) -> DataFrame:
     """source, source_size -> also weight and target; targets fill up like water.
 
-    totals has one row a source, so its windows hold no document. Sources reach their
+    totals has one row a source, so its windows hold no document; they have no partition, and
+    one task sorts all sources, which holds for some millions of them. Sources reach their
     cap in the order of cap over weight; the level is what the rest share by weight.
     """
     by_name = Window.orderBy(F.asc_nulls_last("source"))
@@ -62,10 +63,10 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED, keep: tuple[str, ...]
     place = [docs.columns.index(c) for c in keep]
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     own = dict(zip(("doc_id", "source", "text"), [F.col(f"_c{docs.columns.index(c)}") for c in ("doc_id", "source", "text")], strict=True))
-    rows = plain.select(own["doc_id"].alias("doc_id"), own["source"].alias("source"), word_count(own["text"]).alias("_size"), *[F.col(f"_c{i}").alias(h) for i, h in zip(place, held, strict=True)])
+    rows = plain.select(own["doc_id"].alias("doc_id"), own["source"].alias("source"), word_count(own["text"]).alias("_size"), F.xxhash64(own["text"]).alias("_hash"), *[F.col(f"_c{i}").alias(h) for i, h in zip(place, held, strict=True)])
     if not keep:
         rows = stored(rows, "mix-sizes")  # narrow from here on: the texts are read once
-    order = [F.asc_nulls_last("source"), F.asc("_size"), F.asc("doc_id")]
+    order = [F.asc_nulls_last("source"), F.asc("_size"), F.asc("doc_id"), F.asc("_hash")]
     ranged = rows.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     ranged = stored(ranged.withColumn("_block", F.shiftright("_at", 33)), "mix-order")
     parts = ranged.groupBy("source", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"), F.sum("_size").alias("_words"))

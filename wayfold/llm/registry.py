@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import functions as F
 
 from . import bpe, fingerprint, grammar, licenses, mixing, neardup, pii, quality, rollup, topk
-from .common import documents
+from .common import documents, text_batches
 
 TOPK_SQL = """
 WITH v AS (
@@ -25,6 +25,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 
 def op10(spark, sf_dir):
+    text_batches(spark)
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(rows, F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
 

@@ -30,7 +30,7 @@ from .common import pick, ship, stored
 
 CELLS = 255
 #: Vectors of a block; the best bounds of a block that are read at once.
-BLOCK, FIRST = 2048, 32
+BLOCK, FIRST = 256, 32
 #: Bytes of exact vectors in a group of queries, and in a group of candidates, about.
 QUERY_BYTES, GROUP_BYTES = 8 << 20, 64 << 20
 FAR_SCORE = np.iinfo(np.int64).min
