@@ -257,7 +257,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, p
     met = stored(stars(docs, pairs, sizes, width, percent), "near-stars")
     links = met.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     # only stars of several slices are left; their members without a link meet all members
-    weight = lambda c: F.sum(F.when(c, F.size("removed") + F.size("added") + 50).otherwise(0)) / F.lit(PART)
+    weight = lambda c: F.sum(F.when(c, F.size("removed") + F.size("added") + 1000).otherwise(0)) / F.lit(PART)
     apart = met.where("other is null")
     if apart.isEmpty():
         return links
