@@ -1,6 +1,7 @@
 """Whole months against a small local server, with faults and drills."""
 
 import datetime as dt
+import hashlib
 import http.server
 import io
 import json
@@ -17,13 +18,14 @@ from wayfold.config import Thresholds
 from wayfold.plans import monthly
 from wayfold.sources import http as web
 from wayfold.sources import tables
+from wayfold.storage import Place
 
 ZONES = '﻿"LocationID","Borough","Zone","service_zone"\n1,"A","One","z"\n2,"A","Two","z"\n3,"B","Three","z"\n264,"Unknown","N/A","N/A"\n'
 
 
 def shape_zip(zones):
     """Squares as a zipped shape file: zones is (id, name, borough, low, high)."""
-    shp, dbf = b"\0" * 100, b""
+    shp, dbf = b"", b""
     for k, (i, name, borough, a, b) in enumerate(zones):
         pts = [(a, a), (a, b), (b, b), (b, a), (a, a)]
         body = struct.pack("<i4d2i1i", 5, a, a, b, b, 1, len(pts), 0) + b"".join(struct.pack("<2d", *p) for p in pts)
@@ -33,7 +35,7 @@ def shape_zip(zones):
     head = b"\3\0\0\0" + struct.pack("<IHH", len(zones), 32 + len(fields) + 1, 51) + b"\0" * 20
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
-        z.writestr("t/zones.shp", shp)
+        z.writestr("t/zones.shp", b"\0" * 24 + struct.pack(">i", (100 + len(shp)) // 2) + b"\0" * 72 + shp)
         z.writestr("t/zones.dbf", head + fields + b"\r" + dbf)
     return out.getvalue()
 
@@ -164,47 +166,137 @@ def test_missing_sources(spark, server, tmp_path):
     assert monthly.run(make(spark, server, tmp_path / "other")) == 2
 
 
-def test_retries_and_checksums(server, tmp_path):
+def test_a_month_on_another_file_system(spark, server, tmp_path):
+    """Inputs and outputs under an address that no pathlib knows."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    (tmp_path / "far").mkdir()
+    conf.set("fs.viewfs.mounttable.months.link./far", f"file://{tmp_path}/far")
+    r = make(spark, server, tmp_path)
+    r.data, r.output = Place(spark, "viewfs://months/far/data"), Place(spark, "viewfs://months/far/out")
+    assert monthly.run(r) == 0
+    final = Place(spark, "viewfs://months/far/out/2024-01")
+    assert spark.read.parquet(str(final / "ride_journey.parquet")).count() == 279
+    assert (final / "metrics.json").read_json()["kpis"][monthly.K1]["value"] > 0
+    before = len(server.hits)
+    again = make(spark, server, tmp_path)
+    again.data, again.output = r.data, r.output
+    assert monthly.run(again) == 0 and len(server.hits) == before
+    assert final.parent.names() == ["2024-01"] and not (tmp_path / "out").exists()
+
+
+def test_retries_and_checksums(spark, server, tmp_path):
+    here = Place(spark, tmp_path)
     server.fail["/zones.csv"] = [500, 503]
     waits = []
     retry = web.Retry(base=1, cap=1.5, sleep=waits.append)
-    m, used = web.preserved(f"{server.url}/zones.csv", tmp_path / "z.csv", retry)
+    m, used = web.preserved(f"{server.url}/zones.csv", here / "z.csv", retry)
     assert not used and waits == [1, 1.5] and m["bytes"] == len(ZONES.encode())
-    assert web.preserved(f"{server.url}/zones.csv", tmp_path / "z.csv", retry)[1]
+    assert web.preserved(f"{server.url}/zones.csv", here / "z.csv", retry)[1]
     (tmp_path / "z.csv").write_text("changed")
-    assert not web.preserved(f"{server.url}/zones.csv", tmp_path / "z.csv", retry)[1]
+    assert not web.preserved(f"{server.url}/zones.csv", here / "z.csv", retry)[1]
     with pytest.raises(web.RetrievalError):
         retry.get(f"{server.url}/nothing", lambda r: r.read())
     server.fail["/zones.csv"] = [503] * 9
     with pytest.raises(web.RetrievalError):
         web.Retry(attempts=3, sleep=lambda s: None).get(f"{server.url}/zones.csv", lambda r: r.read())
-    assert web.Retry(cap=9).wait(1, "4") == 4 and web.Retry(cap=9).wait(1, "soon") == 1 and web.Retry(cap=3).wait(1, "40") == 3
+    server.fail["/zones.csv"] = [404]
+    with pytest.raises(web.RetrievalError):
+        retry.get(f"{server.url}/zones.csv", lambda r: r.read())
+
+
+def test_pauses():
+    asked = lambda *sent, **kw: [p.send(x) for p in [web.pauses(9, **kw)] if next(p) == 0 for x in sent]
+    assert asked(None, None, None, base=1, cap=3) == [1, 2, 3]
+    assert asked(4.0, None, 40.0, base=1, cap=9) == [4, 2, 9]
+    assert web.Miss("x", asked="soon").asked is None and web.Miss("x", asked="7").asked == 7
+    assert list(web.pauses(1, 1, 1)) == [0.0]
     assert web.request_key("http://a:1/x?q=2") == web.request_key("http://b/x?q=2")
 
 
-def test_changing_total_is_refused(tmp_path):
+def test_changing_total_is_refused(spark, tmp_path):
+    here = Place(spark, tmp_path)
     pages = [{"data": [1], "has_more": True, "total_records": 2}, {"data": [2], "has_more": False, "total_records": 3}]
     retry = web.Retry()
     retry.get = lambda url, handle: json.dumps(pages[int(url) - 1]).encode()
     with pytest.raises(web.RetrievalError):
-        web.numbered_pages(str, tmp_path / "p", retry)
+        web.numbered_pages(str, here / "p", retry)
     pages[1]["total_records"] = 2
-    assert web.numbered_pages(str, tmp_path / "p", retry)["received"] == 2
-    m = web.pages(lambda o, s: "1", 5, tmp_path / "q", type("R", (), {"get": lambda self, u, h: b"[1, 2]"})(), 2)
-    assert web.intact(tmp_path, m | {"folder": "q"}) and not web.intact(tmp_path, m | {"folder": "none"}) and not web.intact(tmp_path, None)
+    assert web.numbered_pages(str, here / "p", retry)["received"] == 2
+    m = web.pages(lambda o, s: "1", 5, here / "q", type("R", (), {"get": lambda self, u, h: b"[1, 2]"})(), 2)
+    assert web.intact(here, m | {"folder": "q"}) and not web.intact(here, m | {"folder": "none"}) and not web.intact(here, None)
+
+
+def test_an_edition_is_published_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    out = Place(spark, tmp_path / "out")
+    (out / ".staging_m_old" / "a").write("left by a crash")
+    (out / ".staging_n_x" / "a").write("another month's")
+    one = publish.Edition(out, "m", "1")
+    (one.folder / "a").write("1")
+    assert one.publish().uri == (out / "m").uri and (out / "m" / "a").read() == b"1"
+    assert out.names() == [".staging_n_x", "m"]
+    two = publish.Edition(out, "m", "2")
+    (two.folder / "a").write("2")
+    two.folder.delete()  # the second rename fails, and the first is undone
+    with pytest.raises(FileNotFoundError):
+        two.publish()
+    assert (out / "m" / "a").read() == b"1" and "m.previous" not in out.names()
+    three = publish.Edition(out, "m", "3")
+    (three.folder / "a").write("3")
+    (out / "m.previous" / "a").write("left by a crash between the renames")
+    three.publish()
+    assert (out / "m" / "a").read() == b"3" and out.names() == [".staging_n_x", "m"]
+    assert publish.csv_text([]) == ""
+
+
+def test_places(spark, tmp_path):
+    here = Place(spark, tmp_path)
+    (here / "f" / "a.json").write_json({"x": 1})
+    assert (here / "f" / "a.json").read_json() == {"x": 1} and (here / "f" / "none").read_json() is None
+    (here / "f" / "b.json").write("{")
+    assert (here / "f" / "b.json").read_json() is None and (here / "f").names() == ["a.json", "b.json"]
+    assert (here / "f" / "b.json").sha256() == hashlib.sha256(b"{").hexdigest()
+    with pytest.raises(FileExistsError):
+        (here / "f" / "a.json").move(here / "f" / "b.json")
+    (tmp_path / "local").write_bytes(b"abc")
+    (here / "f" / "c").put(tmp_path / "local")
+    assert (here / "f" / "c").read() == b"abc" and (here / "f" / "c").parent.name == "f" and (here / "none").names() == []
+
+
+def shapefile(records, rows, deleted=()):
+    """Records of (kind, rings) and rows of (id, name) as the bytes of a zip, by the format's description."""
+    shp = b""
+    for k, (kind, rings) in enumerate(records, 1):
+        pts = [p for r in rings for p in r]
+        body = struct.pack("<i", kind)
+        if kind:
+            first = [sum(len(r) for r in rings[:i]) for i in range(len(rings))]
+            body += struct.pack("<4d2i", 0, 0, 0, 0, len(rings), len(pts)) + struct.pack(f"<{len(first)}i", *first) + b"".join(struct.pack("<2d", *p) for p in pts)
+            if kind in (15, 25):
+                body += struct.pack(f"<{2 + len(pts)}d", *[0.0] * (2 + len(pts)))
+        shp += struct.pack(">ii", k, len(body) // 2) + body
+    shp = struct.pack(">i20x", 9994) + struct.pack(">i", (100 + len(shp)) // 2) + b"\0" * 72 + shp + b"past the end"
+    widths = (("LocationID", b"N", 12), ("zone", b"C", 9), ("borough", b"C", 5))
+    fields = b"".join(n.encode().ljust(11, b"\0") + t + b"\0" * 4 + bytes([w]) + b"\0" * 15 for n, t, w in widths)
+    dbf = b"\3\0\0\0" + struct.pack("<IHH", len(rows), 32 + len(fields) + 1, 27) + b"\0" * 20 + fields + b"\r"
+    for k, (i, name) in enumerate(rows):
+        dbf += (b"*" if k in deleted else b" ") + str(i).rjust(12).encode() + name.encode().ljust(9)[:9] + b"B".ljust(5)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a/Z.SHP", shp)
+        z.writestr("a/Z.dbf", dbf + b"\x1a")
+    return out.getvalue()
 
 
-def test_swap_rolls_back(tmp_path):
-    final = tmp_path / "m"
-    final.mkdir()
-    (final / "a").write_text("1")
-    with pytest.raises(OSError):
-        publish.swap_in(tmp_path / "missing", final)
-    assert (final / "a").read_text() == "1"
-    s = publish.staging(tmp_path, "m", "x")
-    (s / "a").write_text("2")
-    publish.swap_in(s, final)
-    assert (final / "a").read_text() == "2" and publish.csv_text([]) == ""
+def test_shapefiles():
+    square = lambda a, b: [(a, a), (a, b), (b, b), (b, a), (a, a)]
+    two = [square(0.0, 9.0), square(2.0, 3.0)]
+    got = tables.polygons_of(shapefile([(5, two), (0, []), (15, [square(1.0, 2.0)]), (25, two[:1])], [("1", "Né"), ("2.000", ""), ("3", "C"), ("4", "D")], deleted=(3,)))
+    assert [(i, n, b, [len(r) for r in rings]) for i, n, b, rings in got] == [(1, "Né", "B", [5, 5]), (2, "", "B", []), (3, "C", "B", [5])]
+    assert got[0][3][1] == [list(p) for p in two[1]]
+    with pytest.raises(ValueError, match="no polygon"):
+        tables.polygons_of(shapefile([(1, two)], [("1", "a")]))
+    with pytest.raises(ValueError, match="belong together"):
+        tables.polygons_of(shapefile([(5, two)], [("1", "a"), ("2", "b")]))
 
 
 def test_readers(spark, tmp_path):
@@ -213,8 +305,23 @@ def test_readers(spark, tmp_path):
     with sqlite3.connect(tmp_path / "d.db") as c:
         c.execute("CREATE TABLE orders (id, status)")
         c.executemany("INSERT INTO orders VALUES (?, ?)", [(1, "a"), (2, None)])
-    assert tables.sqlite_tables(str(tmp_path / "d.db")) == ["orders"]
-    assert sorted(map(tuple, tables.sqlite(spark, str(tmp_path / "d.db"), "orders", rows=1).collect())) == [("1", "a"), ("2", None)]
+        c.execute("CREATE TABLE kinds (i INTEGER, f REAL, mixed, n NUMERIC, b BLOB, empty)")
+        c.executemany("INSERT INTO kinds VALUES (?, ?, ?, ?, ?, ?)", [(1, 0.5, "x", 1, b"a", None), (2, None, 7, 2.5, None, None), (None, 3.0, 0.5, None, b"", None)])
+        c.execute("CREATE TABLE none (a)")
+    assert tables.sqlite_tables(str(tmp_path / "d.db"))[0] == "kinds"
+    at = str(tmp_path / "d.db")
+    assert sorted(map(tuple, tables.sqlite(spark, at, "orders", parts=3).collect())) == [(1, "a"), (2, None)]
+    k = tables.sqlite(spark, at, "kinds")
+    assert [t for _, t in k.dtypes] == ["bigint", "double", "string", "double", "binary", "string"]
+    assert sorted(((r.i, r.f, r.mixed, r.n, r.b and bytes(r.b), r.empty) for r in k.collect()), key=repr) == sorted([(1, 0.5, "x", 1.0, b"a", None), (2, None, "7", 2.5, None, None), (None, 3.0, "0.5", None, b"", None)], key=repr)
+    assert tables.sqlite(spark, at, "none").count() == 0
+    (tmp_path / "z.csv").write_text(ZONES)
+    z = tables.zones(spark, str(tmp_path / "z.csv"))
+    assert z.columns == tables.ZONE_COLUMNS and sorted(r.Zone for r in z.collect()) == ["N/A", "One", "Three", "Two"]
+    assert dict(tables.csv(spark, str(tmp_path / "z.csv")).dtypes)["LocationID"] == "int"
+    (tmp_path / "p.json").write_text('[{"a": 1, "b": "x"}, {"a": 2}]')
+    assert sorted(map(tuple, tables.json(spark, str(tmp_path / "p.json"), "a int, b string").collect())) == [(1, "x"), (2, None)]
+    assert tables.json(spark, str(tmp_path / "p.json")).count() == 2
     (tmp_path / "e.json").write_text(json.dumps([{"driver_id": "d", "events": [{"order_id": "o", "type": "t", "timestamp": "2024-01-01T00:00:00", "lat": 1.0, "lon": 2.0}]}]))
     assert tables.driver_events(spark, str(tmp_path / "e.json")).first().order_id == "o"
     d = tables.order_times(spark.createDataFrame([("2024-01-01 10:00:00",), ("x",)], "t string"), ["t"])

@@ -23,10 +23,10 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", a.month):
         p.error("the month is written YYYY-MM")
-    out = Path(os.environ.get("OUTPUT_DIR", "output"))
+    out = os.environ.get("OUTPUT_DIR", "output").rstrip("/")
     return monthly.run(
         monthly.Run(
-            build(), a.month, monthly.Feeds.from_env(), Path(os.environ.get("DATA_DIR", "data")), out / "sample" if a.sample else out, Path(os.environ.get("LOG_DIR", "logs")),
+            build(), a.month, monthly.Feeds.from_env(), os.environ.get("DATA_DIR", "data"), f"{out}/sample" if a.sample else out, Path(os.environ.get("LOG_DIR", "logs")),
             Thresholds.from_env(**({"min_rides_per_zone": 20} if a.sample else {})), a.chaos, "sample" if a.sample else "full", a.refresh_weather, a.refresh_311,
         )
     )

@@ -21,24 +21,35 @@ def edges(polygons: DataFrame) -> DataFrame:
     return p.select("zone_id", "xmin", "xmax", "ymin", "ymax", F.col("a.x").alias("xa"), F.col("a.y").alias("ya"), before["x"].alias("xb"), before["y"].alias("yb"))
 
 
+#: Sides of zones that are sent along to every task at most.
+BROADCAST_SIDES = 2_000_000
+
+
 def locate(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
-    """point_id, zone_id (the lowest that holds the point), ambiguous (several do).
+    """All rows and columns of points with zone_id (the lowest that holds the point) and ambiguous
+    (several do).
 
-    points: point_id, x, y. Zones are laid on a grid of the given cell size, and points
-    meet only the zones of their own cell: an equal join, whichever side is large. The
-    edges of a zone follow by its id. Points without coordinates or zone keep a null."""
+    points: any columns, x and y among them. Each different place is looked up once, whoever is
+    there: places meet the zones of their own cell of a grid, an equal join, and then those
+    zones' sides, which are broadcast if a count allows it. Points without coordinates or
+    zone keep a null."""
     e = edges(polygons)
     boxes = e.select("zone_id", "xmin", "xmax", "ymin", "ymax").distinct()
     grid = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)))
     boxes = boxes.withColumn("cx", grid("xmin", "xmax")).withColumn("cy", grid("ymin", "ymax"))
-    p = points.where("x is not null and y is not null and not isnan(x) and not isnan(y)").withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
-    near = p.join(boxes, ["cx", "cy"]).where("x >= xmin and x <= xmax and y >= ymin and y <= ymax").select("point_id", "x", "y", "zone_id")
+    there = points.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x is not null and y is not null and not isnan(x) and not isnan(y)").distinct()
+    p = there.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
+    small = e.count() <= BROADCAST_SIDES
+    near = p.join(F.broadcast(boxes) if small else boxes, ["cx", "cy"]).where("x >= xmin and x <= xmax and y >= ymin and y <= ymax").select("x", "y", "zone_id")
     sides = e.select(F.col("zone_id").alias("z"), "xa", "ya", "xb", "yb")
     at = F.col("xa") + F.try_divide((F.col("xb") - F.col("xa")) * (F.col("y") - F.col("ya")), F.col("yb") - F.col("ya"))
-    crossed = near.join(sides, F.col("zone_id") == F.col("z")).where(((F.col("ya") > F.col("y")) != (F.col("yb") > F.col("y"))) & (F.col("x") < at))
-    inside = crossed.groupBy("point_id", "zone_id").agg(F.count("*").alias("n")).where("n % 2 = 1")
-    hits = inside.groupBy("point_id").agg(F.min("zone_id").alias("zone_id"), (F.count("*") > 1).alias("ambiguous"))
-    return points.join(hits, "point_id", "left").select(*points.columns, "zone_id", F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"))
+    above = lambda c: F.col(c) > F.col("y")
+    met = near.join(F.broadcast(sides) if small else sides, F.col("zone_id") == F.col("z"))
+    crossed = met.where((above("ya") != above("yb")) & (F.col("x") < at))
+    inside = crossed.groupBy("x", "y", "zone_id").agg(F.count("*").alias("n")).where("n % 2 = 1")
+    hits = inside.groupBy(F.col("x").alias("_x"), F.col("y").alias("_y")).agg(F.min("zone_id").alias("zone_id"), (F.count("*") > 1).alias("_several"))
+    same = (points["x"].cast("double") == F.col("_x")) & (points["y"].cast("double") == F.col("_y"))
+    return points.join(hits, same, "left").select(*points.columns, "zone_id", F.coalesce("_several", F.lit(False)).alias("ambiguous"))
 
 
 def mapping(located: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from ..config import Thresholds, month_bounds
 from ..operators import enrich, friction, geo, kpis, lifecycle, quality
 from ..operators.quality import FAIL, PASS, WARN, Check
 from ..sources import http, tables
+from ..storage import Place
 from . import report
 
 CHAOS = ["none", "missing_column", "duplicate_rows", "weather_gap", "api_flaky"]
@@ -67,8 +68,8 @@ class Run:
     spark: SparkSession
     month: str
     feeds: Feeds
-    data: Path
-    output: Path
+    data: Place
+    output: Place
     logs: Path
     thresholds: Thresholds = field(default_factory=Thresholds)
     chaos: str = "none"
@@ -81,16 +82,13 @@ class Run:
     def __post_init__(self):
         self.id = f"{datetime.now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
         self.first, self.last = month_bounds(self.month)
+        self.data, self.output = (p if isinstance(p, Place) else Place(self.spark, p) for p in (self.data, self.output))
         if self.chaos != "none":  # a drill never replaces the real month
             self.output = self.output / f"_chaos_{self.chaos}"
         self.checks: list[Check] = []
         self.manifests: dict = {}
         self.timings: dict = {}
 
-    @property
-    def final(self) -> Path:
-        return self.output / self.month
-
 
 def weather_url(base: str, month: str) -> str:
     """The month's hours and one day before it, as rides at its start were asked for earlier."""
@@ -158,21 +156,21 @@ def get_shapes(r: Run, zones: DataFrame) -> DataFrame | None:
 def get_weather(r: Run) -> DataFrame | None:
     folder, url = r.data / "raw" / "weather" / r.month, weather_url(r.feeds.weather, r.month)
     at = folder / "_manifest.json"
-    m = http.read_json(at)
+    m = at.read_json()
     fresh = r.refresh_weather or r.chaos == "api_flaky"
-    kept = not fresh and m and http.request_key(m["url"]) == http.request_key(url) and (folder / m["file"]).exists() and http.sha256(folder / m["file"]) == m["sha256"]
+    kept = not fresh and m and http.request_key(m["url"]) == http.request_key(url) and (kept_file := folder / m["file"]).exists() and kept_file.sha256() == m["sha256"]
     if not kept:
         try:
             if r.chaos == "api_flaky":
                 r.retry.faults = [500, 429]
             m = http.download(url, folder / f"hourly_{datetime.now(UTC):%Y%m%dT%H%M%S%f}.json", r.retry)
-            http.write_json(at, m)
+            at.write_json(m)
         except http.RetrievalError as e:
             r.checks.append(Check("weather.retrieval", FAIL, "weather", str(e), "completeness"))
             return None
     r.manifests["weather"] = m
     try:
-        payload = json.loads((folder / m["file"]).read_text())
+        payload = json.loads((folder / m["file"]).read())
     except json.JSONDecodeError as e:
         r.checks.append(Check("weather.structure", FAIL, "weather", str(e)))
         return None
@@ -194,14 +192,14 @@ def get_weather(r: Run) -> DataFrame | None:
 def get_complaints(r: Run) -> tuple[DataFrame, int] | None:
     base, where = r.data / "raw" / "nyc311" / r.month, complaint_filter(r.month)
     at = base / "_manifest.json"
-    m = http.read_json(at)
+    m = at.read_json()
     if r.refresh_311 or not m or m.get("where") != where or not http.intact(base, m):
         folder = base / f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
         try:
             body = r.retry.get(f"{r.feeds.complaints}?{urlencode({'$select': 'count(*)', '$where': where})}", lambda x: x.read())
             url = lambda offset, size: f"{r.feeds.complaints}?{urlencode({'$where': where, '$order': 'unique_key', '$limit': size, '$offset': offset})}"
             m = http.pages(url, r.feeds.page_size, folder, r.retry, int(json.loads(body)[0]["count"])) | {"where": where}
-            http.write_json(at, m)
+            at.write_json(m)
         except (http.RetrievalError, ValueError, KeyError, IndexError) as e:
             r.checks.append(Check("nyc311.retrieval", FAIL, "friction", str(e)[:300], "completeness"))
             return None
@@ -210,11 +208,9 @@ def get_complaints(r: Run) -> tuple[DataFrame, int] | None:
 
 
 def place(r: Run, complaints: DataFrame, shapes: DataFrame, zones: DataFrame) -> DataFrame:
-    c = friction.categorised(complaints).withColumn("point_id", F.col("unique_key"))
-    keyed = c.select("point_id", "x", "y").distinct()
-    at = geo.mapping(geo.locate(keyed, shapes, r.cell)).drop("x", "y")
+    at = geo.mapping(geo.locate(friction.categorised(complaints), shapes, r.cell))
     z = zones.select(F.col("location_id").alias("zone_id"), "zone", F.col("borough").alias("zone_borough"))
-    return c.join(at, "point_id", "left").join(z, "zone_id", "left").drop("point_id")
+    return at.join(z, "zone_id", "left")
 
 
 def rounded(v, digits: int = 2):
@@ -283,14 +279,15 @@ def output_checks(found: dict, sizes, per_borough: list | None, mapped: int) ->
     return out
 
 
-def _run(r: Run, log) -> Path:
+def _run(r: Run, log) -> Place:
     started = time.time()
 
     def stage(name):
         r.timings[name] = round(time.time() - started - sum(r.timings.values()), 2)
         log.info("stage %s took %.1f s", name, r.timings[name])
 
-    staged = publish.staging(r.output, r.month, r.id)
+    edition = publish.Edition(r.output, r.month, r.id)
+    staged = edition.folder
     trips, zones = get_trips(r), get_zones(r)
     shapes, weather, asked = get_shapes(r, zones), get_weather(r), get_complaints(r)
     stage("extract")
@@ -337,29 +334,29 @@ def _run(r: Run, log) -> Path:
 
     rows = enrich.published(j)
     if r.chaos == "none":
-        rows.write.option("compression", "zstd").parquet(f"file://{(staged / 'ride_journey.parquet').resolve()}")
+        rows.write.option("compression", "zstd").parquet(str(staged / "ride_journey.parquet"))
     publish.small_csv(rows.orderBy("ride_id").limit(1000), staged / "ride_journey_sample.csv")
     breakdown = friction.zone_breakdown(zone_rows, per_zone) if per_zone is not None else zone_rows
     publish.small_csv(breakdown.orderBy("pickup_zone_id"), staged / "zone_breakdown.csv")
     if placed is not None:
         cols = ["unique_key", "created_date", "descriptor", "descriptor_2", "category", "pickup_reliability_reason", "reported_borough", "zone_id", "zone", "zone_borough", "mapping"]
-        placed.select(*cols).write.option("header", True).csv(f"file://{(staged / 'nyc311_complaints_mapped.csv').resolve()}")
+        placed.select(*cols).write.option("header", True).csv(str(staged / "nyc311_complaints_mapped.csv"))
     checks = [dict(zip(("check", "status", "scope", "category", "detail"), c.row(), strict=True)) for c in r.checks]
-    publish.write_json(staged / "metrics.json", {"month": r.month, "mode": r.mode, "run_id": r.id, "kpis": found, "supporting_analyses": support, "sources": {k: m.get("sha256") or m.get("folder") for k, m in r.manifests.items()}})
-    publish.write_json(staged / "validation_report.json", {"month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "on_scene": scene.asDict(), "checks": checks})
+    (staged / "metrics.json").write_json({"month": r.month, "mode": r.mode, "run_id": r.id, "kpis": found, "supporting_analyses": support, "sources": {k: m.get("sha256") or m.get("folder") for k, m in r.manifests.items()}})
+    (staged / "validation_report.json").write_json({"month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "on_scene": scene.asDict(), "checks": checks})
     timed = {f"{c}_datetime": None for c in ("request", "on_scene", "pickup", "dropoff")}
     from ..functions.expressions import since_epoch
 
     prof = quality.profile(life, {**{c: since_epoch for c in timed}, **dict.fromkeys(["PULocationID", "DOLocationID", "trip_miles", "trip_time", "base_passenger_fare"])})
-    publish.write_json(staged / "profile.json", {"columns": [p.asDict() for p in prof.collect()], "by_license": [p.asDict() for p in quality.license_profile(life).collect()]})
-    (staged / "evidence_table.md").write_text(report.markdown(r.month, r.mode, found, support, checks, gate, sizes.asDict()))
+    (staged / "profile.json").write_json({"columns": [p.asDict() for p in prof.collect()], "by_license": [p.asDict() for p in quality.license_profile(life).collect()]})
+    (staged / "evidence_table.md").write(report.markdown(r.month, r.mode, found, support, checks, gate, sizes.asDict()))
     stage("write")
-    publish.write_json(staged / "run_summary.json", {"run_id": r.id, "month": r.month, "mode": r.mode, "chaos": r.chaos, "decision": "PUBLISHED", "seconds": round(time.time() - started, 2), "stage_seconds": r.timings, "retries": r.retry.retried, "populations": sizes.asDict(), "gate": gate["status_counts"], "sources": r.manifests})
-    publish.swap_in(staged, r.final)
+    (staged / "run_summary.json").write_json({"run_id": r.id, "month": r.month, "mode": r.mode, "chaos": r.chaos, "decision": "PUBLISHED", "seconds": round(time.time() - started, 2), "stage_seconds": r.timings, "retries": r.retry.retried, "populations": sizes.asDict(), "gate": gate["status_counts"], "sources": r.manifests})
+    final = edition.publish()
     for d in (life, j, zone_rows, placed, per_zone, shapes):
         if d is not None:
             d.unpersist()
-    return r.final
+    return final
 
 
 def run(r: Run) -> int:
@@ -377,5 +374,8 @@ def run(r: Run) -> int:
         decision, code, why = "FAILED", 1, repr(e)
         log.exception("the run failed")
     log.error("%s: %s; nothing was published", decision, why)
-    http.write_json(r.logs / "failed_runs" / f"{r.month}_{r.id}.json", {"run_id": r.id, "month": r.month, "chaos": r.chaos, "decision": decision, "reason": why, "stage_seconds": r.timings, "checks": [c.row() for c in r.checks]})
+    at = r.logs / "failed_runs" / f"{r.month}_{r.id}.json"
+    at.parent.mkdir(parents=True, exist_ok=True)
+    record = {"run_id": r.id, "month": r.month, "chaos": r.chaos, "decision": decision, "reason": why, "stage_seconds": r.timings, "checks": [c.row() for c in r.checks]}
+    at.write_text(json.dumps(record, indent=2, default=str))
     return code

@@ -2,65 +2,71 @@
 
 from __future__ import annotations
 
-import json
+import csv
+import io
 import logging
-import shutil
 import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 
-log = logging.getLogger("wayfold")
-
-
-def write_json(path: Path, value) -> None:
-    path.write_text(json.dumps(value, indent=2, default=str))
+from .storage import Place
 
-
-def staging(output: Path, month: str, run_id: str) -> Path:
-    """An empty folder beside the month's; what earlier runs of the month left goes."""
-    output.mkdir(parents=True, exist_ok=True)
-    for old in output.glob(f".staging_{month}_*"):
-        log.warning("removing what a crashed run left: %s", old)
-        shutil.rmtree(old, ignore_errors=True)
-    folder = output / f".staging_{month}_{run_id}"
-    folder.mkdir()
-    return folder
+log = logging.getLogger("wayfold")
 
 
-def swap_in(folder: Path, final: Path) -> None:
-    """Puts the staged folder in place; if that fails, the earlier one comes back."""
-    backup = final.with_name(f"{final.name}.previous")
-    shutil.rmtree(backup, ignore_errors=True)
-    had = final.exists()
-    if had:
-        final.rename(backup)
-    try:
-        folder.rename(final)
-    except OSError:
-        if had:
-            backup.rename(final)
-        raise
-    shutil.rmtree(backup, ignore_errors=True)
+class Edition:
+    """A month's folder in the making, beside the one that readers see.
+
+    Both lie in one file system, so putting one in the other's place is two renames,
+    which are undone in reverse if one of them fails.
+    """
+
+    def __init__(self, output: Place, month: str, run_id: str):
+        mark = f".staging_{month}_"
+        for name in output.mkdir().names():
+            if name.startswith(mark):
+                log.warning("a crashed run left %s; it goes", name)
+                (output / name).delete()
+        self.final, self.earlier = output / month, output / f"{month}.previous"
+        self.folder = (output / f"{mark}{run_id}").mkdir()
+
+    def publish(self) -> Place:
+        self.earlier.delete()
+        moves = [(self.folder, self.final)]
+        if self.final.exists():
+            moves.insert(0, (self.final, self.earlier))
+        in_order(moves)
+        self.earlier.delete()
+        return self.final
+
+
+def in_order(moves: list[tuple[Place, Place]]) -> None:
+    """All renames or none."""
+    undo = []
+    for source, target in moves:
+        try:
+            source.move(target)
+        except Exception:
+            for back, to in reversed(undo):
+                back.move(to)
+            raise
+        undo.append((target, source))
 
 
 def csv_text(rows: list[dict]) -> str:
     """Rows as CSV with a header; no rows give no header either."""
-    import csv
-    import io
-
-    if not rows:
-        return ""
     out = io.StringIO()
-    w = csv.DictWriter(out, list(rows[0]))
-    w.writeheader()
-    w.writerows(rows)
+    if rows:
+        w = csv.DictWriter(out, list(rows[0]))
+        w.writeheader()
+        w.writerows(rows)
     return out.getvalue()
 
 
-def small_csv(df: DataFrame, path: Path) -> None:
+def small_csv(df: DataFrame, to: Place) -> None:
     """For frames of a row a zone or a bounded preview."""
-    path.write_text(csv_text([r.asDict() for r in df.collect()]))
+    to.write(csv_text([r.asDict() for r in df.collect()]))
 
 
 def logger(folder: Path, month: str, run_id: str, level: str = "INFO") -> logging.Logger:

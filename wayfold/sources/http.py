@@ -5,60 +5,85 @@ from __future__ import annotations
 import hashlib
 import http.client
 import json
-import os
+import tempfile
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Generator
+from contextlib import suppress
+from dataclasses import dataclass, field
 from pathlib import Path
 from urllib.parse import urlsplit
 
-RETRYABLE = {429, 500, 502, 503, 504}
+from ..storage import Place
+
+#: Statuses that may pass if one asks again.
+PASSING = frozenset({429, 500, 502, 503, 504})
 
 
 class RetrievalError(RuntimeError):
     pass
 
 
+class Miss(Exception):
+    """One attempt that failed: why, whether another may succeed, and how long the server asks to wait."""
+
+    def __init__(self, why: str, passing: bool = True, asked: str | None = None):
+        super().__init__(why)
+        self.passing, self.asked = passing, None
+        with suppress(TypeError, ValueError):
+            self.asked = float(asked)
+
+
+def fetched(url: str, timeout: float, handle: Callable):
+    """One attempt; handle reads the open response, and a network error while it reads is a miss too."""
+    request = urllib.request.Request(url, headers={"User-Agent": "wayfold"})
+    try:
+        with urllib.request.urlopen(request, timeout=timeout) as response:
+            return handle(response)
+    except urllib.error.HTTPError as e:
+        raise Miss(f"status {e.code}", e.code in PASSING, (e.headers or {}).get("Retry-After")) from e
+    except (OSError, http.client.HTTPException) as e:
+        raise Miss(f"{type(e).__name__}: {e}") from e
+
+
+def pauses(attempts: int, base: float, cap: float) -> Generator[float, float | None, None]:
+    """Before each further attempt the seconds to wait: what was sent in, if anything, else twice
+    the last time's, and never over the cap. The first value only starts it."""
+    asked = yield 0.0
+    for doubled in range(attempts - 1):
+        asked = yield min(cap, base * 2**doubled if asked is None else asked)
+
+
+@dataclass
 class Retry:
     """How often and how long to wait; faults is a list of statuses to fail with first, for drills."""
 
-    def __init__(self, attempts: int = 4, base: float = 1.0, cap: float = 30.0, timeout: float = 60.0, sleep: Callable[[float], None] = time.sleep, faults: list[int] | None = None):
-        self.attempts, self.base, self.cap, self.timeout, self.sleep, self.faults = attempts, base, cap, timeout, sleep, list(faults or [])
-        self.retried = 0
-
-    def wait(self, attempt: int, header: str | None) -> float:
-        """The server's number of seconds if it gives one, else doubling; never over the cap."""
-        try:
-            return min(float(header), self.cap)
-        except (TypeError, ValueError):
-            return min(self.base * 2 ** (attempt - 1), self.cap)
+    attempts: int = 4
+    base: float = 1.0
+    cap: float = 30.0
+    timeout: float = 60.0
+    sleep: Callable[[float], None] = time.sleep
+    faults: list[int] = field(default_factory=list)
+    retried: int = 0
 
     def get(self, url: str, handle: Callable):
-        """handle reads the open response; network errors while it reads count as failures too."""
-        last = ""
-        for attempt in range(1, self.attempts + 1):
-            header = None
+        times = pauses(self.attempts, self.base, self.cap)
+        next(times)
+        while True:
             try:
                 if self.faults:
-                    raise urllib.error.HTTPError(url, self.faults.pop(0), "drill", None, None)
-                with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": "wayfold"}), timeout=self.timeout) as r:
-                    return handle(r)
-            except urllib.error.HTTPError as e:
-                if e.code not in RETRYABLE:
-                    raise RetrievalError(f"{url}: status {e.code}") from e
-                header, last = (e.headers or {}).get("Retry-After"), f"status {e.code}"
-            except (urllib.error.URLError, http.client.HTTPException, OSError) as e:
-                last = f"{type(e).__name__}: {e}"
-            self.retried += 1
-            if attempt < self.attempts:
-                self.sleep(self.wait(attempt, header))
-        raise RetrievalError(f"{url}: {self.attempts} attempts failed, the last with {last}")
-
-
-def sha256(path: Path) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
+                    raise Miss(f"status {(status := self.faults.pop(0))}, a drill", status in PASSING)
+                return fetched(url, self.timeout, handle)
+            except Miss as miss:
+                if not miss.passing:
+                    raise RetrievalError(f"{url}: {miss}") from miss
+                self.retried += 1
+                try:
+                    pause = times.send(miss.asked)
+                except StopIteration:
+                    raise RetrievalError(f"{url}: {self.attempts} attempts failed, the last with {miss}") from miss
+            self.sleep(pause)
 
 
 def request_key(url: str) -> str:
@@ -67,83 +92,72 @@ def request_key(url: str) -> str:
     return f"{parts.path}?{parts.query}"
 
 
-def read_json(path: Path):
-    try:
-        return json.loads(path.read_text())
-    except (FileNotFoundError, json.JSONDecodeError):
-        return None
-
-
-def write_json(path: Path, value) -> None:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(value, indent=2, default=str))
+def download(url: str, to: Place, retry: Retry) -> dict:
+    """Streams to the driver, checks the length the server announced, then puts the whole file in place."""
+    with tempfile.TemporaryDirectory(prefix="wayfold-") as folder:
+        local = Path(folder) / "body"
 
+        def handle(response):
+            announced, digest = response.headers.get("Content-Length"), hashlib.sha256()
+            with local.open("wb") as f:
+                for chunk in iter(lambda: response.read(1 << 22), b""):
+                    digest.update(chunk)
+                    f.write(chunk)
+            size = local.stat().st_size
+            if announced is not None and int(announced) != size:
+                raise ConnectionError(f"{size} of {announced} bytes")
+            return {"content_length": announced, "bytes": size, "sha256": digest.hexdigest()}
 
-def download(url: str, to: Path, retry: Retry) -> dict:
-    """Streams to a side file, checks the length the server announced, then renames."""
-    to.parent.mkdir(parents=True, exist_ok=True)
-    part = to.with_name(to.name + ".part")
+        facts = retry.get(url, handle)
+        to.put(local)
+    return {"url": url, "file": to.name} | facts
 
-    def handle(r):
-        announced, got = r.headers.get("Content-Length"), 0
-        with open(part, "wb") as f:
-            while chunk := r.read(1 << 22):
-                got += f.write(chunk)
-        if announced is not None and int(announced) != got:
-            raise ConnectionError(f"{got} of {announced} bytes")
-        return announced, got
 
-    announced, got = retry.get(url, handle)
-    os.replace(part, to)
-    return {"url": url, "file": to.name, "content_length": announced, "bytes": got, "sha256": sha256(to)}
-
-
-def preserved(url: str, to: Path, retry: Retry) -> tuple[dict, bool]:
+def preserved(url: str, to: Place, retry: Retry) -> tuple[dict, bool]:
     """The file's manifest, and whether the kept copy still had its checksum and was used again."""
-    at = to.with_name(f"_{to.name}.manifest.json")
-    manifest = read_json(at)
-    if manifest and to.exists() and sha256(to) == manifest["sha256"]:
+    at = to.parent / f"_{to.name}.manifest.json"
+    manifest = at.read_json()
+    if manifest and to.exists() and to.sha256() == manifest["sha256"]:
         return manifest, True
     manifest = download(url, to, retry)
-    write_json(at, manifest)
+    at.write_json(manifest)
     return manifest, False
 
 
-def pages(url_of: Callable[[int, int], str], size: int, folder: Path, retry: Retry, expected: int | None = None) -> dict:
-    """Fetches pages until a short one; each is stored as it came before anyone parses it."""
-    folder.mkdir(parents=True, exist_ok=True)
-    out, offset = [], 0
-    while True:
-        body = retry.get(url_of(offset, size), lambda r: r.read())
-        name = f"page_{len(out):05d}.json"
-        (folder / name).write_bytes(body)
-        n = len(json.loads(body))
-        out.append({"file": name, "rows": n, "sha256": hashlib.sha256(body).hexdigest()})
-        if n < size:
-            break
-        offset += size
+def stored_page(folder: Place, number: int, body: bytes, rows: int) -> dict:
+    name = f"page_{number:05d}.json"
+    (folder / name).write(body)
+    return {"file": name, "rows": rows, "sha256": hashlib.sha256(body).hexdigest()}
+
+
+def pages(url_of: Callable[[int, int], str], size: int, folder: Place, retry: Retry, expected: int | None = None) -> dict:
+    """Fetches pages until a short one; each is stored as it came."""
+    out: list[dict] = []
+    while not out or out[-1]["rows"] >= size:
+        body = retry.get(url_of(len(out) * size, size), lambda r: r.read())
+        out.append(stored_page(folder, len(out), body, len(json.loads(body))))
     return {"folder": folder.name, "pages": out, "received": sum(p["rows"] for p in out), "expected": expected}
 
 
-def numbered_pages(url_of: Callable[[int], str], folder: Path, retry: Retry) -> dict:
+def numbered_pages(url_of: Callable[[int], str], folder: Place, retry: Retry) -> dict:
     """Pages of {data, has_more, total_records}; a total that changes on the way ends it."""
-    folder.mkdir(parents=True, exist_ok=True)
-    out, total = [], None
-    while True:
+    out: list[dict] = []
+    totals, more = set(), True
+    while more:
         body = retry.get(url_of(len(out) + 1), lambda r: r.read())
         page = json.loads(body)
-        if total not in (None, page["total_records"]):
-            raise RetrievalError(f"the total went from {total} to {page['total_records']} between pages")
-        total = page["total_records"]
-        name = f"page_{len(out):05d}.json"
-        (folder / name).write_bytes(body)
-        out.append({"file": name, "rows": len(page["data"]), "sha256": hashlib.sha256(body).hexdigest()})
-        if not page["has_more"]:
-            return {"folder": folder.name, "pages": out, "received": sum(p["rows"] for p in out), "expected": total}
+        totals.add(page["total_records"])
+        if len(totals) > 1:
+            raise RetrievalError(f"the total changed between pages: {sorted(totals)}")
+        out.append(stored_page(folder, len(out), body, len(page["data"])))
+        more = page["has_more"]
+    return {"folder": folder.name, "pages": out, "received": sum(p["rows"] for p in out), "expected": totals.pop()}
 
 
-def intact(folder: Path, manifest: dict | None) -> bool:
+def intact(folder: Place, manifest: dict | None) -> bool:
+    """Whether every stored page is there and as it was."""
     try:
-        return bool(manifest) and all(sha256(folder / manifest["folder"] / p["file"]) == p["sha256"] for p in manifest["pages"])
-    except (FileNotFoundError, KeyError):
+        kept = folder / manifest["folder"]
+        return all((f := kept / p["file"]).exists() and f.sha256() == p["sha256"] for p in manifest["pages"])
+    except (TypeError, KeyError):
         return False
