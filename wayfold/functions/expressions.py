@@ -59,9 +59,10 @@ def share(condition) -> Column:
     return F.avg(F.coalesce(condition, F.lit(False)).cast("int"))
 
 
-def bins(value, edges: list, labels: list[str], right: bool = True) -> Column:
-    """A label for each stretch between edges; null outside. right: stretches hold their upper edge."""
-    v, out = col(value), F.lit(None).cast("string")
+def bins(value, edges: list, labels: list[str], right: bool = True, other: str | None = None) -> Column:
+    """A label for each stretch between edges, other outside and for null. right: stretches hold
+    their upper edge."""
+    v, out = col(value), F.lit(other).cast("string")
     for low, high, label in reversed(list(zip(edges[:-1], edges[1:], labels, strict=True))):
         inside = (v > low) & (v <= high) if right else (v >= low) & (v < high)
         out = F.when(inside, F.lit(label)).otherwise(out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,25 +28,41 @@ def headline_scaled(rides: DataFrame) -> DataFrame:
     return quantiles_by_counts(rides.where("in_kpi_population").select(x.micros("pickup_datetime", "request_datetime").alias("v")), [0.5, 0.9]).select((F.col("q0") / 60e6).alias("median_min"), (F.col("q1") / 60e6).alias("p90_min"), F.col("n").alias("population_rides"))
 
 
-def quantiles_by_counts(values: DataFrame, qs: list[float]) -> DataFrame:
-    """q0, q1, ... and n of a column v of whole numbers; null for no rows."""
-    counts = values.where("v is not null").groupBy("v").agg(F.count("*").alias("c"))
-    # coarse buckets first, so the running sum over all distinct values has few rows in one task
-    bucket = F.floor(F.col("v") / 60_000_000)
-    coarse = counts.groupBy(bucket.alias("b")).agg(F.sum("c").alias("c"))
-    total = Window.partitionBy()
-    run = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    coarse = coarse.select("b", F.coalesce(F.sum("c").over(run), F.lit(0)).alias("before"), F.sum("c").over(total).alias("n"))
-    inner = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("b", bucket).join(coarse, "b").withColumn("at", F.col("before") + F.coalesce(F.sum("c").over(inner), F.lit(0)))
+def quantiles_by_counts(values: DataFrame, qs: list[float], by: list[str] | None = None, width: float = 60_000_000) -> DataFrame:
+    """The columns by, then q0, q1, ... and n of a column v, exact; null quantiles for no values.
+
+    Values are counted, combined before they are shuffled; no task holds a group's values.
+    Each group's running counts of stretches of the given width, few rows, tell which
+    stretches hold the wanted places, and only these are looked at value by value. A group
+    whose values are all null, or no rows at all without groups, has n 0."""
+    by = by or []
+    keys = [f"_g{i}" for i in range(len(by))]
+    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v"), F.floor(F.col("v") / F.lit(width)).alias("b"))
+    coarse = rows.groupBy(*keys, "b").agg(F.count("v").alias("c"))
+    run = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    total = Window.partitionBy(*keys)
+    coarse = coarse.select(*keys, "b", "c", F.coalesce(F.sum("c").over(run), F.lit(0)).alias("before"), F.coalesce(F.sum("c").over(total), F.lit(0)).alias("n"))
+    spots = [F.lit(float(q)) * (F.col("n") - 1) for q in qs]
+    holds = lambda at, low, size: (at >= low) & (at < low + size)
+    wanted = [holds(f(x), F.col("before"), F.col("c")) for x in spots for f in (F.floor, F.ceil)]
+    # null values make a stretch of their own without a count: it keeps the group, and holds no place
+    kept = coarse.withColumn("_w", reduce(lambda a, b: a | b, wanted))
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}")) for k in [*keys, "b"]])
+    near = rows.alias("r").join(kept.where("_w").alias("k"), same).groupBy(*[F.col(f"r.{k}").alias(k) for k in keys], F.col("r.b").alias("b"), F.col("r.v").alias("v"), F.col("k.before").alias("before"), F.col("k.n").alias("n")).agg(F.count("*").alias("c"))
+    inner = Window.partitionBy(*keys, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = near.withColumn("at", F.col("before") + F.coalesce(F.sum("c").over(inner), F.lit(0)))
     picks = []
-    for i, q in enumerate(qs):
-        spot = F.lit(q) * (F.col("n") - 1)
-        for name, place in ((f"lo{i}", F.floor(spot)), (f"hi{i}", F.ceil(spot))):
-            picks.append(F.max(F.when((place >= F.col("at")) & (place < F.col("at") + F.col("c")), F.col("v"))).alias(name))
-    out = placed.agg(*picks, F.max("n").alias("n"))
-    cols = [(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (F.lit(q) * (F.col("n") - 1) - F.floor(F.lit(q) * (F.col("n") - 1)))).alias(f"q{i}") for i, q in enumerate(qs)]
-    return out.select(*cols, F.coalesce("n", F.lit(0)).alias("n"))
+    for i, x_ in enumerate(spots):
+        picks += [F.max(F.when(holds(f(x_), F.col("at"), F.col("c")), F.col("v"))).alias(f"{name}{i}") for name, f in (("lo", F.floor), ("hi", F.ceil))]
+    found = placed.groupBy(*keys).agg(*picks, F.max("n").alias("n"))
+    between = lambda i, x_: F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (x_ - F.floor(x_))
+    found = found.select(*keys, *[between(i, x_).alias(f"q{i}") for i, x_ in enumerate(spots)], "n")
+    if not by:
+        return found.agg(*[F.max(f"q{i}").alias(f"q{i}") for i in range(len(qs))], F.coalesce(F.max("n"), F.lit(0)).alias("n"))
+    groups = coarse.groupBy(*keys).agg(F.max("n").alias("_n"))
+    on = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys])
+    every = groups.alias("a").join(found.alias("f"), on, "left")
+    return every.select(*[F.col(f"a.{k}").alias(c) for c, k in zip(by, keys, strict=True)], *[F.col(f"f.q{i}").alias(f"q{i}") for i in range(len(qs))], F.col("a._n").alias("n"))
 
 
 def arrival_share(rides: DataFrame) -> DataFrame:

@@ -17,12 +17,22 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def key_conflicts(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """column_name, keys whose rows differ in it (null is a value)."""
-    sizes = df.groupBy(*keys).agg(*[(F.countDistinct(F.coalesce(F.col(c).cast("string"), F.lit("\0"))) > 1).alias(c) for c in columns])
+    """column_name, keys whose rows differ in it (null is a value). One pass, combined before it is shuffled."""
+    differs = lambda c: (F.min(c) != F.max(c)) | ((F.count(c) != 0) & (F.count(c) != F.count("*")))
+    sizes = df.groupBy(*keys).agg(*[F.coalesce(differs(c), F.lit(False)).alias(c) for c in columns])
     one = sizes.agg(*[F.count_if(F.col(c)).alias(c) for c in columns])
     return one.selectExpr("stack({}, {}) AS (column_name, conflicting_keys)".format(len(columns), ", ".join(f"'{c}', `{c}`" for c in columns)))
 
 
+def conflicting_values(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """keys, column_name, held (different values as text, ascending), nulls: what the rows of one
+    key disagree in. Only rows of repeated keys are taken apart."""
+    parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in columns)
+    tall = duplicated(df, keys).selectExpr(*[f"`{k}`" for k in keys], f"stack({len(columns)}, {parts}) AS (column_name, value)")
+    held = tall.groupBy(*keys, "column_name").agg(F.array_sort(F.collect_set("value")).alias("held"), F.count_if(F.col("value").isNull()).alias("nulls"))
+    return held.where((F.size("held") > 1) | ((F.size("held") == 1) & (F.col("nulls") > 0)))
+
+
 def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:
     """All rows whose key occurs more than once."""
     many = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
@@ -125,8 +135,84 @@ def pings(events: DataFrame, key: str, at: str, tie: str) -> DataFrame:
 
 
 def timeline(*sources: DataFrame) -> DataFrame:
-    """order_id, event_time, event_type, actor, source_system of all orders at once."""
-    return reduce(DataFrame.unionByName, sources)
+    """order_id, event_time, event_type, actor, source_system of all orders, with each event's
+    position in its order: by time, unknown times last."""
+    every = reduce(DataFrame.unionByName, sources)
+    w = Window.partitionBy("order_id").orderBy(F.asc_nulls_last("event_time"), "event_type", "source_system", "actor")
+    return every.withColumn("position", F.row_number().over(w))
+
+
+def durations(orders: DataFrame) -> DataFrame:
+    """Minutes from order to pickup and from pickup to delivery (transit)."""
+    return orders.withColumns({"order_to_pickup_min": x.minutes("pickup_at", "created_at"), "pickup_to_delivery_min": x.minutes("actual_delivery_at", "pickup_at")})
+
+
+def with_dispatch(valid: DataFrame, dispatch: DataFrame) -> DataFrame:
+    """The second source's view of each order: how its estimate drifted from the promise, lateness
+    against that estimate, whether a driver was exchanged, and the estimating model."""
+    known = dispatch.select("order_id", "current_delivery_eta", "reassigned_at", "eta_model_version")
+    j = valid.join(known, "order_id", "left")
+    return j.withColumns({"eta_drift_min": x.minutes("current_delivery_eta", "promised_eta"), "late_vs_current": F.coalesce(F.col("actual_delivery_at") > F.col("current_delivery_eta"), F.lit(False)), "reassigned": F.col("reassigned_at").isNotNull()})
+
+
+def system_view(tickets: DataFrame, orders: DataFrame, valid: DataFrame) -> DataFrame:
+    """Each different ticket with its order's delay; where the order or its delay is unknown, it says so."""
+    seen = orders.select("order_id").join(valid.select("order_id", "delay_min"), "order_id", "left")
+    view = x.bins("delay_min", [-1e9, 0, 10, 1e9], ["on time", "late 0-10", "late >10"], other="no delivery time / no order")
+    return tickets.distinct().join(seen, "order_id", "left").withColumn("system_view", view)
+
+
+def in_order(summary: DataFrame, column: str, categories: list) -> DataFrame:
+    """The summary's rows for just these categories, in this order, those without rows included."""
+    listed = summary.sparkSession.createDataFrame(list(enumerate(categories)), f"place int, _category {dict(summary.dtypes)[column]}")
+    rest = [c for c in summary.columns if c != column]
+    j = F.broadcast(listed).join(summary, F.col("_category") == F.col(column), "left")
+    return j.select("place", F.col("_category").alias(column), *rest).orderBy("place")
+
+
+def first_match(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """The smallest key that both sides have; null if there is none."""
+    return rows.join(other.select(key).distinct(), key, "left_semi").agg(F.min(key).alias(key))
+
+
+def recomputed(orders: DataFrame, outcomes: DataFrame, tolerance: float = 0.02) -> DataFrame:
+    """How many stated delays agree with the times, of those where both are known."""
+    j = with_delay(orders).select("order_id", F.col("delay_min").alias("_own")).join(outcomes.select("order_id", "delay_min"), "order_id")
+    both = F.col("_own").isNotNull() & F.col("delay_min").isNotNull()
+    return j.agg(F.count_if(both).alias("classifiable"), F.count_if(both & (F.abs(F.col("_own") - F.col("delay_min")) < tolerance)).alias("agreeing"), F.count_if(F.col("_own").isNull() != F.col("delay_min").isNull()).alias("known_to_one"))
+
+
+def grain(df: DataFrame, key: str, base: DataFrame) -> DataFrame:
+    """Rows, different keys and the base's different keys, and whether all three agree."""
+    g = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("keys"))
+    expected = base.select(key).distinct().agg(F.count("*").alias("expected"))
+    return g.crossJoin(expected).withColumn("holds", (F.col("rows") == F.col("keys")) & (F.col("keys") == F.col("expected")))  # two single rows
+
+
+def assert_grain(df: DataFrame, key: str, base: DataFrame) -> DataFrame:
+    """df, or an error if a join before it has multiplied or lost rows."""
+    r = grain(df, key, base).first()
+    if not r.holds:
+        raise ValueError(f"one row a {key} is broken: {r.rows} rows, {r.keys} of {r.expected} keys")
+    return df
+
+
+def page_completeness(pages: DataFrame, key: str, announced: int, known: DataFrame) -> DataFrame:
+    """check, passed: stored pages re-counted against the announced total, keys once, and
+    membership both ways with another source."""
+    c = pages.groupBy(key).agg(F.count("*").alias("n"))
+    there = known.select(F.col(key).alias("_k")).distinct()
+    j = c.join(there, F.col(key) == F.col("_k"), "full").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), (F.coalesce(F.max("n"), F.lit(0)) <= 1).alias("once"), (F.count_if(F.col("n").isNull()) == 0).alias("found"), (F.count_if(F.col("_k").isNull()) == 0).alias("expected"))
+    return j.selectExpr(f"stack(4, 'pages_recount_to_total', rows = {announced}, 'no_key_twice', once, 'every_known_key_found', found, 'every_found_key_known', expected) AS (check, passed)")
+
+
+def status_freshness(status: DataFrame, orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """By how restaurants report: records, states written after the pickup that ends them, records
+    from before their order, and the median age of a record."""
+    j = status.join(orders.select("order_id", "created_at", "pickup_at"), "order_id", "left").join(restaurants, "restaurant_id", "left")
+    s, after = x.clean("status"), F.col("last_updated_at") > F.col("pickup_at")
+    c = F.count_if
+    return j.withColumn("_age", x.minutes("last_updated_at", "created_at")).groupBy("manual_status_updates").agg(F.count("*").alias("records"), c((s == "preparing") & after).alias("stale_preparing"), c((s == "ready") & after).alias("stale_ready"), c(F.col("_age") < 0).alias("before_order"), x.quantile("_age", 0.5).alias("median_age_min"))
 
 
 def journey(orders: DataFrame, outcomes: DataFrame, actions: DataFrame, tickets: DataFrame, interventions: DataFrame) -> DataFrame:

@@ -190,3 +190,62 @@ jour0 AS (
 ), jour1 AS (SELECT *, n_tickets > 0 OR cancelled OR eta_views >= 3 AS frustrated FROM jour0),
 jour AS (SELECT *, frustrated AND coalesce(late_flag = 1, false) AND n_interventions = 0 AS neglected,
   CASE WHEN n_interventions = 0 THEN 'none' WHEN first_intervention_at > actual_delivery_at THEN 'post-delivery' ELSE 'pre-delivery' END AS intervention_timing FROM jour1)"""
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as they came: some rows twice, the copy with another bucket."""
+    o = orders(spark, sf_dir)
+    return o.union(o.where("order_id % 53 = 0").withColumn("traffic_bucket", F.lit("copy")))
+
+
+def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second source's current estimate of most orders."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
+    o = table(spark, sf_dir, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey")).where("o_orderkey % 7 <> 0")
+    day = lambda e: F.expr(f"o_orderdate + make_dt_interval(cast({e} as int), 0, 0, 0)")
+    return o.select(F.col("o_orderkey").alias("order_id"), day("part % 900 + part % 11 - 5").alias("current_delivery_eta"), F.when(F.col("supp") % 3 == 0, day("part % 300")).alias("reassigned_at"), F.expr("if(part % 2 = 0, 'v1', 'v2')").alias("eta_model_version"))
+
+
+def restaurant_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One status record for some orders, some late and some from before their order."""
+    o = orders(spark, sf_dir).where("order_id % 3 = 0")
+    return o.select("order_id", "restaurant_id", F.expr("case order_id % 4 when 0 then 'preparing' when 1 then ' Ready' else 'handed_off' end").alias("status"), F.expr("if(order_id % 71 = 0, created_at - make_dt_interval(1, 0, 0, 0), created_at + make_dt_interval(cast(order_id % 250 as int), 0, 0, 0))").alias("last_updated_at"))
+
+
+def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("restaurant_id"), F.expr("s_suppkey % 3 = 0").alias("manual_status_updates"))
+
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays as another table states them: to the minute's hundredth, and some wrong or missing."""
+    d = F.expr("timestampdiff(MICROSECOND, promised_eta, actual_delivery_at) / 60e6D")
+    return orders(spark, sf_dir).select("order_id", F.when(F.expr("order_id % 43 <> 0"), d + F.expr("if(order_id % 29 = 0, 0.5D, 0.01D)")).alias("delay_min"))
+
+
+MORE_SQL = f"""{SIDES_SQL},
+raw AS (SELECT * FROM ords UNION ALL SELECT * REPLACE ('copy' AS traffic_bucket) FROM ords WHERE order_id % 53 = 0),
+dispatch AS (SELECT o_orderkey AS order_id, o_orderdate + to_days(CAST(part % 900 + part % 11 - 5 AS INTEGER)) AS current_delivery_eta, CASE WHEN supp % 3 = 0 THEN o_orderdate + to_days(CAST(part % 300 AS INTEGER)) END AS reassigned_at,
+  CASE WHEN part % 2 = 0 THEN 'v1' ELSE 'v2' END AS eta_model_version FROM orders JOIN (SELECT l_orderkey, min(l_partkey) AS part, min(l_suppkey) AS supp FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey WHERE o_orderkey % 7 <> 0),
+status AS (SELECT order_id, restaurant_id, CASE order_id % 4 WHEN 0 THEN 'preparing' WHEN 1 THEN ' Ready' ELSE 'handed_off' END AS status, CASE WHEN order_id % 71 = 0 THEN created_at - to_days(1) ELSE created_at + to_days(CAST(order_id % 250 AS INTEGER)) END AS last_updated_at FROM ords WHERE order_id % 3 = 0),
+rests AS (SELECT s_suppkey AS restaurant_id, s_suppkey % 3 = 0 AS manual_status_updates FROM supplier),
+outs AS (SELECT order_id, CASE WHEN order_id % 43 <> 0 THEN delay_min + CASE WHEN order_id % 29 = 0 THEN 0.5::DOUBLE ELSE 0.01::DOUBLE END END AS delay_min FROM delayed)"""
+
+
+def complaint_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaints with all their columns and flaws, at the points of the embeddings."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.expr("cast(embedding[0] as double)").alias("x"), F.expr("cast(embedding[1] as double)").alias("y"))
+    return e.select(
+        F.expr("cast(if(vec_id % 97 = 1, vec_id - 1, vec_id) as string)").alias("unique_key"),
+        F.expr("if(vec_id % 83 = 0, 'soon', concat('2024-01-', lpad(cast(1 + vec_id % 31 as string), 2, '0'), 'T10:00:00'))").alias("created_date"),
+        F.expr("if(vec_id % 61 = 0, '2023-12-01T00:00:00', '2024-03-01T00:00:00')").alias("closed_date"),
+        F.lit("For Hire Vehicle Complaint").alias("complaint_type"),
+        F.expr("case vec_id % 5 when 0 then 'Driver Complaint - Passenger' when 1 then 'Driver Complaint - Non Passenger' when 2 then 'Noise' else 'Car Service Company Complaint' end").alias("descriptor"),
+        F.expr("if(vec_id % 2 = 0, 'Denied Request', 'x')").alias("descriptor_2"),
+        F.expr("case when vec_id % 71 = 0 then '' when vec_id % 3 = 0 then 'Unspecified' when vec_id % 3 = 1 then 'NORTH' else 'East' end").alias("borough"),
+        "x", "y",
+    ).withColumn("reported_borough", F.col("borough"))
+
+
+COMPLAINT_ROWS_SQL = """cr AS (SELECT CASE WHEN vec_id % 97 = 1 THEN vec_id - 1 ELSE vec_id END AS unique_key, vec_id, CASE WHEN vec_id % 83 <> 0 THEN DATE '2024-01-01' + CAST(vec_id % 31 AS INTEGER) END AS day, vec_id % 61 = 0 AND vec_id % 83 <> 0 AS early,
+  CASE vec_id % 5 WHEN 0 THEN 'passenger' WHEN 1 THEN 'non_passenger' WHEN 2 THEN 'other' ELSE 'passenger' END AS category, CASE WHEN vec_id % 71 = 0 THEN '' WHEN vec_id % 3 = 0 THEN 'Unspecified' WHEN vec_id % 3 = 1 THEN 'NORTH' ELSE 'EAST' END AS reported, m.*
+  FROM embeddings JOIN m ON vec_id = m.point_id)"""

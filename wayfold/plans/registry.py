@@ -30,10 +30,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
+    from . import check_queries, order_queries  # noqa: F401  they register theirs
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLES)
 
 
@@ -504,11 +507,14 @@ def restaurant_contribution(s, d):
 EVENTS = ["order_id", "event_time", "event_type", "actor", "source_system"]
 
 
-@query(SIDES + """SELECT order_id, created_at AS event_time, 'created' AS event_type, 'customer' AS actor, 'orders' AS source_system FROM ords UNION ALL SELECT order_id, pickup_at, 'pickup', 'driver', 'orders' FROM ords
-  UNION ALL SELECT order_id, action_at, action_type, 'customer', 'actions' FROM actions UNION ALL SELECT order_id, created_at, category, 'customer', 'tickets' FROM tickets UNION ALL SELECT order_id, intervention_at, intervention_type, 'operations', 'interventions' FROM inter""")
+@query(SIDES + """SELECT *, CAST(row_number() OVER (PARTITION BY order_id ORDER BY event_time NULLS LAST, event_type, source_system, actor) AS INTEGER) AS position FROM (
+  SELECT order_id, created_at AS event_time, 'created' AS event_type, 'customer' AS actor, 'orders' AS source_system FROM ords UNION ALL SELECT order_id, pickup_at, 'pickup', 'driver', 'orders' FROM ords
+  UNION ALL SELECT order_id, actual_delivery_at, 'delivered', 'driver', 'orders' FROM ords
+  UNION ALL SELECT order_id, action_at, action_type, 'customer', 'actions' FROM actions UNION ALL SELECT order_id, created_at, category, 'customer', 'tickets' FROM tickets WHERE order_id IS NOT NULL UNION ALL SELECT order_id, intervention_at, intervention_type, 'operations', 'interventions' FROM inter)""")
 def order_timeline(s, d):
     o, row = a.orders(s, d), lambda df, at, kind, actor, source: df.select("order_id", F.col(at).alias("event_time"), kind.alias("event_type"), F.lit(actor).alias("actor"), F.lit(source).alias("source_system"))
-    return orders.timeline(row(o, "created_at", F.lit("created"), "customer", "orders"), row(o, "pickup_at", F.lit("pickup"), "driver", "orders"), row(a.actions(s, d), "action_at", F.col("action_type"), "customer", "actions"), row(a.tickets(s, d), "created_at", F.col("category"), "customer", "tickets"), row(a.interventions(s, d), "intervention_at", F.col("intervention_type"), "operations", "interventions"))
+    own = [row(o, f"{c}_at", F.lit(n), who, "orders") for c, n, who in (("created", "created", "customer"), ("pickup", "pickup", "driver"), ("actual_delivery", "delivered", "driver"))]
+    return orders.timeline(*own, row(a.actions(s, d), "action_at", F.col("action_type"), "customer", "actions"), row(a.tickets(s, d).where("order_id is not null"), "created_at", F.col("category"), "customer", "tickets"), row(a.interventions(s, d), "intervention_at", F.col("intervention_type"), "operations", "interventions"))
 
 
 @query(ORDERS + "SELECT count(*) FILTER (promised_eta < created_at) AS eta_before_creation, count(*) FILTER (pickup_at < created_at) AS pickup_before_creation, count(*) FILTER (actual_delivery_at < pickup_at) AS delivered_before_pickup, count(*) FILTER (lower(trim(final_status)) = 'cancelled' AND actual_delivery_at IS NOT NULL) AS cancelled_with_delivery FROM ords")
