@@ -17,7 +17,7 @@ from wayfold import publish
 from wayfold.config import Thresholds
 from wayfold.plans import monthly
 from wayfold.sources import http as web
-from wayfold.sources import tables
+from wayfold.sources import offline, tables
 from wayfold.storage import Place
 
 ZONES = '﻿"LocationID","Borough","Zone","service_zone"\n1,"A","One","z"\n2,"A","Two","z"\n3,"B","Three","z"\n264,"Unknown","N/A","N/A"\n'
@@ -184,6 +184,27 @@ def test_a_month_on_another_file_system(spark, server, tmp_path):
     assert final.parent.names() == ["2024-01"] and not (tmp_path / "out").exists()
 
 
+def test_a_sample_runs_without_a_network(spark, server, tmp_path):
+    import dataclasses
+
+    assert monthly.run(make(spark, server, tmp_path)) == 0
+    about = offline.draw(spark, Place(spark, tmp_path / "data"), "2024-01", Place(spark, tmp_path / "small"), rides=250)
+    assert about["rides"] == 250 and about["source_rows"] == 279
+    hits = len(server.hits)
+    r = make(spark, server, tmp_path, mode="sample")
+    r.feeds = dataclasses.replace(r.feeds, **offline.feeds(tmp_path / "small"))
+    r.data, r.output = Place(spark, tmp_path / "data2"), Place(spark, tmp_path / "out2")
+    assert monthly.run(r) == 0 and len(server.hits) == hits
+    m = (r.output / "2024-01" / "metrics.json").read_json()
+    assert m["mode"] == "sample" and m["kpis"][monthly.K1]["population_rides"] <= 250 and m["kpis"][monthly.K5]["value"]["citywide_passenger_complaints"] == 41
+    v = (r.output / "2024-01" / "validation_report.json").read_json()
+    by = {c["check"]: c["evidence"] for c in v["checks"]}
+    assert by["hvfhv.download_complete"]["rows"] == 250 and by["hvfhv.download_complete"]["row_groups"] >= 1
+    assert 0 < by["weather.grid_point_offset"]["offset_km"] < 20 and v["decisions"]["on_scene"]["stages_are_published"] in (True, False)
+    text = (r.output / "2024-01" / "evidence_table.md").read().decode()
+    assert "km from the place asked for" in text and "## Decisions" in text
+
+
 def test_retries_and_checksums(spark, server, tmp_path):
     here = Place(spark, tmp_path)
     server.fail["/zones.csv"] = [500, 503]

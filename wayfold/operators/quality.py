@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ class Check:
     scope: str = "critical"
     detail: str = ""
     category: str = "technical"
+    #: The numbers the status stands on.
+    evidence: dict = field(default_factory=dict)
 
     def row(self) -> tuple:
         return self.check, self.status, self.scope, self.category, self.detail
@@ -56,8 +58,16 @@ def required_columns(columns: list[str], required: list[str], name: str, scope:
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows beyond the first of each key; nulls are values. One shuffle on the key, combined before."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.count("*").alias("keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+    """Rows, different keys, and rows beyond the first of each key; nulls are values.
+
+    A hash of the key, eight bytes a row, finds what may occur twice; only rows whose hash
+    does are grouped by the key itself. Two shuffles whose rows were combined before."""
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    counts = hashed.groupBy("_h").agg(F.count("*").alias("n"))
+    all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") == 1).alias("once"))
+    again = hashed.join(counts.where("n > 1").select("_h"), "_h", "left_semi").groupBy(*keys).agg(F.count("*").alias("n"))
+    more = again.agg(F.count("*").alias("others"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+    return all_.crossJoin(more).select("rows", (F.col("once") + F.col("others")).alias("keys"), "duplicate_rows")  # two single rows
 
 
 NATURAL_KEY = ["hvfhs_license_num", "request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "trip_miles", "base_passenger_fare"]
@@ -124,28 +134,57 @@ def populations(journey: DataFrame) -> DataFrame:
     return journey.agg(F.count("*").alias("rows"), c(F.col("in_kpi_population")).alias("kpi_population"), c(F.col("in_stage_population")).alias("stage_population"), c(F.col("in_zone_population")).alias("zone_population"), c(~F.col("placeholder_pickup")).alias("zone_attributable_rides"), c(F.col("weather_matched")).alias("weather_matched"), c(F.col("request_on_whole_minute")).alias("whole_minute"))
 
 
+SIDES = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
+
+
+def day_facts(first, last) -> list:
+    """Rides outside the calendar, and the calendar's days that have rides, a bit each."""
+    day = F.to_date("pickup_datetime")
+    inside = day.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+    bit = F.when(inside, F.expr(f"shiftleft(1L, datediff(to_date(pickup_datetime), DATE'{first}'))"))
+    return [F.count_if(~inside).alias("outside"), F.bit_count(F.coalesce(F.bit_or(bit), F.lit(0).cast("long"))).alias("days")]
+
+
+def with_sides(rides: DataFrame, zones: DataFrame) -> DataFrame:
+    """rides with _known and _unknown_place of both ends; zones are few and broadcast."""
+    z = zones.groupBy("location_id").agg(F.bool_or("is_placeholder").alias("p"))
+    for side, c in SIDES.items():
+        one = F.broadcast(z.select(F.col("location_id").alias(f"_{side}"), F.col("p").alias(f"_{side}_placeholder")))
+        rides = rides.join(one, F.col(c) == F.col(f"_{side}"), "left")
+    return rides
+
+
+def side_facts() -> list:
+    out = []
+    for side, c in SIDES.items():
+        known, null = F.col(f"_{side}").isNotNull(), F.col(c).isNull()
+        out += [F.count_if(null).alias(f"{side}_null_ids"), F.count_if(~null & ~known).alias(f"{side}_unmatched"), F.count_if(F.coalesce(F.col(f"_{side}_placeholder"), F.lit(False))).alias(f"{side}_placeholder")]
+    return out
+
+
 def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds) -> list[Check]:
-    """Every rule about the trips; the aggregates above, each a single row, decide."""
-    inside = F.to_date("pickup_datetime").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    f = rides.agg(*coverage_facts(), *chronology_facts(), *on_scene_facts(), *plausibility_facts(t), F.count_if(~inside).alias("outside")).first()
+    """Every rule about the trips: one pass counts all facts, a second looks for duplicates."""
+    f = with_sides(rides, zones).agg(*coverage_facts(), *chronology_facts(), *on_scene_facts(), *plausibility_facts(t), *day_facts(first, last), *side_facts()).first()
     n = f.rows
     if not n:
         return [Check("hvfhv.file_readable", FAIL, detail="no rows", category="completeness")]
-    out = [Check("hvfhv.file_readable", PASS, detail=f"rows={n}", category="completeness")]
+    out = [Check("hvfhv.file_readable", PASS, detail=f"rows={n}", category="completeness", evidence={"rows": n})]
     rule = lambda bad, some: FAIL if bad else WARN if some else PASS
-    told = lambda *names: ", ".join(f"{k} {f[k]}" for k in names)
-    empty = daily(rides, first, last).where("rides = 0").count()
-    out.append(Check("hvfhv.month_coverage", rule(empty, f.outside), detail=f"empty days {empty}, outside {f.outside}", category="completeness"))
-    out.append(Check("hvfhv.timestamp_coverage", rule(f.missing_core / n > t.max_excluded_share, f.missing_core), detail=told("missing_core"), category="completeness"))
+    told = lambda *names: {k: f[k] for k in names}
+    add = lambda name, status, evidence, category, scope="critical": out.append(Check(f"hvfhv.{name}", status, scope, ", ".join(f"{k} {v}" for k, v in evidence.items()), category, evidence))
+    empty = (last - first).days + 1 - f.days
+    add("month_coverage", rule(empty, f.outside), {"empty_days": empty, "outside": f.outside}, "completeness")
+    add("timestamp_coverage", rule(f.missing_core / n > t.max_excluded_share, f.missing_core), told("missing_core", "request_share", "on_scene_share", "pickup_share", "dropoff_share"), "completeness")
     dup = duplicates(rides, NATURAL_KEY).first().duplicate_rows
-    out.append(Check("hvfhv.trip_uniqueness", rule(dup / n > t.max_duplicate_share, dup), detail=f"duplicates {dup}", category="uniqueness"))
-    out.append(Check("hvfhv.chronology_request_pickup_dropoff", rule(f.excluded_share > t.max_excluded_share, f.excluded_share), detail=told("pickup_before_request", "dropoff_not_after_pickup", "excluded_share", "whole_minute_share"), category="chronology"))
-    out.append(Check("hvfhv.on_scene_semantics", WARN if f.observed_share >= t.min_on_scene_observed_share else FAIL, "info", told(*ON_SCENE, "observed_share"), "semantic"))
-    for r in location_integrity(rides, zones).collect():
-        bad = r.null_ids + r.unmatched
-        out.append(Check(f"hvfhv.{r.side}_location_integrity", rule(bad / n > t.max_excluded_share, bad or r.placeholder), detail=str(r.asDict()), category="location"))
-    out.append(Check("hvfhv.numeric_plausibility", WARN, "info", told("miles_not_positive", "miles_too_far", "fare_negative", "wait_too_long"), "plausibility"))
-    out.append(Check("hvfhv.trip_time_consistency", WARN if f.trip_time_mismatch else PASS, "info", f"{f.trip_time_mismatch} differ", "semantic"))
+    add("trip_uniqueness", rule(dup / n > t.max_duplicate_share, dup), {"duplicates": dup, "share": dup / n}, "uniqueness")
+    add("chronology_request_pickup_dropoff", rule(f.excluded_share > t.max_excluded_share, f.excluded_share), told("pickup_before_request", "dropoff_not_after_pickup", "excluded_share", "whole_minute_share"), "chronology")
+    add("on_scene_semantics", WARN if f.observed_share >= t.min_on_scene_observed_share else FAIL, told(*ON_SCENE, "observed_share"), "semantic", "info")
+    for side in SIDES:
+        facts = {k: f[f"{side}_{k}"] for k in ("null_ids", "unmatched", "placeholder")}
+        bad = facts["null_ids"] + facts["unmatched"]
+        add(f"{side}_location_integrity", rule(bad / n > t.max_excluded_share, bad or facts["placeholder"]), facts, "location")
+    add("numeric_plausibility", WARN, told("miles_not_positive", "miles_too_far", "fare_negative", "wait_too_long"), "plausibility", "info")
+    add("trip_time_consistency", WARN if f.trip_time_mismatch else PASS, told("trip_time_mismatch"), "semantic", "info")
     out.append(Check("hvfhv.request_semantics_scheduled_rides", UNKNOWN, "info", "the source doesn't tell booked from live requests", "semantic"))
     return out
 
@@ -165,12 +204,28 @@ def hour_coverage(weather: DataFrame, first, last) -> DataFrame:
     return expected.crossJoin(missing).crossJoin(seen)  # three single rows
 
 
-def weather_checks(weather: DataFrame, first, last, t: Thresholds) -> list[Check]:
+def weather_checks(weather: DataFrame, first, last, t: Thresholds, offset_km: float | None = None) -> list[Check]:
+    """Rules about the hours; offset_km: how far the answering grid point is from the place asked for."""
     r = hour_coverage(weather, first, last).first()
     coverage = 1 - r.missing_hours / r.expected_hours
     status = PASS if not r.missing_hours and not r.duplicate_hours else FAIL if coverage < t.min_weather_hour_coverage else WARN
     nulls = r.null_temperature_c + r.null_precipitation_mm + r.null_wind_speed_kmh
-    return [Check("weather.hour_coverage", status, "weather", str(r.asDict()), "completeness"), Check("weather.variable_nulls", WARN if nulls else PASS, "weather", f"{nulls} nulls", "completeness"), Check("weather.grid_point_offset", WARN, "info", "one grid point stands for the whole city", "semantic")]
+    away = "one grid point stands for the whole city" + ("" if offset_km is None else f"; it is {offset_km:.1f} km from the place asked for")
+    return [
+        Check("weather.hour_coverage", status, "weather", str(r.asDict()), "completeness", r.asDict()),
+        Check("weather.variable_nulls", WARN if nulls else PASS, "weather", f"{nulls} nulls", "completeness", {"nulls": nulls}),
+        Check("weather.grid_point_offset", WARN, "info", away, "semantic", {"offset_km": offset_km}),
+    ]
+
+
+def decisions(scene, t: Thresholds, duplicates: int) -> dict:
+    """What the checks decided about the figures, with the numbers that decided it."""
+    used = scene.observed_share >= t.min_on_scene_observed_share
+    return {
+        "on_scene": {"observed_share": scene.observed_share, "least_share": t.min_on_scene_observed_share, "statuses": {s: scene[s] for s in ON_SCENE}, "stages_are_published": used},
+        "duplicates": {"rows_beyond_the_first": duplicates, "removed": False},
+        "requests": {"booked_and_live_are_told_apart": False, "shown_as": "a second headline without whole-minute requests"},
+    }
 
 
 def as_frame(spark, checks: list[Check]) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import publish
 from ..config import Thresholds, month_bounds
+from ..functions.expressions import haversine_km, since_epoch
 from ..operators import enrich, friction, geo, kpis, lifecycle, quality
 from ..operators.quality import FAIL, PASS, WARN, Check
 from ..sources import http, tables
@@ -93,6 +94,8 @@ class Run:
 def weather_url(base: str, month: str) -> str:
     """The month's hours and one day before it, as rides at its start were asked for earlier."""
     first, last = month_bounds(month)
+    if base.startswith("file:"):  # a folder stands in for the service
+        return base.format(month=month)
     asked = {"latitude": LATITUDE, "longitude": LONGITUDE, "start_date": first - timedelta(days=1), "end_date": last, "hourly": ",".join(tables.WEATHER_VARIABLES), "timezone": TIMEZONE}
     return f"{base}?{urlencode(asked)}"
 
@@ -118,8 +121,9 @@ def get_trips(r: Run) -> DataFrame:
     to = r.data / "raw" / "hvfhv" / r.month / f"fhvhv_tripdata_{r.month}.parquet"
     m, used = http.preserved(r.feeds.trips.format(month=r.month), to, r.retry)
     r.manifests["hvfhv"] = m
+    found = tables.footer(r.spark, str(to))
     whole = m["content_length"] is None or int(m["content_length"]) == m["bytes"]
-    r.checks.append(Check("hvfhv.download_complete", PASS if whole else FAIL, detail=f"bytes {m['bytes']}, reused {used}", category="completeness"))
+    r.checks.append(Check("hvfhv.download_complete", PASS if whole else FAIL, detail=f"bytes {m['bytes']}, reused {used}, row groups {found['row_groups']}", category="completeness", evidence=found | {"bytes": m["bytes"], "reused": used}))
     return tables.trips(r.spark, str(to))
 
 
@@ -182,10 +186,12 @@ def get_weather(r: Run) -> DataFrame | None:
         return None
     if payload.get("timezone") != TIMEZONE:
         r.checks.append(Check("weather.timezone", FAIL, "weather", f"got {payload.get('timezone')}", "semantic"))
-    rows = tables.weather(tables.weather_response(r.spark, str(folder / m["file"])))
+    response = tables.weather_response(r.spark, str(folder / m["file"]))
+    rows = tables.weather(response)
+    away = response.select(haversine_km(F.lit(LATITUDE), F.lit(LONGITUDE), "latitude", "longitude").alias("km")).first().km
     if r.chaos == "weather_gap":
         rows = without_hours(rows)
-    r.checks += quality.weather_checks(rows, r.first, r.last, r.thresholds)
+    r.checks += quality.weather_checks(rows, r.first, r.last, r.thresholds, away)
     return enrich.hourly_once(rows, "place")
 
 
@@ -196,6 +202,8 @@ def get_complaints(r: Run) -> tuple[DataFrame, int] | None:
     if r.refresh_311 or not m or m.get("where") != where or not http.intact(base, m):
         folder = base / f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
         try:
+            if r.feeds.complaints.startswith("file:"):
+                return from_file(r, folder, where, at)
             body = r.retry.get(f"{r.feeds.complaints}?{urlencode({'$select': 'count(*)', '$where': where})}", lambda x: x.read())
             url = lambda offset, size: f"{r.feeds.complaints}?{urlencode({'$where': where, '$order': 'unique_key', '$limit': size, '$offset': offset})}"
             m = http.pages(url, r.feeds.page_size, folder, r.retry, int(json.loads(body)[0]["count"])) | {"where": where}
@@ -207,6 +215,16 @@ def get_complaints(r: Run) -> tuple[DataFrame, int] | None:
     return tables.complaints(r.spark, str(base / m["folder"])), m["expected"]
 
 
+def from_file(r: Run, folder: Place, where: str, at: Place) -> tuple[DataFrame, int]:
+    """All complaints as one stored page, from a folder that stands in for the service."""
+    url = r.feeds.complaints.format(month=r.month)
+    n = len(json.loads(r.retry.get(url, lambda x: x.read())))
+    m = http.pages(lambda offset, size: url, n + 1, folder, r.retry, n) | {"where": where}
+    at.write_json(m)
+    r.manifests["nyc311"] = m
+    return tables.complaints(r.spark, str(folder)), n
+
+
 def place(r: Run, complaints: DataFrame, shapes: DataFrame, zones: DataFrame) -> DataFrame:
     at = geo.mapping(geo.locate(friction.categorised(complaints), shapes, r.cell))
     z = zones.select(F.col("location_id").alias("zone_id"), "zone", F.col("borough").alias("zone_borough"))
@@ -341,15 +359,15 @@ def _run(r: Run, log) -> Place:
     if placed is not None:
         cols = ["unique_key", "created_date", "descriptor", "descriptor_2", "category", "pickup_reliability_reason", "reported_borough", "zone_id", "zone", "zone_borough", "mapping"]
         placed.select(*cols).write.option("header", True).csv(str(staged / "nyc311_complaints_mapped.csv"))
-    checks = [dict(zip(("check", "status", "scope", "category", "detail"), c.row(), strict=True)) for c in r.checks]
+    checks = [dict(zip(("check", "status", "scope", "category", "detail"), c.row(), strict=True)) | {"evidence": c.evidence} for c in r.checks]
+    repeated = next(c.evidence["duplicates"] for c in r.checks if c.check == "hvfhv.trip_uniqueness")
+    decided = quality.decisions(scene, r.thresholds, repeated)
     (staged / "metrics.json").write_json({"month": r.month, "mode": r.mode, "run_id": r.id, "kpis": found, "supporting_analyses": support, "sources": {k: m.get("sha256") or m.get("folder") for k, m in r.manifests.items()}})
-    (staged / "validation_report.json").write_json({"month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "on_scene": scene.asDict(), "checks": checks})
+    (staged / "validation_report.json").write_json({"month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "decisions": decided, "on_scene": scene.asDict(), "checks": checks})
     timed = {f"{c}_datetime": None for c in ("request", "on_scene", "pickup", "dropoff")}
-    from ..functions.expressions import since_epoch
-
     prof = quality.profile(life, {**{c: since_epoch for c in timed}, **dict.fromkeys(["PULocationID", "DOLocationID", "trip_miles", "trip_time", "base_passenger_fare"])})
     (staged / "profile.json").write_json({"columns": [p.asDict() for p in prof.collect()], "by_license": [p.asDict() for p in quality.license_profile(life).collect()]})
-    (staged / "evidence_table.md").write(report.markdown(r.month, r.mode, found, support, checks, gate, sizes.asDict()))
+    (staged / "evidence_table.md").write(report.markdown(r.month, r.mode, found, support, checks, gate, sizes.asDict(), decided))
     stage("write")
     (staged / "run_summary.json").write_json({"run_id": r.id, "month": r.month, "mode": r.mode, "chaos": r.chaos, "decision": "PUBLISHED", "seconds": round(time.time() - started, 2), "stage_seconds": r.timings, "retries": r.retry.retried, "populations": sizes.asDict(), "gate": gate["status_counts"], "sources": r.manifests})
     final = edition.publish()
@@ -376,6 +394,6 @@ def run(r: Run) -> int:
     log.error("%s: %s; nothing was published", decision, why)
     at = r.logs / "failed_runs" / f"{r.month}_{r.id}.json"
     at.parent.mkdir(parents=True, exist_ok=True)
-    record = {"run_id": r.id, "month": r.month, "chaos": r.chaos, "decision": decision, "reason": why, "stage_seconds": r.timings, "checks": [c.row() for c in r.checks]}
+    record = {"run_id": r.id, "month": r.month, "chaos": r.chaos, "decision": decision, "reason": why, "stage_seconds": r.timings, "checks": [(*c.row(), c.evidence) for c in r.checks]}
     at.write_text(json.dumps(record, indent=2, default=str))
     return code

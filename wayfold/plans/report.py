@@ -27,7 +27,7 @@ def shown(k: dict) -> str:
     return ", ".join(f"{a.replace('_', ' ')} {b}" for a, b in v.items() if not isinstance(b, (dict, list)))
 
 
-def markdown(month: str, mode: str, kpis: dict, support: dict, checks: list[dict], gate: dict, sizes: dict) -> str:
+def markdown(month: str, mode: str, kpis: dict, support: dict, checks: list[dict], gate: dict, sizes: dict, decided: dict) -> str:
     out = [f"# Evidence for {month}" + (" (sample, not the whole data)" if mode == "sample" else ""), ""]
     out += [f"Published; complaint figure {'published' if gate['publish_friction_kpi'] else 'withheld'}, weather {'published' if gate['publish_weather_analysis'] else 'withheld'}; checks {gate['status_counts']}.", "", "## Figures", ""]
     out += table(["figure", "value", "formula", "rides", "status", "limit"], [[k["definition"]["name"], shown(k), k["definition"]["formula"], k.get("population_rides", "-"), k["validation_status"], k["definition"]["limitation"]] for k in kpis.values()])
@@ -40,4 +40,11 @@ def markdown(month: str, mode: str, kpis: dict, support: dict, checks: list[dict
         out += ["", "## Boroughs", "", *table(["borough", "complaints", "pickups", "per 100,000", "p90"], [[b, *v.values()] for b, v in rate["by_borough"].items()])]
     out += ["", "## Beside the figures", ""] + [f"- {k.replace('_', ' ')}: {v}" for k, v in support.items()]
     out += ["", "## Checks", "", *table(["check", "status", "scope", "detail"], [[c["check"], c["status"], c["scope"], c["detail"]] for c in checks])]
+    grid = next((c for c in checks if c["check"] == "weather.grid_point_offset"), None)
+    if grid:
+        out += ["", "## Weather", "", f"- {grid['detail']}"]
+    placed = next((c for c in checks if c["check"] == "nyc311.zone_mapping_coverage"), None)
+    if placed:
+        out += ["", "## Placing complaints", "", f"- {placed['detail']}"]
+    out += ["", "## Decisions", "", *[f"- {k.replace('_', ' ')}: {v}" for k, v in decided.items()]]
     return "\n".join([*out, "", "## Populations", "", *[f"- {k.replace('_', ' ')}: {v}" for k, v in sizes.items()], ""])
