@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wayfold.config import Thresholds, month_bounds
 from wayfold.functions import expressions as x
+from wayfold.functions import quantiles
 from wayfold.operators import enrich, friction, geo, kpis, lifecycle, orders, quality
 
 RIDE = "ride_id long, hvfhs_license_num string, request_datetime timestamp_ntz, on_scene_datetime timestamp_ntz, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, PULocationID int, DOLocationID int, trip_miles double, trip_time long, base_passenger_fare double"
@@ -53,12 +54,29 @@ def test_headline_example(spark):
 
 def test_quantiles_by_counts_match_numpy(spark):
     v = np.random.default_rng(3).integers(0, 10**10, 997).tolist() + [5] * 300
-    got = kpis.quantiles_by_counts(spark.createDataFrame([(int(i),) for i in v], "v long"), [0.0, 0.37, 0.5, 0.9, 1.0]).first()
+    got = quantiles.by_counts(spark.createDataFrame([(int(i),) for i in v], "v long"), [0.0, 0.37, 0.5, 0.9, 1.0]).first()
     assert [got[f"q{i}"] for i in range(5)] == pytest.approx(np.quantile(v, [0, 0.37, 0.5, 0.9, 1]).tolist())
-    empty = kpis.quantiles_by_counts(spark.createDataFrame([], "v long"), [0.5]).first()
+    empty = quantiles.by_counts(spark.createDataFrame([], "v long"), [0.5]).first()
     assert (empty.q0, empty.n) == (None, 0)
 
 
+def test_quantiles_of_groups(spark):
+    """A hot group, null groups, groups of one value and of nulls, several measures."""
+    r = np.random.default_rng(4)
+    rows = [("hot", None, float(x)) for x in r.normal(0, 50, 4000).round(2)] + [(None, 1, float(x)) for x in r.integers(-9, 9, 50)] + [("one", 2, 7.5), ("null", 3, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(7)
+    got = {(x.g, x.h): x for x in quantiles.summary(df, ["g", "h"], [F.count("*").alias("rows")], {"med": ("v", 0.5, None), "p90": ("v", 0.9, None), "pos": ("v", 0.25, F.col("v") > 0)}, 10.0).collect()}
+    assert set(got) == {(g, h) for g, h, _ in rows}
+    for k, x in got.items():
+        v = [c for a, b, c in rows if (a, b) == k and c is not None]
+        assert x.rows == sum((a, b) == k for a, b, _ in rows)
+        if v:
+            assert (x.med, x.p90) == pytest.approx((np.quantile(v, 0.5), np.quantile(v, 0.9)))
+            assert x.pos == pytest.approx(np.quantile([c for c in v if c > 0], 0.25))
+        else:
+            assert (x.med, x.p90, x.pos) == (None, None, None)
+
+
 def test_rate_and_rounding(spark):
     r = spark.range(1).select(x.per_100k(F.lit(1), F.lit(3)).alias("a"), x.per_100k(F.lit(1), F.lit(0)).alias("b"), x.round2(F.lit(2.375)).alias("c")).first()
     assert round(r.a, 2) == 33333.33 and r.b is None and r.c == 2.38

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
+from ..functions import quantiles
 from .lifecycle import BANDS
 
 WAIT = "request_to_pickup_min"
@@ -15,54 +14,15 @@ WAIT = "request_to_pickup_min"
 
 def headline(rides: DataFrame) -> DataFrame:
     """Median and 90th percentile of the wait over the KPI population."""
-    pop = rides.where("in_kpi_population")
-    return pop.agg(x.quantile(WAIT, 0.5).alias("median_min"), x.quantile(WAIT, 0.9).alias("p90_min"), F.count("*").alias("population_rides"))
+    q = quantiles.by_counts(rides.where("in_kpi_population").select(F.col(WAIT).alias("v")), [0.5, 0.9])
+    return q.toDF("median_min", "p90_min", "population_rides")
 
 
 def headline_scaled(rides: DataFrame) -> DataFrame:
-    """The same figures by two shuffles whose size doesn't grow with the rides.
-
-    Waits are counted per distinct microsecond difference (map-side combined), ranked by
-    the running count of these, and interpolated between the two values that hold the
-    wanted places. No task keeps a list of all waits, whatever their number."""
-    return quantiles_by_counts(rides.where("in_kpi_population").select(x.micros("pickup_datetime", "request_datetime").alias("v")), [0.5, 0.9]).select((F.col("q0") / 60e6).alias("median_min"), (F.col("q1") / 60e6).alias("p90_min"), F.col("n").alias("population_rides"))
-
-
-def quantiles_by_counts(values: DataFrame, qs: list[float], by: list[str] | None = None, width: float = 60_000_000) -> DataFrame:
-    """The columns by, then q0, q1, ... and n of a column v, exact; null quantiles for no values.
-
-    Values are counted, combined before they are shuffled; no task holds a group's values.
-    Each group's running counts of stretches of the given width, few rows, tell which
-    stretches hold the wanted places, and only these are looked at value by value. A group
-    whose values are all null, or no rows at all without groups, has n 0."""
-    by = by or []
-    keys = [f"_g{i}" for i in range(len(by))]
-    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v"), F.floor(F.col("v") / F.lit(width)).alias("b"))
-    coarse = rows.groupBy(*keys, "b").agg(F.count("v").alias("c"))
-    run = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    total = Window.partitionBy(*keys)
-    coarse = coarse.select(*keys, "b", "c", F.coalesce(F.sum("c").over(run), F.lit(0)).alias("before"), F.coalesce(F.sum("c").over(total), F.lit(0)).alias("n"))
-    spots = [F.lit(float(q)) * (F.col("n") - 1) for q in qs]
-    holds = lambda at, low, size: (at >= low) & (at < low + size)
-    wanted = [holds(f(x), F.col("before"), F.col("c")) for x in spots for f in (F.floor, F.ceil)]
-    # null values make a stretch of their own without a count: it keeps the group, and holds no place
-    kept = coarse.withColumn("_w", reduce(lambda a, b: a | b, wanted))
-    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}")) for k in [*keys, "b"]])
-    near = rows.alias("r").join(kept.where("_w").alias("k"), same).groupBy(*[F.col(f"r.{k}").alias(k) for k in keys], F.col("r.b").alias("b"), F.col("r.v").alias("v"), F.col("k.before").alias("before"), F.col("k.n").alias("n")).agg(F.count("*").alias("c"))
-    inner = Window.partitionBy(*keys, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = near.withColumn("at", F.col("before") + F.coalesce(F.sum("c").over(inner), F.lit(0)))
-    picks = []
-    for i, x_ in enumerate(spots):
-        picks += [F.max(F.when(holds(f(x_), F.col("at"), F.col("c")), F.col("v"))).alias(f"{name}{i}") for name, f in (("lo", F.floor), ("hi", F.ceil))]
-    found = placed.groupBy(*keys).agg(*picks, F.max("n").alias("n"))
-    between = lambda i, x_: F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (x_ - F.floor(x_))
-    found = found.select(*keys, *[between(i, x_).alias(f"q{i}") for i, x_ in enumerate(spots)], "n")
-    if not by:
-        return found.agg(*[F.max(f"q{i}").alias(f"q{i}") for i in range(len(qs))], F.coalesce(F.max("n"), F.lit(0)).alias("n"))
-    groups = coarse.groupBy(*keys).agg(F.max("n").alias("_n"))
-    on = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys])
-    every = groups.alias("a").join(found.alias("f"), on, "left")
-    return every.select(*[F.col(f"a.{k}").alias(c) for c, k in zip(by, keys, strict=True)], *[F.col(f"f.q{i}").alias(f"q{i}") for i in range(len(qs))], F.col("a._n").alias("n"))
+    """The same figures from whole microseconds, counted a minute at a time."""
+    waits = rides.where("in_kpi_population").select(x.micros("pickup_datetime", "request_datetime").alias("v"))
+    q = quantiles.by_counts(waits, [0.5, 0.9], width=60_000_000)
+    return q.select((F.col("q0") / 60e6).alias("median_min"), (F.col("q1") / 60e6).alias("p90_min"), F.col("n").alias("population_rides"))
 
 
 def arrival_share(rides: DataFrame) -> DataFrame:
@@ -71,18 +31,19 @@ def arrival_share(rides: DataFrame) -> DataFrame:
     value is null (withheld) where too few of all rides were observed; the caller decides."""
     stage = F.col("in_stage_population")
     r2o, r2p = x.micros("on_scene_datetime", "request_datetime"), x.micros("pickup_datetime", "request_datetime")
-    return rides.agg(
+    shares = [
         F.try_divide(F.lit(100.0) * F.sum(F.when(stage, r2o)), F.sum(F.when(stage, r2p))).alias("arrival_share_pct"),
         F.count_if(stage).alias("stage_rides"),
         F.try_divide(F.lit(100.0) * F.count_if(stage), F.count_if(F.col("in_kpi_population"))).alias("share_of_kpi_pct"),
         F.try_divide(F.count_if(F.col("on_scene_status") == "observed"), F.count("*")).alias("observed_share"),
-        *[x.quantile_if(c, stage, q).alias(f"{n}_{c}") for c in ("request_to_on_scene_min", "on_scene_to_pickup_min") for n, q in (("median", 0.5), ("p90", 0.9))],
-    )
+    ]
+    return quantiles.summary(rides, [], shares, {f"{n}_{c}": (c, q, stage) for c in ("request_to_on_scene_min", "on_scene_to_pickup_min") for n, q in (("median", 0.5), ("p90", 0.9))})
 
 
 def grouped(rides: DataFrame, by: list[str], condition, minimum: int = 0) -> DataFrame:
     """rides, median_min and p90_min per group with at least `minimum` rides."""
-    out = rides.where(condition).groupBy(*by).agg(F.count("*").alias("rides"), x.quantile(WAIT, 0.5).alias("median_min"), x.quantile(WAIT, 0.9).alias("p90_min"))
+    waits = rides.where(condition).select(*by, F.col(WAIT).alias("v"))
+    out = quantiles.by_counts(waits, [0.5, 0.9], by).select(*by, F.col("n").alias("rides"), F.col("q0").alias("median_min"), F.col("q1").alias("p90_min"))
     return out.where(F.col("rides") >= minimum) if minimum else out
 
 
@@ -114,7 +75,8 @@ def band_figures(rides: DataFrame) -> DataFrame:
 def hour_matched(rides: DataFrame, min_rides: int) -> DataFrame:
     """Rain against dry in the same hour of day: difference of rounded medians, weighted by rides."""
     pop = rides.where(F.col("in_kpi_population") & F.col("weather_matched") & F.col("precip_band").isin(*BANDS[:3]))
-    m = pop.groupBy("precip_band", "request_hour").agg(F.count("*").alias("c"), x.round2(x.quantile(WAIT, 0.5)).alias("med"))
+    m = quantiles.by_counts(pop.select("precip_band", "request_hour", F.col(WAIT).alias("v")), [0.5], ["precip_band", "request_hour"])
+    m = m.select("precip_band", "request_hour", F.col("n").alias("c"), x.round2("q0").alias("med"))
     dry = m.where(F.col("precip_band") == BANDS[0]).select("request_hour", F.col("med").alias("dry"))
     rain = m.where((F.col("precip_band") != BANDS[0]) & (F.col("c") >= min_rides)).join(dry, "request_hour")
     return rain.groupBy("precip_band").agg((F.sum(F.col("c") * (F.col("med") - F.col("dry"))) / F.sum("c")).alias("diff_min"), F.count("*").alias("hours"))
@@ -124,4 +86,5 @@ def sensitivity(rides: DataFrame) -> DataFrame:
     """The headline with and without requests on a whole minute."""
     pop = rides.where("in_kpi_population")
     rest = ~F.col("request_on_whole_minute")
-    return pop.agg(F.count("*").alias("rides"), x.quantile(WAIT, 0.5).alias("median_min"), x.quantile(WAIT, 0.9).alias("p90_min"), F.count_if(rest).alias("rides_rest"), x.quantile_if(WAIT, rest, 0.5).alias("median_rest_min"), x.quantile_if(WAIT, rest, 0.9).alias("p90_rest_min"))
+    counts = [F.count("*").alias("rides"), F.count_if(rest).alias("rides_rest")]
+    return quantiles.summary(pop, [], counts, {"median_min": (WAIT, 0.5, None), "p90_min": (WAIT, 0.9, None), "median_rest_min": (WAIT, 0.5, rest), "p90_rest_min": (WAIT, 0.9, rest)})

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
+from ..functions import quantiles
+
+#: Minutes of a stretch of delays: a day.
+DAY = 1440.0
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -52,7 +56,8 @@ def with_delay(orders: DataFrame) -> DataFrame:
 
 
 def late_summary(valid: DataFrame) -> DataFrame:
-    return valid.agg(F.count("*").alias("orders"), F.count_if(late()).alias("late"), x.share(late()).alias("late_rate"), x.quantile_if("delay_min", late(), 0.5).alias("median_delay_late"))
+    counts = [F.count("*").alias("orders"), F.count_if(late()).alias("late"), x.share(late()).alias("late_rate")]
+    return quantiles.summary(valid, [], counts, {"median_delay_late": ("delay_min", 0.5, late())}, DAY)
 
 
 def late_variants(orders: DataFrame) -> DataFrame:
@@ -81,7 +86,8 @@ def shares(df: DataFrame, by: Column, name: str) -> DataFrame:
 
 
 def summarise(valid: DataFrame, by: Column, name: str) -> DataFrame:
-    return valid.groupBy(by.alias(name)).agg(F.count("*").alias("orders"), x.share(late()).alias("late_rate"), x.quantile("delay_min", 0.5).alias("median_delay"), F.avg("promise_min").alias("mean_promise"))
+    counts = [F.count("*").alias("orders"), x.share(late()).alias("late_rate"), F.avg("promise_min").alias("mean_promise")]
+    return quantiles.summary(valid.withColumn(name, by), [name], counts, {"median_delay": ("delay_min", 0.5, None)}, DAY)
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list, cell: Column, fill=None) -> DataFrame:
@@ -91,8 +97,8 @@ def crosstab(df: DataFrame, row: str, column: str, values: list, cell: Column, f
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    q = [x.quantile(column, v).alias(n) for n, v in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]
-    return df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("lo"), *q, F.max(column).alias("hi"))
+    plain = [F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("lo"), F.max(column).alias("hi")]
+    return quantiles.summary(df, [], plain, {n: (column, q, None) for n, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))}, DAY)
 
 
 def fk_coverage(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
@@ -212,7 +218,9 @@ def status_freshness(status: DataFrame, orders: DataFrame, restaurants: DataFram
     j = status.join(orders.select("order_id", "created_at", "pickup_at"), "order_id", "left").join(restaurants, "restaurant_id", "left")
     s, after = x.clean("status"), F.col("last_updated_at") > F.col("pickup_at")
     c = F.count_if
-    return j.withColumn("_age", x.minutes("last_updated_at", "created_at")).groupBy("manual_status_updates").agg(F.count("*").alias("records"), c((s == "preparing") & after).alias("stale_preparing"), c((s == "ready") & after).alias("stale_ready"), c(F.col("_age") < 0).alias("before_order"), x.quantile("_age", 0.5).alias("median_age_min"))
+    aged = j.withColumn("_age", x.minutes("last_updated_at", "created_at"))
+    counts = [F.count("*").alias("records"), c((s == "preparing") & after).alias("stale_preparing"), c((s == "ready") & after).alias("stale_ready"), c(F.col("_age") < 0).alias("before_order")]
+    return quantiles.summary(aged, ["manual_status_updates"], counts, {"median_age_min": ("_age", 0.5, None)}, DAY)
 
 
 def journey(orders: DataFrame, outcomes: DataFrame, actions: DataFrame, tickets: DataFrame, interventions: DataFrame) -> DataFrame:
@@ -233,7 +241,8 @@ def journey(orders: DataFrame, outcomes: DataFrame, actions: DataFrame, tickets:
 def journey_metrics(j: DataFrame) -> DataFrame:
     """Five figures for late orders and the rest."""
     is_late = F.col("late_flag") == 1
-    return j.where("late_flag is not null").groupBy(is_late.alias("is_late")).agg(F.count("*").alias("orders"), x.share(F.col("n_tickets") > 0).alias("with_ticket"), x.share(F.col("frustrated")).alias("frustrated_share"), x.share(F.col("n_interventions") > 0).alias("with_intervention"), F.avg("eta_views").alias("mean_eta_views"), x.quantile("delay_min", 0.5).alias("median_delay"))
+    shares = [F.count("*").alias("orders"), x.share(F.col("n_tickets") > 0).alias("with_ticket"), x.share(F.col("frustrated")).alias("frustrated_share"), x.share(F.col("n_interventions") > 0).alias("with_intervention"), F.avg("eta_views").alias("mean_eta_views")]
+    return quantiles.summary(j.where("late_flag is not null").withColumn("is_late", is_late), ["is_late"], shares, {"median_delay": ("delay_min", 0.5, None)}, DAY)
 
 
 def reconciled(orders: DataFrame, second: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from ..functions import quantiles
 from ..operators import friction, geo, kpis, quality
 from . import adapters as a
 from . import monthly
@@ -77,4 +78,7 @@ def output_checks(s, d):
 def waits_by_status(s, d):
     """Exact quantiles of groups without a task that holds a group's values."""
     rows = life(s, d).select("hvfhs_license_num", "on_scene_status", F.col(kpis.WAIT).alias("v"))
-    return kpis.quantiles_by_counts(rows, [0.25, 0.5, 0.9], ["hvfhs_license_num", "on_scene_status"], width=1.0).toDF("hvfhs_license_num", "on_scene_status", "q25", "q50", "q90", "n")
+    groups = life(s, d).select("hvfhs_license_num", "on_scene_status").distinct()
+    by = ["hvfhs_license_num", "on_scene_status"]
+    found = groups.join(quantiles.by_counts(rows, [0.25, 0.5, 0.9], by), by, "left").fillna(0, ["n"])
+    return found.toDF("hvfhs_license_num", "on_scene_status", "q25", "q50", "q90", "n")

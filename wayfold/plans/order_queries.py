@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
+from ..functions import quantiles
 from ..operators import order_gate, orders
 from . import adapters as a
 from .registry import LATE, query, valid
@@ -45,7 +46,7 @@ def ticket_view_counts(s, d):
 
 @query(VIEW + "SELECT category, count(delay_min) AS known, quantile_cont(delay_min, 0.5) AS median_delay FROM tv GROUP BY 1")
 def ticket_delays(s, d):
-    return ticket_views(s, d).groupBy("category").agg(F.count("delay_min").alias("known"), x.quantile("delay_min", 0.5).alias("median_delay"))
+    return quantiles.summary(ticket_views(s, d), ["category"], [F.count("delay_min").alias("known")], {"median_delay": ("delay_min", 0.5, None)}, orders.DAY)
 
 
 @query(MORE + f"SELECT CAST(place AS INTEGER) AS place, t.traffic_bucket, g.orders, g.late_rate FROM (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(PLACES))}) t(place, traffic_bucket) LEFT JOIN (SELECT traffic_bucket, count(*) AS orders, {LATE} AS late_rate FROM valid GROUP BY 1) g USING (traffic_bucket)")

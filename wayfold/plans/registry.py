@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..functions import expressions as x
+from ..functions import quantiles
 from ..operators import enrich, friction, geo, kpis, lifecycle, orders, quality
 from . import adapters as a
 
@@ -490,7 +491,8 @@ def journey_metrics(s, d):
 
 @query(SIDES + "SELECT intervention_timing, count(*) AS orders, avg(late_flag) AS late_rate, quantile_cont(delay_min, 0.5) AS median_delay FROM jour GROUP BY 1")
 def intervention_timing(s, d):
-    return sides(s, d).groupBy("intervention_timing").agg(F.count("*").alias("orders"), F.avg("late_flag").alias("late_rate"), x.quantile("delay_min", 0.5).alias("median_delay"))
+    shares = [F.count("*").alias("orders"), F.avg("late_flag").alias("late_rate")]
+    return quantiles.summary(sides(s, d), ["intervention_timing"], shares, {"median_delay": ("delay_min", 0.5, None)}, orders.DAY)
 
 
 @query(SIDES + "SELECT reason, " + ", ".join(f"count(*) FILTER (intervention_type = '{t}') AS {t}" for t in "FO") + " FROM inter GROUP BY 1")
@@ -500,8 +502,11 @@ def reason_crosstab(s, d):
 
 @query(SIDES + "SELECT restaurant_id, count(*) AS orders, CAST(sum(late_flag) AS BIGINT) AS late, avg(late_flag) AS late_rate, quantile_cont(delay_min, 0.5) AS median_delay FROM jour WHERE restaurant_id IS NOT NULL GROUP BY 1 ORDER BY late DESC NULLS LAST, restaurant_id LIMIT 8")
 def restaurant_contribution(s, d):
-    g = sides(s, d).where("restaurant_id is not null").groupBy("restaurant_id")
-    return g.agg(F.count("*").alias("orders"), F.sum("late_flag").alias("late"), F.avg("late_flag").alias("late_rate"), x.quantile("delay_min", 0.5).alias("median_delay")).orderBy(F.desc_nulls_last("late"), "restaurant_id").limit(8)
+    known, order = sides(s, d).where("restaurant_id is not null"), (F.desc_nulls_last("late"), "restaurant_id")
+    counts = [F.count("*").alias("orders"), F.sum("late_flag").alias("late"), F.avg("late_flag").alias("late_rate")]
+    most = known.groupBy("restaurant_id").agg(*counts).orderBy(*order).limit(8).select("restaurant_id")
+    listed = known.join(F.broadcast(most), "restaurant_id", "left_semi")  # eight ids
+    return quantiles.summary(listed, ["restaurant_id"], counts, {"median_delay": ("delay_min", 0.5, None)}, orders.DAY).orderBy(*order)
 
 
 EVENTS = ["order_id", "event_time", "event_type", "actor", "source_system"]
@@ -577,7 +582,8 @@ def stale_updates(s, d):
 
 @query(ORDERS + "SELECT traffic_bucket, weather_bucket, quantile_cont(delay_min, 0.5) AS median_delay, quantile_cont(promise_min, 0.5) AS median_promise, quantile_cont(distance_km_estimate, 0.5) AS median_distance FROM valid GROUP BY 1, 2")
 def group_medians(s, d):
-    return valid(s, d).groupBy("traffic_bucket", "weather_bucket").agg(*[x.quantile(c, 0.5).alias(f"median_{n}") for c, n in (("delay_min", "delay"), ("promise_min", "promise"), ("distance_km_estimate", "distance"))])
+    medians = {f"median_{n}": (c, 0.5, None) for c, n in (("delay_min", "delay"), ("promise_min", "promise"), ("distance_km_estimate", "distance"))}
+    return quantiles.summary(valid(s, d), ["traffic_bucket", "weather_bucket"], [F.count("*").alias("n")], medians, orders.DAY).drop("n")
 
 
 @query(ORDERS + "SELECT count(*) AS rows, count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers, count(DISTINCT restaurant_id) AS restaurants FROM ords WHERE customer_id IS NOT NULL")
@@ -587,7 +593,9 @@ def distinct_counts(s, d):
 
 @query(LIFE + "SELECT " + ", ".join(f"quantile_cont(request_to_pickup_min, {q}) AS q{str(q).replace('.', '')}" for q in (0.01, 0.1, 0.5, 0.9, 0.99, 0.999)) + " FROM life WHERE in_kpi_population")
 def notebook_quantiles(s, d):
-    return life(s, d).where("in_kpi_population").agg(*[x.quantile(WAIT, q).alias(f"q{str(q).replace('.', '')}") for q in (0.01, 0.1, 0.5, 0.9, 0.99, 0.999)])
+    qs = [0.01, 0.1, 0.5, 0.9, 0.99, 0.999]
+    found = quantiles.by_counts(life(s, d).where("in_kpi_population").select(F.col(WAIT).alias("v")), qs)
+    return found.drop("n").toDF(*[f"q{str(q).replace('.', '')}" for q in qs])
 
 
 @query(LIFE + "SELECT PULocationID, count(*) AS rides FROM rides GROUP BY 1 ORDER BY rides DESC, PULocationID LIMIT 10")
