@@ -133,11 +133,13 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
     rules, lengths, known = [np.empty((0, 2), np.int64)], [], np.ones(base, np.int64)
     least = len(s)
     while len(s) > 1:
-        slot = (s[:-1] * np.uint32(0x9E3779B1) + s[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - HASH_BITS)
-        count = np.bincount(slot, minlength=1 << HASH_BITS)
+        bits = min(HASH_BITS, len(s).bit_length())
+        slot = (s[:-1] * np.uint32(0x9E3779B1) + s[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+        slot = slot.astype(np.intp)
+        count = np.bincount(slot, minlength=1 << bits)
         worth = 4 // width_of(base, len(known) - base) + 3
         least, last = max(worth, min(least, int(count.max())) // 2), least
-        at = np.nonzero(count[slot] >= least)[0]  # pairs may share a slot: count these exactly
+        at = np.nonzero(np.take(count >= least, slot, mode="clip"))[0]  # pairs may share a slot: count these exactly
         key = (s[at].astype(np.uint64) << np.uint64(32)) | s[at + 1]
         pairs, which, n = np.unique(key, return_inverse=True, return_counts=True)
         good = np.nonzero(n >= least)[0]
