@@ -131,7 +131,10 @@ def subtracted(cells: DataFrame, prints: bool) -> DataFrame:
     """
     own = F.col("version") == 0
     out = lambda rid, pair, sign: F.struct(rid.alias("rid"), F.lit(pair).alias("pair"), F.col("cell").alias("cell"), (F.col("n") * sign).alias("n"), F.col("key").alias("key"), F.col("chk").alias("chk"))
-    mark = F.struct(F.col("rid").alias("rid"), (F.col("version") + PRINT).alias("pair"), F.lit(-1).alias("cell"), F.col("n").alias("n"), F.xxhash64("cell", "n", "key", "chk").alias("key"), F.xxhash64("chk", "key", "n", "cell").alias("chk"))
+    mark = F.struct(
+        F.col("rid").alias("rid"), (F.col("version") + PRINT).alias("pair"), F.lit(-1).alias("cell"), F.col("n").alias("n"),
+        F.xxhash64("cell", "n", "key", "chk").alias("key"), F.xxhash64("chk", "key", "n", "cell").alias("chk"),
+    )
     marks = [mark] if prints else []
     rows = F.when(own, F.array(out(F.col("rid"), 0, 1), out(F.col("rid"), 1, 1), out(F.col("rid") - 1, 1, -1), *marks)).otherwise(F.array(out(F.col("rid"), 0, -1), *marks))
     d = cells.select("block", F.explode(rows).alias("x")).select("block", "x.*")
@@ -162,14 +165,20 @@ def peeled(d: DataFrame, cells: int, rounds: int = MORE_ROUNDS, by: list[str] =
 def outcome(d: DataFrame, by: list[str] = PLACE) -> DataFrame:
     """block, rid, pair, found, left (cells that still hold something), key, chk."""
     last = F.col("cell") < 0
-    return d.groupBy(*by).agg(F.sum(F.when(last, F.col("n")).otherwise(0)).alias("found"), F.sum(F.when(last, 0).otherwise(1)).alias("left"), F.bit_xor(F.when(last, F.col("key"))).alias("key"), F.bit_xor(F.when(last, F.col("chk"))).alias("chk"))
+    return d.groupBy(*by).agg(
+        F.sum(F.when(last, F.col("n")).otherwise(0)).alias("found"), F.sum(F.when(last, 0).otherwise(1)).alias("left"),
+        F.bit_xor(F.when(last, F.col("key"))).alias("key"), F.bit_xor(F.when(last, F.col("chk"))).alias("chk"),
+    )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     rows = with_next(docs).withColumn("new", edited_text())
-    rows = rows.select("block", "rid", "end", "doc_id", F.length("text").cast("long").alias("n_chars"), F.when(F.col("end") == 0, F.sha2("new", 256)).alias("edited_sha256"), digests(F.col("text")).alias("own"), F.when(F.col("end") == 0, digests(F.col("new"))).otherwise(F.array().cast("array<long>")).alias("edited"))
+    rows = rows.select(
+        "block", "rid", "end", "doc_id", F.length("text").cast("long").alias("n_chars"), F.when(F.col("end") == 0, F.sha2("new", 256)).alias("edited_sha256"),
+        digests(F.col("text")).alias("own"), F.when(F.col("end") == 0, digests(F.col("new"))).otherwise(F.array().cast("array<long>")).alias("edited"),
+    )
     rows = stored(rows, "print-rows")
     total = rows.agg(F.sum(F.size("own") + F.size("edited"))).first()[0] or 0
     parts = max(shuffle_partitions(spark), int(total // DIGESTS))
@@ -223,10 +232,15 @@ def differences(before: DataFrame, after: DataFrame, cells: int = CELLS) -> Data
 
 def described(rows: DataFrame, results: DataFrame, prints: DataFrame) -> DataFrame:
     """One row a document from its pairs' differences and its sketches' digests."""
-    tall = results.select("block", "rid", "pair", "found", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("chk")).union(prints.select("block", "rid", "pair", "found", "key", "chk"))
+    tall = results.select(
+        "block", "rid", "pair", "found", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("chk"),
+    ).union(prints.select("block", "rid", "pair", "found", "key", "chk"))
     of = lambda p, c: F.max(F.when(F.col("pair") == p, F.col(c)))
     hexed = lambda c: F.lpad(F.lower(F.hex(F.coalesce(c, F.lit(0).cast("long")))), 16, "0")
-    wide = tall.groupBy("block", "rid").agg(of(0, "found").alias("d0"), of(1, "found").alias("d1"), of(2, "key").alias("k2"), of(2, "chk").alias("c2"), of(3, "key").alias("k3"), of(3, "chk").alias("c3"))
+    wide = tall.groupBy("block", "rid").agg(
+        of(0, "found").alias("d0"), of(1, "found").alias("d1"), of(2, "key").alias("k2"), of(2, "chk").alias("c2"), of(3, "key").alias("k3"),
+        of(3, "chk").alias("c3"),
+    )
     sizes = rows.select("block", "rid", "end", "doc_id", "n_chars", "edited_sha256", F.size("own").alias("a"), F.size("edited").alias("b"))
     after = rows.select("block", (F.col("rid") - 1).alias("rid"), F.size("own").alias("c"))
     j = sizes.where("end = 0").join(after, ["block", "rid"]).join(wide, ["block", "rid"], "left")
@@ -235,7 +249,11 @@ def described(rows: DataFrame, results: DataFrame, prints: DataFrame) -> DataFra
         both, d = (F.col(x) + F.col(y)).cast("double"), F.coalesce(F.col(d), F.lit(0)).cast("double")
         return F.when(both + d > 0, (both - d) / (both + d)).otherwise(F.lit(1.0))
 
-    return j.select("doc_id", "n_chars", "edited_sha256", F.concat(hexed(F.col("k2")), hexed(F.col("c2"))).alias("fingerprint"), F.concat(hexed(F.col("k3")), hexed(F.col("c3"))).alias("edited_fingerprint"), alike("a", "b", "d0").alias("near_edited"), alike("a", "c", "d1").alias("near_next"))
+    return j.select(
+        "doc_id", "n_chars", "edited_sha256", F.concat(hexed(F.col("k2")), hexed(F.col("c2"))).alias("fingerprint"),
+        F.concat(hexed(F.col("k3")), hexed(F.col("c3"))).alias("edited_fingerprint"), alike("a", "b", "d0").alias("near_edited"),
+        alike("a", "c", "d1").alias("near_next"),
+    )
 
 
 LIKENESS_SQL = r"""

@@ -133,11 +133,12 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
     rules, lengths, known = [np.empty((0, 2), np.int64)], [], np.ones(base, np.int64)
     least = len(s)
     while len(s) > 1:
-        bits = min(HASH_BITS, len(s).bit_length())
+        worth = 4 // width_of(base, len(known) - base) + 3
+        # as many slots as keep the pairs that share one rare beside the wanted number
+        bits = max(14, min(HASH_BITS, len(s).bit_length(), (8 * len(s) // max(worth, least // 2)).bit_length()))
         slot = (s[:-1] * np.uint32(0x9E3779B1) + s[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
         slot = slot.astype(np.intp)
         count = np.bincount(slot, minlength=1 << bits)
-        worth = 4 // width_of(base, len(known) - base) + 3
         least, last = max(worth, min(least, int(count.max())) // 2), least
         at = np.nonzero(np.take(count >= least, slot, mode="clip"))[0]  # pairs may share a slot: count these exactly
         key = (s[at].astype(np.uint64) << np.uint64(32)) | s[at + 1]
@@ -194,11 +195,12 @@ def leftmost(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether size bytes at these places are equal; eight more bytes follow the last place."""
-    eights = [np.ndarray(len(x) - 7, "<u8", x, strides=(1,)) for x in (a, b)]
-    out, todo, done = np.ones(len(size), bool), np.arange(len(size)), 0
+    x, y = (np.ndarray(len(z) - 7, "<u8", z, strides=(1,)) for z in (a, b))
+    out, done = ((x[a_at] ^ y[b_at]) & FIRST_BYTES[np.minimum(size, 8)]) == 0, 8
+    todo = np.nonzero(size > done)[0]
     while len(todo):
         mask = FIRST_BYTES[np.minimum(size[todo] - done, 8)]
-        out[todo] &= ((eights[0][a_at[todo] + done] ^ eights[1][b_at[todo] + done]) & mask) == 0
+        out[todo] &= ((x[a_at[todo] + done] ^ y[b_at[todo] + done]) & mask) == 0
         done += 8
         todo = todo[size[todo] > done]
     return out
@@ -446,7 +448,10 @@ def read_windows(width: int):
                 n = np.array(row["n_tokens"])
                 middle = np.cumsum(n) - n + n // 2
                 found = Grammar.of_row(row).ranges(middle, np.minimum(middle + width, np.cumsum(n)))
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["doc_id"], pa.int64()), "first": pa.array(n // 2, pa.int64()), "ids": pa.array([x.astype(np.int64) for x in found], pa.list_(pa.int64()))})
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.array(row["doc_id"], pa.int64()), "first": pa.array(n // 2, pa.int64()),
+                    "ids": pa.array([x.astype(np.int64) for x in found], pa.list_(pa.int64())),
+                })
 
     return run
 
@@ -465,18 +470,27 @@ def read_documents(batches):
             starts = ends - np.array(row["n_tokens"])
             crc = [zlib.crc32(ids[a:e].tobytes()) for a, e in zip(starts, ends, strict=True)]
             n = len(crc)
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([row["shard"]] * n, pa.int32()), "block": pa.array([row["block"]] * n, pa.int32()), "doc_id": pa.array(row["doc_id"], pa.int64()), "inside": pa.array(starts, pa.int64()), "n_tokens": pa.array(row["n_tokens"], pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
+            yield pa.RecordBatch.from_pydict({
+                "shard": pa.array([row["shard"]] * n, pa.int32()), "block": pa.array([row["block"]] * n, pa.int32()), "doc_id": pa.array(row["doc_id"], pa.int64()),
+                "inside": pa.array(starts, pa.int64()), "n_tokens": pa.array(row["n_tokens"], pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
+            })
 
 
 def read_ids(spark, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the shards."""
     files = spark.read.schema(FILE).parquet(folder)
     blocks = files.select("shard", "block", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    shards = blocks.groupBy("shard").agg(F.sum("n").alias("n")).withColumn("_shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(F.col("shard").alias("_s"), "_shard")
+    shards = blocks.groupBy("shard").agg(F.sum("n").alias("n")).withColumn(
+        "_shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    ).select(F.col("shard").alias("_s"), "_shard")
     inside = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    before = blocks.withColumn("_inside", inside).join(shards, F.col("shard") == F.col("_s")).select(F.col("shard").alias("_s"), F.col("block").alias("_b"), (F.col("_inside") + F.col("_shard")).alias("_before"))
+    before = blocks.withColumn("_inside", inside).join(shards, F.col("shard") == F.col("_s")).select(
+        F.col("shard").alias("_s"), F.col("block").alias("_b"), (F.col("_inside") + F.col("_shard")).alias("_before"),
+    )
     docs = files.mapInArrow(read_documents, "shard int, block int, doc_id long, inside long, n_tokens long, ids_crc32 long")
-    return docs.join(before, (F.col("shard") == F.col("_s")) & (F.col("block") == F.col("_b"))).select("doc_id", (F.col("_before") + F.col("inside")).cast("long").alias("start"), "n_tokens", "ids_crc32")
+    return docs.join(before, (F.col("shard") == F.col("_s")) & (F.col("block") == F.col("_b"))).select(
+        "doc_id", (F.col("_before") + F.col("inside")).cast("long").alias("start"), "n_tokens", "ids_crc32",
+    )
 
 
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int = BLOCK, folder: str | None = None) -> DataFrame:

@@ -63,7 +63,10 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED, keep: tuple[str, ...]
     place = [docs.columns.index(c) for c in keep]
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     own = dict(zip(("doc_id", "source", "text"), [F.col(f"_c{docs.columns.index(c)}") for c in ("doc_id", "source", "text")], strict=True))
-    rows = plain.select(own["doc_id"].alias("doc_id"), own["source"].alias("source"), word_count(own["text"]).alias("_size"), F.xxhash64(own["text"]).alias("_hash"), *[F.col(f"_c{i}").alias(h) for i, h in zip(place, held, strict=True)])
+    rows = plain.select(
+        own["doc_id"].alias("doc_id"), own["source"].alias("source"), word_count(own["text"]).alias("_size"), F.xxhash64(own["text"]).alias("_hash"),
+        *[F.col(f"_c{i}").alias(h) for i, h in zip(place, held, strict=True)],
+    )
     if not keep:
         rows = stored(rows, "mix-sizes")  # narrow from here on: the texts are read once
     order = [F.asc_nulls_last("source"), F.asc("_size"), F.asc("doc_id"), F.asc("_hash")]
@@ -77,9 +80,14 @@ def mix(docs: DataFrame, cap: int = CAP, seed: str = SEED, keep: tuple[str, ...]
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")))), 1, 5), 16, 10).cast("double") / F.lit(1048576.0)
     goals = goals.withColumn("_u", offset).withColumn("_e", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    parts = parts.alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select("p.source", "p._block", "p._first", "p._before", "g.source_size", "g.target", "g._u", "g._e")
+    parts = parts.alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select(
+        "p.source", "p._block", "p._first", "p._before", "g.source_size", "g.target", "g._u", "g._e",
+    )
     r, p = ranged.alias("r"), parts.alias("q")
-    full = r.join(p, (F.col("r._block") == F.col("q._block")) & F.col("r.source").eqNullSafe(F.col("q.source"))).select("r.doc_id", "r.source", "r._size", *[F.col(f"r.{h}") for h in held], "q.source_size", "q.target", "q._u", "q._e", (F.col("r._at") - F.col("q._first") + F.col("q._before")).alias("_i"))
+    full = r.join(p, (F.col("r._block") == F.col("q._block")) & F.col("r.source").eqNullSafe(F.col("q.source"))).select(
+        "r.doc_id", "r.source", "r._size", *[F.col(f"r.{h}") for h in held], "q.source_size", "q.target", "q._u", "q._e",
+        (F.col("r._at") - F.col("q._first") + F.col("q._before")).alias("_i"),
+    )
     i, e, u = F.col("_i").cast("double"), F.col("_e"), F.col("_u")
     copies = F.least(F.floor((i + 1) * e + u) - F.floor(i * e + u), F.lit(cap).cast("long")).cast("long")
     return full.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), *held)

@@ -59,7 +59,10 @@ ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]*")
 KEY_RUN = re.compile(r"[A-Za-z0-9_-]{16,}")
 #: What an address has after its @; unlike the fixed pattern it needs no dot.
 HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
-CUES = [("mail", "contact"), ("ip", "host", "address", "server"), ("card", "visa", "payment"), ("phone", "tel", "call", "mobile"), ("iban", "account", "bank"), ("token", "secret", "key", "password", "passwd", "api", "bearer"), ("ssn", "social", "security")]
+CUES = [
+    ("mail", "contact"), ("ip", "host", "address", "server"), ("card", "visa", "payment"), ("phone", "tel", "call", "mobile"),
+    ("iban", "account", "bank"), ("token", "secret", "key", "password", "passwd", "api", "bearer"), ("ssn", "social", "security"),
+]
 FEATURES = 25
 
 
@@ -141,7 +144,13 @@ def features(text: str, a: int, e: int, span: str, kind: int) -> list[float]:
     wider = (before in ".-+_" and before != "" and text[a - 2 : a - 1].isalnum()) or (after in ".-@_" and after != "" and text[e + 1 : e + 2].isalnum())
     parts = span.split(".")
     octets = kind == 1 and all(int(p) <= 255 for p in parts)
-    f = [1.0, 10 <= n <= 15, 13 <= n <= 19, 14 <= n <= 19 and luhn(digits), octets, joined, wider, before == '"' and after == '"', cue[kind], any(c for k, c in enumerate(cue) if k != kind), span[0] == "+", " " in span, "(" in span or "-" in span, kind == 0 and "." in span.partition("@")[2], min(len(span), 128) / 32, len(span) >= 32, len(set(span)) / max(len(span), 1), all(c in "0123456789abcdef" for c in span), n / max(len(span), 1), span[:1].isupper() and span[:2].isupper(), n < 10, before in "" or before.isspace() or before in "\"'=:,(<[{", bool(MIXED.match(span)), len(TURN.findall(span)) / len(span), "-" in span or "_" in span]
+    f = [
+        1.0, 10 <= n <= 15, 13 <= n <= 19, 14 <= n <= 19 and luhn(digits), octets, joined, wider, before == '"' and after == '"', cue[kind],
+        any(c for k, c in enumerate(cue) if k != kind), span[0] == "+", " " in span, "(" in span or "-" in span, kind == 0 and "." in span.partition("@")[2],
+        min(len(span), 128) / 32, len(span) >= 32, len(set(span)) / max(len(span), 1), all(c in "0123456789abcdef" for c in span), n / max(len(span), 1),
+        span[:1].isupper() and span[:2].isupper(), n < 10, before in "" or before.isspace() or before in "\"'=:,(<[{", bool(MIXED.match(span)),
+        len(TURN.findall(span)) / len(span), "-" in span or "_" in span,
+    ]
     return [float(x) for x in f]
 
 
@@ -205,7 +214,10 @@ def examples(n: int = 900, seed: int = 7):
         return d if r.random() < 0.6 else r.choice(" -").join(d[i : i + 4] for i in range(0, len(d), 4))
 
     def phone():
-        return r.choice([f"+{r.randint(1, 99)} ({number(3)}) {number(3)}-{number(4)}", f"+{r.randint(1, 99)} {number(3)} {number(3)} {number(4)}", f"({number(3)}) {number(3)}-{number(4)}", f"+{number(11)}"])
+        return r.choice([
+            f"+{r.randint(1, 99)} ({number(3)}) {number(3)}-{number(4)}", f"+{r.randint(1, 99)} {number(3)} {number(3)} {number(4)}",
+            f"({number(3)}) {number(3)}-{number(4)}", f"+{number(11)}",
+        ])
 
     letters = lambda k, among: "".join(r.choice(among) for _ in range(k))
     lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -332,7 +344,13 @@ def finder(weights: np.ndarray):
         for b in text_chunks(batches):
             found = [all_spans(weights, t or "") for t in b.column(1).to_pylist()]
             counts = [[sum(k == i for _, _, k in base) for base, _ in found] for i in range(len(BASE))]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), *[pa.array(c, pa.int64()) for c in counts], pa.array([hashlib.sha256(written(base).encode()).hexdigest() for base, _ in found]), pa.array([written(every) for _, every in found])], names=["doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).cast(pa.int64()), *[pa.array(c, pa.int64()) for c in counts],
+                    pa.array([hashlib.sha256(written(base).encode()).hexdigest() for base, _ in found]), pa.array([written(every) for _, every in found]),
+                ],
+                names=["doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans"],
+            )
 
     return run
 

@@ -38,7 +38,9 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndar
     if not len(size):
         return h
     eights = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
-    todo, done = np.nonzero((size > 0) & (size <= LONG))[0], 0
+    some = size > 0
+    h[some] = mix((h[some] ^ (eights[start[some]] & FIRST_BYTES[np.minimum(size[some], 8)])) + U(ODD))
+    todo, done = np.nonzero((size > 8) & (size <= LONG))[0], 8
     while len(todo):
         part = eights[start[todo] + done] & FIRST_BYTES[np.minimum(size[todo] - done, 8)]
         h[todo] = mix((h[todo] ^ part) + U(ODD))

@@ -205,7 +205,10 @@ def search(k: int):
             if best is None:
                 return
             row, place = np.nonzero(best.full)
-            yield pa.RecordBatch.from_pydict({"q": pa.array(quid[row], pa.int64()), "query_id": pa.array(qid[row], pa.int64()), "vec_id": pa.array(best.id[row, place], pa.int64()), "score": pa.array(best.score[row, place], pa.int64())})
+            yield pa.RecordBatch.from_pydict({
+                "q": pa.array(quid[row], pa.int64()), "query_id": pa.array(qid[row], pa.int64()), "vec_id": pa.array(best.id[row, place], pa.int64()),
+                "score": pa.array(best.score[row, place], pa.int64()),
+            })
 
         for b in batches:
             for row in b.to_pylist():
