@@ -218,7 +218,7 @@ class WordTable:
 
     def clear(self) -> None:
         self.key = np.zeros(1 << self.bits, np.uint64)
-        self.off, self.size, self.word, self.length = (np.zeros(1 << self.bits, np.int32) for _ in range(4))
+        self.rows = np.zeros((1 << self.bits, 4), np.int32)  # where ids and bytes begin, how many there are
         self.pool, self.used, self.count = np.empty(1 << 20, self.kind), 0, 0
         self.bytes, self.held = np.zeros(1 << 20, np.uint8), 0
 
@@ -235,16 +235,19 @@ class WordTable:
             at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
         return out
 
-    def holds(self, slot: np.ndarray, buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Whether the slot's word is the one at start; buf goes on for eight bytes past the last."""
-        same = self.length[slot] == length
-        same[same] = same_bytes(self.bytes, self.word[slot[same]].astype(np.int64), buf, start[same], length[same])
-        return same
-
-    def add(self, key: np.ndarray, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Puts in words with different keys that aren't there; ids has theirs one after another. Their slots."""
-        text = np.frombuffer(b"".join(words), np.uint8)
-        length = np.fromiter(map(len, words), np.int64, len(words))
+    def get(self, slot: np.ndarray, buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each slot's word is the one at start, and where its ids begin and how many they
+        are; a slot may be -1. buf goes on for eight bytes past the last word."""
+        rows = self.rows[slot]
+        same = np.nonzero((slot >= 0) & (rows[:, 3] == length))[0]
+        same = same[same_bytes(self.bytes, rows[same, 1].astype(np.int64), buf, start[same], length[same])]
+        held = np.zeros(len(slot), bool)
+        held[same] = True
+        return held, rows[:, 0].astype(np.int64), np.where(held, rows[:, 2], 0).astype(np.int64)
+
+    def add(self, key: np.ndarray, text: np.ndarray, length: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Puts in words with different keys that aren't there; text and ids have theirs one after
+        another, of so many bytes and ids each. Their slots."""
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty(len(self.pool), self.kind)])
         while self.held + len(text) + 8 > len(self.bytes):
@@ -259,8 +262,7 @@ class WordTable:
             free = todo[self.key[slot[todo]] == 0]
             self.key[slot[free]] = key[free]
             won = free[self.key[slot[free]] == key[free]]
-            self.off[slot[won]], self.size[slot[won]] = off[won], size[won]
-            self.word[slot[won]], self.length[slot[won]] = word[won], length[won]
+            self.rows[slot[won]] = np.stack([off[won], word[won], size[won], length[won]], 1)
             rest = np.ones(len(key), bool)
             rest[won] = False
             todo = todo[rest[todo]]
@@ -312,22 +314,38 @@ class LibraryEncoder:
         """words with the space or line feed before them: the places of those that can be encoded
         on their own, their ids one after another, their sizes."""
         rest = [w[1:] if w[:1] in (" ", "\n") else w for w in words]
-        good = np.array([len(w) > 0 for w in rest], bool)
-        joined = "".join(rest)
-        if SPACES.search(joined) or any(x in joined for x in self.special):
-            good[[i for i, w in enumerate(rest) if SPACES.search(w) or any(x in w for x in self.special)]] = False
-        space = np.array([w[:1] == " " for w in words], bool)
-        spaced, other, ids, size = np.nonzero(good & space)[0], np.nonzero(good & ~space)[0], [], []
-        for a in range(0, len(spaced), 4000):
-            part = self.ask(["".join([words[i] for i in spaced[a : a + 4000].tolist()])])[0]
+        good = [i for i, w in enumerate(rest) if w and not self.odd(w)]
+        ids = self.ask([words[i] for i in good])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.array(good, np.int64), np.concatenate([np.empty(0, self.kind), *ids]), sizes
+
+    def learn_all(self, raw: bytes, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.learn([raw[e - n : e].decode() for e, n in zip(np.cumsum(length).tolist(), length.tolist(), strict=True)])
+
+    def odd(self, text: str) -> bool:
+        """Whether it has white space, a control or the name of a special token."""
+        return bool(SPACES.search(text)) or any(x in text for x in self.special)
+
+    def learn_spaced(self, raw: bytes, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for words that all begin with a space, one after another, some thousands at once."""
+        ends = np.cumsum(length)
+        places, ids, sizes = [], [], []
+        for a in range(0, len(length), 4000):
+            e = min(a + 4000, len(length))
+            text = raw[int(ends[a] - length[a]) : int(ends[e - 1])].decode()
+            part = self.ask([text])[0]
             at = np.nonzero(self.spaced[part])[0]  # each word's first id has the space
-            ids.append(part)
-            size.append(np.diff(at, append=len(part)))
-        for x in self.ask([words[i] for i in other.tolist()]):
-            ids.append(x)
-            size.append([len(x)])
+            if len(at) == e - a and at[0] == 0 and not self.odd(text.replace(" ", "")):
+                places.append(np.arange(a, e))
+                ids.append(part)
+                sizes.append(np.diff(at, append=len(part)))
+            else:
+                good, x, n = self.learn([raw[j - k : j].decode() for j, k in zip(ends[a:e].tolist(), length[a:e].tolist(), strict=True)])
+                places.append(a + good)
+                ids.append(x)
+                sizes.append(n)
         empty = np.empty(0, np.int64)
-        return np.concatenate([spaced, other]), np.concatenate([np.empty(0, self.kind), *ids]), np.concatenate([empty, *size]).astype(np.int64)
+        return np.concatenate([empty, *places]), np.concatenate([np.empty(0, self.kind), *ids]), np.concatenate([empty, *sizes])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word or not texts:
@@ -356,19 +374,17 @@ class LibraryEncoder:
         inside = (length > 0) & ~whole[of]
         start, stop, of, length = start[inside], stop[inside], of[inside], length[inside]
         key = span_hashes(buf, start, stop) | np.uint64(1)
-        slot = self.slots(joined, buf, start, stop, key)
-        known = slot >= 0
-        known[known] = self.words.holds(slot[known], buf, start[known], length[known])
+        slot = self.slots(buf, start, stop, key)
+        known, off, n = self.words.get(slot, buf, start, length)
         whole[of[~known]] = True
-        n = np.where(known, self.words.size[slot], 0).astype(np.int64)
-        ids = self.words.pool[spread(self.words.off[slot].astype(np.int64), n)]
+        ids = self.words.pool[spread(off, n)]
         per = np.bincount(of, weights=n, minlength=len(raw)).astype(np.int64)
         out = np.split(ids, np.cumsum(per)[:-1])
         for i in np.nonzero(whole)[0].tolist():
             out[i] = self.long(texts[i])
         return out
 
-    def slots(self, joined: bytes, buf: np.ndarray, start: np.ndarray, stop: np.ndarray, key: np.ndarray) -> np.ndarray:
+    def slots(self, buf: np.ndarray, start: np.ndarray, stop: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The memo's slot for every word's key, of which one word is learned; -1 for what isn't learned."""
         table = self.words
         slot = table.find(key)
@@ -380,9 +396,14 @@ class LibraryEncoder:
             slot[:], lack = -1, np.arange(len(key))
         if len(new) > 0.7 * (1 << table.bits):
             return slot
-        words = [joined[a:e] for a, e in zip(start[lack[rep]].tolist(), stop[lack[rep]].tolist(), strict=True)]
-        good, ids, size = self.learn([w.decode() for w in words])
-        table.add(new[good], [words[i] for i in good.tolist()], ids, size)
+        begin, size = start[lack[rep]], (stop - start)[lack[rep]]
+        for which, learn in ((buf[begin] == 32, self.learn_spaced), (buf[begin] != 32, self.learn_all)):
+            of = np.nonzero(which)[0]
+            text = buf[spread(begin[of], size[of])]
+            good, ids, n = learn(text.tobytes(), size[of])
+            if len(good) < len(of):
+                text = buf[spread(begin[of[good]], size[of[good]])]
+            table.add(new[of[good]], text, size[of[good]], ids, n)
         slot[lack] = table.find(key[lack])
         return slot
 
