@@ -44,12 +44,19 @@ def weather_json(drop=0):
     start = dt.datetime(2023, 12, 31)
     hours = [start + dt.timedelta(hours=h) for h in range(768)][drop:]
     rain = [3.0 if h.hour == 8 else 0.5 if h.hour == 9 else 0.0 for h in hours]
-    return {"latitude": 40.7, "longitude": -74.0, "timezone": "America/New_York", "hourly": {"time": [h.strftime("%Y-%m-%dT%H:%M") for h in hours], "temperature_2m": [1.0] * len(hours), "precipitation": rain, "wind_speed_10m": [2.0] * len(hours)}}
+    return {
+        "latitude": 40.7, "longitude": -74.0, "timezone": "America/New_York",
+        "hourly": {"time": [h.strftime("%Y-%m-%dT%H:%M") for h in hours], "temperature_2m": [1.0] * len(hours), "precipitation": rain, "wind_speed_10m": [2.0] * len(hours)},
+    }
 
 
 def complaint_rows(n=62):
     kinds = ["Driver Complaint - Passenger", "Driver Complaint - Non Passenger", "Car Service Company Complaint"]
-    return [{"unique_key": f"{i:05d}", "created_date": f"2024-01-{1 + i % 31:02d}T10:00:00.000", "complaint_type": monthly.COMPLAINT_TYPE, "descriptor": kinds[i % 3], "descriptor_2": "Refused Pick-Up" if i % 6 == 0 else "x", "borough": "B" if i % 3 == 2 else "A", "agency": "TLC", "status": "Closed", "x_coordinate_state_plane": str(10 * (i % 3) + 5), "y_coordinate_state_plane": str(10 * (i % 3) + 5)} for i in range(n)]
+    return [{
+        "unique_key": f"{i:05d}", "created_date": f"2024-01-{1 + i % 31:02d}T10:00:00.000", "complaint_type": monthly.COMPLAINT_TYPE,
+        "descriptor": kinds[i % 3], "descriptor_2": "Refused Pick-Up" if i % 6 == 0 else "x", "borough": "B" if i % 3 == 2 else "A", "agency": "TLC",
+        "status": "Closed", "x_coordinate_state_plane": str(10 * (i % 3) + 5), "y_coordinate_state_plane": str(10 * (i % 3) + 5),
+    } for i in range(n)]
 
 
 class Server:
@@ -110,14 +117,20 @@ def trip_file(spark, tmp_path_factory):
 
 @pytest.fixture
 def server(trip_file):
-    s = Server({"/trips_2024-01.parquet": trip_file, "/zones.csv": ZONES.encode(), "/zones.zip": shape_zip([(1, "One", "A", 0.0, 10.0), (2, "Two", "A", 10.0, 20.0), (3, "Three", "B", 20.0, 30.0)])}, weather_json(), complaint_rows())
+    s = Server(
+        {"/trips_2024-01.parquet": trip_file, "/zones.csv": ZONES.encode(), "/zones.zip": shape_zip([(1, "One", "A", 0.0, 10.0), (2, "Two", "A", 10.0, 20.0), (3, "Three", "B", 20.0, 30.0)])},
+        weather_json(), complaint_rows(),
+    )
     yield s
     s.http.shutdown()
 
 
 def make(spark, server, tmp_path, **kw):
     feeds = monthly.Feeds(f"{server.url}/trips_{{month}}.parquet", f"{server.url}/zones.csv", f"{server.url}/zones.zip", f"{server.url}/weather", f"{server.url}/complaints", 25)
-    return monthly.Run(spark, kw.pop("month", "2024-01"), feeds, tmp_path / "data", tmp_path / "out", tmp_path / "logs", Thresholds(min_rides_per_zone=5), retry=web.Retry(base=0.01, sleep=lambda s: None), cell=4.0, **kw)
+    return monthly.Run(
+        spark, kw.pop("month", "2024-01"), feeds, tmp_path / "data", tmp_path / "out", tmp_path / "logs", Thresholds(min_rides_per_zone=5),
+        retry=web.Retry(base=0.01, sleep=lambda s: None), cell=4.0, **kw
+    )
 
 
 def test_publishes_and_repeats(spark, server, tmp_path):
@@ -334,7 +347,9 @@ def test_readers(spark, tmp_path):
     assert sorted(map(tuple, tables.sqlite(spark, at, "orders", parts=3).collect())) == [(1, "a"), (2, None)]
     k = tables.sqlite(spark, at, "kinds")
     assert [t for _, t in k.dtypes] == ["bigint", "double", "string", "double", "binary", "string"]
-    assert sorted(((r.i, r.f, r.mixed, r.n, r.b and bytes(r.b), r.empty) for r in k.collect()), key=repr) == sorted([(1, 0.5, "x", 1.0, b"a", None), (2, None, "7", 2.5, None, None), (None, 3.0, "0.5", None, b"", None)], key=repr)
+    assert sorted(((r.i, r.f, r.mixed, r.n, r.b and bytes(r.b), r.empty) for r in k.collect()), key=repr) == sorted(
+        [(1, 0.5, "x", 1.0, b"a", None), (2, None, "7", 2.5, None, None), (None, 3.0, "0.5", None, b"", None)], key=repr,
+    )
     assert tables.sqlite(spark, at, "none").count() == 0
     (tmp_path / "z.csv").write_text(ZONES)
     z = tables.zones(spark, str(tmp_path / "z.csv"))

@@ -50,7 +50,13 @@ def with_weather(rides: DataFrame, weather: DataFrame | None, light_max: float =
     return out.withColumn("precip_band", precipitation_band(F.col("precipitation_mm"), F.col("weather_matched"), light_max))
 
 
-JOURNEY = ["ride_id", "hvfhs_license_num", "request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "pickup_zone_id", "pickup_zone", "pickup_borough", "dropoff_zone_id", "dropoff_zone", "dropoff_borough", "trip_miles", "trip_duration_min", "request_to_pickup_min", "request_to_on_scene_min", "on_scene_to_pickup_min", "on_scene_status", "validation_status", "in_kpi_population", "in_stage_population", "in_zone_population", "request_on_whole_minute", "trip_time_mismatch", "request_hour", "request_weekday", "is_weekend", "time_period", "weather_hour", "temperature_c", "precipitation_mm", "wind_speed_kmh", "precip_band"]
+JOURNEY = [
+    "ride_id", "hvfhs_license_num", "request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "pickup_zone_id", "pickup_zone",
+    "pickup_borough", "dropoff_zone_id", "dropoff_zone", "dropoff_borough", "trip_miles", "trip_duration_min", "request_to_pickup_min",
+    "request_to_on_scene_min", "on_scene_to_pickup_min", "on_scene_status", "validation_status", "in_kpi_population", "in_stage_population",
+    "in_zone_population", "request_on_whole_minute", "trip_time_mismatch", "request_hour", "request_weekday", "is_weekend", "time_period", "weather_hour",
+    "temperature_c", "precipitation_mm", "wind_speed_kmh", "precip_band",
+]
 STORED_AS_FLOAT = ["trip_duration_min", "request_to_pickup_min", "request_to_on_scene_min", "on_scene_to_pickup_min"]
 
 

@@ -29,7 +29,10 @@ def pickups_by_zone(journey: DataFrame) -> DataFrame:
 def by_zone(complaints: DataFrame, pickups: DataFrame, zones: DataFrame) -> DataFrame:
     """Every zone with pickups or complaints; what it lacks is zero."""
     c = F.count_if
-    n = complaints.where("zone_id is not null").groupBy("zone_id").agg(F.count("*").alias(COUNTERS[0]), c(F.col("category") == "passenger").alias(COUNTERS[1]), c(F.col("category") == "non_passenger").alias(COUNTERS[2]), c(F.col("pickup_reliability_reason")).alias(COUNTERS[3]))
+    n = complaints.where("zone_id is not null").groupBy("zone_id").agg(
+        F.count("*").alias(COUNTERS[0]), c(F.col("category") == "passenger").alias(COUNTERS[1]), c(F.col("category") == "non_passenger").alias(COUNTERS[2]),
+        c(F.col("pickup_reliability_reason")).alias(COUNTERS[3]),
+    )
     both = pickups.join(n, "zone_id", "full").fillna(0, ["hvfhv_pickups", *COUNTERS])
     z = zones.select(F.col("location_id").alias("_z"), "zone", "borough")
     return both.join(z, F.col("zone_id") == F.col("_z"), "left").drop("_z")
@@ -50,7 +53,9 @@ def kpi5(per_zone: DataFrame, borough_waits: DataFrame, min_rides: int) -> DataF
     b = by_borough(per_zone)
     shown = b.where(F.col("hvfhv_pickups") >= min_rides).join(borough_waits.select(F.col("pickup_borough").alias("_b"), "p90_min"), F.col("borough").eqNullSafe(F.col("_b")), "left")
     cols = ["level", "borough", "complaints_passenger", "hvfhv_pickups", "rate_per_100k", "p90_min"]
-    return shown.withColumn("level", F.lit("borough")).select(*cols).union(citywide(b).select(F.lit("city"), F.lit(None).cast("string"), "complaints_passenger", "hvfhv_pickups", "rate_per_100k", F.lit(None).cast("double")))
+    return shown.withColumn("level", F.lit("borough")).select(*cols).union(citywide(b).select(
+        F.lit("city"), F.lit(None).cast("string"), "complaints_passenger", "hvfhv_pickups", "rate_per_100k", F.lit(None).cast("double"),
+    ))
 
 
 def zone_breakdown(zone_kpis: DataFrame, per_zone: DataFrame) -> DataFrame:
@@ -65,7 +70,12 @@ def mapping_summary(complaints: DataFrame) -> DataFrame:
     c, m = F.count_if, F.col("mapping")
     known = F.col("zone_borough").isNotNull() & F.col("reported_borough").isNotNull() & (F.col("reported_borough") != "Unspecified")
     passenger = F.col("category") == "passenger"
-    return complaints.agg(F.count("*").alias("rows"), c(m.isin("mapped", "ambiguous_lowest_id")).alias("mapped"), c(m == "no_coordinates").alias("no_coordinates"), c(m == "outside_all_zones").alias("outside_all_zones"), c(m == "ambiguous_lowest_id").alias("ambiguous"), c(passenger).alias("passenger_total"), c(passenger & F.col("zone_id").isNull()).alias("passenger_unmapped"), c(known).alias("comparable"), c(known & (F.upper("zone_borough") == F.upper("reported_borough"))).alias("agree"))
+    return complaints.agg(
+        F.count("*").alias("rows"), c(m.isin("mapped", "ambiguous_lowest_id")).alias("mapped"), c(m == "no_coordinates").alias("no_coordinates"),
+        c(m == "outside_all_zones").alias("outside_all_zones"), c(m == "ambiguous_lowest_id").alias("ambiguous"), c(passenger).alias("passenger_total"),
+        c(passenger & F.col("zone_id").isNull()).alias("passenger_unmapped"), c(known).alias("comparable"),
+        c(known & (F.upper("zone_borough") == F.upper("reported_borough"))).alias("agree"),
+    )
 
 
 def required_fields(df: DataFrame, fields: list[str]) -> DataFrame:
@@ -91,7 +101,10 @@ def complaint_checks(complaints: DataFrame, expected: int | None, first, last, c
     closed = F.expr("try_cast(closed_date AS TIMESTAMP_NTZ)")
     day = F.to_date(at)
     inside = F.coalesce((day >= F.lit(str(first)).cast("date")) & (day <= F.lit(str(last)).cast("date")), F.lit(False))
-    r = complaints.agg(F.count_if(~inside).alias("outside"), F.countDistinct(day).alias("days"), F.count_if(closed < at).alias("early"), F.count_if(F.col("category") == "other").alias("unknown")).first()
+    r = complaints.agg(
+        F.count_if(~inside).alias("outside"), F.countDistinct(day).alias("days"), F.count_if(closed < at).alias("early"),
+        F.count_if(F.col("category") == "other").alias("unknown"),
+    ).first()
     out.append(s("date_coverage", FAIL if r.outside else WARN if r.days < (last - first).days + 1 else PASS, f"outside {r.outside}, days {r.days}"))
     out.append(s("chronology_and_status", WARN if r.early else PASS, f"closed early {r.early}", "info", "chronology"))
     out.append(s("descriptor_classification", WARN if r.unknown else PASS, f"unknown {r.unknown}", "info", "semantic"))

@@ -65,7 +65,10 @@ def zone_summary(zones: DataFrame, citywide: DataFrame) -> DataFrame:
     c = citywide.select(x.round2("p90_min").alias("city_p90"))
     z = zones.withColumn("p90", x.round2("p90_min"))
     r = F.col("ranked")
-    return z.crossJoin(F.broadcast(c)).agg(F.count_if(r).alias("zones_ranked"), F.count_if(~r).alias("zones_below_min_rides"), F.min(F.when(r, F.col("p90"))).alias("best_p90"), F.max(F.when(r, F.col("p90"))).alias("worst_p90"), F.count_if(r & (F.col("p90") > F.col("city_p90") * 1.5)).alias("zones_over_1_5x"))
+    return z.crossJoin(F.broadcast(c)).agg(
+        F.count_if(r).alias("zones_ranked"), F.count_if(~r).alias("zones_below_min_rides"), F.min(F.when(r, F.col("p90"))).alias("best_p90"),
+        F.max(F.when(r, F.col("p90"))).alias("worst_p90"), F.count_if(r & (F.col("p90") > F.col("city_p90") * 1.5)).alias("zones_over_1_5x"),
+    )
 
 
 def band_figures(rides: DataFrame) -> DataFrame:

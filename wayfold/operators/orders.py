@@ -108,12 +108,18 @@ def fk_coverage(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
     j = keys.join(known, F.col("k") == F.col("p"), "left")
     s = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
     m = s(F.col("p").isNotNull())
-    return j.agg(F.lit(name).alias("relationship"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), s(F.col("k").isNull()).alias("null_keys"), s(F.col("k").isNotNull() & F.col("p").isNull()).alias("unmatched"), F.try_divide(m.cast("double"), F.sum("n")).alias("coverage"))
+    return j.agg(
+        F.lit(name).alias("relationship"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), s(F.col("k").isNull()).alias("null_keys"),
+        s(F.col("k").isNotNull() & F.col("p").isNull()).alias("unmatched"), F.try_divide(m.cast("double"), F.sum("n")).alias("coverage"),
+    )
 
 
 def key_report(df: DataFrame, key: str, name: str) -> DataFrame:
     g = df.groupBy(key).agg(F.count("*").alias("n"))
-    return g.agg(F.lit(name).alias("table_name"), F.sum("n").alias("rows"), (F.max("n") <= 1).alias("key_unique"), F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("key_nulls"), F.max("n").alias("max_per_key"))
+    return g.agg(
+        F.lit(name).alias("table_name"), F.sum("n").alias("rows"), (F.max("n") <= 1).alias("key_unique"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("key_nulls"), F.max("n").alias("max_per_key"),
+    )
 
 
 def cardinality(df: DataFrame, key: str) -> DataFrame:
@@ -158,7 +164,11 @@ def with_dispatch(valid: DataFrame, dispatch: DataFrame) -> DataFrame:
     against that estimate, whether a driver was exchanged, and the estimating model."""
     known = dispatch.select("order_id", "current_delivery_eta", "reassigned_at", "eta_model_version")
     j = valid.join(known, "order_id", "left")
-    return j.withColumns({"eta_drift_min": x.minutes("current_delivery_eta", "promised_eta"), "late_vs_current": F.coalesce(F.col("actual_delivery_at") > F.col("current_delivery_eta"), F.lit(False)), "reassigned": F.col("reassigned_at").isNotNull()})
+    return j.withColumns({
+        "eta_drift_min": x.minutes("current_delivery_eta", "promised_eta"),
+        "late_vs_current": F.coalesce(F.col("actual_delivery_at") > F.col("current_delivery_eta"), F.lit(False)),
+        "reassigned": F.col("reassigned_at").isNotNull(),
+    })
 
 
 def system_view(tickets: DataFrame, orders: DataFrame, valid: DataFrame) -> DataFrame:
@@ -185,7 +195,10 @@ def recomputed(orders: DataFrame, outcomes: DataFrame, tolerance: float = 0.02)
     """How many stated delays agree with the times, of those where both are known."""
     j = with_delay(orders).select("order_id", F.col("delay_min").alias("_own")).join(outcomes.select("order_id", "delay_min"), "order_id")
     both = F.col("_own").isNotNull() & F.col("delay_min").isNotNull()
-    return j.agg(F.count_if(both).alias("classifiable"), F.count_if(both & (F.abs(F.col("_own") - F.col("delay_min")) < tolerance)).alias("agreeing"), F.count_if(F.col("_own").isNull() != F.col("delay_min").isNull()).alias("known_to_one"))
+    return j.agg(
+        F.count_if(both).alias("classifiable"), F.count_if(both & (F.abs(F.col("_own") - F.col("delay_min")) < tolerance)).alias("agreeing"),
+        F.count_if(F.col("_own").isNull() != F.col("delay_min").isNull()).alias("known_to_one"),
+    )
 
 
 def grain(df: DataFrame, key: str, base: DataFrame) -> DataFrame:
@@ -208,7 +221,10 @@ def page_completeness(pages: DataFrame, key: str, announced: int, known: DataFra
     membership both ways with another source."""
     c = pages.groupBy(key).agg(F.count("*").alias("n"))
     there = known.select(F.col(key).alias("_k")).distinct()
-    j = c.join(there, F.col(key) == F.col("_k"), "full").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), (F.coalesce(F.max("n"), F.lit(0)) <= 1).alias("once"), (F.count_if(F.col("n").isNull()) == 0).alias("found"), (F.count_if(F.col("_k").isNull()) == 0).alias("expected"))
+    j = c.join(there, F.col(key) == F.col("_k"), "full").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), (F.coalesce(F.max("n"), F.lit(0)) <= 1).alias("once"),
+        (F.count_if(F.col("n").isNull()) == 0).alias("found"), (F.count_if(F.col("_k").isNull()) == 0).alias("expected"),
+    )
     return j.selectExpr(f"stack(4, 'pages_recount_to_total', rows = {announced}, 'no_key_twice', once, 'every_known_key_found', found, 'every_found_key_known', expected) AS (check, passed)")
 
 
@@ -229,7 +245,10 @@ def journey(orders: DataFrame, outcomes: DataFrame, actions: DataFrame, tickets:
     kind = F.col("action_type")
     acts = actions.groupBy("order_id").agg(F.count("*").alias("n_actions"), c(kind == "eta_view").alias("eta_views"), F.bool_or(kind == "cancel").alias("cancelled"))
     tick = tickets.where("order_id is not null").groupBy("order_id").agg(F.countDistinct("ticket_id").alias("n_tickets"))
-    inter = interventions.groupBy("order_id").agg(F.count("*").alias("n_interventions"), F.array_join(F.sort_array(F.collect_set("reason")), ", ").alias("reasons"), F.min("intervention_at").alias("first_intervention_at"))
+    inter = interventions.groupBy("order_id").agg(
+        F.count("*").alias("n_interventions"), F.array_join(F.sort_array(F.collect_set("reason")), ", ").alias("reasons"),
+        F.min("intervention_at").alias("first_intervention_at"),
+    )
     out = reduce(lambda a, b: a.join(b, "order_id", "left"), [outcomes, acts, tick, inter], orders)
     out = out.fillna({"n_actions": 0, "eta_views": 0, "cancelled": False, "n_tickets": 0, "n_interventions": 0, "reasons": ""})
     frustrated = (F.col("n_tickets") > 0) | F.col("cancelled") | (F.col("eta_views") >= 3)
@@ -241,7 +260,10 @@ def journey(orders: DataFrame, outcomes: DataFrame, actions: DataFrame, tickets:
 def journey_metrics(j: DataFrame) -> DataFrame:
     """Five figures for late orders and the rest."""
     is_late = F.col("late_flag") == 1
-    shares = [F.count("*").alias("orders"), x.share(F.col("n_tickets") > 0).alias("with_ticket"), x.share(F.col("frustrated")).alias("frustrated_share"), x.share(F.col("n_interventions") > 0).alias("with_intervention"), F.avg("eta_views").alias("mean_eta_views")]
+    shares = [
+        F.count("*").alias("orders"), x.share(F.col("n_tickets") > 0).alias("with_ticket"), x.share(F.col("frustrated")).alias("frustrated_share"),
+        x.share(F.col("n_interventions") > 0).alias("with_intervention"), F.avg("eta_views").alias("mean_eta_views"),
+    ]
     return quantiles.summary(j.where("late_flag is not null").withColumn("is_late", is_late), ["is_late"], shares, {"median_delay": ("delay_min", 0.5, None)}, DAY)
 
 
@@ -256,7 +278,12 @@ def reconciled(orders: DataFrame, second: DataFrame) -> DataFrame:
 
 def order_chronology(o: DataFrame) -> DataFrame:
     c = F.count_if
-    return o.agg(c(F.col("promised_eta") < F.col("created_at")).alias("eta_before_creation"), c(F.col("pickup_at") < F.col("created_at")).alias("pickup_before_creation"), c(F.col("actual_delivery_at") < F.col("pickup_at")).alias("delivered_before_pickup"), c((x.clean("final_status") == "cancelled") & F.col("actual_delivery_at").isNotNull()).alias("cancelled_with_delivery"))
+    return o.agg(
+        c(F.col("promised_eta") < F.col("created_at")).alias("eta_before_creation"),
+        c(F.col("pickup_at") < F.col("created_at")).alias("pickup_before_creation"),
+        c(F.col("actual_delivery_at") < F.col("pickup_at")).alias("delivered_before_pickup"),
+        c((x.clean("final_status") == "cancelled") & F.col("actual_delivery_at").isNotNull()).alias("cancelled_with_delivery"),
+    )
 
 
 def unparseable(df: DataFrame, columns: list[str]) -> DataFrame:

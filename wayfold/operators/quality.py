@@ -88,7 +88,11 @@ def coverage_facts() -> list:
 
 def chronology_facts() -> list:
     early = F.col("validation_status") == VALIDATION[1]
-    return [F.count_if(early).alias("pickup_before_request"), F.count_if(F.col("validation_status") == VALIDATION[2]).alias("dropoff_not_after_pickup"), F.try_divide(F.count_if(~F.col("in_kpi_population")), F.count("*")).alias("excluded_share"), (F.count_if(early & F.col("request_on_whole_minute")) / F.greatest(F.count_if(early), F.lit(1))).alias("whole_minute_share")]
+    return [
+        F.count_if(early).alias("pickup_before_request"), F.count_if(F.col("validation_status") == VALIDATION[2]).alias("dropoff_not_after_pickup"),
+        F.try_divide(F.count_if(~F.col("in_kpi_population")), F.count("*")).alias("excluded_share"),
+        (F.count_if(early & F.col("request_on_whole_minute")) / F.greatest(F.count_if(early), F.lit(1))).alias("whole_minute_share"),
+    ]
 
 
 def on_scene_facts() -> list:
@@ -97,7 +101,12 @@ def on_scene_facts() -> list:
 
 def plausibility_facts(t: Thresholds) -> list:
     m = F.col("trip_miles")
-    return [F.count_if(m <= 0).alias("miles_not_positive"), F.count_if(m > t.max_plausible_trip_miles).alias("miles_too_far"), F.count_if(F.col("base_passenger_fare") < 0).alias("fare_negative"), F.count_if(F.col("in_kpi_population") & (F.col("request_to_pickup_min") > t.max_plausible_request_to_pickup_min)).alias("wait_too_long"), F.count_if(F.col("trip_time_mismatch")).alias("trip_time_mismatch")]
+    return [
+        F.count_if(m <= 0).alias("miles_not_positive"), F.count_if(m > t.max_plausible_trip_miles).alias("miles_too_far"),
+        F.count_if(F.col("base_passenger_fare") < 0).alias("fare_negative"),
+        F.count_if(F.col("in_kpi_population") & (F.col("request_to_pickup_min") > t.max_plausible_request_to_pickup_min)).alias("wait_too_long"),
+        F.count_if(F.col("trip_time_mismatch")).alias("trip_time_mismatch"),
+    ]
 
 
 def timestamp_coverage(rides: DataFrame) -> DataFrame:
@@ -119,7 +128,10 @@ def location_integrity(rides: DataFrame, zones: DataFrame) -> DataFrame:
     for side, c in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         j = rides.select(F.col(c).alias("v")).groupBy("v").agg(F.count("*").alias("n")).join(z, F.col("v") == F.col("id"), "left")
         n = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-        one = j.agg(F.lit(side).alias("side"), F.sum("n").alias("rows"), n(F.col("v").isNull()).alias("null_ids"), n(F.col("v").isNotNull() & F.col("id").isNull()).alias("unmatched"), n(F.col("is_placeholder")).alias("placeholder"))
+        one = j.agg(
+            F.lit(side).alias("side"), F.sum("n").alias("rows"), n(F.col("v").isNull()).alias("null_ids"),
+            n(F.col("v").isNotNull() & F.col("id").isNull()).alias("unmatched"), n(F.col("is_placeholder")).alias("placeholder"),
+        )
         sides = one if sides is None else sides.union(one)
     return sides
 
@@ -131,7 +143,11 @@ def plausibility(rides: DataFrame, t: Thresholds) -> DataFrame:
 def populations(journey: DataFrame) -> DataFrame:
     """The sizes later checks reconcile with."""
     c = F.count_if
-    return journey.agg(F.count("*").alias("rows"), c(F.col("in_kpi_population")).alias("kpi_population"), c(F.col("in_stage_population")).alias("stage_population"), c(F.col("in_zone_population")).alias("zone_population"), c(~F.col("placeholder_pickup")).alias("zone_attributable_rides"), c(F.col("weather_matched")).alias("weather_matched"), c(F.col("request_on_whole_minute")).alias("whole_minute"))
+    return journey.agg(
+        F.count("*").alias("rows"), c(F.col("in_kpi_population")).alias("kpi_population"), c(F.col("in_stage_population")).alias("stage_population"),
+        c(F.col("in_zone_population")).alias("zone_population"), c(~F.col("placeholder_pickup")).alias("zone_attributable_rides"),
+        c(F.col("weather_matched")).alias("weather_matched"), c(F.col("request_on_whole_minute")).alias("whole_minute"),
+    )
 
 
 SIDES = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
@@ -158,7 +174,10 @@ def side_facts() -> list:
     out = []
     for side, c in SIDES.items():
         known, null = F.col(f"_{side}").isNotNull(), F.col(c).isNull()
-        out += [F.count_if(null).alias(f"{side}_null_ids"), F.count_if(~null & ~known).alias(f"{side}_unmatched"), F.count_if(F.coalesce(F.col(f"_{side}_placeholder"), F.lit(False))).alias(f"{side}_placeholder")]
+        out += [
+            F.count_if(null).alias(f"{side}_null_ids"), F.count_if(~null & ~known).alias(f"{side}_unmatched"),
+            F.count_if(F.coalesce(F.col(f"_{side}_placeholder"), F.lit(False))).alias(f"{side}_placeholder"),
+        ]
     return out
 
 
@@ -177,7 +196,10 @@ def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds)
     add("timestamp_coverage", rule(f.missing_core / n > t.max_excluded_share, f.missing_core), told("missing_core", "request_share", "on_scene_share", "pickup_share", "dropoff_share"), "completeness")
     dup = duplicates(rides, NATURAL_KEY).first().duplicate_rows
     add("trip_uniqueness", rule(dup / n > t.max_duplicate_share, dup), {"duplicates": dup, "share": dup / n}, "uniqueness")
-    add("chronology_request_pickup_dropoff", rule(f.excluded_share > t.max_excluded_share, f.excluded_share), told("pickup_before_request", "dropoff_not_after_pickup", "excluded_share", "whole_minute_share"), "chronology")
+    add(
+        "chronology_request_pickup_dropoff", rule(f.excluded_share > t.max_excluded_share, f.excluded_share),
+        told("pickup_before_request", "dropoff_not_after_pickup", "excluded_share", "whole_minute_share"), "chronology",
+    )
     add("on_scene_semantics", WARN if f.observed_share >= t.min_on_scene_observed_share else FAIL, told(*ON_SCENE, "observed_share"), "semantic", "info")
     for side in SIDES:
         facts = {k: f[f"{side}_{k}"] for k in ("null_ids", "unmatched", "placeholder")}
@@ -191,7 +213,10 @@ def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds)
 
 def zone_checks(zones: DataFrame) -> list[Check]:
     r = zones.agg(F.count("*").alias("n"), F.countDistinct("location_id").alias("ids"), F.count_if(F.col("is_placeholder")).alias("p")).first()
-    return [Check("zones.location_id_unique", PASS if r.n == r.ids else FAIL, detail=f"rows {r.n}, ids {r.ids}", category="uniqueness"), Check("zones.placeholder_codes", WARN if r.p else PASS, "info", f"{r.p} placeholders", "semantic")]
+    return [
+        Check("zones.location_id_unique", PASS if r.n == r.ids else FAIL, detail=f"rows {r.n}, ids {r.ids}", category="uniqueness"),
+        Check("zones.placeholder_codes", WARN if r.p else PASS, "info", f"{r.p} placeholders", "semantic"),
+    ]
 
 
 def hour_coverage(weather: DataFrame, first, last) -> DataFrame:
@@ -200,7 +225,10 @@ def hour_coverage(weather: DataFrame, first, last) -> DataFrame:
     calendar = spark.sql(f"SELECT explode(sequence(TIMESTAMP_NTZ'{first} 00:00:00' - INTERVAL 1 DAY, TIMESTAMP_NTZ'{last} 23:00:00', INTERVAL 1 HOUR)) AS hour")
     missing = calendar.join(weather.select("hour"), "hour", "left_anti").agg(F.count("*").alias("missing_hours"))
     expected = calendar.agg(F.count("*").alias("expected_hours"))
-    seen = weather.agg(F.count("*").alias("received"), (F.count("*") - F.countDistinct("hour")).alias("duplicate_hours"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("temperature_c", "precipitation_mm", "wind_speed_kmh")])
+    seen = weather.agg(
+        F.count("*").alias("received"), (F.count("*") - F.countDistinct("hour")).alias("duplicate_hours"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("temperature_c", "precipitation_mm", "wind_speed_kmh")],
+    )
     return expected.crossJoin(missing).crossJoin(seen)  # three single rows
 
 
@@ -242,7 +270,10 @@ def profile(df: DataFrame, columns: dict[str, Callable | None]) -> DataFrame:
 
 def license_profile(rides: DataFrame) -> DataFrame:
     counts = [F.count_if(F.col("validation_status") == s).alias(s) for s in VALIDATION]
-    return rides.groupBy("hvfhs_license_num").agg(F.count("*").alias("rides"), *counts, (F.lit(100.0) * F.count_if(F.col("on_scene_status") == "observed") / F.count("*")).alias("observed_pct"), (F.lit(100.0) * F.count_if(F.col("trip_time_mismatch")) / F.count("*")).alias("mismatch_pct"))
+    return rides.groupBy("hvfhs_license_num").agg(
+        F.count("*").alias("rides"), *counts, (F.lit(100.0) * F.count_if(F.col("on_scene_status") == "observed") / F.count("*")).alias("observed_pct"),
+        (F.lit(100.0) * F.count_if(F.col("trip_time_mismatch")) / F.count("*")).alias("mismatch_pct"),
+    )
 
 
 def classify(df: DataFrame, column: str, canonical: list[str], confirm: list[str] = ()) -> DataFrame:

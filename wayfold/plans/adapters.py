@@ -77,7 +77,10 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nation as a zone, its region as the borough; 24 stands for an unknown place."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
-    return j.select(F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("zone"), F.col("r_name").alias("borough"), F.lit("zone").alias("service_zone"), (F.col("n_nationkey") == 24).alias("is_placeholder"))
+    return j.select(
+        F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("zone"), F.col("r_name").alias("borough"), F.lit("zone").alias("service_zone"),
+        (F.col("n_nationkey") == 24).alias("is_placeholder"),
+    )
 
 
 ZONES_SQL = "zones AS (SELECT n_nationkey AS location_id, n_name AS zone, r_name AS borough, n_nationkey = 24 AS is_placeholder FROM nation JOIN region ON n_regionkey = r_regionkey)"
@@ -112,10 +115,14 @@ JOURNEY_SQL = f"""{RIDES_SQL}, {ZONES_SQL}, {WEATHER_SQL}, journey AS (
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events as complaints that know their zone."""
     e = table(spark, sf_dir, "events").where("event_type = 'error'")
-    return e.select(F.col("event_id").cast("string").alias("unique_key"), F.expr("cast(get_json_object(props, '$.k') as int) % 30").alias("zone_id"), F.expr("if(event_id % 2 = 0, 'passenger', 'non_passenger')").alias("category"), F.expr("event_id % 5 = 0").alias("pickup_reliability_reason"))
+    return e.select(
+        F.col("event_id").cast("string").alias("unique_key"), F.expr("cast(get_json_object(props, '$.k') as int) % 30").alias("zone_id"),
+        F.expr("if(event_id % 2 = 0, 'passenger', 'non_passenger')").alias("category"), F.expr("event_id % 5 = 0").alias("pickup_reliability_reason"),
+    )
 
 
-COMPLAINTS_SQL = "complaints AS (SELECT CAST(event_id AS VARCHAR) AS unique_key, CAST(json_extract_string(props, '$.k') AS INTEGER) % 30 AS zone_id, CASE WHEN event_id % 2 = 0 THEN 'passenger' ELSE 'non_passenger' END AS category, event_id % 5 = 0 AS pickup_reliability_reason FROM events WHERE event_type = 'error')"
+COMPLAINTS_SQL = """complaints AS (SELECT CAST(event_id AS VARCHAR) AS unique_key, CAST(json_extract_string(props, '$.k') AS INTEGER) % 30 AS zone_id, CASE WHEN event_id % 2 = 0 THEN 'passenger' ELSE 'non_passenger' END AS category,
+  event_id % 5 = 0 AS pickup_reliability_reason FROM events WHERE event_type = 'error')"""
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +169,19 @@ ords AS (
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as customer actions of their order."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_orderkey").alias("order_id"), F.expr("case l_linenumber % 3 when 0 then 'eta_view' when 1 then 'eta_view' else if(l_partkey % 40 = 0, 'cancel', 'contact') end").alias("action_type"), F.col("l_shipdate").alias("action_at"))
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.expr("case l_linenumber % 3 when 0 then 'eta_view' when 1 then 'eta_view' else if(l_partkey % 40 = 0, 'cancel', 'contact') end").alias("action_type"),
+        F.col("l_shipdate").alias("action_at"),
+    )
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_linenumber <= 2")
-    return li.select(F.expr("l_orderkey * 10 + l_linenumber").alias("ticket_id"), F.expr("if(l_partkey % 50 = 0, null, l_orderkey)").alias("order_id"), F.col("l_shipdate").alias("created_at"), F.col("l_linestatus").alias("category"))
+    return li.select(
+        F.expr("l_orderkey * 10 + l_linenumber").alias("ticket_id"), F.expr("if(l_partkey % 50 = 0, null, l_orderkey)").alias("order_id"),
+        F.col("l_shipdate").alias("created_at"), F.col("l_linestatus").alias("category"),
+    )
 
 
 def interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,13 +217,19 @@ def dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
     o = table(spark, sf_dir, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey")).where("o_orderkey % 7 <> 0")
     day = lambda e: F.expr(f"o_orderdate + make_dt_interval(cast({e} as int), 0, 0, 0)")
-    return o.select(F.col("o_orderkey").alias("order_id"), day("part % 900 + part % 11 - 5").alias("current_delivery_eta"), F.when(F.col("supp") % 3 == 0, day("part % 300")).alias("reassigned_at"), F.expr("if(part % 2 = 0, 'v1', 'v2')").alias("eta_model_version"))
+    return o.select(
+        F.col("o_orderkey").alias("order_id"), day("part % 900 + part % 11 - 5").alias("current_delivery_eta"),
+        F.when(F.col("supp") % 3 == 0, day("part % 300")).alias("reassigned_at"), F.expr("if(part % 2 = 0, 'v1', 'v2')").alias("eta_model_version"),
+    )
 
 
 def restaurant_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One status record for some orders, some late and some from before their order."""
     o = orders(spark, sf_dir).where("order_id % 3 = 0")
-    return o.select("order_id", "restaurant_id", F.expr("case order_id % 4 when 0 then 'preparing' when 1 then ' Ready' else 'handed_off' end").alias("status"), F.expr("if(order_id % 71 = 0, created_at - make_dt_interval(1, 0, 0, 0), created_at + make_dt_interval(cast(order_id % 250 as int), 0, 0, 0))").alias("last_updated_at"))
+    return o.select(
+        "order_id", "restaurant_id", F.expr("case order_id % 4 when 0 then 'preparing' when 1 then ' Ready' else 'handed_off' end").alias("status"),
+        F.expr("if(order_id % 71 = 0, created_at - make_dt_interval(1, 0, 0, 0), created_at + make_dt_interval(cast(order_id % 250 as int), 0, 0, 0))").alias("last_updated_at"),
+    )
 
 
 def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +246,9 @@ MORE_SQL = f"""{SIDES_SQL},
 raw AS (SELECT * FROM ords UNION ALL SELECT * REPLACE ('copy' AS traffic_bucket) FROM ords WHERE order_id % 53 = 0),
 dispatch AS (SELECT o_orderkey AS order_id, o_orderdate + to_days(CAST(part % 900 + part % 11 - 5 AS INTEGER)) AS current_delivery_eta, CASE WHEN supp % 3 = 0 THEN o_orderdate + to_days(CAST(part % 300 AS INTEGER)) END AS reassigned_at,
   CASE WHEN part % 2 = 0 THEN 'v1' ELSE 'v2' END AS eta_model_version FROM orders JOIN (SELECT l_orderkey, min(l_partkey) AS part, min(l_suppkey) AS supp FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey WHERE o_orderkey % 7 <> 0),
-status AS (SELECT order_id, restaurant_id, CASE order_id % 4 WHEN 0 THEN 'preparing' WHEN 1 THEN ' Ready' ELSE 'handed_off' END AS status, CASE WHEN order_id % 71 = 0 THEN created_at - to_days(1) ELSE created_at + to_days(CAST(order_id % 250 AS INTEGER)) END AS last_updated_at FROM ords WHERE order_id % 3 = 0),
+status AS (SELECT order_id, restaurant_id, CASE order_id % 4 WHEN 0 THEN 'preparing' WHEN 1 THEN ' Ready' ELSE 'handed_off' END AS status,
+  CASE WHEN order_id % 71 = 0 THEN created_at - to_days(1) ELSE created_at + to_days(CAST(order_id % 250 AS INTEGER)) END AS last_updated_at
+  FROM ords WHERE order_id % 3 = 0),
 rests AS (SELECT s_suppkey AS restaurant_id, s_suppkey % 3 = 0 AS manual_status_updates FROM supplier),
 outs AS (SELECT order_id, CASE WHEN order_id % 43 <> 0 THEN delay_min + CASE WHEN order_id % 29 = 0 THEN 0.5::DOUBLE ELSE 0.01::DOUBLE END END AS delay_min FROM delayed)"""
 
@@ -246,6 +268,8 @@ def complaint_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("reported_borough", F.col("borough"))
 
 
-COMPLAINT_ROWS_SQL = """cr AS (SELECT CASE WHEN vec_id % 97 = 1 THEN vec_id - 1 ELSE vec_id END AS unique_key, vec_id, CASE WHEN vec_id % 83 <> 0 THEN DATE '2024-01-01' + CAST(vec_id % 31 AS INTEGER) END AS day, vec_id % 61 = 0 AND vec_id % 83 <> 0 AS early,
-  CASE vec_id % 5 WHEN 0 THEN 'passenger' WHEN 1 THEN 'non_passenger' WHEN 2 THEN 'other' ELSE 'passenger' END AS category, CASE WHEN vec_id % 71 = 0 THEN '' WHEN vec_id % 3 = 0 THEN 'Unspecified' WHEN vec_id % 3 = 1 THEN 'NORTH' ELSE 'EAST' END AS reported, m.*
+COMPLAINT_ROWS_SQL = """cr AS (SELECT CASE WHEN vec_id % 97 = 1 THEN vec_id - 1 ELSE vec_id END AS unique_key, vec_id, CASE WHEN vec_id % 83 <> 0 THEN DATE '2024-01-01' + CAST(vec_id % 31 AS INTEGER) END AS day,
+  vec_id % 61 = 0 AND vec_id % 83 <> 0 AS early,
+  CASE vec_id % 5 WHEN 0 THEN 'passenger' WHEN 1 THEN 'non_passenger' WHEN 2 THEN 'other' ELSE 'passenger' END AS category, CASE WHEN vec_id % 71 = 0 THEN '' WHEN vec_id % 3 = 0 THEN 'Unspecified' WHEN vec_id % 3 = 1 THEN 'NORTH' ELSE 'EAST' END AS reported,
+  m.*
   FROM embeddings JOIN m ON vec_id = m.point_id)"""

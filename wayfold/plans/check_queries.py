@@ -7,6 +7,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from ..functions import expressions as x
 from ..functions import quantiles
 from ..operators import friction, geo, kpis, quality
 from . import adapters as a
@@ -27,7 +28,8 @@ def point_in_polygon_repeated(s, d):
 # ---- complaints -----------------------------------------------------------------------------
 
 COMPLAINTS = POINTS[:-1] + f""", {a.COMPLAINT_ROWS_SQL}, z AS (SELECT *, CASE zone_id WHEN 5 THEN 'NORTH' WHEN 9 THEN 'SOUTH' END AS zb FROM cr),
- g AS (SELECT count(*) AS n, count(*) - count(DISTINCT unique_key) AS dup, count(*) FILTER (day IS NULL) AS outside, count(DISTINCT day) AS days, count(*) FILTER (early) AS early, count(*) FILTER (category = 'other') AS unknown, count(*) FILTER (reported = '') AS lacking,
+ g AS (SELECT count(*) AS n, count(*) - count(DISTINCT unique_key) AS dup, count(*) FILTER (day IS NULL) AS outside, count(DISTINCT day) AS days,
+  count(*) FILTER (early) AS early, count(*) FILTER (category = 'other') AS unknown, count(*) FILTER (reported = '') AS lacking,
   count(zone_id) AS mapped, count(*) FILTER (zb IS NOT NULL AND reported <> 'Unspecified') AS comparable, count(*) FILTER (zb IS NOT NULL AND reported <> 'Unspecified' AND zb = reported) AS agree FROM z) """
 
 
@@ -82,3 +84,37 @@ def waits_by_status(s, d):
     by = ["hvfhs_license_num", "on_scene_status"]
     found = groups.join(quantiles.by_counts(rows, [0.25, 0.5, 0.9], by), by, "left").fillna(0, ["n"])
     return found.toDF("hvfhs_license_num", "on_scene_status", "q25", "q50", "q90", "n")
+
+
+# ---- first looks at the trips -----------------------------------------------------------------
+
+
+@query(f"""WITH {a.RIDES_SQL} SELECT hvfhs_license_num, count(*) AS rides, avg(CAST(coalesce(on_scene_datetime = pickup_datetime, false) AS INTEGER)) AS same_as_pickup,
+  avg(CAST(coalesce(on_scene_datetime < request_datetime, false) AS INTEGER)) AS before_request, avg(CAST(coalesce(on_scene_datetime > pickup_datetime, false) AS INTEGER)) AS after_pickup FROM rides GROUP BY 1""")
+def on_scene_by_license(s, d):
+    at, c = F.col("on_scene_datetime"), x.share
+    return a.rides(s, d).groupBy("hvfhs_license_num").agg(
+        F.count("*").alias("rides"), c(at == F.col("pickup_datetime")).alias("same_as_pickup"), c(at < F.col("request_datetime")).alias("before_request"), c(at > F.col("pickup_datetime")).alias("after_pickup"),
+    )
+
+
+@query(f"""WITH {a.RIDES_SQL}, t AS (SELECT coalesce(pickup_datetime < request_datetime, false) AS early, coalesce(epoch_us(request_datetime) % 60000000 = 0, false) AS whole FROM rides)
+  SELECT early, count(*) AS rides, avg(CAST(whole AS INTEGER)) AS whole_minute_share, 1 / 60.0::DOUBLE AS by_chance FROM t GROUP BY 1""")
+def whole_minute_test(s, d):
+    """Whether rides picked up before they were asked for were booked: requests on a whole minute, against chance."""
+    early = F.coalesce(F.col("pickup_datetime") < F.col("request_datetime"), F.lit(False)).alias("early")
+    return a.rides(s, d).groupBy(early).agg(F.count("*").alias("rides"), x.share(x.whole_minute("request_datetime")).alias("whole_minute_share"), F.lit(1 / 60).alias("by_chance"))
+
+
+@query(f"WITH {a.RIDES_SQL}, d AS (SELECT CAST(pickup_datetime AS DATE) AS day, count(*) AS n FROM rides WHERE pickup_datetime IS NOT NULL GROUP BY 1) SELECT count(*) AS days, min(n) AS least, max(n) AS most FROM d")
+def rides_a_day(s, d):
+    n = a.rides(s, d).where("pickup_datetime is not null").groupBy(F.to_date("pickup_datetime")).agg(F.count("*").alias("n"))
+    return n.agg(F.count("*").alias("days"), F.min("n").alias("least"), F.max("n").alias("most"))
+
+
+@query("SELECT count(DISTINCT day) + max(CASE WHEN day IS NULL THEN 1 ELSE 0 END) AS values_with_null, count(DISTINCT day) AS values, count(*) FILTER (day IS NULL) AS nulls FROM (SELECT CASE WHEN event_id % 9 <> 0 THEN CAST(ts AS DATE) END AS day FROM events)")
+def distinct_with_null(s, d):
+    """Different values with and without null as one of them."""
+    e = a.table(s, d, "events").select(F.when(F.expr("event_id % 9 <> 0"), F.to_date("ts")).alias("day"))
+    per = e.groupBy("day").agg(F.count("*").alias("n"))
+    return per.agg(F.count("*").alias("values_with_null"), F.count("day").alias("values"), F.coalesce(F.sum(F.when(F.col("day").isNull(), F.col("n"))), F.lit(0)).alias("nulls"))

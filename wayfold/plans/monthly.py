@@ -32,7 +32,10 @@ COMPLAINT_TYPE = "For Hire Vehicle Complaint"
 TIMEZONE = "America/New_York"
 LATITUDE, LONGITUDE = 40.7812, -73.9665
 K1, K2, K3, K4, K5 = "kpi_1_median_request_to_pickup_min", "kpi_2_p90_request_to_pickup_min", "kpi_3_driver_arrival_share_of_wait_pct", "kpi_4_p90_request_to_pickup_by_zone", "kpi_5_passenger_311_complaints_per_100k_rides"
-HEADLINE = ["hvfhv.download_complete", "hvfhv.month_coverage", "hvfhv.timestamp_coverage", "hvfhv.trip_uniqueness", "hvfhv.chronology_request_pickup_dropoff", "hvfhv.request_semantics_scheduled_rides", "output.headline_consistency"]
+HEADLINE = [
+    "hvfhv.download_complete", "hvfhv.month_coverage", "hvfhv.timestamp_coverage", "hvfhv.trip_uniqueness", "hvfhv.chronology_request_pickup_dropoff",
+    "hvfhv.request_semantics_scheduled_rides", "output.headline_consistency",
+]
 #: The checks each figure's own status is the worst of.
 DEPENDS = {
     K1: HEADLINE,
@@ -123,7 +126,10 @@ def get_trips(r: Run) -> DataFrame:
     r.manifests["hvfhv"] = m
     found = tables.footer(r.spark, str(to))
     whole = m["content_length"] is None or int(m["content_length"]) == m["bytes"]
-    r.checks.append(Check("hvfhv.download_complete", PASS if whole else FAIL, detail=f"bytes {m['bytes']}, reused {used}, row groups {found['row_groups']}", category="completeness", evidence=found | {"bytes": m["bytes"], "reused": used}))
+    r.checks.append(Check(
+        "hvfhv.download_complete", PASS if whole else FAIL, detail=f"bytes {m['bytes']}, reused {used}, row groups {found['row_groups']}",
+        category="completeness", evidence=found | {"bytes": m["bytes"], "reused": used},
+    ))
     return tables.trips(r.spark, str(to))
 
 
@@ -241,7 +247,10 @@ def figures(r: Run, j: DataFrame, per_zone: DataFrame | None, mapping, stages: b
     h, s = kpis.headline(j).first(), kpis.arrival_share(j).first()
     out = {K1: {"value": rounded(h.median_min), "population_rides": h.population_rides}, K2: {"value": rounded(h.p90_min), "population_rides": h.population_rides}}
     if stages:
-        out[K3] = {"value": rounded(s.arrival_share_pct, 1), "population_rides": s.stage_rides, "population_share_of_kpi_population_pct": rounded(s.share_of_kpi_pct), "supporting": {c: rounded(s[c]) for c in s.asDict() if c.startswith(("median_", "p90_"))}}
+        out[K3] = {
+            "value": rounded(s.arrival_share_pct, 1), "population_rides": s.stage_rides, "population_share_of_kpi_population_pct": rounded(s.share_of_kpi_pct),
+            "supporting": {c: rounded(s[c]) for c in s.asDict() if c.startswith(("median_", "p90_"))},
+        }
     else:
         out[K3] = {"value": None, "withheld": True, "reason": "too few rides have an observed arrival"}
     zones = kpis.by_zone(j, t.min_rides_per_zone).persist()
@@ -250,13 +259,31 @@ def figures(r: Run, j: DataFrame, per_zone: DataFrame | None, mapping, stages: b
         z["median_min"], z["p90_min"] = rounded(z["median_min"]), rounded(z["p90_min"])
     ranked = sorted((z for z in rows if z["ranked"]), key=lambda z: z["p90_min"])
     city = out[K2]["value"]
-    out[K4] = {"value": {"zones_ranked": len(ranked), "zones_below_min_rides": len(rows) - len(ranked), "best_zone_p90_min": ranked[0]["p90_min"] if ranked else None, "worst_zone_p90_min": ranked[-1]["p90_min"] if ranked else None, "worst_5": ranked[-5:][::-1], "best_5": ranked[:5], "zones_with_p90_over_1_5x_citywide": sum(z["p90_min"] > 1.5 * city for z in ranked) if city else None}, "population_rides": sum(z["rides"] for z in rows), "detail_file": "zone_breakdown.csv"}
+    out[K4] = {
+        "value": {
+            "zones_ranked": len(ranked), "zones_below_min_rides": len(rows) - len(ranked), "best_zone_p90_min": ranked[0]["p90_min"] if ranked else None,
+            "worst_zone_p90_min": ranked[-1]["p90_min"] if ranked else None, "worst_5": ranked[-5:][::-1], "best_5": ranked[:5],
+            "zones_with_p90_over_1_5x_citywide": sum(z["p90_min"] > 1.5 * city for z in ranked) if city else None,
+        },
+        "population_rides": sum(z["rides"] for z in rows), "detail_file": "zone_breakdown.csv",
+    }
     if per_zone is not None and gate["publish_friction_kpi"]:
         waits = kpis.grouped(j, ["pickup_borough"], F.col("in_zone_population"), t.min_rides_per_zone)
         parts = friction.kpi5(per_zone, waits, t.min_rides_per_zone).collect()
         c = next(p for p in parts if p.level == "city")
-        shown = {p.borough: {"passenger_complaints": p.complaints_passenger, "hvfhv_pickups": p.hvfhv_pickups, "rate_per_100k": rounded(p.rate_per_100k), "p90_request_to_pickup_min": rounded(p.p90_min)} for p in sorted(parts, key=lambda p: str(p.borough)) if p.level == "borough"}
-        out[K5] = {"value": {"citywide_rate_per_100k": rounded(c.rate_per_100k), "citywide_passenger_complaints": c.complaints_passenger, "citywide_hvfhv_pickups": c.hvfhv_pickups, "passenger_complaints_unmapped": mapping.passenger_unmapped, "rate_understatement_pct": rounded(100 * mapping.passenger_unmapped / mapping.passenger_total, 1) if mapping.passenger_total else None, "by_borough": shown}, "population_rides": c.hvfhv_pickups}
+        shown = {p.borough: {
+            "passenger_complaints": p.complaints_passenger, "hvfhv_pickups": p.hvfhv_pickups, "rate_per_100k": rounded(p.rate_per_100k),
+            "p90_request_to_pickup_min": rounded(p.p90_min),
+        } for p in sorted(parts, key=lambda p: str(p.borough)) if p.level == "borough"}
+        out[K5] = {
+            "value": {
+                "citywide_rate_per_100k": rounded(c.rate_per_100k), "citywide_passenger_complaints": c.complaints_passenger,
+                "citywide_hvfhv_pickups": c.hvfhv_pickups, "passenger_complaints_unmapped": mapping.passenger_unmapped,
+                "rate_understatement_pct": rounded(100 * mapping.passenger_unmapped / mapping.passenger_total, 1) if mapping.passenger_total else None,
+                "by_borough": shown,
+            },
+            "population_rides": c.hvfhv_pickups,
+        }
     else:
         out[K5] = {"value": None, "withheld": True, "reason": "complaints weren't retrieved, valid or placed"}
     return out, zones
@@ -275,9 +302,15 @@ def supporting(r: Run, j: DataFrame, complaints: DataFrame | None, gate: dict) -
     else:
         out["precipitation_association"] = {"withheld": True, "reason": "weather failed its checks or wasn't joined"}
     s = kpis.sensitivity(j).first()
-    out["sensitivity_scheduled_rides"] = {"kpi_population": {"rides": s.rides, "median": rounded(s.median_min), "p90": rounded(s.p90_min)}, "excluding_whole_minute_requests": {"rides": s.rides_rest, "median": rounded(s.median_rest_min), "p90": rounded(s.p90_rest_min)}}
+    out["sensitivity_scheduled_rides"] = {
+        "kpi_population": {"rides": s.rides, "median": rounded(s.median_min), "p90": rounded(s.p90_min)},
+        "excluding_whole_minute_requests": {"rides": s.rides_rest, "median": rounded(s.median_rest_min), "p90": rounded(s.p90_rest_min)},
+    }
     if complaints is not None:
-        out["nyc311_composition"] = {"complaints_by_category": {x.category: x["count"] for x in complaints.groupBy("category").count().collect()}, "pickup_reliability_reasons": complaints.where("pickup_reliability_reason").count()}
+        out["nyc311_composition"] = {
+            "complaints_by_category": {x.category: x["count"] for x in complaints.groupBy("category").count().collect()},
+            "pickup_reliability_reasons": complaints.where("pickup_reliability_reason").count(),
+        }
     return out
 
 
@@ -285,7 +318,10 @@ def output_checks(found: dict, sizes, per_borough: list | None, mapped: int) ->
     """What is about to be published must agree with its populations."""
     ok = lambda name, good, detail, scope="critical": Check(f"output.{name}", PASS if good else FAIL, scope, detail, "output")
     m, p = found[K1]["value"], found[K2]["value"]
-    out = [ok("headline_consistency", m is not None and p is not None and 0 <= m <= p, f"median {m}, p90 {p}"), ok("population_bounds", 0 < sizes.kpi_population <= sizes.rows, f"{sizes.kpi_population} of {sizes.rows}")]
+    out = [
+        ok("headline_consistency", m is not None and p is not None and 0 <= m <= p, f"median {m}, p90 {p}"),
+        ok("population_bounds", 0 < sizes.kpi_population <= sizes.rows, f"{sizes.kpi_population} of {sizes.rows}"),
+    ]
     if found[K3]["value"] is not None:
         out.append(ok("stage_share_bounds", 0 <= found[K3]["value"] <= 100, f"{found[K3]['value']}"))
     out.append(ok("zone_reconciliation", found[K4]["population_rides"] == sizes.zone_population, f"{found[K4]['population_rides']} and {sizes.zone_population}"))
@@ -362,14 +398,22 @@ def _run(r: Run, log) -> Place:
     checks = [dict(zip(("check", "status", "scope", "category", "detail"), c.row(), strict=True)) | {"evidence": c.evidence} for c in r.checks]
     repeated = next(c.evidence["duplicates"] for c in r.checks if c.check == "hvfhv.trip_uniqueness")
     decided = quality.decisions(scene, r.thresholds, repeated)
-    (staged / "metrics.json").write_json({"month": r.month, "mode": r.mode, "run_id": r.id, "kpis": found, "supporting_analyses": support, "sources": {k: m.get("sha256") or m.get("folder") for k, m in r.manifests.items()}})
-    (staged / "validation_report.json").write_json({"month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "decisions": decided, "on_scene": scene.asDict(), "checks": checks})
+    (staged / "metrics.json").write_json({
+        "month": r.month, "mode": r.mode, "run_id": r.id, "kpis": found, "supporting_analyses": support,
+        "sources": {k: m.get("sha256") or m.get("folder") for k, m in r.manifests.items()},
+    })
+    (staged / "validation_report.json").write_json({
+        "month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "decisions": decided, "on_scene": scene.asDict(), "checks": checks,
+    })
     timed = {f"{c}_datetime": None for c in ("request", "on_scene", "pickup", "dropoff")}
     prof = quality.profile(life, {**{c: since_epoch for c in timed}, **dict.fromkeys(["PULocationID", "DOLocationID", "trip_miles", "trip_time", "base_passenger_fare"])})
     (staged / "profile.json").write_json({"columns": [p.asDict() for p in prof.collect()], "by_license": [p.asDict() for p in quality.license_profile(life).collect()]})
     (staged / "evidence_table.md").write(report.markdown(r.month, r.mode, found, support, checks, gate, sizes.asDict(), decided))
     stage("write")
-    (staged / "run_summary.json").write_json({"run_id": r.id, "month": r.month, "mode": r.mode, "chaos": r.chaos, "decision": "PUBLISHED", "seconds": round(time.time() - started, 2), "stage_seconds": r.timings, "retries": r.retry.retried, "populations": sizes.asDict(), "gate": gate["status_counts"], "sources": r.manifests})
+    (staged / "run_summary.json").write_json({
+        "run_id": r.id, "month": r.month, "mode": r.mode, "chaos": r.chaos, "decision": "PUBLISHED", "seconds": round(time.time() - started, 2),
+        "stage_seconds": r.timings, "retries": r.retry.retried, "populations": sizes.asDict(), "gate": gate["status_counts"], "sources": r.manifests,
+    })
     final = edition.publish()
     for d in (life, j, zone_rows, placed, per_zone, shapes):
         if d is not None:

@@ -25,10 +25,15 @@ def dispatch_view(s, d):
     return seen(s, d).select("order_id", "eta_drift_min", "late_vs_current", "reassigned", "eta_model_version")
 
 
-@query(SEEN + f"SELECT reassigned, eta_model_version, count(*) AS orders, {LATE} AS late_rate, avg(CAST(late_vs_current AS INTEGER)) AS late_rate_current, avg(eta_drift_min) AS mean_drift, min(eta_drift_min) AS least_drift, max(eta_drift_min) AS most_drift FROM seen GROUP BY 1, 2")
+@query(SEEN + f"""SELECT reassigned, eta_model_version, count(*) AS orders, {LATE} AS late_rate, avg(CAST(late_vs_current AS INTEGER)) AS late_rate_current,
+  avg(eta_drift_min) AS mean_drift, min(eta_drift_min) AS least_drift, max(eta_drift_min) AS most_drift FROM seen
+  GROUP BY 1, 2""")
 def late_by_dispatch(s, d):
     drift = "eta_drift_min"
-    return seen(s, d).groupBy("reassigned", "eta_model_version").agg(F.count("*").alias("orders"), x.share(orders.late()).alias("late_rate"), x.share(F.col("late_vs_current")).alias("late_rate_current"), F.avg(drift).alias("mean_drift"), F.min(drift).alias("least_drift"), F.max(drift).alias("most_drift"))
+    return seen(s, d).groupBy("reassigned", "eta_model_version").agg(
+        F.count("*").alias("orders"), x.share(orders.late()).alias("late_rate"), x.share(F.col("late_vs_current")).alias("late_rate_current"),
+        F.avg(drift).alias("mean_drift"), F.min(drift).alias("least_drift"), F.max(drift).alias("most_drift"),
+    )
 
 
 VIEW = MORE[:-1] + """, tv AS (SELECT t.*, v.delay_min, CASE WHEN v.delay_min > -1e9 AND v.delay_min <= 0 THEN 'on time' WHEN v.delay_min > 0 AND v.delay_min <= 10 THEN 'late 0-10' WHEN v.delay_min > 10 AND v.delay_min <= 1e9 THEN 'late >10'
@@ -49,7 +54,8 @@ def ticket_delays(s, d):
     return quantiles.summary(ticket_views(s, d), ["category"], [F.count("delay_min").alias("known")], {"median_delay": ("delay_min", 0.5, None)}, orders.DAY)
 
 
-@query(MORE + f"SELECT CAST(place AS INTEGER) AS place, t.traffic_bucket, g.orders, g.late_rate FROM (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(PLACES))}) t(place, traffic_bucket) LEFT JOIN (SELECT traffic_bucket, count(*) AS orders, {LATE} AS late_rate FROM valid GROUP BY 1) g USING (traffic_bucket)")
+@query(MORE + f"""SELECT CAST(place AS INTEGER) AS place, t.traffic_bucket, g.orders, g.late_rate FROM (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(PLACES))}) t(place,
+  traffic_bucket) LEFT JOIN (SELECT traffic_bucket, count(*) AS orders, {LATE} AS late_rate FROM valid GROUP BY 1) g USING (traffic_bucket)""")
 def late_in_order(s, d):
     summary = valid(s, d).groupBy("traffic_bucket").agg(F.count("*").alias("orders"), x.share(orders.late()).alias("late_rate"))
     return orders.in_order(summary, "traffic_bucket", PLACES)
@@ -71,7 +77,8 @@ def example_orders(s, d):
     return out
 
 
-@query(MORE + "SELECT count(*) FILTER (d.delay_min IS NOT NULL AND o.delay_min IS NOT NULL) AS classifiable, count(*) FILTER (abs(d.delay_min - o.delay_min) < 0.02) AS agreeing, count(*) FILTER ((d.delay_min IS NULL) <> (o.delay_min IS NULL)) AS known_to_one FROM delayed d JOIN outs o USING (order_id)")
+@query(MORE + """SELECT count(*) FILTER (d.delay_min IS NOT NULL AND o.delay_min IS NOT NULL) AS classifiable, count(*) FILTER (abs(d.delay_min - o.delay_min) < 0.02) AS agreeing,
+  count(*) FILTER ((d.delay_min IS NULL) <> (o.delay_min IS NULL)) AS known_to_one FROM delayed d JOIN outs o USING (order_id)""")
 def recomputed_outcomes(s, d):
     return orders.recomputed(a.orders(s, d), a.outcomes(s, d))
 
@@ -92,12 +99,16 @@ def raw_grain(s, d):
     return orders.grain(a.raw_orders(s, d), "order_id", a.orders(s, d))
 
 
-@query(MORE + "SELECT 'pages_recount_to_total' AS \"check\", (SELECT count(*) FROM dispatch) = 12000 AS passed UNION ALL SELECT 'no_key_twice', (SELECT coalesce(max(n), 0) <= 1 FROM (SELECT count(*) AS n FROM dispatch GROUP BY order_id)) UNION ALL SELECT 'every_known_key_found', NOT EXISTS (SELECT 1 FROM ords WHERE order_id NOT IN (SELECT order_id FROM dispatch)) UNION ALL SELECT 'every_found_key_known', NOT EXISTS (SELECT 1 FROM dispatch WHERE order_id NOT IN (SELECT order_id FROM ords))")
+@query(MORE + """SELECT 'pages_recount_to_total' AS "check", (SELECT count(*) FROM dispatch) = 12000 AS passed UNION ALL SELECT 'no_key_twice', (SELECT coalesce(max(n),
+  0) <= 1 FROM (SELECT count(*) AS n FROM dispatch GROUP BY order_id)) UNION ALL SELECT 'every_known_key_found', NOT EXISTS (SELECT 1
+  FROM ords WHERE order_id NOT IN (SELECT order_id FROM dispatch)) UNION ALL SELECT 'every_found_key_known', NOT EXISTS (SELECT 1
+  FROM dispatch WHERE order_id NOT IN (SELECT order_id FROM ords))""")
 def page_completeness(s, d):
     return orders.page_completeness(a.dispatch(s, d), "order_id", 12000, a.orders(s, d))
 
 
-@query(MORE + """SELECT manual_status_updates, count(*) AS records, count(*) FILTER (lower(trim(status)) = 'preparing' AND last_updated_at > pickup_at) AS stale_preparing, count(*) FILTER (lower(trim(status)) = 'ready' AND last_updated_at > pickup_at) AS stale_ready,
+@query(MORE + """SELECT manual_status_updates, count(*) AS records, count(*) FILTER (lower(trim(status)) = 'preparing' AND last_updated_at > pickup_at) AS stale_preparing,
+  count(*) FILTER (lower(trim(status)) = 'ready' AND last_updated_at > pickup_at) AS stale_ready,
   count(*) FILTER (last_updated_at < created_at) AS before_order, quantile_cont(date_diff('microsecond', created_at, last_updated_at) / 60e6::DOUBLE, 0.5) AS median_age_min FROM status s LEFT JOIN ords USING (order_id) LEFT JOIN rests r ON s.restaurant_id = r.restaurant_id GROUP BY 1""")
 def status_freshness(s, d):
     return orders.status_freshness(a.restaurant_status(s, d), a.orders(s, d), a.restaurants(s, d))
@@ -108,7 +119,8 @@ def order_durations(s, d):
     return orders.durations(a.orders(s, d)).select("order_id", "order_to_pickup_min", "pickup_to_delivery_min")
 
 
-@query(MORE + "SELECT order_id, 'traffic_bucket' AS column_name, string_agg(DISTINCT traffic_bucket, '|' ORDER BY traffic_bucket) AS held, count(*) FILTER (traffic_bucket IS NULL) AS nulls FROM raw GROUP BY order_id HAVING count(DISTINCT traffic_bucket) > 1")
+@query(MORE + """SELECT order_id, 'traffic_bucket' AS column_name, string_agg(DISTINCT traffic_bucket, '|' ORDER BY traffic_bucket) AS held, count(*) FILTER (traffic_bucket IS NULL) AS nulls
+  FROM raw GROUP BY order_id HAVING count(DISTINCT traffic_bucket) > 1""")
 def conflicting_values(s, d):
     found = orders.conflicting_values(a.raw_orders(s, d), ["order_id"], ["traffic_bucket", "weather_bucket", "customer_id"])
     return found.withColumn("held", F.array_join("held", "|"))
@@ -122,7 +134,10 @@ def first_events_of_orders(s, d):
     e = a.table(s, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), "l_returnflag", "l_shipdate")
     times = orders.first_times(e, ["order_id"], "l_returnflag", "l_shipdate", {"A": "first_a", "N": "first_n"})
     j = a.orders(s, d).join(times, "order_id", "left")
-    return j.select("order_id", "first_a", "first_n", x.minutes(F.coalesce("first_a", "first_n"), "created_at").alias("since_order_min"), (F.col("pickup_at") > F.col("first_n")).alias("picked_up_later"))
+    return j.select(
+        "order_id", "first_a", "first_n", x.minutes(F.coalesce("first_a", "first_n"), "created_at").alias("since_order_min"),
+        (F.col("pickup_at") > F.col("first_n")).alias("picked_up_later"),
+    )
 
 
 # ---- the gate tables ------------------------------------------------------------------------
@@ -159,8 +174,12 @@ STATES = "stale_states + updates_before_order"
 
 
 @query(FACTS + f"""SELECT 'business_grain' AS "check", CASE WHEN extra_rows = 0 THEN 'PASS' ELSE 'WARN' END AS status, extra_rows AS found FROM g
-  UNION ALL SELECT 'timestamp_chronology', CASE WHEN flawed = 0 THEN 'PASS' WHEN flawed > 0.05 * orders THEN 'FAIL' ELSE 'WARN' END, flawed FROM g UNION ALL SELECT 'kpi_definition', CASE WHEN late_any = late_over_10 THEN 'PASS' ELSE 'FAIL' END, late_any - late_over_10 FROM g
-  UNION ALL SELECT 'category_semantics', CASE WHEN variant_values + unknown_values = 0 THEN 'PASS' ELSE 'WARN' END, variant_values + unknown_values FROM g UNION ALL SELECT 'cross_source_mapping', CASE WHEN null_references + tickets_without_order = 0 THEN 'PASS' ELSE 'WARN' END, null_references + tickets_without_order FROM g
+  UNION ALL SELECT 'timestamp_chronology', CASE WHEN flawed = 0 THEN 'PASS' WHEN flawed > 0.05 * orders THEN 'FAIL' ELSE 'WARN' END,
+  flawed FROM g UNION ALL SELECT 'kpi_definition', CASE WHEN late_any = late_over_10 THEN 'PASS' ELSE 'FAIL' END, late_any - late_over_10
+  FROM g
+  UNION ALL SELECT 'category_semantics', CASE WHEN variant_values + unknown_values = 0 THEN 'PASS' ELSE 'WARN' END, variant_values + unknown_values
+  FROM g UNION ALL SELECT 'cross_source_mapping', CASE WHEN null_references + tickets_without_order = 0 THEN 'PASS' ELSE 'WARN' END, null_references + tickets_without_order
+  FROM g
   UNION ALL SELECT 'freshness', CASE WHEN orders_with_status = 0 THEN 'UNKNOWN' WHEN {STATES} = 0 THEN 'PASS' ELSE 'FAIL' END, {STATES} FROM g""")
 def order_gate_rows(s, d):
     return order_gate.gate(facts(s, d))

@@ -89,7 +89,9 @@ def ride_journey(s, d):
     return journey(s, d).select(*[F.col(c).cast("int").alias(c) if c in ("request_hour", "request_weekday") else F.col(c) for c in JOURNEY_COLS])
 
 
-@query(JOURNEY + "SELECT count(*) AS rows, count(*) FILTER (in_kpi_population) AS kpi_population, count(*) FILTER (in_stage_population) AS stage_population, count(*) FILTER (in_zone_population) AS zone_population, count(*) FILTER (NOT placeholder_pickup) AS zone_attributable_rides, count(*) FILTER (weather_matched) AS weather_matched, count(*) FILTER (request_on_whole_minute) AS whole_minute FROM journey")
+@query(JOURNEY + """SELECT count(*) AS rows, count(*) FILTER (in_kpi_population) AS kpi_population, count(*) FILTER (in_stage_population) AS stage_population,
+  count(*) FILTER (in_zone_population) AS zone_population, count(*) FILTER (NOT placeholder_pickup) AS zone_attributable_rides, count(*) FILTER (weather_matched) AS weather_matched,
+  count(*) FILTER (request_on_whole_minute) AS whole_minute FROM journey""")
 def populations(s, d):
     return quality.populations(journey(s, d))
 
@@ -97,7 +99,8 @@ def populations(s, d):
 # ---- rides: figures -----------------------------------------------------------------------
 
 
-@query(LIFE + f"""SELECT 100.0::DOUBLE * sum(date_diff('microsecond', request_datetime, on_scene_datetime)) FILTER (in_stage_population) / sum(date_diff('microsecond', request_datetime, pickup_datetime)) FILTER (in_stage_population) AS arrival_share_pct,
+@query(LIFE + f"""SELECT 100.0::DOUBLE * sum(date_diff('microsecond', request_datetime, on_scene_datetime)) FILTER (in_stage_population) / sum(date_diff('microsecond',
+  request_datetime, pickup_datetime)) FILTER (in_stage_population) AS arrival_share_pct,
   count(*) FILTER (in_stage_population) AS stage_rides, 100.0::DOUBLE * count(*) FILTER (in_stage_population) / count(*) FILTER (in_kpi_population) AS share_of_kpi_pct,
   count(*) FILTER (on_scene_status = 'observed') / count(*)::DOUBLE AS observed_share,
   {Q(0.5, 'request_to_on_scene_min', 'in_stage_population')} AS median_request_to_on_scene_min, {Q(0.9, 'request_to_on_scene_min', 'in_stage_population')} AS p90_request_to_on_scene_min,
@@ -148,7 +151,8 @@ def hour_matched_rain(s, d):
     return kpis.hour_matched(journey(s, d), T.min_rides_per_zone)
 
 
-@query(LIFE + f"SELECT count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min, count(*) FILTER (NOT request_on_whole_minute) AS rides_rest, {Q(0.5, f='NOT request_on_whole_minute')} AS median_rest_min, {Q(0.9, f='NOT request_on_whole_minute')} AS p90_rest_min FROM life WHERE in_kpi_population")
+@query(LIFE + f"""SELECT count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min, count(*) FILTER (NOT request_on_whole_minute) AS rides_rest, {Q(0.5, f='NOT request_on_whole_minute')} AS median_rest_min,
+  {Q(0.9, f='NOT request_on_whole_minute')} AS p90_rest_min FROM life WHERE in_kpi_population""")
 def sensitivity_whole_minute(s, d):
     return kpis.sensitivity(life(s, d))
 
@@ -175,22 +179,28 @@ def column_profile(s, d):
     return quality.profile(life(s, d), {c: x.since_epoch if "datetime" in c else None for c in PROFILED})
 
 
-@query(LIFE + f"SELECT hvfhs_license_num, count(*) AS rides, {', '.join(f'''count(*) FILTER (validation_status = '{v}') AS {v}''' for v in lifecycle.VALIDATION)}, 100.0::DOUBLE * count(*) FILTER (on_scene_status = 'observed') / count(*) AS observed_pct, 100.0::DOUBLE * count(*) FILTER (trip_time_mismatch) / count(*) AS mismatch_pct FROM life GROUP BY 1")
+@query(LIFE + f"""SELECT hvfhs_license_num, count(*) AS rides, {', '.join(f'''count(*) FILTER (validation_status = '{v}') AS {v}''' for v in lifecycle.VALIDATION)},
+  100.0::DOUBLE * count(*) FILTER (on_scene_status = 'observed') / count(*) AS observed_pct, 100.0::DOUBLE * count(*) FILTER (trip_time_mismatch) / count(*) AS mismatch_pct
+  FROM life GROUP BY 1""")
 def license_profile(s, d):
     return quality.license_profile(life(s, d))
 
 
-@query(LIFE + f"SELECT CAST(day AS DATE) AS day, count(pickup_datetime) AS rides FROM (SELECT unnest(generate_series(DATE '{a.FIRST}', DATE '{a.LAST}', INTERVAL 1 DAY)) AS day) c LEFT JOIN rides ON CAST(pickup_datetime AS DATE) = CAST(day AS DATE) GROUP BY 1")
+@query(LIFE + f"""SELECT CAST(day AS DATE) AS day, count(pickup_datetime) AS rides FROM (SELECT unnest(generate_series(DATE '{a.FIRST}', DATE '{a.LAST}',
+  INTERVAL 1 DAY)) AS day) c LEFT JOIN rides ON CAST(pickup_datetime AS DATE) = CAST(day AS DATE) GROUP BY 1""")
 def daily_rides(s, d):
     return quality.daily(a.rides(s, d), a.FIRST, a.LAST)
 
 
-@query(LIFE + f"SELECT count(*) AS rows, {', '.join(f'avg(CAST({c}_datetime IS NOT NULL AS INTEGER)) AS {c}_share' for c in ('request', 'on_scene', 'pickup', 'dropoff'))}, count(*) FILTER (validation_status = 'missing_timestamp') AS missing_core FROM life")
+@query(LIFE + f"""SELECT count(*) AS rows, {', '.join(f'avg(CAST({c}_datetime IS NOT NULL AS INTEGER)) AS {c}_share' for c in ('request', 'on_scene', 'pickup', 'dropoff'))},
+  count(*) FILTER (validation_status = 'missing_timestamp') AS missing_core FROM life""")
 def timestamp_coverage(s, d):
     return quality.timestamp_coverage(life(s, d))
 
 
-@query(LIFE + "SELECT count(*) FILTER (validation_status = 'pickup_before_request') AS pickup_before_request, count(*) FILTER (validation_status = 'dropoff_not_after_pickup') AS dropoff_not_after_pickup, count(*) FILTER (NOT in_kpi_population) / count(*)::DOUBLE AS excluded_share, count(*) FILTER (validation_status = 'pickup_before_request' AND request_on_whole_minute) / greatest(count(*) FILTER (validation_status = 'pickup_before_request'), 1)::DOUBLE AS whole_minute_share FROM life")
+@query(LIFE + """SELECT count(*) FILTER (validation_status = 'pickup_before_request') AS pickup_before_request, count(*) FILTER (validation_status = 'dropoff_not_after_pickup') AS dropoff_not_after_pickup,
+  count(*) FILTER (NOT in_kpi_population) / count(*)::DOUBLE AS excluded_share, count(*) FILTER (validation_status = 'pickup_before_request' AND request_on_whole_minute) / greatest(count(*) FILTER (validation_status = 'pickup_before_request'),
+  1)::DOUBLE AS whole_minute_share FROM life""")
 def chronology(s, d):
     return quality.chronology(life(s, d))
 
@@ -200,12 +210,15 @@ def on_scene_decision(s, d):
     return quality.on_scene(life(s, d))
 
 
-@query(f"WITH {a.RIDES_SQL}, {a.ZONES_SQL} " + " UNION ALL ".join(f"SELECT '{n}' AS side, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS null_ids, count(*) FILTER ({c} IS NOT NULL AND location_id IS NULL) AS unmatched, count(*) FILTER (is_placeholder) AS placeholder FROM rides LEFT JOIN zones ON {c} = location_id" for n, c in (("pickup", "PULocationID"), ("dropoff", "DOLocationID"))))
+@query(f"WITH {a.RIDES_SQL}, {a.ZONES_SQL} " + " UNION ALL ".join(f"""SELECT '{n}' AS side, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS null_ids, count(*) FILTER ({c} IS NOT NULL AND location_id IS NULL) AS unmatched,
+  count(*) FILTER (is_placeholder) AS placeholder FROM rides LEFT JOIN zones ON {c} = location_id""" for n, c in (("pickup", "PULocationID"), ("dropoff", "DOLocationID"))))
 def location_integrity(s, d):
     return quality.location_integrity(a.rides(s, d), a.zones(s, d))
 
 
-@query(LIFE + "SELECT count(*) FILTER (trip_miles <= 0) AS miles_not_positive, count(*) FILTER (trip_miles > 100) AS miles_too_far, count(*) FILTER (base_passenger_fare < 0) AS fare_negative, count(*) FILTER (in_kpi_population AND request_to_pickup_min > 60) AS wait_too_long, count(*) FILTER (trip_time_mismatch) AS trip_time_mismatch FROM life")
+@query(LIFE + """SELECT count(*) FILTER (trip_miles <= 0) AS miles_not_positive, count(*) FILTER (trip_miles > 100) AS miles_too_far, count(*) FILTER (base_passenger_fare < 0) AS fare_negative,
+  count(*) FILTER (in_kpi_population AND request_to_pickup_min > 60) AS wait_too_long, count(*) FILTER (trip_time_mismatch) AS trip_time_mismatch
+  FROM life""")
 def plausibility(s, d):
     return quality.plausibility(life(s, d), T)
 
@@ -227,9 +240,12 @@ def weather_gap(s, d):
     return quality.hour_coverage(without_hours(a.weather(s, d)), a.FIRST, a.LAST)
 
 
-CHECKS = f"""WITH {a.JOURNEY_SQL}, g AS (SELECT count(*) AS n, count(*) FILTER (validation_status = 'missing_timestamp') AS miss, count(*) FILTER (NOT in_kpi_population) AS ex, count(*) FILTER (on_scene_status = 'observed') AS ob, count(*) FILTER (trip_time_mismatch) AS tm,
+CHECKS = f"""WITH {a.JOURNEY_SQL}, g AS (SELECT count(*) AS n, count(*) FILTER (validation_status = 'missing_timestamp') AS miss, count(*) FILTER (NOT in_kpi_population) AS ex,
+  count(*) FILTER (on_scene_status = 'observed') AS ob, count(*) FILTER (trip_time_mismatch) AS tm,
   count(*) FILTER (CAST(pickup_datetime AS DATE) NOT BETWEEN DATE '{a.FIRST}' AND DATE '{a.LAST}') AS outside, count(DISTINCT CAST(pickup_datetime AS DATE)) FILTER (CAST(pickup_datetime AS DATE) BETWEEN DATE '{a.FIRST}' AND DATE '{a.LAST}') AS days,
-  count(*) FILTER (PULocationID IS NULL OR PULocationID NOT IN (SELECT location_id FROM zones)) AS pbad, count(*) FILTER (PULocationID = 24) AS pph, count(*) FILTER (DOLocationID IS NULL OR DOLocationID NOT IN (SELECT location_id FROM zones)) AS dbad, count(*) FILTER (DOLocationID = 24) AS dph FROM journey),
+  count(*) FILTER (PULocationID IS NULL OR PULocationID NOT IN (SELECT location_id FROM zones)) AS pbad, count(*) FILTER (PULocationID = 24) AS pph,
+  count(*) FILTER (DOLocationID IS NULL OR DOLocationID NOT IN (SELECT location_id FROM zones)) AS dbad, count(*) FILTER (DOLocationID = 24) AS dph
+  FROM journey),
  u AS (SELECT CAST(sum(n - 1) AS BIGINT) AS dup FROM (SELECT count(*) AS n FROM rides GROUP BY hvfhs_license_num, request_datetime, on_scene_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles, base_passenger_fare)),
  checks AS (
  SELECT 'hvfhv.file_readable' AS "check", CASE WHEN n = 0 THEN 'FAIL' ELSE 'PASS' END AS status, 'critical' AS scope FROM g
@@ -265,14 +281,21 @@ def publish_gate(s, d):
     return s.createDataFrame([(g["publish"], g["publish_weather_analysis"], n["PASS"], n["WARN"], n["FAIL"], n["UNKNOWN"])], "publish boolean, publish_weather boolean, n_pass long, n_warn long, n_fail long, n_unknown long")
 
 
-@query("SELECT CAST(props AS VARCHAR) AS value, count(*) AS rows, CASE WHEN props IN ('{\"k\": 1}', '{\"k\": 2}') THEN 'canonical' WHEN lower(trim(props)) = '{\"k\": 3}' THEN 'needs owner' WHEN lower(trim(props)) IN ('{\"k\": 1}', '{\"k\": 2}') THEN 'safe to normalise' ELSE 'needs owner' END AS decision FROM events GROUP BY 1, 3")
+@query("""SELECT CAST(props AS VARCHAR) AS value, count(*) AS rows, CASE WHEN props IN ('{"k": 1}', '{"k": 2}') THEN 'canonical' WHEN lower(trim(props)) = '{"k": 3}' THEN 'needs owner' WHEN lower(trim(props)) IN ('{"k": 1}',
+  '{"k": 2}') THEN 'safe to normalise' ELSE 'needs owner' END AS decision FROM events GROUP BY 1, 3""")
 def value_classes(s, d):
     return quality.classify(a.table(s, d, "events"), "props", ['{"k": 1}', '{"k": 2}'], ['{"k": 3}'])
 
 
 # ---- complaints and points ----------------------------------------------------------------
 
-PICKUPS = f"{a.JOURNEY_SQL}, {a.COMPLAINTS_SQL}, pk AS (SELECT PULocationID AS zone_id, count(*) AS hvfhv_pickups FROM journey WHERE NOT placeholder_pickup GROUP BY 1), cz AS (SELECT zone_id, count(*) AS complaints_all, count(*) FILTER (category = 'passenger') AS complaints_passenger, count(*) FILTER (category = 'non_passenger') AS complaints_non_passenger, count(*) FILTER (pickup_reliability_reason) AS complaints_pickup_reliability FROM complaints WHERE zone_id IS NOT NULL GROUP BY 1), pz AS (SELECT coalesce(pk.zone_id, cz.zone_id) AS zone_id, coalesce(hvfhv_pickups, 0) AS hvfhv_pickups, {', '.join(f'coalesce({c}, 0) AS {c}' for c in friction.COUNTERS)} FROM pk FULL JOIN cz ON pk.zone_id = cz.zone_id), pzz AS (SELECT pz.*, zone, borough FROM pz LEFT JOIN zones ON zone_id = location_id), pb AS (SELECT borough, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in ('hvfhv_pickups', *friction.COUNTERS))} FROM pzz GROUP BY 1)"
+PICKUPS = f"""{a.JOURNEY_SQL}, {a.COMPLAINTS_SQL}, pk AS (SELECT PULocationID AS zone_id, count(*) AS hvfhv_pickups FROM journey
+  WHERE NOT placeholder_pickup GROUP BY 1), cz AS (SELECT zone_id, count(*) AS complaints_all, count(*) FILTER (category = 'passenger') AS complaints_passenger,
+  count(*) FILTER (category = 'non_passenger') AS complaints_non_passenger, count(*) FILTER (pickup_reliability_reason) AS complaints_pickup_reliability
+  FROM complaints WHERE zone_id IS NOT NULL GROUP BY 1), pz AS (SELECT coalesce(pk.zone_id, cz.zone_id) AS zone_id, coalesce(hvfhv_pickups,
+  0) AS hvfhv_pickups, {', '.join(f'coalesce({c}, 0) AS {c}' for c in friction.COUNTERS)} FROM pk FULL JOIN cz ON pk.zone_id = cz.zone_id),
+  pzz AS (SELECT pz.*, zone, borough FROM pz LEFT JOIN zones ON zone_id = location_id), pb AS (SELECT borough, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in ('hvfhv_pickups', *friction.COUNTERS))}
+  FROM pzz GROUP BY 1)"""
 
 
 def per_zone(s, d):
@@ -324,13 +347,17 @@ def point_in_polygon(s, d):
     return located(s, d).select("point_id", "zone_id", "ambiguous", "mapping")
 
 
-@query(POINTS + "SELECT count(*) AS rows, count(*) FILTER (mapping IN ('mapped', 'ambiguous_lowest_id')) AS mapped, count(*) FILTER (mapping = 'no_coordinates') AS no_coordinates, count(*) FILTER (mapping = 'outside_all_zones') AS outside_all_zones, count(*) FILTER (ambiguous) AS ambiguous, count(*) FILTER (point_id % 2 = 0) AS passenger_total, count(*) FILTER (point_id % 2 = 0 AND zone_id IS NULL) AS passenger_unmapped, count(*) FILTER (zone_id IS NOT NULL AND point_id % 3 <> 0) AS comparable, count(*) FILTER (zone_id = 5 AND point_id % 3 = 1) AS agree FROM m")
+@query(POINTS + """SELECT count(*) AS rows, count(*) FILTER (mapping IN ('mapped', 'ambiguous_lowest_id')) AS mapped, count(*) FILTER (mapping = 'no_coordinates') AS no_coordinates,
+  count(*) FILTER (mapping = 'outside_all_zones') AS outside_all_zones, count(*) FILTER (ambiguous) AS ambiguous, count(*) FILTER (point_id % 2 = 0) AS passenger_total,
+  count(*) FILTER (point_id % 2 = 0 AND zone_id IS NULL) AS passenger_unmapped, count(*) FILTER (zone_id IS NOT NULL AND point_id % 3 <> 0) AS comparable,
+  count(*) FILTER (zone_id = 5 AND point_id % 3 = 1) AS agree FROM m""")
 def mapping_summary(s, d):
     p = located(s, d)
     return friction.mapping_summary(p.withColumns({"category": F.expr("if(point_id % 2 = 0, 'passenger', 'other')"), "zone_borough": F.expr("case zone_id when 5 then 'North' when 9 then 'South' end"), "reported_borough": F.expr("case point_id % 3 when 0 then 'Unspecified' when 1 then 'NORTH' else 'East' end")}))
 
 
-@query("SELECT field, CAST(missing AS BIGINT) AS missing FROM (SELECT count(*) FILTER (props IS NULL OR props = '') AS props, count(*) FILTER (event_type IS NULL OR event_type = '') AS event_type, count(*) FILTER (user_id IS NULL) AS user_id FROM events) UNPIVOT (missing FOR field IN (props, event_type, user_id))")
+@query("""SELECT field, CAST(missing AS BIGINT) AS missing FROM (SELECT count(*) FILTER (props IS NULL OR props = '') AS props, count(*) FILTER (event_type IS NULL OR event_type = '') AS event_type,
+  count(*) FILTER (user_id IS NULL) AS user_id FROM events) UNPIVOT (missing FOR field IN (props, event_type, user_id))""")
 def required_fields(s, d):
     return friction.required_fields(a.table(s, d, "events"), ["props", "event_type", "user_id"])
 
@@ -351,7 +378,8 @@ def late_summary(s, d):
     return orders.late_summary(valid(s, d))
 
 
-@query(ORDERS + """, c AS (SELECT count(*) FILTER (ok AND delay_min > 0) AS l, count(*) FILTER (ok) AS v, count(*) FILTER (final_status = 'delivered' AND delay_min > 0) AS le, count(*) FILTER (final_status = 'delivered' AND delay_min IS NOT NULL) AS ve, count(*) AS n,
+@query(ORDERS + """, c AS (SELECT count(*) FILTER (ok AND delay_min > 0) AS l, count(*) FILTER (ok) AS v, count(*) FILTER (final_status = 'delivered' AND delay_min > 0) AS le,
+  count(*) FILTER (final_status = 'delivered' AND delay_min IS NOT NULL) AS ve, count(*) AS n,
   count(*) FILTER (lower(trim(final_status)) = 'delivered' AND delay_min IS NULL) AS u FROM (SELECT *, lower(trim(final_status)) = 'delivered' AND delay_min IS NOT NULL AS ok FROM delayed))
   SELECT 'delivered_with_times' AS variant, l / v::DOUBLE AS late_rate FROM c UNION ALL SELECT 'case_sensitive_status', le / ve::DOUBLE FROM c UNION ALL SELECT 'all_orders', l / n::DOUBLE FROM c UNION ALL SELECT 'lower_bound', l / (v + u)::DOUBLE FROM c UNION ALL SELECT 'upper_bound', (l + u) / (v + u)::DOUBLE FROM c""")
 def late_variants(s, d):
@@ -366,7 +394,8 @@ def late_curve(s, d):
 DELAY_EDGES, DELAY_LABELS = [0, 1e4, 1e5, 1e6, 1e7], ["to_1e4", "to_1e5", "to_1e6", "to_1e7"]
 
 
-@query(ORDERS + """, b AS (SELECT CASE WHEN delay_min > 0 AND delay_min <= 1e4 THEN 'to_1e4' WHEN delay_min > 1e4 AND delay_min <= 1e5 THEN 'to_1e5' WHEN delay_min > 1e5 AND delay_min <= 1e6 THEN 'to_1e6' WHEN delay_min > 1e6 AND delay_min <= 1e7 THEN 'to_1e7' END AS delay_bin FROM valid)
+@query(ORDERS + """, b AS (SELECT CASE WHEN delay_min > 0 AND delay_min <= 1e4 THEN 'to_1e4' WHEN delay_min > 1e4 AND delay_min <= 1e5 THEN 'to_1e5' WHEN delay_min > 1e5 AND delay_min <= 1e6 THEN 'to_1e6' WHEN delay_min > 1e6 AND delay_min <= 1e7 THEN 'to_1e7' END AS delay_bin
+  FROM valid)
   SELECT delay_bin, count(*) AS rows, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM b WHERE delay_bin IS NOT NULL GROUP BY 1""")
 def delay_bins(s, d):
     return orders.shares(valid(s, d), x.bins("delay_min", DELAY_EDGES, DELAY_LABELS), "delay_bin")
@@ -375,7 +404,9 @@ def delay_bins(s, d):
 
 
 
-@query(ORDERS + f"SELECT CASE WHEN distance_km_estimate >= 0 AND distance_km_estimate < 5 THEN 'near' WHEN distance_km_estimate < 10 THEN 'middle' WHEN distance_km_estimate < 18 THEN 'far' WHEN distance_km_estimate < 24 THEN 'farthest' END AS distance_bin, count(*) AS orders, {LATE} AS late_rate, quantile_cont(delay_min, 0.5) AS median_delay, avg(promise_min) AS mean_promise FROM valid GROUP BY 1")
+@query(ORDERS + f"""SELECT CASE WHEN distance_km_estimate >= 0 AND distance_km_estimate < 5 THEN 'near' WHEN distance_km_estimate < 10 THEN 'middle' WHEN distance_km_estimate < 18 THEN 'far' WHEN distance_km_estimate < 24 THEN 'farthest' END AS distance_bin,
+  count(*) AS orders, {LATE} AS late_rate, quantile_cont(delay_min, 0.5) AS median_delay, avg(promise_min) AS mean_promise
+  FROM valid GROUP BY 1""")
 def distance_summary(s, d):
     return orders.summarise(valid(s, d), x.bins("distance_km_estimate", [0, 5, 10, 18, 24], ["near", "middle", "far", "farthest"], right=False), "distance_bin")
 
@@ -390,7 +421,8 @@ def count_crosstab(s, d):
     return orders.crosstab(a.orders(s, d), "traffic_bucket", "weather_bucket", list("FOP"), F.count(F.lit(1)), 0)
 
 
-@query(ORDERS + "SELECT count(delay_min) AS n, avg(delay_min) AS mean, stddev_samp(delay_min) AS std, min(delay_min) AS lo, quantile_cont(delay_min, 0.25) AS q25, quantile_cont(delay_min, 0.5) AS q50, quantile_cont(delay_min, 0.75) AS q75, max(delay_min) AS hi FROM valid")
+@query(ORDERS + """SELECT count(delay_min) AS n, avg(delay_min) AS mean, stddev_samp(delay_min) AS std, min(delay_min) AS lo, quantile_cont(delay_min, 0.25) AS q25,
+  quantile_cont(delay_min, 0.5) AS q50, quantile_cont(delay_min, 0.75) AS q75, max(delay_min) AS hi FROM valid""")
 def describe_delay(s, d):
     return orders.describe(valid(s, d), "delay_min")
 
@@ -400,7 +432,8 @@ def exact_value_share(s, d):
     return a.orders(s, d).agg(x.share(F.col("distance_km_estimate") == 18.0).alias("share_18km"), F.count("*").alias("orders"))
 
 
-COVER = lambda child, key, parent, pk, name: f"SELECT '{name}' AS relationship, count(*) AS rows, count(*) FILTER ({key} IS NULL) AS null_keys, count(*) FILTER ({key} IS NOT NULL AND p IS NULL) AS unmatched, count(p) / count(*)::DOUBLE AS coverage FROM {child} LEFT JOIN (SELECT DISTINCT {pk} AS p FROM {parent}) x ON {key} = p"
+COVER = lambda child, key, parent, pk, name: f"""SELECT '{name}' AS relationship, count(*) AS rows, count(*) FILTER ({key} IS NULL) AS null_keys, count(*) FILTER ({key} IS NOT NULL AND p IS NULL) AS unmatched,
+  count(p) / count(*)::DOUBLE AS coverage FROM {child} LEFT JOIN (SELECT DISTINCT {pk} AS p FROM {parent}) x ON {key} = p"""
 
 
 @query(ORDERS + COVER("ords", "customer_id", "(SELECT * FROM customer WHERE c_acctbal > 0)", "c_custkey", "order_customer") + " UNION ALL " + COVER("ords", "restaurant_id", "supplier", "s_suppkey", "order_restaurant") + " UNION ALL " + COVER("lineitem", "l_orderkey", "orders", "o_orderkey", "item_order"))
@@ -409,7 +442,8 @@ def reference_coverage(s, d):
     return orders.fk_coverage(o, "customer_id", t("customer").where("c_acctbal > 0"), "c_custkey", "order_customer").union(orders.fk_coverage(o, "restaurant_id", t("supplier"), "s_suppkey", "order_restaurant")).union(orders.fk_coverage(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey", "item_order"))
 
 
-KEYS = lambda t, k, n: f"SELECT '{n}' AS table_name, CAST(sum(n) AS BIGINT) AS rows, max(n) <= 1 AS key_unique, CAST(coalesce(sum(n) FILTER (k IS NULL), 0) AS BIGINT) AS key_nulls, max(n) AS max_per_key FROM (SELECT {k} AS k, count(*) AS n FROM {t} GROUP BY 1)"
+KEYS = lambda t, k, n: f"""SELECT '{n}' AS table_name, CAST(sum(n) AS BIGINT) AS rows, max(n) <= 1 AS key_unique, CAST(coalesce(sum(n) FILTER (k IS NULL), 0) AS BIGINT) AS key_nulls,
+  max(n) AS max_per_key FROM (SELECT {k} AS k, count(*) AS n FROM {t} GROUP BY 1)"""
 
 
 @query(ORDERS + KEYS("ords", "order_id", "orders") + " UNION ALL " + KEYS("ords", "restaurant_id", "restaurants") + " UNION ALL " + KEYS("lineitem", "l_orderkey", "items"))
@@ -423,7 +457,10 @@ def cardinality(s, d):
     return orders.cardinality(a.table(s, d, "lineitem"), "l_orderkey")
 
 
-@query("WITH g AS (SELECT count(DISTINCT l_returnflag) > 1 AS a, count(DISTINCT l_linestatus) > 1 AS b, count(DISTINCT l_partkey) > 1 AS c FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT 'l_returnflag' AS column_name, count(*) FILTER (a) AS conflicting_keys FROM g UNION ALL SELECT 'l_linestatus', count(*) FILTER (b) FROM g UNION ALL SELECT 'l_partkey', count(*) FILTER (c) FROM g")
+@query("""WITH g AS (SELECT count(DISTINCT l_returnflag) > 1 AS a, count(DISTINCT l_linestatus) > 1 AS b, count(DISTINCT l_partkey) > 1 AS c
+  FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT 'l_returnflag' AS column_name, count(*) FILTER (a) AS conflicting_keys
+  FROM g UNION ALL SELECT 'l_linestatus', count(*) FILTER (b) FROM g UNION ALL SELECT 'l_partkey', count(*) FILTER (c)
+  FROM g""")
 def key_conflicts(s, d):
     return orders.key_conflicts(a.table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_returnflag", "l_linestatus", "l_partkey"])
 
@@ -452,7 +489,9 @@ def worst_delays(s, d):
     return valid(s, d).select("order_id", "delay_min").orderBy(F.desc("delay_min"), "order_id").limit(10)
 
 
-@query("WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) FILTER (event_type = 'view') AS request_datetime, min(ts) FILTER (event_type = 'click') AS on_scene_datetime, min(ts) FILTER (event_type = 'purchase') AS pickup_datetime, min(ts) FILTER (event_type = 'signup') AS dropoff_datetime FROM events GROUP BY 1, 2) SELECT * FROM e")
+@query("""WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) FILTER (event_type = 'view') AS request_datetime, min(ts) FILTER (event_type = 'click') AS on_scene_datetime,
+  min(ts) FILTER (event_type = 'purchase') AS pickup_datetime, min(ts) FILTER (event_type = 'signup') AS dropoff_datetime
+  FROM events GROUP BY 1, 2) SELECT * FROM e""")
 def first_event_times(s, d):
     e = a.table(s, d, "events").withColumn("day", F.to_date("ts"))
     return orders.first_times(e, ["user_id", "day"], "event_type", "ts", {"view": "request_datetime", "click": "on_scene_datetime", "purchase": "pickup_datetime", "signup": "dropoff_datetime"})
@@ -484,7 +523,9 @@ def order_journey(s, d):
     return sides(s, d).select(*JOUR)
 
 
-@query(SIDES + "SELECT late_flag = 1 AS is_late, count(*) AS orders, avg(CAST(n_tickets > 0 AS INTEGER)) AS with_ticket, avg(CAST(frustrated AS INTEGER)) AS frustrated_share, avg(CAST(n_interventions > 0 AS INTEGER)) AS with_intervention, avg(eta_views) AS mean_eta_views, quantile_cont(delay_min, 0.5) AS median_delay FROM jour WHERE late_flag IS NOT NULL GROUP BY 1")
+@query(SIDES + """SELECT late_flag = 1 AS is_late, count(*) AS orders, avg(CAST(n_tickets > 0 AS INTEGER)) AS with_ticket, avg(CAST(frustrated AS INTEGER)) AS frustrated_share,
+  avg(CAST(n_interventions > 0 AS INTEGER)) AS with_intervention, avg(eta_views) AS mean_eta_views, quantile_cont(delay_min, 0.5) AS median_delay
+  FROM jour WHERE late_flag IS NOT NULL GROUP BY 1""")
 def journey_metrics(s, d):
     return orders.journey_metrics(sides(s, d))
 
@@ -500,7 +541,8 @@ def reason_crosstab(s, d):
     return orders.crosstab(a.interventions(s, d), "reason", "intervention_type", ["F", "O"], F.count(F.lit(1)), 0)
 
 
-@query(SIDES + "SELECT restaurant_id, count(*) AS orders, CAST(sum(late_flag) AS BIGINT) AS late, avg(late_flag) AS late_rate, quantile_cont(delay_min, 0.5) AS median_delay FROM jour WHERE restaurant_id IS NOT NULL GROUP BY 1 ORDER BY late DESC NULLS LAST, restaurant_id LIMIT 8")
+@query(SIDES + """SELECT restaurant_id, count(*) AS orders, CAST(sum(late_flag) AS BIGINT) AS late, avg(late_flag) AS late_rate, quantile_cont(delay_min,
+  0.5) AS median_delay FROM jour WHERE restaurant_id IS NOT NULL GROUP BY 1 ORDER BY late DESC NULLS LAST, restaurant_id LIMIT 8""")
 def restaurant_contribution(s, d):
     known, order = sides(s, d).where("restaurant_id is not null"), (F.desc_nulls_last("late"), "restaurant_id")
     counts = [F.count("*").alias("orders"), F.sum("late_flag").alias("late"), F.avg("late_flag").alias("late_rate")]
@@ -522,12 +564,16 @@ def order_timeline(s, d):
     return orders.timeline(*own, row(a.actions(s, d), "action_at", F.col("action_type"), "customer", "actions"), row(a.tickets(s, d).where("order_id is not null"), "created_at", F.col("category"), "customer", "tickets"), row(a.interventions(s, d), "intervention_at", F.col("intervention_type"), "operations", "interventions"))
 
 
-@query(ORDERS + "SELECT count(*) FILTER (promised_eta < created_at) AS eta_before_creation, count(*) FILTER (pickup_at < created_at) AS pickup_before_creation, count(*) FILTER (actual_delivery_at < pickup_at) AS delivered_before_pickup, count(*) FILTER (lower(trim(final_status)) = 'cancelled' AND actual_delivery_at IS NOT NULL) AS cancelled_with_delivery FROM ords")
+@query(ORDERS + """SELECT count(*) FILTER (promised_eta < created_at) AS eta_before_creation, count(*) FILTER (pickup_at < created_at) AS pickup_before_creation,
+  count(*) FILTER (actual_delivery_at < pickup_at) AS delivered_before_pickup, count(*) FILTER (lower(trim(final_status)) = 'cancelled' AND actual_delivery_at IS NOT NULL) AS cancelled_with_delivery
+  FROM ords""")
 def order_chronology(s, d):
     return orders.order_chronology(a.orders(s, d))
 
 
-@query(ORDERS + """, b AS (SELECT count(*) FILTER (delay_min IS NOT NULL) AS orders_before, count(*) FILTER (delay_min > 0) AS late_before FROM delayed), c AS (SELECT date_diff('microsecond', promised_eta, coalesce(actual_delivery_at, second_delivery_at)) AS m FROM ords)
+@query(ORDERS + """, b AS (SELECT count(*) FILTER (delay_min IS NOT NULL) AS orders_before, count(*) FILTER (delay_min > 0) AS late_before
+  FROM delayed), c AS (SELECT date_diff('microsecond', promised_eta, coalesce(actual_delivery_at, second_delivery_at)) AS m
+  FROM ords)
   SELECT b.*, (SELECT count(m) FROM c) AS orders_after, (SELECT count(*) FROM c WHERE m > 0) AS late_after FROM b""")
 def reconciled_late_rate(s, d):
     o = a.orders(s, d)
@@ -561,7 +607,9 @@ def unparseable_times(s, d):
     return orders.unparseable(a.table(s, d, "events").select("props", F.col("ts").cast("string").alias("t")), ["props", "t"])
 
 
-@query("SELECT 'only_left' AS side, n FROM (SELECT count(*) AS n FROM (SELECT CAST(l_suppkey % 26 AS INTEGER) FROM lineitem EXCEPT SELECT n_nationkey FROM nation)) UNION ALL SELECT 'only_right', (SELECT count(*) FROM (SELECT n_nationkey FROM nation WHERE n_nationkey <> 24 EXCEPT SELECT CAST(l_suppkey % 20 AS INTEGER) FROM lineitem))")
+@query("""SELECT 'only_left' AS side, n FROM (SELECT count(*) AS n FROM (SELECT CAST(l_suppkey % 26 AS INTEGER) FROM lineitem EXCEPT SELECT n_nationkey
+  FROM nation)) UNION ALL SELECT 'only_right', (SELECT count(*) FROM (SELECT n_nationkey FROM nation WHERE n_nationkey <> 24 EXCEPT SELECT CAST(l_suppkey % 20 AS INTEGER)
+  FROM lineitem))""")
 def id_differences(s, d):
     """Ids that only one of two sources knows, both ways."""
     n = a.table(s, d, "nation").select("n_nationkey")
@@ -571,7 +619,9 @@ def id_differences(s, d):
     return left.union(n.where("n_nationkey <> 24").join(fewer, "n_nationkey", "left_anti").agg(F.lit("only_right"), F.count("*")))
 
 
-@query("WITH p AS (SELECT min(ts) FILTER (event_type = 'purchase') OVER (PARTITION BY user_id) AS first_purchase, * FROM events) SELECT count(*) FILTER (event_type IN ('view', 'click') AND ts > first_purchase) AS written_after, count(*) FILTER (event_type = 'signup' AND ts < first_purchase) AS written_before, count(*) AS rows FROM p")
+@query("""WITH p AS (SELECT min(ts) FILTER (event_type = 'purchase') OVER (PARTITION BY user_id) AS first_purchase, * FROM events) SELECT count(*) FILTER (event_type IN ('view',
+  'click') AND ts > first_purchase) AS written_after, count(*) FILTER (event_type = 'signup' AND ts < first_purchase) AS written_before,
+  count(*) AS rows FROM p""")
 def stale_updates(s, d):
     """Updates that came after the step they should precede: first step per key, joined back."""
     e = a.table(s, d, "events")
