@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,7 +185,8 @@ def side_facts() -> list:
 
 def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds) -> list[Check]:
     """Every rule about the trips: one pass counts all facts, a second looks for duplicates."""
-    f = with_sides(rides, zones).agg(*coverage_facts(), *chronology_facts(), *on_scene_facts(), *plausibility_facts(t), *day_facts(first, last), *side_facts()).first()
+    counted = with_sides(rides, zones).agg(*coverage_facts(), *chronology_facts(), *on_scene_facts(), *plausibility_facts(t), *day_facts(first, last), *side_facts())
+    f, dup = together(counted.first, lambda: duplicates(rides, NATURAL_KEY).first().duplicate_rows)
     n = f.rows
     if not n:
         return [Check("hvfhv.file_readable", FAIL, detail="no rows", category="completeness")]
@@ -194,7 +197,6 @@ def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds)
     empty = (last - first).days + 1 - f.days
     add("month_coverage", rule(empty, f.outside), {"empty_days": empty, "outside": f.outside}, "completeness")
     add("timestamp_coverage", rule(f.missing_core / n > t.max_excluded_share, f.missing_core), told("missing_core", "request_share", "on_scene_share", "pickup_share", "dropoff_share"), "completeness")
-    dup = duplicates(rides, NATURAL_KEY).first().duplicate_rows
     add("trip_uniqueness", rule(dup / n > t.max_duplicate_share, dup), {"duplicates": dup, "share": dup / n}, "uniqueness")
     add(
         "chronology_request_pickup_dropoff", rule(f.excluded_share > t.max_excluded_share, f.excluded_share),
@@ -256,6 +258,12 @@ def decisions(scene, t: Thresholds, duplicates: int) -> dict:
     }
 
 
+def together(*calls: Callable) -> list:
+    """What the calls return; jobs that don't need each other run side by side."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(c)) for c in calls]]
+
+
 def as_frame(spark, checks: list[Check]) -> DataFrame:
     return spark.createDataFrame([c.row() for c in checks], ROW)
 

@@ -266,7 +266,10 @@ CHECKS = f"""WITH {a.JOURNEY_SQL}, g AS (SELECT count(*) AS n, count(*) FILTER (
 
 def all_checks(s, d) -> list[quality.Check]:
     rides, zones, first, last = life(s, d), a.zones(s, d), date.fromisoformat(a.FIRST), date.fromisoformat(a.LAST)
-    return quality.trip_checks(rides, zones, first, last, T) + quality.zone_checks(zones) + quality.weather_checks(a.weather(s, d), first, last, T)
+    parts = quality.together(
+        lambda: quality.trip_checks(rides, zones, first, last, T), lambda: quality.zone_checks(zones), lambda: quality.weather_checks(a.weather(s, d), first, last, T),
+    )
+    return [c for p in parts for c in p]
 
 
 @query(CHECKS + 'SELECT "check", status, scope FROM checks')
@@ -650,7 +653,7 @@ def notebook_quantiles(s, d):
 
 @query(LIFE + "SELECT PULocationID, count(*) AS rides FROM rides GROUP BY 1 ORDER BY rides DESC, PULocationID LIMIT 10")
 def top_pickup_zones(s, d):
-    return a.rides(s, d).groupBy("PULocationID").agg(F.count("*").alias("rides")).orderBy(F.desc("rides"), "PULocationID").limit(10)
+    return a.rides(s, d, pruned=True).groupBy("PULocationID").agg(F.count("*").alias("rides")).orderBy(F.desc("rides"), "PULocationID").limit(10)
 
 
 @query("SELECT window_start, event_type, count(*) AS events, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS k_total FROM (SELECT *, date_trunc('hour', ts) AS window_start FROM events) GROUP BY 1, 2")
