@@ -31,7 +31,7 @@ from .common import pick, shuffle_partitions, stored
 
 TABLES, CELLS, GROW = 3, 64, 8
 #: Rounds of peeling, a table each: for all pairs, and for those that are sketched anew.
-ROUNDS, MORE_ROUNDS = 6, 12
+ROUNDS, MORE_ROUNDS = 9, 12
 #: Characters a block has, and paragraph digests a partition of the sketching work, about.
 BLOCK_CHARS, DIGESTS = 2_000_000, 150_000
 #: Quantiles of the ids that are fetched; more blocks divide their gaps evenly.
