@@ -31,7 +31,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
-    from . import check_queries, order_queries  # noqa: F401  they register theirs
+    from . import check_queries, order_queries, source_queries  # noqa: F401  they register theirs
 
     return dict(QUERIES)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 import posixpath
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -100,3 +102,13 @@ class Place:
 
     def write_json(self, value) -> None:
         self.write(json.dumps(value, indent=2, default=str))
+
+
+def work_folder(spark: SparkSession, name: str) -> Place:
+    """A new folder under spark.checkpoint.dir; where that is unset, in local mode only, under this machine's temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: executors and driver need a shared folder")
+        base = tempfile.mkdtemp(prefix="wayfold-")
+    return (Place(spark, base) / f"{name}-{uuid.uuid4().hex}").mkdir()
