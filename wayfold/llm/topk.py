@@ -249,13 +249,16 @@ def top_k(rows: DataFrame, asks: Column, k: int = 10, scale: float = 1024.0, id_
     picked = pick(rows, id_col, vec_col)
     file = stored(picked.withColumn("_asks", asks).mapInArrow(approximate(scale), FILE), "vector-file")
     queries = stored(file.mapInArrow(asking, FILE), "vector-queries")
-    size = lambda df, limit: max(1, -(-int(df.agg(F.sum(F.length("vectors"))).first()[0] or 0) // limit))
-    gs, hs = size(file, GROUP_BYTES), size(queries, QUERY_BYTES)
+    sizes = lambda df: df.agg(F.coalesce(F.sum(F.length("vectors")), F.lit(0)).alias("bytes"), F.count("*").alias("blocks")).first()
+    given, asked = sizes(file), sizes(queries)
+    # groups of bounded size, and no fewer than the cluster works on at once
+    gs = max(1, -(-given.bytes // GROUP_BYTES), min(given.blocks, rows.sparkSession.sparkContext.defaultParallelism))
+    hs = max(1, -(-asked.bytes // QUERY_BYTES))
     every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
     own = lambda n, name: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int").alias(name)
-    asked = queries.select(own(hs, "h"), F.lit(0).alias("kind"), *ROWS.names).select("*", every(gs, "g")).select(GRID_COLS)
-    given = file.select(own(gs, "g"), F.lit(1).alias("kind"), *ROWS.names).select("*", every(hs, "h")).select(GRID_COLS)
-    grid = asked.union(given).repartition("g", "h").sortWithinPartitions("g", "h", "kind")
+    left = queries.select(own(hs, "h"), F.lit(0).alias("kind"), *ROWS.names).select("*", every(gs, "g")).select(GRID_COLS)
+    right = file.select(own(gs, "g"), F.lit(1).alias("kind"), *ROWS.names).select("*", every(hs, "h")).select(GRID_COLS)
+    grid = left.union(right).repartition("g", "h").sortWithinPartitions("g", "h", "kind")
     found = grid.mapInArrow(search(k), "q long, query_id long, vec_id long, score long")
     w = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
