@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import publish
 from ..functions.expressions import haversine_km
-from ..operators import enrich, kpis, quality
+from ..operators import enrich, kpis, orders, quality
 from ..sources import http, tables
 from ..storage import Place, work_folder
 from . import adapters as a
@@ -94,6 +94,24 @@ def complaint_pages(s, d):
     return kept.groupBy(F.col("descriptor").cast("long").alias("page_of")).agg(F.count("*").alias("rows"), F.countDistinct("unique_key").alias("keys"), F.count("x").alias("with_x"))
 
 
+@query("""SELECT 'pages_recount_to_total' AS "check", true AS passed UNION ALL SELECT 'no_key_twice', true UNION ALL SELECT 'every_known_key_found', (SELECT count(*) FROM orders WHERE o_orderkey < 900 AND o_orderkey % 11 = 0) = 0
+  UNION ALL SELECT 'every_found_key_known', true""")
+def dispatch_pages(s, d):
+    """Numbered pages that say whether more follow; what is kept is counted again and held against the orders."""
+    known = a.table(s, d, "orders").where("o_orderkey < 900").select(F.col("o_orderkey").alias("order_id"))
+    rows = [{"order_id": r.order_id, "eta_model_version": f"v{r.order_id % 2}"} for r in known.where("order_id % 11 <> 0").orderBy("order_id").collect()]
+
+    class Pages(http.Retry):
+        def get(self, url, handle):
+            n = int(url)
+            return json.dumps({"data": rows[50 * n - 50 : 50 * n], "has_more": 50 * n < len(rows), "total_records": len(rows)}).encode()
+
+    folder = work_folder(s, "dispatch")
+    m = http.numbered_pages(str, folder / "p", Pages())
+    kept = tables.page_rows(s, str(folder / "p"), "order_id: long, eta_model_version: string")
+    return orders.page_completeness(kept, "order_id", m["expected"], known)
+
+
 @query("SELECT user_id % 7 AS driver_id, event_type AS type, count(*) AS events, count(DISTINCT user_id) AS orders FROM events WHERE event_id < 3000 GROUP BY 1, 2")
 def nested_events(s, d):
     """Events nested by driver, a row each."""
