@@ -30,7 +30,7 @@ def local_path(place: Place) -> str | None:
 # ---- sources --------------------------------------------------------------------------------
 
 
-@query("SELECT count(*) AS rows, (SELECT count(*) FROM (DESCRIBE lineitem)) AS columns FROM lineitem")
+@query("SELECT count(*) AS rows, CAST((SELECT count(*) FROM (DESCRIBE lineitem)) AS INTEGER) AS columns FROM lineitem")
 def trip_footer(s, d):
     """A file's footer, and no row of it."""
     found = tables.footer(s, f"{d}/lineitem.parquet")
@@ -46,7 +46,7 @@ def zone_lookup_file(s, d):
     rows = a.table(s, d, "nation").selectExpr("n_nationkey AS LocationID", "CASE n_nationkey % 5 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'N/A' ELSE n_name END AS Borough", "CASE WHEN n_nationkey % 7 = 0 THEN 'N/A' ELSE n_name END AS Zone", "'z' AS service_zone")
     at = work_folder(s, "zones") / "zones.csv"
     at.write("﻿" + publish.csv_text([r.asDict() for r in rows.collect()]))
-    return enrich.zone_dimension(tables.zones(s, str(at))).drop("service_zone").withColumn("location_id", F.col("location_id").cast("long"))
+    return enrich.zone_dimension(tables.zones(s, str(at))).drop("service_zone")
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -54,7 +54,7 @@ def csv_file(s, d):
     """A CSV file whose types are inferred."""
     at = work_folder(s, "csv")
     a.table(s, d, "nation").select("n_nationkey", "n_name", "n_regionkey").write.option("header", True).csv(str(at / "n"))
-    return tables.csv(s, str(at / "n")).select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("long").alias("n_regionkey"))
+    return tables.csv(s, str(at / "n"))
 
 
 @query("SELECT r_regionkey AS id, r_name AS name FROM region")
@@ -62,7 +62,7 @@ def json_file(s, d):
     """One JSON array over several lines."""
     at = work_folder(s, "json") / "r.json"
     at.write_json([{"id": r.r_regionkey, "name": r.r_name} for r in a.table(s, d, "region").collect()])
-    return tables.json(s, str(at), "id long, name string")
+    return tables.json(s, str(at), "id int, name string")
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, CAST(count(*) AS DOUBLE) AS temperature_c, CAST(count(*) % 3 AS DOUBLE) AS precipitation_mm, CAST(count(*) % 7 AS DOUBLE) AS wind_speed_kmh FROM events GROUP BY 1")
