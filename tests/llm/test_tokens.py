@@ -266,3 +266,25 @@ def test_words_in_pieces(monkeypatch):
     monkeypatch.setattr(shingles, "PIECE", 16)
     cut = words_of(t)
     assert whole[0].tolist() == cut[0].tolist() and whole[1].tolist() == cut[1].tolist() == [4, 0, 0, 3, 1, 1] * 3
+
+
+def test_hot_ids_are_spread_over_shards(spark, tmp_path):
+    """Null ids and one repeated id, also with one text, lie in several shards, in one order."""
+    from pyspark.sql import functions as F
+
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, "the same text")] * 300 + [(i, f"doc {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = grammar.token_files(df, JSON, folder=f"file://{tmp_path}/t").orderBy("start").collect()
+    assert len(got) == len(rows) and [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(len(got))]
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    shards = spark.read.parquet(f"file://{tmp_path}/t").select("shard", F.explode("doc_id").alias("d")).groupBy("d").agg(F.countDistinct("shard").alias("n"))
+    many = {r.d: r.n for r in shards.collect()}
+    assert many[None] > 1 and many[7] > 1
+
+
+def test_copies_of_one_text(spark, tmp_path):
+    rows = [(i, "one two three\none two three", "en", "s") for i in range(400)] + [(i, f"own words {i}", None, "s") for i in range(400, 420)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    got = {r.lang: (r.n_docs, r.n_tokens) for r in rollup.maintained(df, "v", folder=f"file://{tmp_path}/c").collect()}
+    assert got == {"en": (1, 3), None: (20, 60)}
