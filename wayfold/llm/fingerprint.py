@@ -24,6 +24,8 @@ is its own next; two texts without paragraphs are alike (1.0).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ ROUNDS, MORE_ROUNDS = 9, 12
 BLOCK_CHARS, DIGESTS = 2_000_000, 150_000
 #: Quantiles of the ids that are fetched; more blocks divide their gaps evenly.
 QUANTILES = 1024
+#: Quantiles that are looked at together.
+STEP = 32
 #: Blocks whose first rows' ids are sent along to every task at most.
 BROADCAST_BLOCKS = 500_000
 BREAKS = "\\n|(?<=[.!?])[ \\t\\r]+"
@@ -47,30 +51,44 @@ def digests(text):
 
 
 def blocks(rows: DataFrame, n: int) -> DataFrame:
-    """rows with a block: a step function of doc_id and tie with about equal numbers of rows.
+    return with_blocks(rows, n)(rows)
+
+
+def with_blocks(keys: DataFrame, n: int) -> Callable[[DataFrame], DataFrame]:
+    """What adds a block to rows with doc_id and tie: a step function of these with about equal
+    numbers of the keys' rows a block.
 
     An id that takes up several quantiles is spread by tie, a 64-bit hash; so are null ids.
     """
     coarse = min(n, QUANTILES)
-    nulls, total = rows.agg(F.count_if(F.col("doc_id").isNull()), F.count("*")).first()
-    quantiles = rows.where("doc_id is not null").select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / coarse for i in range(coarse + 1)], 0.2 / coarse)
-    fine = -(-n // coarse)
-    bounds = sorted(set(quantiles))
+    nulls, total = keys.agg(F.count_if(F.col("doc_id").isNull()), F.count("*")).first()
+    quantiles = keys.where("doc_id is not null").select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / coarse for i in range(coarse + 1)], 0.2 / coarse)
+    fine, bounds = -(-n // coarse), sorted(set(quantiles))
     times = [quantiles.count(b) for b in bounds]
     share = (F.col("tie") / F.lit(2.0**64) + 0.5) * F.lit(1 - 1e-12)  # from 0 to 1
     apart = lambda k: F.floor(share * k).cast("long")
     of_null = F.lit(-(1 << 40)).cast("long") + apart(F.lit(max(1, -(-n * int(nulls or 0) // max(int(total or 0), 1)))))
     if not bounds:
-        return rows.withColumn("block", of_null)
-    edges, held = F.array(*[F.lit(b) for b in bounds]), F.array(*[F.lit(fine * t) for t in times])
-    at = F.size(F.filter(edges, lambda b: b <= F.col("doc_id")))
+        return lambda rows: rows.withColumn("block", of_null)
+    edges, held, some = (F.array(*[F.lit(x) for x in xs]) for xs in (bounds, [fine * t for t in times], bounds[::STEP]))
+    below = lambda among: F.size(F.filter(among, lambda b: b <= F.col("doc_id")))
+    before = F.greatest(below(some) - 1, F.lit(0)) * STEP
+    at = F.col("_at")
     low, high = F.element_at(edges, F.greatest(at, F.lit(1))), F.element_at(edges, F.least(at + 1, F.lit(len(bounds))))
-    inside = F.when((at < 1) | (high <= low), 0).otherwise(F.least(F.floor((F.col("doc_id") - low) / (high - low) * fine), F.lit(fine - 1)))
+    inside = F.when((at < 1) | (F.col("_high") <= F.col("_low")), 0).otherwise(F.least(F.floor((F.col("doc_id") - F.col("_low")) / (F.col("_high") - F.col("_low")) * fine), F.lit(fine - 1)))
     # an id with a block of its own: a step before the ids that follow it
     width = fine * (max(times) + 1)
-    heavy = (at >= 1) & (F.col("doc_id") == low) & (F.element_at(held, F.greatest(at, F.lit(1))) > 2 * fine)
-    own = at * width + apart(F.element_at(held, F.greatest(at, F.lit(1))))
-    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), of_null).when(heavy, own).otherwise(at * width + fine * max(times) + inside).cast("long"))
+    heavy = (at >= 1) & (F.col("doc_id") == F.col("_low")) & (F.col("_held") > 2 * fine)
+    block = F.when(F.col("doc_id").isNull(), of_null).when(heavy, at * width + apart(F.col("_held"))).otherwise(at * width + fine * max(times) + inside)
+
+    def add(rows: DataFrame) -> DataFrame:
+        # a column each, so that nothing is searched for twice
+        found = rows.withColumn("_before", before)
+        found = found.withColumn("_at", F.col("_before") + below(F.slice(edges, F.col("_before") + 1, F.lit(STEP))))
+        found = found.withColumns({"_low": low, "_high": high, "_held": F.element_at(held, F.greatest(at, F.lit(1)))})
+        return found.withColumn("block", block.cast("long")).drop("_before", "_at", "_low", "_high", "_held")
+
+    return add
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -78,11 +96,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     a row without id and next, which stands for the first row of the next block."""
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    rows = blocks(rows, max(4 * shuffle_partitions(docs.sparkSession), int(chars // BLOCK_CHARS)))
-    # the first row of each block: a row a block, without its text but for the few that it names
+    # what places a row, without its text, which is read twice more: for first rows, and for all
+    keys = stored(rows.select("doc_id", "tie", F.length("text").alias("chars")), "print-keys")
+    chars = keys.agg(F.sum("chars")).first()[0] or 0
+    placed = with_blocks(keys, max(4 * shuffle_partitions(docs.sparkSession), int(chars // BLOCK_CHARS)))
+    rows = placed(rows)
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
-    least = rows.groupBy("block").agg(F.min(order).alias("m")).select(F.col("block").alias("b"), F.col("m.doc_id").alias("least"), F.col("m.tie").alias("least_tie"))
+    least = placed(keys).groupBy("block").agg(F.min(order).alias("m")).select(F.col("block").alias("b"), F.col("m.doc_id").alias("least"), F.col("m.tie").alias("least_tie"))
     least = stored(least, "print-firsts")
     side = F.broadcast(least) if least.count() <= BROADCAST_BLOCKS else least
     first = rows.join(side, (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("tie") == F.col("least_tie"))).groupBy("block").agg(F.min("text").alias("text"))
