@@ -57,13 +57,14 @@ class Grammar:
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """Symbols to ids: the rules that they need are expanded once, the shallow ones first."""
         base, rules = self.base, self.rules
-        needed = np.zeros(len(rules), bool)
-        todo = np.unique(symbols[symbols >= base]) - base
-        while len(todo):
-            needed[todo] = True
-            below = rules[todo].ravel()
-            todo = np.unique(below[below >= base]) - base
-            todo = todo[~needed[todo]]
+        needed, found = np.zeros(len(rules), bool), np.zeros(len(rules), bool)
+        found[symbols[symbols >= base] - base] = True
+        while found.any():
+            needed |= found
+            below = rules[found].ravel()
+            found = np.zeros(len(rules), bool)
+            found[below[below >= base] - base] = True
+            found &= ~needed
         k = np.nonzero(needed)[0]
         size, start = self.lengths_of(np.arange(base + len(rules))), np.arange(base + len(rules))
         start[base + k] = base + np.cumsum(size[base + k]) - size[base + k]
@@ -294,8 +295,11 @@ class LibraryEncoder:
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.by_word = plain and not made.get("normalizer") and not any(SPACES.search(x) for x in self.special)
         if self.by_word:
-            self.spaced = np.zeros(self.base, bool)
-            self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
+            # ids that begin with a space or a line feed, as byte-level vocabularies write these
+            self.led = {lead: np.zeros(self.base, bool) for lead in (32, 10)}
+            for t, i in self.tokenizer.get_vocab().items():
+                if t[:1] in ("\u0120", "\u010a"):
+                    self.led[ord(t[0]) - 256][i] = True
             self.tokenizer.model._resize_cache(0)  # what recurs is remembered here
             self.words = WordTable(self.kind)
 
@@ -326,16 +330,17 @@ class LibraryEncoder:
         """Whether it has white space, a control or the name of a special token."""
         return bool(SPACES.search(text)) or any(x in text for x in self.special)
 
-    def learn_spaced(self, raw: bytes, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same for words that all begin with a space, one after another, some thousands at once."""
+    def learn_joined(self, raw: bytes, length: np.ndarray, lead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for words that all have a space, or all a line feed, before them: one after
+        another, some thousands at once."""
         ends = np.cumsum(length)
         places, ids, sizes = [], [], []
         for a in range(0, len(length), 4000):
             e = min(a + 4000, len(length))
             text = raw[int(ends[a] - length[a]) : int(ends[e - 1])].decode()
             part = self.ask([text])[0]
-            at = np.nonzero(self.spaced[part])[0]  # each word's first id has the space
-            if len(at) == e - a and at[0] == 0 and not self.odd(text.replace(" ", "")):
+            at = np.nonzero(self.led[lead][part])[0]  # each word's first id has it
+            if len(at) == e - a and at[0] == 0 and not self.odd(text.replace(chr(lead), "")):
                 places.append(np.arange(a, e))
                 ids.append(part)
                 sizes.append(np.diff(at, append=len(part)))
@@ -397,10 +402,10 @@ class LibraryEncoder:
         if len(new) > 0.7 * (1 << table.bits):
             return slot
         begin, size = start[lack[rep]], (stop - start)[lack[rep]]
-        for which, learn in ((buf[begin] == 32, self.learn_spaced), (buf[begin] != 32, self.learn_all)):
-            of = np.nonzero(which)[0]
+        for lead in (32, 10, None):
+            of = np.nonzero(buf[begin] == lead if lead else (buf[begin] != 32) & (buf[begin] != 10))[0]
             text = buf[spread(begin[of], size[of])]
-            good, ids, n = learn(text.tobytes(), size[of])
+            good, ids, n = self.learn_joined(text.tobytes(), size[of], lead) if lead else self.learn_all(text.tobytes(), size[of])
             if len(good) < len(of):
                 text = buf[spread(begin[of[good]], size[of[good]])]
             table.add(new[of[good]], text, size[of[good]], ids, n)
