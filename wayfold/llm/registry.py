@@ -6,7 +6,7 @@ import importlib
 
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, grammar, licenses, mixing, neardup, pii, quality, rollup, topk
+from . import bpe, fingerprint, grammar, langid, licenses, mixing, neardup, negatives, pii, quality, rollup, topk, trie
 from .common import documents, text_batches
 
 TOPK_SQL = """
@@ -82,6 +82,10 @@ def op9(spark, sf_dir):
     return fingerprint.fingerprints(documents(spark, sf_dir))
 
 
+def op11(spark, sf_dir):
+    return langid.languages(documents(spark, sf_dir))
+
+
 def likeness(spark, sf_dir):
     """What SQL can say about op9: all but the sketches' own digests."""
     return fingerprint.fingerprints(documents(spark, sf_dir)).drop("fingerprint", "edited_fingerprint")
@@ -102,8 +106,11 @@ def queries() -> dict:
         "op9_paragraph_sketch": op9,
         "edited_likeness": likeness,
         "op10_exact_top_k": op10,
+        "op11_language_trees": op11,
+        "op12_prefix_trie": trie.op12,
+        "op13_hard_negatives": negatives.op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"token_rollup_words": rollup.ROLLUP_SQL, "op3_near_duplicates": neardup.SQL, "edited_likeness": fingerprint.LIKENESS_SQL, "op7_mix_sources": mixing.MIX_SQL, "op10_exact_top_k": TOPK_SQL}
+    return {"token_rollup_words": rollup.ROLLUP_SQL, "op3_near_duplicates": neardup.SQL, "edited_likeness": fingerprint.LIKENESS_SQL, "op7_mix_sources": mixing.MIX_SQL, "op10_exact_top_k": TOPK_SQL, "op12_prefix_trie": trie.TRIE_SQL, "op13_hard_negatives": negatives.NEGATIVES_SQL}
