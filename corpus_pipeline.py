@@ -6,6 +6,8 @@ columns of documents. The driver, or run(), writes each result as Parquet and re
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ def keep_quality(spark, docs, sf_dir):
 def drop_near_duplicates(spark, docs, sf_dir):
     """The document with the smallest id of each group of near duplicates stays (five words, 0.8).
 
-    Rows that share an id are one document, of which the row with the smallest text stays; rows
-    with a null id stay unless their text's group has a document with an id; texts without words
+    Rows that share an id are one document, of which the row with the smallest text stays (then
+    the smallest hash of its other columns; maps and variants don't count); rows with a null id stay unless their text's group has a document with an id; texts without words
     are in no group.
     """
     text_batches(spark)
@@ -39,8 +41,10 @@ def drop_near_duplicates(spark, docs, sf_dir):
         return left.toDF(*names)
     again, same = small(again), F.col(f"_c{at}") == F.col("_again")
     # the least row of an id, combined before it is shuffled: no task holds all rows of an id
-    order = F.struct(F.col(f"_c{text}").alias("t"), F.struct(*[c for c in plain.columns]).alias("r"))
-    one = left.join(again, same, "left_semi").groupBy(f"_c{at}").agg(F.min(order).alias("m")).select("m.r.*")
+    hashed = [f.name for f in plain.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    order = F.struct(F.col(f"_c{text}").alias("t"), F.xxhash64(*hashed).alias("h"))
+    row = F.struct(*[F.col(c) for c in plain.columns])
+    one = left.join(again, same, "left_semi").groupBy(f"_c{at}").agg(F.min_by(row, order).alias("m")).select("m.*")
     return left.join(again, same, "left_anti").union(one).toDF(*names)
 
 
