@@ -85,3 +85,15 @@ def test_pipeline_on_awkward_and_empty_rows(spark, tmp_path):
         kept = docs.collect()
         assert len(kept) == n and (not n or {r.doc_id: r.text for r in kept}[4] == "mail me at [EMAIL] now")
         corpus_pipeline.run(spark, sf).collect()
+
+
+def test_repeated_ids_with_columns_that_have_no_order(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, tags map<string,int>, parts array<int>, more struct<a:int,b:map<string,string>>"
+    text = "one text of more than five words here"
+    rows = [(1, text, "en", "a", 37, {"x": 1}, [1], (1, {"k": "v"})), (1, text, "en", "b", 37, {"x": 2}, [2], (2, None)), (1, "a smaller text of some six words", "en", "c", 32, None, None, None), (2, text, "en", "a", 37, {}, [], None), (3, None, None, None, None, {"y": 1}, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    once = lambda: sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()), key=repr)
+    got = once()
+    assert [r[:2] for r in got] == [(1, "a smaller text of some six words"), (3, None)] and once() == got
+    for stage in (corpus_pipeline.redact_personal_data, corpus_pipeline.mix_sources):
+        assert stage(spark, docs, SF).columns == docs.columns

@@ -3,6 +3,8 @@ import itertools
 import math
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -308,6 +310,25 @@ def test_pii_awkward(spark, awkward, empty):
     assert [(r.text, r.n_chars) for r in d] == [("to [EMAIL]", 10), (None, None)]
 
 
+def test_pieces_and_long_numbers(monkeypatch):
+    """Whatever the piece, the same spans; memory doesn't follow the text."""
+    w, r = pii.fitted(), random.Random(3)
+    bits = ["1", "23", "555-123-4567 ", " ", "-", ".", "(", ")", "+", "a@b", "x.y@z.co", "DE", "AB12cd", "sk-abcdef0123456789abcd", "\n", "é", "4111 1111 1111 1111", "10.2.3.4", "123-45-6789", " GB29 NWBK 6016 1331 9268 19"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(1, 60))) for _ in range(300)]
+    want = [pii.all_spans(w, t) for t in texts]
+    for piece in (5, 41):
+        monkeypatch.setattr(pii, "PIECE", piece)
+        assert [pii.all_spans(w, t) for t in texts] == want
+    monkeypatch.undo()
+    peaks = []
+    for n in (1000, 6000):
+        tracemalloc.start()
+        assert len(pii.decode(w, "555-123-4567 " * n)) == n
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] - peaks[0] < 5000 * 13 * 60 < 4 << 20  # bytes a character more
+
+
 # ---- licenses -----------------------------------------------------------------------------
 
 
@@ -421,6 +442,49 @@ def test_scan_equals_a_naive_scan():
             assert any(n == m and s < e and a < t for m, a, e in spans)
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 7, 500, 2000])
+def test_every_one_of_adjacent_copies_is_found(k):
+    known, t = known_templates(), "Released under the MIT License."
+    text = "Note. " + " ".join([t] * k)
+    found = licenses.scan(text, known)
+    assert sorted((f[2], f[3]) for f in found) == [(6 + 32 * i, 6 + 32 * i + 30) for i in range(k)]
+    assert {f[0] for f in found} == {"mit"}
+
+
+def test_copies_in_each_order_and_edited_copies_side_by_side():
+    known, r = known_templates(), random.Random(4)
+    texts = {n: licenses.TEMPLATES[n][0] for n in ("mit", "bsd", "mpl-2.0-notice", "mit-text", "isc-text", "zlib-text")}
+    for order in itertools.permutations(texts, 3):
+        found = licenses.scan(" ".join(texts[n] for n in order for _ in range(2)), known)
+        assert [f[0] for f in sorted(found, key=lambda f: f[2])] == [n for n in order for _ in range(2)]
+    for name in ("mit-text", "zlib-text", "apache-2.0-notice"):  # words lost, copies touching
+        body = licenses.TEMPLATES[name][0].split()
+        must = set(next(t for t in known if t.name == name).own)
+        copies = [" ".join(x for x in body if r.random() > 0.1 or must & set(licenses.words(x))) for _ in range(40)]
+        found = [f for f in licenses.scan(" ".join(copies), known) if f[0] == name]
+        assert len(found) == 40
+
+
+def test_many_places_take_time_in_proportion():
+    known, took = known_templates(), []
+    for k in (10_000, 40_000):
+        began = time.perf_counter()
+        assert len(licenses.scan("Released under the MIT License. " * k, known)) == k
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] + 1
+    assert licenses.scan("mit " * 100_000 + "license", known) == []
+
+
+def test_negated_and_listed_notices():
+    known = known_templates()
+    names = lambda t: sorted(f[0] for f in licenses.scan(t, known))
+    assert names("This is not released under the MIT License.") == [] and names("It was never released under the MIT License.") == []
+    assert names("Not yet, but soon: a file that is now released under the MIT License.") == ["mit"]
+    assert names("Licensed under the MIT License or the Apache License, Version 2.0.") == ["apache-2.0", "mit"]
+    assert names("Released under the MIT License or the BSD License and the GPL License.") == ["bsd", "gpl", "mit"]
+    assert names("Released under the MIT License or the license of your choice.") == ["mit"]
+
+
 def test_license_awkward(spark, awkward, empty):
     rows = licenses.license_scan(awkward).collect()
     assert len(rows) == awkward.count() and {r.license for r in rows} == {None}

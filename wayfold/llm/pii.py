@@ -21,6 +21,8 @@ import hashlib
 import math
 import random
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +35,8 @@ from .common import pick, ship, text_chunks
 KINDS = ["email", "ip", "card", "phone", "iban", "secret", "ssn"]
 BASE = KINDS[:4]
 AROUND, REACH = 64, 80
+#: Characters whose candidates are held at once, about.
+PIECE = 4096
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: No match starts inside a run of digits unless one starts with the run, so runs are tried once.
@@ -98,48 +102,70 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
+def segments(text: str, start: int, end: int):
+    """Candidates (start, end, kind) of text[start:end], sorted, a piece of it at a time: after
+    the piece up to `limit`, which comes with them, all that end there or before have come."""
+    keys, at, past, lo = KEY_RUN.finditer(text, start, end), text.find("@", start, end), start, start
+    key = next(keys, None)
+    inner = lambda x: start < x < end and text[x - 1 : x + 1].isascii() and text[x - 1 : x + 1].isalnum()  # noqa: E731  within a token
+    while lo < end:
+        hi = min(end, lo + PIECE)
+        while inner(hi):
+            hi += 1
+        spans: set[tuple[int, int, int]] = set()
+        while key and key.start() < hi:
+            if SHAPES[5].fullmatch(key[0]):
+                spans.add((key.start(), key.end(), 5))
+            key = next(keys, None)
+        while 0 <= at < hi:
+            a = at
+            while a > past and text[a - 1] in LOCAL:
+                a -= 1
+            m = HOST.match(text, at + 1, end) if a < at else None
+            if m:
+                spans.add((a, m.end(), 0))
+            past, at = at + 1, text.find("@", at + 1, end)
+        spans = {x for x in spans if not inner(x[0]) and not inner(x[1])}
+        tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text, lo, min(end, hi + REACH))]
+        for i, (a, _) in enumerate(tokens):
+            if a >= hi:
+                break
+            c, stop = text[a], min(end, a + REACH)
+            if c in "0123456789+(":
+                m, kinds = NUMBER.match(text, a, stop), (2, 3)
+                spans.update((a, x.end(), k) for k in (1, 6) if (x := SHAPES[k].match(text, a, stop)) and not inner(x.end()))
+            elif "A" <= c <= "Z":
+                m, kinds = ACCOUNT.match(text, a, stop), (4,)
+            else:
+                continue
+            for j in range(i, len(tokens) if m else i):
+                e = tokens[j][1]
+                if e > m.end():
+                    break
+                if text[e - 1] not in " .-()" and not inner(e):
+                    spans.update((a, e, k) for k in kinds if SHAPES[k].fullmatch(text, a, e))
+        yield hi, sorted(spans)
+        lo = hi
+
+
 def candidates(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, list[float]]]]:
     """Tokens of text[start:end], and segments (first token, past last, kind, features)."""
     tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text, start, end)]
     begins, ends = {a: i for i, (a, _) in enumerate(tokens)}, {e: i + 1 for i, (_, e) in enumerate(tokens)}
-    spans: set[tuple[int, int, int]] = set()
-    for m in KEY_RUN.finditer(text, start, end):
-        if SHAPES[5].fullmatch(m[0]):
-            spans.add((m.start(), m.end(), 5))
-    at, past = text.find("@", start, end), start
-    while at >= 0:
-        a = at
-        while a > past and text[a - 1] in LOCAL:
-            a -= 1
-        m = HOST.match(text, at + 1, end) if a < at else None
-        if m:
-            spans.add((a, m.end(), 0))
-        past, at = at + 1, text.find("@", at + 1, end)
-    for i, (a, _) in enumerate(tokens):
-        c, stop = text[a], min(end, a + REACH)
-        if c in "0123456789+(":
-            m, kinds = NUMBER.match(text, a, stop), (2, 3)
-            spans.update((a, x.end(), k) for k in (1, 6) if (x := SHAPES[k].match(text, a, stop)))
-        elif "A" <= c <= "Z":
-            m, kinds = ACCOUNT.match(text, a, stop), (4,)
-        else:
-            continue
-        for j in range(i, len(tokens) if m else i):
-            e = tokens[j][1]
-            if e > m.end():
-                break
-            if text[e - 1] not in " .-()":
-                spans.update((a, e, k) for k in kinds if SHAPES[k].fullmatch(text, a, e))
-    found = [(begins[a], ends[e], k, features(text, a, e, text[a:e], k)) for a, e, k in sorted(spans) if a in begins and e in ends]
-    return tokens, found
+    spans = sorted(x for _, part in segments(text, start, end) for x in part)
+    return tokens, [(begins[a], ends[e], k, features(text, a, e, text[a:e], k)) for a, e, k in spans]
 
 
-def features(text: str, a: int, e: int, span: str, kind: int) -> list[float]:
+def cues(text: str, a: int) -> list[bool]:
+    context = text[max(0, a - 24) : a].lower()
+    return [any(w in context for w in words) for words in CUES]
+
+
+def features(text: str, a: int, e: int, span: str, kind: int, cue: list[bool] | None = None) -> list[float]:
     digits = NOT_DIGIT.sub("", span)
     n = len(digits)
     before, after = text[a - 1 : a], text[e : e + 1]
-    context = text[max(0, a - 24) : a].lower()
-    cue = [any(w in context for w in words) for words in CUES]
+    cue = cue or cues(text, a)
     joined = (before.isascii() and before.isalnum()) or (after.isascii() and after.isalnum())
     wider = (before in ".-+_" and before != "" and text[a - 2 : a - 1].isalnum()) or (after in ".-@_" and after != "" and text[e + 1 : e + 2].isalnum())
     parts = span.split(".")
@@ -175,30 +201,37 @@ def windows(text: str):
 
 
 def decode(weights: np.ndarray, text: str) -> list[tuple[int, int, int]]:
-    """The best segmentation of each stretch: its entities as (start, end, kind)."""
+    """The best segmentation of each stretch: its entities as (start, end, kind).
+
+    The best score up to a place only changes where a candidate ends. Of these places alone the
+    score, and the candidate that is best there, are kept, in arrays; candidates and their
+    features live for a piece of the text.
+    """
     out = []
     for a, e in windows(text):
-        tokens, found = candidates(text, a, e)
-        if not found:
-            continue
-        scores = (np.array([f for *_, f in found]) * weights[[k for _, _, k, _ in found]]).sum(axis=1).tolist()
-        ending: dict[int, list[tuple[float, int, int]]] = {}
-        for (i, j, k, _), s in zip(found, scores, strict=True):
-            ending.setdefault(j, []).append((s, i, k))
-        best, back = [0.0] * (len(tokens) + 1), [None] * (len(tokens) + 1)
-        for j in range(1, len(tokens) + 1):
-            best[j] = best[j - 1]
-            for s, i, k in ending.get(j, ()):
-                if best[i] + s > best[j]:
-                    best[j], back[j] = best[i] + s, (i, k)
-        j = len(tokens)
-        while j:
-            if back[j]:
-                i, k = back[j]
-                out.append((tokens[i][0], tokens[j - 1][1], k))
-                j = i
-            else:
-                j -= 1
+        place, best, start, kind = array("q", [a]), array("d", [0.0]), array("q", [a]), array("b", [-1])
+        waiting: list[tuple[int, int, int, float]] = []
+        for limit, spans in segments(text, a, e):
+            if spans:
+                cue = {s: cues(text, s) for s in {x[0] for x in spans}}
+                scores = (np.array([features(text, s, t, text[s:t], k, cue[s]) for s, t, k in spans]) * weights[[k for _, _, k in spans]]).sum(axis=1).tolist()
+                waiting += [(t, s, k, v) for (s, t, k), v in zip(spans, scores, strict=True)]
+            waiting.sort(key=lambda w: w[:3])
+            ready = bisect_right(waiting, limit, key=lambda w: w[0])
+            for t, s, k, v in waiting[:ready]:
+                if v <= 0:
+                    continue  # no better than what ends before it
+                v += best[bisect_right(place, s) - 1]
+                if v > best[-1]:
+                    if place[-1] == t:
+                        place.pop(), best.pop(), start.pop(), kind.pop()
+                    for to, x in ((place, t), (best, v), (start, s), (kind, k)):
+                        to.append(x)
+            del waiting[:ready]
+        i = len(place) - 1
+        while i > 0:
+            out.append((start[i], place[i], kind[i]))
+            i = bisect_right(place, start[i]) - 1
     return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
@@ -325,8 +358,6 @@ def all_spans(weights: np.ndarray, text: str) -> tuple[list[tuple[int, int, int]
     for _, e in taken:
         reach.append(max(e, reach[-1]) if reach else e)
     starts = [s for s, _ in taken]
-    from bisect import bisect_left
-
     more = []
     for s, e, k in decode(weights, text):
         i = bisect_left(starts, e)
