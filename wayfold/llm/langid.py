@@ -106,15 +106,15 @@ class Slots:
         return ((keys * self.SPREAD) >> self.shift).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """The row of each key, or -1."""
+        """The row of each key, or -1; key 0 has none."""
         at = self.place(keys)
         got = self.key[at]
-        row = np.where(got == keys, self.row[at], -1)
+        row = np.where((got == keys) & (keys != 0), self.row[at], -1)
         left = np.nonzero((got != keys) & (got != 0))[0]
         while len(left):
             at[left] = (at[left] + 1) & self.last
             got = self.key[at[left]]
-            same = got == keys[left]
+            same = (got == keys[left]) & (got != 0)
             row[left[same]] = self.row[at[left[same]]]
             left = left[~same & (got != 0)]
         return row

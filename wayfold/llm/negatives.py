@@ -80,7 +80,7 @@ class Tree:
         c = self.centre[i]
         mid, reach = q @ c, norm * self.radius[i]
         reach = reach + 1e-9 * (norm * np.sqrt(c @ c) + reach) + 1e-6
-        return mid - reach, mid + reach
+        return np.clip(mid - reach, LOWEST, HIGHEST), np.clip(mid + reach, LOWEST, HIGHEST)  # as scores are
 
     def descend(self, q: np.ndarray, norm: np.ndarray, rows: np.ndarray, wanted, take) -> int:
         """Calls take(rows, leaf's place, scores) where wanted(rows, low, high) holds, the child
