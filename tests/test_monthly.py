@@ -9,12 +9,16 @@ import struct
 import threading
 import urllib.parse
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+from urllib.parse import urlsplit
 
 import pytest
 
 from tests.test_operators import RIDE, month_of_rides, ride
 from wayfold import publish
 from wayfold.config import Thresholds
+from wayfold.operators import quality
 from wayfold.plans import monthly
 from wayfold.sources import http as web
 from wayfold.sources import offline, tables
@@ -133,10 +137,15 @@ def make(spark, server, tmp_path, **kw):
     )
 
 
+def seen(spark, folder, month="2024-01"):
+    """Where readers find the month: a path of this machine."""
+    return Path(urlsplit(publish.current(Place(spark, folder), month).uri).path)
+
+
 def test_publishes_and_repeats(spark, server, tmp_path):
     r = make(spark, server, tmp_path)
     assert monthly.run(r) == 0
-    final = tmp_path / "out" / "2024-01"
+    final = seen(spark, tmp_path / "out")
     m = json.loads((final / "metrics.json").read_text())
     k = m["kpis"]
     assert k[monthly.K1]["population_rides"] == 279 and 0 < k[monthly.K1]["value"] <= k[monthly.K2]["value"]
@@ -150,21 +159,21 @@ def test_publishes_and_repeats(spark, server, tmp_path):
     assert "One" in (final / "zone_breakdown.csv").read_text() and "## Checks" in (final / "evidence_table.md").read_text()
     before = [h for h in server.hits]
     assert monthly.run(make(spark, server, tmp_path)) == 0  # all raw inputs are there already
-    assert server.hits == before and not list((tmp_path / "out").glob(".staging*")) and not (tmp_path / "out" / "2024-01.previous").exists()
-    assert json.loads((final / "metrics.json").read_text())["kpis"] == k
+    assert server.hits == before and seen(spark, tmp_path / "out") != final and len(list((tmp_path / "out" / "2024-01" / "editions").iterdir())) == 2
+    assert all(json.loads((at / "metrics.json").read_text())["kpis"] == k for at in (final, seen(spark, tmp_path / "out")))
 
 
 def test_drills(spark, server, tmp_path):
     assert monthly.run(make(spark, server, tmp_path)) == 0
-    kept = (tmp_path / "out" / "2024-01" / "metrics.json").read_text()
+    kept = (seen(spark, tmp_path / "out") / "metrics.json").read_text()
     assert monthly.run(make(spark, server, tmp_path, chaos="missing_column")) == 2
     assert monthly.run(make(spark, server, tmp_path, chaos="duplicate_rows")) == 2
     assert monthly.run(make(spark, server, tmp_path, chaos="weather_gap")) == 0
-    gap = json.loads((tmp_path / "out" / "_chaos_weather_gap" / "2024-01" / "metrics.json").read_text())
+    gap = json.loads((seen(spark, tmp_path / "out" / "_chaos_weather_gap") / "metrics.json").read_text())
     assert gap["supporting_analyses"]["precipitation_association"]["withheld"] and gap["kpis"][monthly.K1]["value"]
     flaky = make(spark, server, tmp_path, chaos="api_flaky")
     assert monthly.run(flaky) == 0 and flaky.retry.retried == 2
-    assert (tmp_path / "out" / "2024-01" / "metrics.json").read_text() == kept
+    assert (seen(spark, tmp_path / "out") / "metrics.json").read_text() == kept
     assert len(list((tmp_path / "logs" / "failed_runs").glob("*.json"))) == 2
 
 
@@ -172,7 +181,7 @@ def test_missing_sources(spark, server, tmp_path):
     del server.files["/zones.zip"]
     server.weather = {"reason": "no"}
     assert monthly.run(make(spark, server, tmp_path)) == 0
-    m = json.loads((tmp_path / "out" / "2024-01" / "metrics.json").read_text())
+    m = json.loads((seen(spark, tmp_path / "out") / "metrics.json").read_text())
     assert m["kpis"][monthly.K5]["validation_status"] == "WITHHELD" and m["supporting_analyses"]["precipitation_association"]["withheld"]
     assert monthly.run(make(spark, server, tmp_path, month="2024-02")) == 1  # no such file
     server.files["/zones.csv"] = b"LocationID,Borough\n1,A\n"
@@ -187,14 +196,14 @@ def test_a_month_on_another_file_system(spark, server, tmp_path):
     r = make(spark, server, tmp_path)
     r.data, r.output = Place(spark, "viewfs://months/far/data"), Place(spark, "viewfs://months/far/out")
     assert monthly.run(r) == 0
-    final = Place(spark, "viewfs://months/far/out/2024-01")
+    final = publish.current(r.output, "2024-01")
     assert spark.read.parquet(str(final / "ride_journey.parquet")).count() == 279
     assert (final / "metrics.json").read_json()["kpis"][monthly.K1]["value"] > 0
     before = len(server.hits)
     again = make(spark, server, tmp_path)
     again.data, again.output = r.data, r.output
     assert monthly.run(again) == 0 and len(server.hits) == before
-    assert final.parent.names() == ["2024-01"] and not (tmp_path / "out").exists()
+    assert publish.current(r.output, "2024-01").uri != final.uri and not (tmp_path / "out").exists()
 
 
 def test_a_sample_runs_without_a_network(spark, server, tmp_path):
@@ -208,13 +217,13 @@ def test_a_sample_runs_without_a_network(spark, server, tmp_path):
     r.feeds = dataclasses.replace(r.feeds, **offline.feeds(tmp_path / "small"))
     r.data, r.output = Place(spark, tmp_path / "data2"), Place(spark, tmp_path / "out2")
     assert monthly.run(r) == 0 and len(server.hits) == hits
-    m = (r.output / "2024-01" / "metrics.json").read_json()
+    m = (publish.current(r.output, "2024-01") / "metrics.json").read_json()
     assert m["mode"] == "sample" and m["kpis"][monthly.K1]["population_rides"] <= 250 and m["kpis"][monthly.K5]["value"]["citywide_passenger_complaints"] == 41
-    v = (r.output / "2024-01" / "validation_report.json").read_json()
+    v = (publish.current(r.output, "2024-01") / "validation_report.json").read_json()
     by = {c["check"]: c["evidence"] for c in v["checks"]}
     assert by["hvfhv.download_complete"]["rows"] == 250 and by["hvfhv.download_complete"]["row_groups"] >= 1
     assert 0 < by["weather.grid_point_offset"]["offset_km"] < 20 and v["decisions"]["on_scene"]["stages_are_published"] in (True, False)
-    text = (r.output / "2024-01" / "evidence_table.md").read().decode()
+    text = (publish.current(r.output, "2024-01") / "evidence_table.md").read().decode()
     assert "km from the place asked for" in text and "## Decisions" in text
 
 
@@ -261,27 +270,96 @@ def test_changing_total_is_refused(spark, tmp_path):
 
 
 def test_an_edition_is_published_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """Whatever step of a writer fails, and between any two steps, readers see one whole edition."""
     out = Place(spark, tmp_path / "out")
-    (out / ".staging_m_old" / "a").write("left by a crash")
-    (out / ".staging_n_x" / "a").write("another month's")
-    one = publish.Edition(out, "m", "1")
-    (one.folder / "a").write("1")
-    assert one.publish().uri == (out / "m").uri and (out / "m" / "a").read() == b"1"
-    assert out.names() == [".staging_n_x", "m"]
-    two = publish.Edition(out, "m", "2")
-    (two.folder / "a").write("2")
-    two.folder.delete()  # the second rename fails, and the first is undone
-    with pytest.raises(FileNotFoundError):
-        two.publish()
-    assert (out / "m" / "a").read() == b"1" and "m.previous" not in out.names()
-    three = publish.Edition(out, "m", "3")
-    (three.folder / "a").write("3")
-    (out / "m.previous" / "a").write("left by a crash between the renames")
-    three.publish()
-    assert (out / "m" / "a").read() == b"3" and out.names() == [".staging_n_x", "m"]
+    steps, fails = [0], [None]
+
+    def whole():
+        at = publish.current(out, "m")
+        texts = {(at / f"{k}.txt").read() for k in range(3)} if at else set()
+        assert len(texts) <= 1
+        return texts.pop().decode() if texts else None
+
+    for name in ("write", "create", "delete", "mkdir"):
+        real = getattr(Place, name)
+
+        def step(self, *args, real=real):
+            whole()
+            steps[0] += 1
+            if steps[0] == fails[0]:
+                raise OSError("the file system is gone")
+            made = real(self, *args)
+            whole()
+            return made
+
+        monkeypatch.setattr(Place, name, step)
+
+    def attempt(text, at=None):
+        steps[0], fails[0] = 0, at
+        edition = publish.Edition(out, "m", f"{text}-{at}")
+        for k in range(3):
+            (edition.folder / f"{k}.txt").write(text)
+        edition.publish()
+        return steps[0]
+
+    assert whole() is None
+    n = attempt("first")
+    assert whole() == "first" and n >= 5
+    for k in range(1, n + 4):
+        before = whole()
+        try:
+            attempt(f"try{k}", k)
+            assert whole() == f"try{k}"  # what failed, if anything, was tidying
+        except OSError:
+            assert whole() == before
+    fails[0] = None
+    month = out / "m"
+    (month / "log" / "99999999.json").write('{"edition": "half a mani')  # a writer that died
+    assert whole() == f"try{n + 3}"
+    monkeypatch.setattr(publish.Edition, "STALE_H", 0.0)
+    attempt("last")
+    assert whole() == "last" and len((month / "editions").names()) == 2
     assert publish.csv_text([]) == ""
 
 
+def test_writers_at_the_same_time(spark, tmp_path):
+    out = Place(spark, tmp_path / "out")
+    editions = [publish.Edition(out, "m", str(k)) for k in range(6)]
+    for k, e in enumerate(editions):
+        (e.folder / "a").write(str(k))
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda e: e.publish(), editions))
+    known = publish.numbers(out / "m")
+    assert known[-1] == 6 and (publish.current(out, "m") / "a").read().decode() == publish.manifest(out / "m", 6)["edition"]
+    with pytest.raises(FileExistsError):
+        publish.Edition(out, "m", publish.manifest(out / "m", 6)["edition"])
+
+
+def test_facts_are_observed_in_the_pass_that_writes(spark, tmp_path):
+    from wayfold.plans import adapters as a
+    from wayfold.plans.registry import T, journey, life
+
+    first, last = dt.date.fromisoformat(a.FIRST), dt.date.fromisoformat(a.LAST)
+    j, zones = journey(spark, "/root/testdata/sf0.001"), a.zones(spark, "/root/testdata/sf0.001")
+    facts = [*quality.trip_facts(first, last, T), *quality.population_facts()[1:]]
+    want = quality.with_sides(j, zones).agg(*facts).first().asDict()
+
+    def write(rides):
+        rides.select("l_orderkey").write.parquet(f"file://{tmp_path}/{len(list(tmp_path.iterdir()))}")
+        return want["rows"]
+
+    assert quality.observed_write(j, zones, facts, write).asDict() == pytest.approx(want)
+    counted_twice = quality.observed_write(j.unionByName(j.limit(5)), zones, facts, write)  # not what was written: counted anew
+    assert counted_twice.rows == want["rows"] + 5
+    rides = life(spark, "/root/testdata/sf0.001")
+    one = {c.check: (c.status, c.evidence) for c in quality.trip_checks(rides, zones, first, last, T)}
+    assert one["hvfhv.file_readable"][1] == {"rows": want["rows"]} and len(one) == 11
+    assert quality.repeats(rides, quality.NATURAL_KEY)[1] == quality.duplicates(rides, quality.NATURAL_KEY).first().duplicate_rows
+    twice = quality.repeats(rides.unionByName(rides.limit(7)), quality.NATURAL_KEY)
+    assert twice == (want["rows"] + 7, quality.repeats(rides, quality.NATURAL_KEY)[1] + 7)
+    assert [c.status for c in quality.trip_checks(rides.limit(0), zones, first, last, T)] == ["FAIL"]
+
+
 def test_places(spark, tmp_path):
     here = Place(spark, tmp_path)
     (here / "f" / "a.json").write_json({"x": 1})

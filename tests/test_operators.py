@@ -52,11 +52,11 @@ def test_headline_example(spark):
     assert tuple(kpis.headline_scaled(life).first()) == pytest.approx(tuple(h))
 
 
-def test_quantiles_by_counts_match_numpy(spark):
+def test_quantiles_by_rounds_match_numpy(spark):
     v = np.random.default_rng(3).integers(0, 10**10, 997).tolist() + [5] * 300
-    got = quantiles.by_counts(spark.createDataFrame([(int(i),) for i in v], "v long"), [0.0, 0.37, 0.5, 0.9, 1.0]).first()
+    got = quantiles.by_rounds(spark.createDataFrame([(int(i),) for i in v], "v long"), [0.0, 0.37, 0.5, 0.9, 1.0]).first()
     assert [got[f"q{i}"] for i in range(5)] == pytest.approx(np.quantile(v, [0, 0.37, 0.5, 0.9, 1]).tolist())
-    empty = quantiles.by_counts(spark.createDataFrame([], "v long"), [0.5]).first()
+    empty = quantiles.by_rounds(spark.createDataFrame([], "v long"), [0.5]).first()
     assert (empty.q0, empty.n) == (None, 0)
 
 
@@ -65,7 +65,7 @@ def test_quantiles_of_groups(spark):
     r = np.random.default_rng(4)
     rows = [("hot", None, float(x)) for x in r.normal(0, 50, 4000).round(2)] + [(None, 1, float(x)) for x in r.integers(-9, 9, 50)] + [("one", 2, 7.5), ("null", 3, None)]
     df = spark.createDataFrame(rows, "g string, h int, v double").repartition(7)
-    got = {(x.g, x.h): x for x in quantiles.summary(df, ["g", "h"], [F.count("*").alias("rows")], {"med": ("v", 0.5, None), "p90": ("v", 0.9, None), "pos": ("v", 0.25, F.col("v") > 0)}, 10.0).collect()}
+    got = {(x.g, x.h): x for x in quantiles.summary(df, ["g", "h"], [F.count("*").alias("rows")], {"med": ("v", 0.5, None), "p90": ("v", 0.9, None), "pos": ("v", 0.25, F.col("v") > 0)}).collect()}
     assert set(got) == {(g, h) for g, h, _ in rows}
     for k, x in got.items():
         v = [c for a, b, c in rows if (a, b) == k and c is not None]
@@ -77,6 +77,43 @@ def test_quantiles_of_groups(spark):
             assert (x.med, x.p90, x.pos) == (None, None, None)
 
 
+def test_quantiles_of_any_range_in_rounds(spark, monkeypatch):
+    """Eighteen orders of magnitude, half of the rows one value, nulls, groups of one row, both
+    signs, infinities: with stretches so small that rounds follow rounds, and by way of a table."""
+    r = np.random.default_rng(4)
+    wide = np.concatenate([10.0 ** r.uniform(-9, 9, 3000) * r.choice([-1, 1], 3000), np.full(3000, 7.25)])
+    near = 1e9 + np.arange(2000) * 2.0**-20  # one stretch of the first round
+    rows = [("wide", float(v)) for v in wide] + [("near", float(v)) for v in near] + [("one", 3.0), ("none", None), (None, 2.0), (None, 4.0)]
+    rows += [("ends", v) for v in (float("-inf"), -1.0, 0.0, -0.0, 5e-324, float("inf"), float("inf"))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.731, 0.9, 1.0]
+    for small, local in ((10**6, 10**4), (40, 10**4), (1, 3)):
+        for name, value in (("SMALL", small), ("LOCAL", local)):
+            monkeypatch.setattr(quantiles, name, value)
+        got = {x.g: x for x in quantiles.by_rounds(df, qs, ["g"]).collect()}
+        assert set(got) == {"wide", "near", "one", None, "ends"}
+        for g, v in (("wide", wide), ("near", near), ("one", [3.0]), (None, [2.0, 4.0])):
+            assert got[g].n == len(v) and [got[g][f"q{i}"] for i in range(7)] == pytest.approx(np.quantile(v, qs).tolist(), rel=1e-12)
+        assert [got["ends"][f"q{i}"] for i in (0, 3, 6)] == [float("-inf"), 0.0, float("inf")]
+        alone = quantiles.by_rounds(df.where("g = 'wide'"), qs).first()
+        assert alone.n == 6000 and [alone[f"q{i}"] for i in range(7)] == pytest.approx(np.quantile(wide, qs).tolist(), rel=1e-12)
+
+
+def test_no_task_of_a_quantile_reads_more_than_its_share(spark, monkeypatch):
+    """Half of 40,000 rows are one value, the rest spread widely: what is looked at value by value,
+    and what a window holds, stays within SMALL."""
+    monkeypatch.setattr(quantiles, "SMALL", 500)
+    v = np.concatenate([np.full(20_000, 1.5), 10.0 ** np.random.default_rng(2).uniform(-9, 9, 20_000)])
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    q = quantiles.by_rounds(df, [0.05, 0.5, 0.95])
+    found = q.first()
+    assert [found.q0, found.q1, found.q2] == pytest.approx(np.quantile(v, [0.05, 0.5, 0.95]).tolist())
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan  # over the values of wanted stretches only:
+    rows = df.select(quantiles.octave(F.col("v")).alias("b"), "v")
+    assert rows.groupBy("b").count().count() < 64 * 34 and rows.select("b").distinct().count() > 1000
+
+
 def test_rate_and_rounding(spark):
     r = spark.range(1).select(x.per_100k(F.lit(1), F.lit(3)).alias("a"), x.per_100k(F.lit(1), F.lit(0)).alias("b"), x.round2(F.lit(2.375)).alias("c")).first()
     assert round(r.a, 2) == 33333.33 and r.b is None and r.c == 2.38

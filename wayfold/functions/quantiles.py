@@ -1,10 +1,14 @@
-"""Exact quantiles of groups without a task that holds a group's values.
+"""Exact quantiles of groups by selection in rounds, for values of any range.
 
-`percentile` keeps a map of all values a group in one task. Here values are counted where
-they are read, so that a shuffle moves each different value of a group once a task; running
-counts of stretches of values, a few thousand rows a group, tell which stretches hold the
-wanted places, and only these are looked at value by value. The counts are shuffled once
-and read twice.
+`percentile` keeps a map of all values a group in one task. Here the first round counts values
+by 1/32 octave of their size, with each stretch's least and greatest value; running counts say
+which stretches hold the wanted places. A stretch of one value is decided. Others with more
+than SMALL rows are cut again, evenly between their ends, and again, where only rows of wanted
+stretches take part; a double's digits are used up after a few rounds. What is left is counted
+value by value. A shuffle moves at most the stretches of a task and the values of stretches
+with SMALL rows, and no task or window gets more of a group than that.
+
+The rounds run when a figure is asked for, as each depends on the one before it.
 """
 
 from __future__ import annotations
@@ -14,38 +18,89 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import work_folder
+
+#: Stretches of an octave and of a later round; rows of a stretch that is looked at value by value.
+OCTAVE, CUTS, SMALL = 32, 1024, 1_000_000
+#: Wanted stretches that go by way of the driver; more are written to the shared folder.
+LOCAL = 10_000
+
 
 def same(left: str, right: str, keys: list[str]) -> Column:
     """Equal keys of two aliases; nulls are equal, and without keys everything is."""
     return reduce(lambda a, b: a & b, [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys], F.lit(True))
 
 
-def by_counts(values: DataFrame, qs: list[float], by: list[str] | None = None, width: float = 1.0) -> DataFrame:
+def octave(v: Column) -> Column:
+    """A whole number that never falls as v grows; infinities and NaN have their own."""
+    size = F.floor(F.log2(F.abs(v)) * OCTAVE) + 1100 * OCTAVE
+    return (
+        F.when(F.isnan(v), 10**6).when(v == float("inf"), 10**6 - 1).when(v == float("-inf"), -(10**6)).when(v == 0, 0).when(v > 0, size).otherwise(-size).cast("long")
+    )
+
+
+def kept_small(df: DataFrame) -> DataFrame:
+    """df, worked out once: in the driver where it has few rows, else in the shared folder."""
+    rows = df.limit(LOCAL + 1).collect()
+    if len(rows) <= LOCAL:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    at = work_folder(df.sparkSession, "stretches") / "s"
+    df.write.parquet(str(at))
+    return df.sparkSession.read.schema(df.schema).parquet(str(at))
+
+
+def wanted(cut: DataFrame, keys: list[str], stretch: list[str], qs: list[float], first: bool) -> DataFrame:
+    """Of counted stretches (keys, stretch, c, lo, hi and, after the first round, n and base) those
+    that hold a wanted place, with before: rows below them in the group."""
+    run = Window.partitionBy(*keys, *stretch[:-1]).orderBy(stretch[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("c").over(run), F.lit(0))
+    n = F.sum("c").over(Window.partitionBy(*keys)) if first else F.col("n")
+    at = cut.select(*keys, *stretch, "c", "lo", "hi", n.alias("n"), (below if first else below + F.col("base")).alias("before"))
+    return at.where(reduce(lambda a, b: a | b, [held(p, F.col("before"), F.col("c")) for p in places(qs)]))
+
+
+def spots(qs: list[float]) -> list[Column]:
+    return [F.lit(float(q)) * (F.col("n") - 1) for q in qs]
+
+
+def places(qs: list[float]) -> list[Column]:
+    return [f(s) for s in spots(qs) for f in (F.floor, F.ceil)]
+
+
+def held(place: Column, low: Column, c: Column) -> Column:
+    return (place >= low) & (place < low + c)
+
+
+def by_rounds(values: DataFrame, qs: list[float], by: list[str] | None = None) -> DataFrame:
     """The columns by, then q0, q1, ... and n of a column v, with linear interpolation.
 
-    width: of a stretch of values, such that a group has some thousands. Null values don't
-    count; a group of nothing else isn't there, and without groups it has null quantiles and n 0."""
+    Null values don't count; a group of nothing else isn't there, and without groups it has null
+    quantiles and n 0. NaN is above all other values."""
     by = by or []
     keys = [f"_g{i}" for i in range(len(by))]
-    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], "v").where("v is not null")
-    counts = rows.groupBy(*keys, F.floor(F.col("v") / F.lit(width)).alias("b"), "v").agg(F.count("*").alias("c"))
-    run = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    coarse = counts.groupBy(*keys, "b").agg(F.sum("c").alias("c"))
-    coarse = coarse.select(*keys, "b", "c", F.coalesce(F.sum("c").over(run), F.lit(0)).alias("before"), F.sum("c").over(Window.partitionBy(*keys)).alias("n"))
-    spots = [F.lit(float(q)) * (F.col("n") - 1) for q in qs]
-    places = [f(s) for s in spots for f in (F.floor, F.ceil)]
-    held = lambda place, low: (place >= low) & (place < low + F.col("c"))
-    kept = coarse.where(reduce(lambda a, b: a | b, [held(p, F.col("before")) for p in places])).drop("c")
-    near = counts.alias("r").join(kept.alias("k"), same("r", "k", [*keys, "b"])).select("r.*", "k.before", "k.n")
-    inner = Window.partitionBy(*keys, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = near.withColumn("_at", F.col("before") + F.coalesce(F.sum("c").over(inner), F.lit(0)))
-    picks = [F.max(F.when(held(p, F.col("_at")), F.col("v"))).alias(f"_p{i}") for i, p in enumerate(places)]
-    found = placed.groupBy(*keys).agg(*picks, F.coalesce(F.max("n"), F.lit(0)).alias("n"))
-    between = [F.col(f"_p{2 * i}") + (F.col(f"_p{2 * i + 1}") - F.col(f"_p{2 * i}")) * (s - F.floor(s)) for i, s in enumerate(spots)]
+    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v").cast("double").alias("v")).where("v is not null")
+    facts = [F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    near = kept_small(wanted(rows.groupBy(*keys, octave(F.col("v")).alias("b")).agg(*facts), keys, ["b"], qs, True))
+    one_value = F.col("lo").eqNullSafe(F.col("hi"))
+    inside = lambda to: rows.alias("r").join(to.alias("k"), same("r", "k", keys) & (F.col("r.v") >= F.col("k.lo")) & (F.col("r.v") <= F.col("k.hi")))
+    while not near.where(~one_value & (F.col("c") > SMALL)).isEmpty():
+        part = F.floor((F.col("r.v") - F.col("k.lo")) / (F.col("k.hi") - F.col("k.lo")) * CUTS).cast("long")
+        cut = inside(near.where(~one_value)).select(*[F.col(f"r.`{k}`") for k in keys], F.col("k.before").alias("base"), F.col("k.n"), part.alias("b"), "r.v")
+        cut = cut.groupBy(*keys, "base", "n", "b").agg(*facts)
+        finer = wanted(cut, keys, ["base", "b"], qs, False).select(*near.columns)
+        near = kept_small(near.where(one_value).unionByName(finer))
+    decided = near.where(one_value).select(*keys, "n", F.col("before").alias("_at"), "c", F.col("lo").alias("v"))
+    counts = inside(near.where(~one_value)).groupBy(*[F.col(f"r.`{k}`") for k in keys], F.col("k.n"), F.col("k.before"), F.col("r.v")).agg(F.count("*").alias("c"))
+    inner = Window.partitionBy(*keys, "n", "before").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    looked = counts.select(*keys, "n", (F.col("before") + F.coalesce(F.sum("c").over(inner), F.lit(0))).alias("_at"), "c", "v")
+    picks = [F.max(F.when(held(p, F.col("_at"), F.col("c")), F.col("v"))).alias(f"_p{i}") for i, p in enumerate(places(qs))]
+    found = decided.unionByName(looked).groupBy(*keys).agg(*picks, F.coalesce(F.max("n"), F.lit(0)).alias("n"))
+    whole = lambda s: s == F.floor(s)  # noqa: E731  no step between two values, which may be infinite
+    between = [F.when(whole(s), F.col(f"_p{2 * i}")).otherwise(F.col(f"_p{2 * i}") + (F.col(f"_p{2 * i + 1}") - F.col(f"_p{2 * i}")) * (s - F.floor(s))) for i, s in enumerate(spots(qs))]
     return found.select(*[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], *[q.alias(f"q{i}") for i, q in enumerate(between)], "n")
 
 
-def summary(df: DataFrame, by: list[str], aggregates: list[Column], measures: dict[str, tuple], width: float = 1.0) -> DataFrame:
+def summary(df: DataFrame, by: list[str], aggregates: list[Column], measures: dict[str, tuple]) -> DataFrame:
     """The columns by, the aggregates, and the measures: name -> (values, quantile, or None or
     a condition on the rows that count)."""
     plain = df.groupBy(*by).agg(*aggregates)
@@ -62,7 +117,7 @@ def summary(df: DataFrame, by: list[str], aggregates: list[Column], measures: di
     column = lambda v: F.col(v) if isinstance(v, str) else v
     one = lambda i, v, w: F.struct(F.lit(i).alias("kind"), (column(v) if w is None else F.when(w, column(v))).cast("double").alias("v"))
     tall = df.select(*by, F.explode(F.array(*[one(i, v, w) for i, (v, w) in enumerate(kinds)])).alias("_x")).select(*by, "_x.kind", "_x.v")
-    found = by_counts(tall, qs, [*by, "kind"], width)
+    found = by_rounds(tall, qs, [*by, "kind"])
     wide = found.groupBy(*by).agg(*[F.max(F.when(F.col("kind") == kind, F.col(f"q{qs.index(q)}"))).alias(name) for name, (kind, q) in of.items()])
     j = plain.alias("p").join(wide.alias("w"), same("p", "w", by), "left")
     return j.select("p.*", *[f"w.{name}" for name in measures])

@@ -14,14 +14,14 @@ WAIT = "request_to_pickup_min"
 
 def headline(rides: DataFrame) -> DataFrame:
     """Median and 90th percentile of the wait over the KPI population."""
-    q = quantiles.by_counts(rides.where("in_kpi_population").select(F.col(WAIT).alias("v")), [0.5, 0.9])
+    q = quantiles.by_rounds(rides.where("in_kpi_population").select(F.col(WAIT).alias("v")), [0.5, 0.9])
     return q.toDF("median_min", "p90_min", "population_rides")
 
 
 def headline_scaled(rides: DataFrame) -> DataFrame:
     """The same figures from whole microseconds, counted a minute at a time."""
     waits = rides.where("in_kpi_population").select(x.micros("pickup_datetime", "request_datetime").alias("v"))
-    q = quantiles.by_counts(waits, [0.5, 0.9], width=60_000_000)
+    q = quantiles.by_rounds(waits, [0.5, 0.9])
     return q.select((F.col("q0") / 60e6).alias("median_min"), (F.col("q1") / 60e6).alias("p90_min"), F.col("n").alias("population_rides"))
 
 
@@ -43,7 +43,7 @@ def arrival_share(rides: DataFrame) -> DataFrame:
 def grouped(rides: DataFrame, by: list[str], condition, minimum: int = 0) -> DataFrame:
     """rides, median_min and p90_min per group with at least `minimum` rides."""
     waits = rides.where(condition).select(*by, F.col(WAIT).alias("v"))
-    out = quantiles.by_counts(waits, [0.5, 0.9], by).select(*by, F.col("n").alias("rides"), F.col("q0").alias("median_min"), F.col("q1").alias("p90_min"))
+    out = quantiles.by_rounds(waits, [0.5, 0.9], by).select(*by, F.col("n").alias("rides"), F.col("q0").alias("median_min"), F.col("q1").alias("p90_min"))
     return out.where(F.col("rides") >= minimum) if minimum else out
 
 
@@ -78,7 +78,7 @@ def band_figures(rides: DataFrame) -> DataFrame:
 def hour_matched(rides: DataFrame, min_rides: int) -> DataFrame:
     """Rain against dry in the same hour of day: difference of rounded medians, weighted by rides."""
     pop = rides.where(F.col("in_kpi_population") & F.col("weather_matched") & F.col("precip_band").isin(*BANDS[:3]))
-    m = quantiles.by_counts(pop.select("precip_band", "request_hour", F.col(WAIT).alias("v")), [0.5], ["precip_band", "request_hour"])
+    m = quantiles.by_rounds(pop.select("precip_band", "request_hour", F.col(WAIT).alias("v")), [0.5], ["precip_band", "request_hour"])
     m = m.select("precip_band", "request_hour", F.col("n").alias("c"), x.round2("q0").alias("med"))
     dry = m.where(F.col("precip_band") == BANDS[0]).select("request_hour", F.col("med").alias("dry"))
     rain = m.where((F.col("precip_band") != BANDS[0]) & (F.col("c") >= min_rides)).join(dry, "request_hour")

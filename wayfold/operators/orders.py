@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import expressions as x
 from ..functions import quantiles
 
-#: Minutes of a stretch of delays: a day.
-DAY = 1440.0
-
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """One row a key: the first in the given order (a file's row order, or columns)."""
@@ -57,7 +54,7 @@ def with_delay(orders: DataFrame) -> DataFrame:
 
 def late_summary(valid: DataFrame) -> DataFrame:
     counts = [F.count("*").alias("orders"), F.count_if(late()).alias("late"), x.share(late()).alias("late_rate")]
-    return quantiles.summary(valid, [], counts, {"median_delay_late": ("delay_min", 0.5, late())}, DAY)
+    return quantiles.summary(valid, [], counts, {"median_delay_late": ("delay_min", 0.5, late())})
 
 
 def late_variants(orders: DataFrame) -> DataFrame:
@@ -87,7 +84,7 @@ def shares(df: DataFrame, by: Column, name: str) -> DataFrame:
 
 def summarise(valid: DataFrame, by: Column, name: str) -> DataFrame:
     counts = [F.count("*").alias("orders"), x.share(late()).alias("late_rate"), F.avg("promise_min").alias("mean_promise")]
-    return quantiles.summary(valid.withColumn(name, by), [name], counts, {"median_delay": ("delay_min", 0.5, None)}, DAY)
+    return quantiles.summary(valid.withColumn(name, by), [name], counts, {"median_delay": ("delay_min", 0.5, None)})
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list, cell: Column, fill=None) -> DataFrame:
@@ -98,7 +95,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: list, cell: Column, f
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     plain = [F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("lo"), F.max(column).alias("hi")]
-    return quantiles.summary(df, [], plain, {n: (column, q, None) for n, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))}, DAY)
+    return quantiles.summary(df, [], plain, {n: (column, q, None) for n, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))})
 
 
 def fk_coverage(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
@@ -236,7 +233,7 @@ def status_freshness(status: DataFrame, orders: DataFrame, restaurants: DataFram
     c = F.count_if
     aged = j.withColumn("_age", x.minutes("last_updated_at", "created_at"))
     counts = [F.count("*").alias("records"), c((s == "preparing") & after).alias("stale_preparing"), c((s == "ready") & after).alias("stale_ready"), c(F.col("_age") < 0).alias("before_order")]
-    return quantiles.summary(aged, ["manual_status_updates"], counts, {"median_age_min": ("_age", 0.5, None)}, DAY)
+    return quantiles.summary(aged, ["manual_status_updates"], counts, {"median_age_min": ("_age", 0.5, None)})
 
 
 def journey(orders: DataFrame, outcomes: DataFrame, actions: DataFrame, tickets: DataFrame, interventions: DataFrame) -> DataFrame:
@@ -264,7 +261,7 @@ def journey_metrics(j: DataFrame) -> DataFrame:
         F.count("*").alias("orders"), x.share(F.col("n_tickets") > 0).alias("with_ticket"), x.share(F.col("frustrated")).alias("frustrated_share"),
         x.share(F.col("n_interventions") > 0).alias("with_intervention"), F.avg("eta_views").alias("mean_eta_views"),
     ]
-    return quantiles.summary(j.where("late_flag is not null").withColumn("is_late", is_late), ["is_late"], shares, {"median_delay": ("delay_min", 0.5, None)}, DAY)
+    return quantiles.summary(j.where("late_flag is not null").withColumn("is_late", is_late), ["is_late"], shares, {"median_delay": ("delay_min", 0.5, None)})
 
 
 def reconciled(orders: DataFrame, second: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..config import Thresholds
@@ -142,14 +143,18 @@ def plausibility(rides: DataFrame, t: Thresholds) -> DataFrame:
     return rides.agg(*plausibility_facts(t))
 
 
-def populations(journey: DataFrame) -> DataFrame:
+def population_facts() -> list:
     """The sizes later checks reconcile with."""
     c = F.count_if
-    return journey.agg(
+    return [
         F.count("*").alias("rows"), c(F.col("in_kpi_population")).alias("kpi_population"), c(F.col("in_stage_population")).alias("stage_population"),
         c(F.col("in_zone_population")).alias("zone_population"), c(~F.col("placeholder_pickup")).alias("zone_attributable_rides"),
         c(F.col("weather_matched")).alias("weather_matched"), c(F.col("request_on_whole_minute")).alias("whole_minute"),
-    )
+    ]
+
+
+def populations(journey: DataFrame) -> DataFrame:
+    return journey.agg(*population_facts())
 
 
 SIDES = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
@@ -183,10 +188,52 @@ def side_facts() -> list:
     return out
 
 
+def repeats(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows, and rows beyond the first of each key. One pass; a second one reads the rows of
+    hashes that occur twice, if there are any."""
+    hashed = lambda d: d.select(*keys, F.xxhash64(*keys).alias("_h"))
+    counts = hashed(df).groupBy("_h").agg(F.count("*").alias("n"))
+    r = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("many")).first()
+    if not r.many:
+        return r.rows, 0
+    again = hashed(df).join(counts.where("n > 1").select("_h"), "_h", "left_semi").groupBy(*keys).agg(F.count("*").alias("n"))
+    return r.rows, again.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).first().d
+
+
+def trip_facts(first, last, t: Thresholds) -> list:
+    """Every number that rules about trips stand on, as aggregates of rows that have sides."""
+    return [*coverage_facts(), *chronology_facts(), *on_scene_facts()[:-1], *plausibility_facts(t), *day_facts(first, last), *side_facts(), on_scene_facts()[-1]]
+
+
 def trip_checks(rides: DataFrame, zones: DataFrame, first, last, t: Thresholds) -> list[Check]:
-    """Every rule about the trips: one pass counts all facts, a second looks for duplicates."""
-    counted = with_sides(rides, zones).agg(*coverage_facts(), *chronology_facts(), *on_scene_facts(), *plausibility_facts(t), *day_facts(first, last), *side_facts())
-    f, dup = together(counted.first, lambda: duplicates(rides, NATURAL_KEY).first().duplicate_rows)
+    """Every rule about the trips. The facts are observed in the pass that looks for duplicates;
+    where a lost executor made it count rows twice, they are counted anew."""
+    seen, facts = Observation("trips"), trip_facts(first, last, t)
+    sided = with_sides(rides, zones)
+    rows, dup = repeats(sided.observe(seen, *facts), NATURAL_KEY)
+    f = observed(seen) if rows else None
+    return checks_of(f if f and f.rows == rows else sided.agg(*facts).first(), dup, first, last, t)
+
+
+def observed(seen: Observation) -> Row | None:
+    """What was seen; nothing where Spark found that no rows can come and left the pass out."""
+    try:
+        return Row(**seen.get)
+    except Py4JJavaError:
+        return None
+
+
+def observed_write(rides: DataFrame, zones: DataFrame, facts: list, write: Callable) -> Row:
+    """The facts of rides, observed while write(rides) writes them; write returns how many rows
+    there are then. Where the two don't agree the facts are counted anew."""
+    seen, sided = Observation("rides"), with_sides(rides, zones)
+    written = write(sided.observe(seen, *facts))
+    f = observed(seen)
+    return f if f and written in (None, f.rows) else sided.agg(*facts).first()
+
+
+def checks_of(f, dup: int, first, last, t: Thresholds) -> list[Check]:
+    """The rules over the facts' single row."""
     n = f.rows
     if not n:
         return [Check("hvfhv.file_readable", FAIL, detail="no rows", category="completeness")]

@@ -82,7 +82,7 @@ def waits_by_status(s, d):
     rows = life(s, d).select("hvfhs_license_num", "on_scene_status", F.col(kpis.WAIT).alias("v"))
     groups = life(s, d).select("hvfhs_license_num", "on_scene_status").distinct()
     by = ["hvfhs_license_num", "on_scene_status"]
-    found = groups.join(quantiles.by_counts(rows, [0.25, 0.5, 0.9], by), by, "left").fillna(0, ["n"])
+    found = groups.join(quantiles.by_rounds(rows, [0.25, 0.5, 0.9], by), by, "left").fillna(0, ["n"])
     return found.toDF("hvfhs_license_num", "on_scene_status", "q25", "q50", "q90", "n")
 
 

@@ -15,7 +15,7 @@ from datetime import UTC, datetime, timedelta
 from pathlib import Path
 from urllib.parse import urlencode
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import publish
@@ -334,13 +334,22 @@ def output_checks(found: dict, sizes, per_borough: list | None, mapped: int) ->
 
 
 def _run(r: Run, log) -> Place:
+    edition = publish.Edition(r.output, r.month, r.id)
+    try:
+        return _fill(r, edition, log)
+    except BaseException:
+        edition.discard()
+        raise
+
+
+def _fill(r: Run, edition: publish.Edition, log) -> Place:
+    """Writes the edition and publishes it."""
     started = time.time()
 
     def stage(name):
         r.timings[name] = round(time.time() - started - sum(r.timings.values()), 2)
         log.info("stage %s took %.1f s", name, r.timings[name])
 
-    edition = publish.Edition(r.output, r.month, r.id)
     staged = edition.folder
     trips, zones = get_trips(r), get_zones(r)
     shapes, weather, asked = get_shapes(r, zones), get_weather(r), get_complaints(r)
@@ -352,25 +361,35 @@ def _run(r: Run, log) -> Place:
     r.checks.append(quality.required_columns(trips.columns, tables.TRIP_COLUMNS, "hvfhv"))
     if r.checks[-1].status == FAIL:
         raise Blocked(r.checks[-1].detail)
-    life = lifecycle.with_lifecycle(trips).persist()
-    r.checks += quality.trip_checks(life, zones, r.first, r.last, r.thresholds)
-    gate = quality.gate(r.checks)
-    if not gate["publish"]:
-        raise Blocked(f"critical checks failed: {gate['blocking_failures']}")
-    stage("validate")
-
     placed = None
-    if asked is not None and shapes is not None and gate["publish_friction_kpi"]:
+    friction_open = not any(c.status == FAIL and c.scope == "friction" for c in r.checks)
+    if asked is not None and shapes is not None and friction_open:
         placed = place(r, asked[0], shapes, zones).persist()
         r.checks += friction.complaint_checks(placed, asked[1], r.first, r.last, COMPLAINT_TYPE, r.thresholds.min_311_mapping_coverage)
+    weather_open = not any(c.status == FAIL and c.scope == "weather" for c in r.checks)
+    stage("place")
+
+    # the journey is written to the edition at once, and all facts of the trips come out of that pass
+    j = enrich.journey(lifecycle.with_lifecycle(trips), zones, weather if weather_open else None, r.thresholds.light_rain_max_mm).persist()
+
+    def write(rides: DataFrame) -> int | None:
+        if r.chaos != "none":
+            return rides.write.format("noop").mode("overwrite").save()
+        at = str(staged / "ride_journey.parquet")
+        enrich.published(rides).write.option("compression", "zstd").parquet(at)
+        return r.spark.read.parquet(at).count()
+
+    facts = quality.observed_write(j, zones, [*quality.trip_facts(r.first, r.last, r.thresholds), *quality.population_facts()[1:]], write)
+    r.checks += quality.checks_of(facts, quality.repeats(j, quality.NATURAL_KEY)[1] if facts.rows else 0, r.first, r.last, r.thresholds)
     gate = quality.gate(r.checks)
-    j = enrich.journey(life, zones, weather if gate["publish_weather_analysis"] else None, r.thresholds.light_rain_max_mm).persist()
-    per_zone = friction.by_zone(placed, friction.pickups_by_zone(j), zones).persist() if placed is not None else None
-    sizes = quality.populations(j).first()
-    stage("model")
+    if not gate["publish"]:
+        raise Blocked(f"critical checks failed: {gate['blocking_failures']}")
+    stage("model and validate")
 
+    per_zone = friction.by_zone(placed, friction.pickups_by_zone(j), zones).persist() if placed is not None else None
     mapping = friction.mapping_summary(placed).first() if placed is not None else None
-    scene = quality.on_scene(life).first()
+    sizes = Row(**{k: facts[k] for k in ("rows", "kpi_population", "stage_population", "zone_population", "zone_attributable_rides", "weather_matched", "whole_minute")})
+    scene = Row(**{k: facts[k] for k in (*lifecycle.ON_SCENE, "observed_share")})
     found, zone_rows = figures(r, j, per_zone, mapping, scene.observed_share >= r.thresholds.min_on_scene_observed_share, gate)
     boroughs = friction.by_borough(per_zone).collect() if per_zone is not None else None
     r.checks += output_checks(found, sizes, boroughs, mapping.mapped if mapping else 0)
@@ -386,10 +405,7 @@ def _run(r: Run, log) -> Place:
     support = supporting(r, j, placed, gate)
     stage("kpis")
 
-    rows = enrich.published(j)
-    if r.chaos == "none":
-        rows.write.option("compression", "zstd").parquet(str(staged / "ride_journey.parquet"))
-    publish.small_csv(rows.orderBy("ride_id").limit(1000), staged / "ride_journey_sample.csv")
+    publish.small_csv(enrich.published(j).orderBy("ride_id").limit(1000), staged / "ride_journey_sample.csv")
     breakdown = friction.zone_breakdown(zone_rows, per_zone) if per_zone is not None else zone_rows
     publish.small_csv(breakdown.orderBy("pickup_zone_id"), staged / "zone_breakdown.csv")
     if placed is not None:
@@ -406,8 +422,8 @@ def _run(r: Run, log) -> Place:
         "month": r.month, "run_id": r.id, "gate": gate, "thresholds": r.thresholds.echo(), "decisions": decided, "on_scene": scene.asDict(), "checks": checks,
     })
     timed = {f"{c}_datetime": None for c in ("request", "on_scene", "pickup", "dropoff")}
-    prof = quality.profile(life, {**{c: since_epoch for c in timed}, **dict.fromkeys(["PULocationID", "DOLocationID", "trip_miles", "trip_time", "base_passenger_fare"])})
-    (staged / "profile.json").write_json({"columns": [p.asDict() for p in prof.collect()], "by_license": [p.asDict() for p in quality.license_profile(life).collect()]})
+    prof = quality.profile(j, {**{c: since_epoch for c in timed}, **dict.fromkeys(["PULocationID", "DOLocationID", "trip_miles", "trip_time", "base_passenger_fare"])})
+    (staged / "profile.json").write_json({"columns": [p.asDict() for p in prof.collect()], "by_license": [p.asDict() for p in quality.license_profile(j).collect()]})
     (staged / "evidence_table.md").write(report.markdown(r.month, r.mode, found, support, checks, gate, sizes.asDict(), decided))
     stage("write")
     (staged / "run_summary.json").write_json({
@@ -415,7 +431,7 @@ def _run(r: Run, log) -> Place:
         "stage_seconds": r.timings, "retries": r.retry.retried, "populations": sizes.asDict(), "gate": gate["status_counts"], "sources": r.manifests,
     })
     final = edition.publish()
-    for d in (life, j, zone_rows, placed, per_zone, shapes):
+    for d in (j, zone_rows, placed, per_zone, shapes):
         if d is not None:
             d.unpersist()
     return final

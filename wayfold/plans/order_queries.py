@@ -51,7 +51,7 @@ def ticket_view_counts(s, d):
 
 @query(VIEW + "SELECT category, count(delay_min) AS known, quantile_cont(delay_min, 0.5) AS median_delay FROM tv GROUP BY 1")
 def ticket_delays(s, d):
-    return quantiles.summary(ticket_views(s, d), ["category"], [F.count("delay_min").alias("known")], {"median_delay": ("delay_min", 0.5, None)}, orders.DAY)
+    return quantiles.summary(ticket_views(s, d), ["category"], [F.count("delay_min").alias("known")], {"median_delay": ("delay_min", 0.5, None)})
 
 
 @query(MORE + f"""SELECT CAST(place AS INTEGER) AS place, t.traffic_bucket, g.orders, g.late_rate FROM (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(PLACES))}) t(place,

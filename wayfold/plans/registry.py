@@ -536,7 +536,7 @@ def journey_metrics(s, d):
 @query(SIDES + "SELECT intervention_timing, count(*) AS orders, avg(late_flag) AS late_rate, quantile_cont(delay_min, 0.5) AS median_delay FROM jour GROUP BY 1")
 def intervention_timing(s, d):
     shares = [F.count("*").alias("orders"), F.avg("late_flag").alias("late_rate")]
-    return quantiles.summary(sides(s, d), ["intervention_timing"], shares, {"median_delay": ("delay_min", 0.5, None)}, orders.DAY)
+    return quantiles.summary(sides(s, d), ["intervention_timing"], shares, {"median_delay": ("delay_min", 0.5, None)})
 
 
 @query(SIDES + "SELECT reason, " + ", ".join(f"count(*) FILTER (intervention_type = '{t}') AS {t}" for t in "FO") + " FROM inter GROUP BY 1")
@@ -551,7 +551,7 @@ def restaurant_contribution(s, d):
     counts = [F.count("*").alias("orders"), F.sum("late_flag").alias("late"), F.avg("late_flag").alias("late_rate")]
     most = known.groupBy("restaurant_id").agg(*counts).orderBy(*order).limit(8).select("restaurant_id")
     listed = known.join(F.broadcast(most), "restaurant_id", "left_semi")  # eight ids
-    return quantiles.summary(listed, ["restaurant_id"], counts, {"median_delay": ("delay_min", 0.5, None)}, orders.DAY).orderBy(*order)
+    return quantiles.summary(listed, ["restaurant_id"], counts, {"median_delay": ("delay_min", 0.5, None)}).orderBy(*order)
 
 
 EVENTS = ["order_id", "event_time", "event_type", "actor", "source_system"]
@@ -636,7 +636,7 @@ def stale_updates(s, d):
 @query(ORDERS + "SELECT traffic_bucket, weather_bucket, quantile_cont(delay_min, 0.5) AS median_delay, quantile_cont(promise_min, 0.5) AS median_promise, quantile_cont(distance_km_estimate, 0.5) AS median_distance FROM valid GROUP BY 1, 2")
 def group_medians(s, d):
     medians = {f"median_{n}": (c, 0.5, None) for c, n in (("delay_min", "delay"), ("promise_min", "promise"), ("distance_km_estimate", "distance"))}
-    return quantiles.summary(valid(s, d), ["traffic_bucket", "weather_bucket"], [F.count("*").alias("n")], medians, orders.DAY).drop("n")
+    return quantiles.summary(valid(s, d), ["traffic_bucket", "weather_bucket"], [F.count("*").alias("n")], medians).drop("n")
 
 
 @query(ORDERS + "SELECT count(*) AS rows, count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers, count(DISTINCT restaurant_id) AS restaurants FROM ords WHERE customer_id IS NOT NULL")
@@ -647,7 +647,7 @@ def distinct_counts(s, d):
 @query(LIFE + "SELECT " + ", ".join(f"quantile_cont(request_to_pickup_min, {q}) AS q{str(q).replace('.', '')}" for q in (0.01, 0.1, 0.5, 0.9, 0.99, 0.999)) + " FROM life WHERE in_kpi_population")
 def notebook_quantiles(s, d):
     qs = [0.01, 0.1, 0.5, 0.9, 0.99, 0.999]
-    found = quantiles.by_counts(life(s, d).where("in_kpi_population").select(F.col(WAIT).alias("v")), qs)
+    found = quantiles.by_rounds(life(s, d).where("in_kpi_population").select(F.col(WAIT).alias("v")), qs)
     return found.drop("n").toDF(*[f"q{str(q).replace('.', '')}" for q in qs])
 
 

@@ -10,11 +10,12 @@ import zipfile
 from pathlib import Path
 from urllib.parse import urlsplit
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import publish
 from ..functions.expressions import haversine_km
-from ..operators import enrich, kpis, orders, quality
+from ..operators import enrich, kpis, lifecycle, orders, quality
 from ..sources import http, tables
 from ..storage import Place, work_folder
 from . import adapters as a
@@ -159,12 +160,45 @@ def sqlite_file(s, d):
     return tables.sqlite(s, str(at), "supplier", parts=3).selectExpr("k AS s_suppkey", "name AS s_name", "balance AS s_acctbal", "k % 3 = 0 AS third")
 
 
-@query("SELECT 1000 AS rows, true AS different, true AS ascending")
+def lines_as_files(s, d):
+    """The line items in order of their keys, as a table of several files."""
+    at = str(work_folder(s, "lines") / "lineitem")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = a.table(s, d, "lineitem").select(*keys)
+    lines.repartitionByRange(7, *keys).sortWithinPartitions(*keys).write.option("maxRecordsPerFile", 20_000).parquet(at)
+    return at
+
+
+@query("SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS ride_id, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem")
+def ride_ordinals(s, d):
+    """Places of rows in a table of several files."""
+    return tables.numbered(s, lines_as_files(s, d))
+
+
+@query("SELECT 0 AS first, count(*) - 1 AS last, count(*) AS different, count(*) AS both_reads FROM lineitem")
+def ordinals_of_rides(s, d):
+    """The rides' own numbering: no gap, and the same when files are read in other splits."""
+    at = lines_as_files(s, d)
+    once, again = (tables.numbered(s, at).repartition(k) for k in (3, 11))
+    both = once.join(again, once.columns).agg(F.count("*").alias("both_reads"))
+    one = once.agg(F.min("ride_id").cast("int").alias("first"), F.max("ride_id").alias("last"), F.countDistinct("ride_id").alias("different"))
+    return one.crossJoin(both)  # two single rows
+
+
+@query("SELECT CAST((SELECT count(*) // 2 FROM lineitem) AS BIGINT) AS rows, true AS different, true AS ascending, true AS again, true AS smallest")
 def exact_sample(s, d):
-    """Exactly as many rows as asked for, in the order of their ids."""
-    ids = a.table(s, d, "events").select(F.col("event_id").alias("ride_id"))
-    got = [r.ride_id for r in tables.sample(ids, 1000).collect()]
-    return s.createDataFrame([(len(got), len(set(got)) == len(got), got == sorted(got))], "rows int, different boolean, ascending boolean")
+    """Half of the rides: exactly as many as asked for, in the order of their ids, the same for
+    another partitioning, and those whose hashes are the smallest."""
+    rides = tables.numbered(s, lines_as_files(s, d)).select("ride_id")
+    n = rides.count() // 2
+    drawn, again = tables.sample(rides, n), tables.sample(rides.repartition(13), n).withColumnRenamed("ride_id", "other")
+    kept = drawn.withColumns({"p": F.spark_partition_id(), "m": F.monotonically_increasing_id()})
+    ascending = kept.withColumn("before", F.lag("ride_id").over(Window.partitionBy("p").orderBy("m"))).agg(F.coalesce(F.bool_and(F.col("ride_id") > F.col("before")), F.lit(True)).alias("ascending"))
+    one = drawn.agg(F.count("*").alias("rows"), (F.countDistinct("ride_id") == F.count("*")).alias("different"))
+    other = drawn.join(again, F.col("ride_id") == F.col("other"), "full").agg(F.bool_and(F.col("ride_id").isNotNull() & F.col("other").isNotNull()).alias("again"))
+    hashed = rides.join(again, F.col("ride_id") == F.col("other"), "left").withColumn("h", F.xxhash64(F.lit(42), "ride_id"))
+    ends = hashed.agg((F.max(F.when(F.col("other").isNotNull(), F.col("h"))) < F.min(F.when(F.col("other").isNull(), F.col("h")))).alias("smallest"))
+    return one.crossJoin(ascending).crossJoin(other).crossJoin(ends)  # single rows
 
 
 @query("SELECT n_nationkey, round(2 * 6371.0 * asin(sqrt(pow(sin(radians(n_nationkey - 10.0) / 2), 2) + cos(radians(10.0)) * cos(radians(CAST(n_nationkey AS DOUBLE))) * pow(sin(radians(n_regionkey - 1.0) / 2), 2))), 6) AS km FROM nation")
@@ -176,18 +210,25 @@ def grid_distance(s, d):
 # ---- sinks ----------------------------------------------------------------------------------
 
 
-@query(LIFE + "SELECT count(*) AS rows, 33 AS columns, count(*) FILTER (in_kpi_population) AS kpi_population, CAST(sum(CASE WHEN in_kpi_population THEN date_diff('microsecond', request_datetime, pickup_datetime) // 60000000 END) AS BIGINT) AS whole_minutes FROM life")
+def numbered_journey(s, d):
+    """Rides as a raw table of several files, numbered by their places, on their way to a journey."""
+    at = str(work_folder(s, "rides") / "trips")
+    a.rides(s, d).write.option("maxRecordsPerFile", 20_000).parquet(at)
+    return enrich.journey(lifecycle.with_lifecycle(tables.numbered(s, at)), a.zones(s, d), a.weather(s, d), T.light_rain_max_mm)
+
+
+@query(LIFE + """SELECT count(*) AS rows, 33 AS columns, count(*) FILTER (in_kpi_population) AS kpi_population, count(*) AS ride_ids, count(*) - 1 AS last_ride_id,
+  CAST(sum(CASE WHEN in_kpi_population THEN date_diff('microsecond', request_datetime, pickup_datetime) // 60000000 END) AS BIGINT) AS whole_minutes FROM life""")
 def published_journey(s, d):
-    """A month's rides as they are published: zstd Parquet in an edition that replaces the one before."""
+    """A month's rides as they are published: zstd Parquet in an edition that follows the one before."""
     output = work_folder(s, "month")
     for run in ("first", "second"):  # a rerun replaces and doesn't append
         edition = publish.Edition(output, a.MONTH, run)
-        rides = journey(s, d).withColumn("ride_id", F.monotonically_increasing_id())
-        enrich.published(rides).write.option("compression", "zstd").parquet(str(edition.folder / "ride_journey.parquet"))
-        final = edition.publish()
-    back = s.read.parquet(str(final / "ride_journey.parquet"))
+        enrich.published(numbered_journey(s, d)).write.option("compression", "zstd").parquet(str(edition.folder / "ride_journey.parquet"))
+        edition.publish()
+    back = s.read.parquet(str(publish.current(output, a.MONTH) / "ride_journey.parquet"))
     whole = F.sum(F.when(F.col("in_kpi_population"), F.expr("timestampdiff(MICROSECOND, request_datetime, pickup_datetime) div 60000000")))
-    return back.agg(F.count("*").alias("rows"), F.lit(len(back.columns)).alias("columns"), F.count_if("in_kpi_population").alias("kpi_population"), whole.alias("whole_minutes"))
+    return back.agg(F.count("*").alias("rows"), F.lit(len(back.columns)).alias("columns"), F.count_if("in_kpi_population").alias("kpi_population"), F.countDistinct("ride_id").alias("ride_ids"), F.max("ride_id").alias("last_ride_id"), whole.alias("whole_minutes"))
 
 
 @query(ZONES + "SELECT CAST(pickup_zone_id AS BIGINT) AS pickup_zone_id, rides, ranked FROM zk")

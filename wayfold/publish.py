@@ -1,10 +1,12 @@
-"""All-or-nothing replacement of a month's folder, and the files in it."""
+"""Editions of a month by a log of manifests, and the files in them."""
 
 from __future__ import annotations
 
 import csv
 import io
+import json
 import logging
+import re
 import time
 from pathlib import Path
 
@@ -16,42 +18,71 @@ log = logging.getLogger("wayfold")
 
 
 class Edition:
-    """A month's folder in the making, beside the one that readers see.
-
-    Both lie in one file system, so putting one in the other's place is two renames,
-    which are undone in reverse if one of them fails.
+    """A month's files in the making; published by one manifest.
+
+    `<month>/editions/<name>` is written once and never changed or renamed. `<month>/log` holds a
+    manifest for each edition that was published, numbered, created only if that number is free,
+    and never changed. Readers follow the newest manifest that they can read whole, so between
+    any two steps of a writer they see one whole edition, also on object stores, where a rename
+    is a copy. A writer that dies leaves a folder without a manifest, or a manifest that isn't
+    whole; both are passed over, and tidied away later.
     """
 
+    #: Editions that stay for readers that began with them; hours until a folder without a manifest counts as left behind.
+    KEPT, STALE_H = 2, 24.0
+
     def __init__(self, output: Place, month: str, run_id: str):
-        mark = f".staging_{month}_"
-        for name in output.mkdir().names():
-            if name.startswith(mark):
-                log.warning("a crashed run left %s; it goes", name)
-                (output / name).delete()
-        self.final, self.earlier = output / month, output / f"{month}.previous"
-        self.folder = (output / f"{mark}{run_id}").mkdir()
+        self.month, self.name = output / month, run_id
+        self.folder = self.month / "editions" / run_id
+        if self.folder.exists():
+            raise FileExistsError(f"{self.folder} is there already")
+        self.folder.mkdir()
 
     def publish(self) -> Place:
-        self.earlier.delete()
-        moves = [(self.folder, self.final)]
-        if self.final.exists():
-            moves.insert(0, (self.final, self.earlier))
-        in_order(moves)
-        self.earlier.delete()
-        return self.final
-
-
-def in_order(moves: list[tuple[Place, Place]]) -> None:
-    """All renames or none."""
-    undo = []
-    for source, target in moves:
+        """Makes this the edition that readers see; the last one to publish counts."""
+        held = {"edition": self.name, "files": self.folder.sizes()}
+        number = max(numbers(self.month), default=0) + 1
+        while not (self.month / "log" / f"{number:08d}.json").create(json.dumps(held | {"number": number})):
+            number += 1
         try:
-            source.move(target)
-        except Exception:
-            for back, to in reversed(undo):
-                back.move(to)
-            raise
-        undo.append((target, source))
+            self.tidy()
+        except Exception as e:  # it is published all the same
+            log.warning("older editions of %s stay: %s", self.month, e)
+        return self.folder
+
+    def discard(self) -> None:
+        self.folder.delete()
+
+    def tidy(self) -> None:
+        """Removes manifests and folders of editions that are no longer kept, manifests first."""
+        known = [(n, m) for n in numbers(self.month) if (m := manifest(self.month, n))]
+        for n, m in known[: -self.KEPT]:
+            (self.month / "log" / f"{n:08d}.json").delete()
+        kept = {m["edition"] for _, m in known[-self.KEPT :]}
+        dropped = {m["edition"] for _, m in known[: -self.KEPT]} - kept
+        for name in (self.month / "editions").names():
+            folder = self.month / "editions" / name
+            if name in dropped or (name not in kept and folder.hours_old() >= self.STALE_H):
+                folder.delete()
+
+
+def numbers(month: Place) -> list[int]:
+    return sorted(int(n.removesuffix(".json")) for n in (month / "log").names() if re.fullmatch(r"\d{8,}\.json", n))
+
+
+def manifest(month: Place, number: int) -> dict | None:
+    """A manifest, or None where it isn't whole."""
+    found = (month / "log" / f"{number:08d}.json").read_json()
+    return found if isinstance(found, dict) and "edition" in found else None
+
+
+def current(output: Place, month: str) -> Place | None:
+    """The folder of the edition that counts, or None."""
+    at = output / month
+    for n in reversed(numbers(at)):
+        if found := manifest(at, n):
+            return at / "editions" / found["edition"]
+    return None
 
 
 def csv_text(rows: list[dict]) -> str:

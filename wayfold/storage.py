@@ -5,13 +5,21 @@ from __future__ import annotations
 import json
 import os
 import posixpath
+import re
 import tempfile
+import time
 import uuid
 from pathlib import Path
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import SparkSession
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process."""
+    return bool(re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master))
+
+
 class Place:
     """A file or folder by its address; a plain path is one of the default file system's, or, in
     local mode, of this machine."""
@@ -19,7 +27,7 @@ class Place:
     def __init__(self, spark: SparkSession, address: str | os.PathLike):
         self.spark, self.jvm = spark, spark.sparkContext._jvm
         text = os.fspath(address)
-        if "://" not in text and not text.startswith("file:") and spark.sparkContext.master.startswith("local"):
+        if "://" not in text and not text.startswith("file:") and is_local(spark):
             text = Path(text).resolve().as_uri()
         self.path = self.jvm.org.apache.hadoop.fs.Path(text)
         fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -78,6 +86,43 @@ class Place:
         finally:
             stream.close()
 
+    def create(self, content: str) -> bool:
+        """Writes a file that isn't there, whole; False if it is there, whoever wrote it."""
+        self.fs.mkdirs(self.path.getParent())
+        if urlsplit(self.uri).scheme == "file":  # a link takes a free name or none
+            to = urlsplit(self.uri).path
+            own = f"{posixpath.dirname(unquote(to))}/.{uuid.uuid4().hex}"
+            Path(own).write_text(content)
+            try:
+                os.link(own, unquote(to))
+            except FileExistsError:
+                return False
+            finally:
+                os.unlink(own)
+            return True
+        try:
+            stream = self.fs.create(self.path, False)
+        except Exception:
+            if self.exists():
+                return False
+            raise
+        try:
+            stream.write(content.encode())
+        finally:
+            stream.close()
+        return True
+
+    def sizes(self) -> dict[str, int]:
+        """Bytes of all files below, by their paths from here."""
+        found, files = {}, self.fs.listFiles(self.path, True)
+        while files.hasNext():
+            f = files.next()
+            found[f.getPath().toString()[len(self.uri) :].lstrip("/")] = f.getLen()
+        return found
+
+    def hours_old(self) -> float:
+        return (time.time() * 1000 - self.fs.getFileStatus(self.path).getModificationTime()) / 3.6e6
+
     def put(self, local: Path) -> None:
         """Copies a file of the driver here: under a side name first, so that a name means a whole file."""
         self.fs.mkdirs(self.path.getParent())
@@ -108,7 +153,7 @@ def work_folder(spark: SparkSession, name: str) -> Place:
     """A new folder under spark.checkpoint.dir; where that is unset, in local mode only, under this machine's temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError("spark.checkpoint.dir isn't set: executors and driver need a shared folder")
         base = tempfile.mkdtemp(prefix="wayfold-")
     return (Place(spark, base) / f"{name}-{uuid.uuid4().hex}").mkdir()
