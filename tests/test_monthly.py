@@ -133,7 +133,7 @@ def make(spark, server, tmp_path, **kw):
     feeds = monthly.Feeds(f"{server.url}/trips_{{month}}.parquet", f"{server.url}/zones.csv", f"{server.url}/zones.zip", f"{server.url}/weather", f"{server.url}/complaints", 25)
     return monthly.Run(
         spark, kw.pop("month", "2024-01"), feeds, tmp_path / "data", tmp_path / "out", tmp_path / "logs", Thresholds(min_rides_per_zone=5),
-        retry=web.Retry(base=0.01, sleep=lambda s: None), cell=4.0, **kw
+        retry=web.Retry(base=0.01, sleep=lambda s: None), **kw
     )
 
 

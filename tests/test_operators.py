@@ -5,11 +5,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wayfold.config import Thresholds, month_bounds
 from wayfold.functions import expressions as x
-from wayfold.functions import quantiles
+from wayfold.functions import quantiles, segments
 from wayfold.operators import enrich, friction, geo, kpis, lifecycle, orders, quality
 
 RIDE = "ride_id long, hvfhs_license_num string, request_datetime timestamp_ntz, on_scene_datetime timestamp_ntz, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, PULocationID int, DOLocationID int, trip_miles double, trip_time long, base_passenger_fare double"
@@ -173,11 +174,12 @@ def square(a, b):
     return [(a, a), (a, b), (b, b), (b, a)]
 
 
-@pytest.mark.parametrize("cell", [0.7, 3.0, 100.0])
-def test_points_in_donut_and_overlap(spark, cell):
+@pytest.mark.parametrize("cells", [1, 40, 256])
+def test_points_in_donut_and_overlap(spark, monkeypatch, cells):
+    monkeypatch.setattr(geo, "CELLS", cells)
     p = spark.createDataFrame([(5, [square(0.0, 10.0), square(4.0, 6.0)]), (9, [square(0.0, 3.0)])], "zone_id int, rings array<array<struct<x: double, y: double>>>")
     pts = spark.createDataFrame([("a", 1.0, 1.0), ("b", 5.0, 5.0), ("c", 8.0, 8.0), ("d", None, 1.0), ("e", float("nan"), 1.0)], "point_id string, x double, y double")
-    got = {r.point_id: (r.zone_id, r.ambiguous, r.mapping) for r in geo.mapping(geo.locate(pts, p, cell)).collect()}
+    got = {r.point_id: (r.zone_id, r.ambiguous, r.mapping) for r in geo.mapping(geo.locate(pts, p)).collect()}
     assert got == {"a": (5, True, "ambiguous_lowest_id"), "b": (None, False, "outside_all_zones"), "c": (5, False, "mapped"), "d": (None, False, "no_coordinates"), "e": (None, False, "no_coordinates")}
 
 
@@ -257,12 +259,93 @@ def test_order_helpers(spark):
     assert tuple(orders.disagreement(a, b, "k", "v").first()) == (3, 2)
 
 
+def ring(r, n, x, y, low, high):
+    """A star with n corners around (x, y)."""
+    turn = np.sort(r.uniform(0, 2 * math.pi, n))
+    far = r.uniform(low, high, n)
+    return [(float(x + f * math.cos(t)), float(y + f * math.sin(t))) for t, f in zip(turn, far, strict=True)]
+
+
+def test_covering_decides_as_all_sides_would(spark):
+    """Stars with holes, tiny and huge, overlapping and far apart, and points on corners and edges of cells."""
+    r = np.random.default_rng(8)
+    zones = [(1, [ring(r, 60, 0, 0, 3, 5), ring(r, 9, 0, 0, 0.5, 1)]), (2, [ring(r, 7, 2, 1, 1, 4)]), (3, [ring(r, 300, 1e6, -2e6, 900, 1000)]), (4, [ring(r, 5, 0.1, 0.1, 1e-6, 2e-6)]), (5, [ring(r, 40, -3, 2, 0.01, 6), ring(r, 30, 4, 4, 1, 2)]), (6, [[(1.0, 1.0), (1.0, 1.0), (1.0, 1.0)]])]
+    polygons = spark.createDataFrame([(i, [[{"x": x, "y": y} for x, y in g] for g in rings]) for i, rings in zones], "zone_id int, rings array<array<struct<x: double, y: double>>>")
+    pts = [tuple(map(float, p)) for p in r.uniform(-7, 7, (1500, 2))] + [tuple(map(float, p)) for p in r.uniform(-1100, 1100, (500, 2)) + [1e6, -2e6]]
+    pts += [(float(x), float(y)) for x in np.arange(-4, 4.5, 0.5) for y in np.arange(-4, 4.5, 0.5)] + [p for _, rings in zones for g in rings for p in g[:20]] + [(0.1, 0.1), (1e300, 5.0), (float("inf"), 0.0), (float("nan"), 1.0), (None, 2.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i int, x double, y double")
+
+    def inside(x, y, rings):
+        crossed = 0
+        for g in rings:
+            for (xa, ya), (xb, yb) in zip(g, [g[-1], *g[:-1]], strict=True):
+                crossed += (ya > y) != (yb > y) and x < xa + (xb - xa) * (y - ya) / (yb - ya)
+        return crossed % 2 == 1
+
+    want = {}
+    for i, (x, y) in enumerate(pts):
+        held = [] if x is None or math.isnan(x) else [z for z, rings in zones if inside(x, y, rings)]
+        want[i] = (min(held, default=None), len(held) > 1)
+    assert {p.i: (p.zone_id, p.ambiguous) for p in geo.locate(points, polygons).collect()} == want
+    cells = geo.covering(geo.edges(polygons)).collect()
+    assert max(sum(c.zone_id == z for c in cells) for z, _ in zones) < 4 * geo.CELLS
+    found = geo.lookups(points, polygons).first()
+    assert found.places == found.by_cell + found.by_sides and found.share_by_sides < 0.6
+    assert geo.locate(points, polygons.limit(0)).where("zone_id is not null").count() == 0
+
+
 def test_pings(spark):
     e = spark.createDataFrame([("o", dt.datetime(2024, 1, 1, 0, m), 40.0 + m / 10, -74.0, m) for m in (0, 1, 5)], "k string, t timestamp_ntz, lat double, lon double, i int")
     got = orders.pings(e, "k", "t", "i").orderBy("t").collect()
     assert [r.gap_min for r in got] == [None, 1.0, 4.0] and [r.jump for r in got] == [False, False, True]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_segments_give_what_one_window_gives(spark, kind):
+    """Half of all rows under one key, one time repeated a thousand times, null keys and times."""
+    r = np.random.default_rng(6)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(None if i % 11 == 0 else 0 if i % 2 else int(i % 40), None if i % 13 == 0 else start + dt.timedelta(seconds=int(r.integers(0, 9000))), i) for i in range(8000)]
+    rows += [(0, start + dt.timedelta(seconds=500), 8000 + i) for i in range(1000)]
+    df = spark.createDataFrame(rows, f"k int, t {kind}, i int").repartition(5)
+    w = Window.partitionBy("k").orderBy("t", "i")
+    want = sorted(map(tuple, df.withColumn("b", F.lag(F.struct("i")).over(w)["i"]).select("i", "b").collect()))
+    last = Window.partitionBy("k").orderBy(F.asc_nulls_last("t"), "i")
+    places = sorted(map(tuple, df.withColumn("p", F.row_number().over(last)).select("i", "p").collect()))
+    for most in (100, 700, 10**6):
+        assert sorted(map(tuple, segments.lagged(df, "k", ["t", "i"], ["i"], "x", most).select("i", "x.i").collect())) == want
+        assert sorted(map(tuple, segments.placed(df, "k", ["t", "i"], "p", most).select("i", "p").collect())) == places
+    assert segments.lagged(df.limit(0), "k", ["t", "i"], ["i"], "x", 1).count() == 0
+
+
+def test_no_task_gets_a_hot_key(spark, monkeypatch):
+    """Half of all events belong to one order: tasks of the window stay within twice the median."""
+    n = 40_000
+    df = spark.range(n).select(F.expr("if(id % 2 = 0, -1, id % 997)").alias("k"), F.expr("timestampadd(SECOND, cast(id * 7919 % 40000 as int), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("t"), F.col("id").alias("i"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        sizes = lambda d: sorted(r["count"] for r in d.groupBy(F.spark_partition_id()).agg(F.count("*").alias("count"), F.max("x")).collect())
+        plain = sizes(df.withColumn("x", F.lag("i").over(Window.partitionBy("k").orderBy("t", "i"))))
+        cut = sizes(segments.lagged(df, "k", ["t", "i"], ["i"], "x", 400))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sum(cut) == n and plain[-1] > 4 * np.median(plain) and cut[-1] < 2 * np.median(cut)
+
+
+def test_levels(spark):
+    z = spark.createDataFrame([(1, "A", 10, 2), (2, "A", 90, 1), (3, None, 5, 4), (4, "B", 0, 1)], "zone_id int, borough string, hvfhv_pickups long, complaints_passenger long")
+    got = {(r.level, r.borough, r.zone_id): (r.complaints_passenger, r.hvfhv_pickups, r.rate_per_100k) for r in friction.levels(z, {"borough": 5, "zone": 10}).collect()}
+    assert got == {("city", None, None): (8, 105, pytest.approx(8e5 / 105)), ("borough", "A", None): (3, 100, 3000.0), ("borough", None, None): (4, 5, 80000.0), ("zone", "A", 1): (2, 10, 20000.0), ("zone", "A", 2): (1, 90, pytest.approx(1e5 / 90))}
+    waits = spark.createDataFrame([("A", 4.0), (None, 7.0)], "pickup_borough string, p90_min double")
+    both = {(r.level, r.borough): r.p90_min for r in friction.kpi5(z, waits, 5).collect()}
+    assert both == {("city", None): None, ("borough", "A"): 4.0, ("borough", None): 7.0}
+    plan = friction.kpi5(z, waits, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("hvfhv_pickups#") and plan.count("Expand") == 1 and "Union" not in plan  # one aggregate of the zones
+
+
 def test_classification(spark):
     d = spark.createDataFrame([("ready",), ("ready ",), ("READY",), ("hold",), (None,)], "s string")
     got = {r.value: r.decision for r in quality.classify(d, "s", ["ready"], ["hold"]).collect()}

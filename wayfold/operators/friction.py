@@ -43,19 +43,25 @@ def by_borough(per_zone: DataFrame) -> DataFrame:
     return per_zone.groupBy("borough").agg(*sums).withColumn("rate_per_100k", x.per_100k("complaints_passenger", "hvfhv_pickups"))
 
 
-def citywide(per_borough: DataFrame) -> DataFrame:
-    one = per_borough.agg(F.sum("complaints_passenger").alias("complaints_passenger"), F.sum("hvfhv_pickups").alias("hvfhv_pickups"))
-    return one.withColumn("rate_per_100k", x.per_100k("complaints_passenger", "hvfhv_pickups"))
+def levels(per_zone: DataFrame, minimum: dict[str, int]) -> DataFrame:
+    """level (city, borough, zone), borough, zone_id, complaints_passenger, hvfhv_pickups and the
+    rate, in one aggregate of the zones: boroughs and zones with the level's least pickups, the
+    city with all of them. What tells an unknown borough from a level without one is the
+    grouping's own number."""
+    ids = F.grouping_id()
+    sums = [F.sum(c).alias(c) for c in ("complaints_passenger", "hvfhv_pickups")]
+    up = per_zone.rollup("borough", "zone_id").agg(*sums, F.when(ids == 3, "city").when(ids == 1, "borough").otherwise("zone").alias("level"))
+    least = F.coalesce(*[F.when(F.col("level") == k, n) for k, n in minimum.items()], F.lit(0))
+    kept = up.where(F.col("hvfhv_pickups") >= least).withColumn("rate_per_100k", x.per_100k("complaints_passenger", "hvfhv_pickups"))
+    return kept.select("level", "borough", "zone_id", "complaints_passenger", "hvfhv_pickups", "rate_per_100k")
 
 
 def kpi5(per_zone: DataFrame, borough_waits: DataFrame, min_rides: int) -> DataFrame:
     """Boroughs with enough pickups, beside the wait's p90 there; the city counts all boroughs."""
-    b = by_borough(per_zone)
-    shown = b.where(F.col("hvfhv_pickups") >= min_rides).join(borough_waits.select(F.col("pickup_borough").alias("_b"), "p90_min"), F.col("borough").eqNullSafe(F.col("_b")), "left")
-    cols = ["level", "borough", "complaints_passenger", "hvfhv_pickups", "rate_per_100k", "p90_min"]
-    return shown.withColumn("level", F.lit("borough")).select(*cols).union(citywide(b).select(
-        F.lit("city"), F.lit(None).cast("string"), "complaints_passenger", "hvfhv_pickups", "rate_per_100k", F.lit(None).cast("double"),
-    ))
+    up = levels(per_zone, {"borough": min_rides}).where("level <> 'zone'")
+    w = borough_waits.select(F.col("pickup_borough").alias("_b"), "p90_min")
+    out = up.join(w, F.col("borough").eqNullSafe(F.col("_b")) & (F.col("level") == "borough"), "left")
+    return out.select("level", "borough", "complaints_passenger", "hvfhv_pickups", "rate_per_100k", "p90_min")
 
 
 def zone_breakdown(zone_kpis: DataFrame, per_zone: DataFrame) -> DataFrame:

@@ -52,6 +52,17 @@ def by_zone(rides: DataFrame, min_rides: int) -> DataFrame:
     return z.withColumn("ranked", F.col("rides") >= min_rides)
 
 
+def by_level(rides: DataFrame) -> DataFrame:
+    """rides, median_min and p90_min of the city, its boroughs and its zones: one selection over
+    rows that stand for each of their levels."""
+    no = F.lit(None)
+    level = lambda name, b, z: F.struct(F.lit(name).alias("level"), b.cast("string").alias("borough"), z.cast("int").alias("zone_id"))
+    b, z = F.col("pickup_borough"), F.col("pickup_zone_id")
+    each = rides.where("in_zone_population").select(F.explode(F.array(level("city", no, no), level("borough", b, no), level("zone", b, z))).alias("x"), F.col(WAIT).alias("v"))
+    out = quantiles.by_rounds(each.select("x.*", "v"), [0.5, 0.9], ["level", "borough", "zone_id"])
+    return out.select("level", "borough", "zone_id", F.col("n").alias("rides"), F.col("q0").alias("median_min"), F.col("q1").alias("p90_min"))
+
+
 def zone_extremes(zones: DataFrame, n: int = 5) -> DataFrame:
     """The best and worst ranked zones by rounded p90; ties by zone id, up for best, down for worst."""
     z = zones.where("ranked").withColumn("p90", x.round2("p90_min"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
-from ..functions import quantiles
+from ..functions import quantiles, segments
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -136,19 +136,20 @@ def first_times(events: DataFrame, keys: list[str], kind: str, at: str, kinds: d
     return out.select(*keys, *[F.col(k).alias(v) for k, v in kinds.items()])
 
 
-def pings(events: DataFrame, key: str, at: str, tie: str) -> DataFrame:
-    """Minutes and kilometres since the same key's last ping; jumps over 20 km are implausible."""
-    w = Window.partitionBy(key).orderBy(at, tie)
-    out = events.withColumns({"gap_min": x.minutes(F.col(at), F.lag(at).over(w)), "km": x.flat_km(F.col("lat"), F.col("lon"), F.lag("lat").over(w), F.lag("lon").over(w))})
-    return out.withColumn("jump", F.coalesce(F.col("km") > 20, F.lit(False)))
+def pings(events: DataFrame, key: str, at: str, tie: str, most: int | None = None) -> DataFrame:
+    """Minutes and kilometres since the same key's last ping; jumps over 20 km are implausible.
+    Keys with more than `most` pings are worked on in segments of time."""
+    out = segments.lagged(events, key, [at, tie], [at, "lat", "lon"], "_last", most)
+    out = out.withColumns({"gap_min": x.minutes(F.col(at), F.col(f"_last.{at}")), "km": x.flat_km(F.col("lat"), F.col("lon"), F.col("_last.lat"), F.col("_last.lon"))})
+    return out.withColumn("jump", F.coalesce(F.col("km") > 20, F.lit(False))).drop("_last")
 
 
-def timeline(*sources: DataFrame) -> DataFrame:
+def timeline(*sources: DataFrame, most: int | None = None) -> DataFrame:
     """order_id, event_time, event_type, actor, source_system of all orders, with each event's
-    position in its order: by time, unknown times last."""
+    position in its order: by time, unknown times last. Orders with more than `most` events are
+    worked on in segments of time."""
     every = reduce(DataFrame.unionByName, sources)
-    w = Window.partitionBy("order_id").orderBy(F.asc_nulls_last("event_time"), "event_type", "source_system", "actor")
-    return every.withColumn("position", F.row_number().over(w))
+    return segments.placed(every, "order_id", ["event_time", "event_type", "source_system", "actor"], "position", most)
 
 
 def durations(orders: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def point_in_polygon_repeated(s, d):
     """Four places under one id, and a fifth of the rows twice."""
     p = a.points(s, d)
     rows = p.union(p.where("point_id % 5 = 0")).withColumn("point_id", F.expr("point_id div 4"))
-    return geo.mapping(geo.locate(rows, a.polygons(s), cell=0.25)).select("point_id", "zone_id", "ambiguous", "mapping")
+    return geo.mapping(geo.locate(rows, a.polygons(s))).select("point_id", "zone_id", "ambiguous", "mapping")
 
 
 # ---- complaints -----------------------------------------------------------------------------
@@ -34,7 +34,7 @@ COMPLAINTS = POINTS[:-1] + f""", {a.COMPLAINT_ROWS_SQL}, z AS (SELECT *, CASE zo
 
 
 def complaints(s, d):
-    placed = geo.mapping(geo.locate(friction.categorised(a.complaint_rows(s, d)), a.polygons(s), cell=0.25))
+    placed = geo.mapping(geo.locate(friction.categorised(a.complaint_rows(s, d)), a.polygons(s)))
     return placed.withColumn("zone_borough", F.expr("case zone_id when 5 then 'North' when 9 then 'South' end"))
 
 

@@ -81,7 +81,6 @@ class Run:
     refresh_weather: bool = False
     refresh_311: bool = False
     retry: http.Retry = field(default_factory=http.Retry)
-    cell: float = 20_000.0
 
     def __post_init__(self):
         self.id = f"{datetime.now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
@@ -232,7 +231,7 @@ def from_file(r: Run, folder: Place, where: str, at: Place) -> tuple[DataFrame,
 
 
 def place(r: Run, complaints: DataFrame, shapes: DataFrame, zones: DataFrame) -> DataFrame:
-    at = geo.mapping(geo.locate(friction.categorised(complaints), shapes, r.cell))
+    at = geo.mapping(geo.locate(friction.categorised(complaints), shapes))
     z = zones.select(F.col("location_id").alias("zone_id"), "zone", F.col("borough").alias("zone_borough"))
     return at.join(z, "zone_id", "left")
 
@@ -270,7 +269,7 @@ def figures(r: Run, j: DataFrame, per_zone: DataFrame | None, mapping, stages: b
     if per_zone is not None and gate["publish_friction_kpi"]:
         waits = kpis.grouped(j, ["pickup_borough"], F.col("in_zone_population"), t.min_rides_per_zone)
         parts = friction.kpi5(per_zone, waits, t.min_rides_per_zone).collect()
-        c = next(p for p in parts if p.level == "city")
+        c = next(p for p in parts if p.level == "city")  # there are rides, so there is a city
         shown = {p.borough: {
             "passenger_complaints": p.complaints_passenger, "hvfhv_pickups": p.hvfhv_pickups, "rate_per_100k": rounded(p.rate_per_100k),
             "p90_request_to_pickup_min": rounded(p.p90_min),

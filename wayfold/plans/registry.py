@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Thresholds
 from ..functions import expressions as x
-from ..functions import quantiles
+from ..functions import quantiles, segments
 from ..operators import enrich, friction, geo, kpis, lifecycle, orders, quality
 from . import adapters as a
 
@@ -324,6 +324,22 @@ def kpi_complaint_rate(s, d):
     return friction.kpi5(per_zone(s, d), waits, T.min_rides_per_zone)
 
 
+@query(f"""WITH {PICKUPS}, up AS (SELECT CASE WHEN grouping(borough) = 1 THEN 'city' WHEN grouping(zone_id) = 1 THEN 'borough' ELSE 'zone' END AS level, borough, zone_id,
+    CAST(sum(complaints_passenger) AS BIGINT) AS complaints_passenger, CAST(sum(hvfhv_pickups) AS BIGINT) AS hvfhv_pickups FROM pzz GROUP BY ROLLUP (borough, zone_id)),
+  w AS (SELECT 'city' AS level, NULL AS borough, NULL AS zone_id, count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min FROM journey WHERE in_zone_population
+    UNION ALL SELECT 'borough', pickup_borough, NULL, count(*), {Q(0.5)}, {Q(0.9)} FROM journey WHERE in_zone_population GROUP BY pickup_borough
+    UNION ALL SELECT 'zone', pickup_borough, PULocationID, count(*), {Q(0.5)}, {Q(0.9)} FROM journey WHERE in_zone_population GROUP BY pickup_borough, PULocationID)
+  SELECT up.level, up.borough, up.zone_id, complaints_passenger, hvfhv_pickups, complaints_passenger * 100000.0::DOUBLE / hvfhv_pickups AS rate_per_100k, rides, median_min, p90_min
+  FROM up LEFT JOIN w ON up.level = w.level AND up.borough IS NOT DISTINCT FROM w.borough AND up.zone_id IS NOT DISTINCT FROM w.zone_id
+  WHERE up.level = 'city' OR hvfhv_pickups >= CASE up.level WHEN 'borough' THEN 50 ELSE 20 END""")
+def kpi_levels(s, d):
+    """Complaint rates and waits of the city, boroughs and zones, each with its own threshold."""
+    up = friction.levels(per_zone(s, d), {"borough": 50, "zone": 20})
+    w = kpis.by_level(journey(s, d)).select(*[F.col(c).alias(f"_{c}") for c in ("level", "borough", "zone_id")], "rides", "median_min", "p90_min")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("level", "borough", "zone_id")]
+    return up.join(w, same, "left").drop("_level", "_borough", "_zone_id")
+
+
 @query(f"""WITH {PICKUPS}, zk AS (SELECT PULocationID AS pickup_zone_id, pickup_zone, pickup_borough, count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min, count(*) >= 20 AS ranked FROM journey WHERE in_zone_population GROUP BY 1, 2, 3)
   SELECT zk.*, coalesce(hvfhv_pickups, 0) AS hvfhv_pickups, {', '.join(f'coalesce({c}, 0) AS {c}' for c in friction.COUNTERS)}, CASE WHEN hvfhv_pickups > 0 THEN coalesce(complaints_passenger, 0) * 100000.0::DOUBLE / hvfhv_pickups END AS rate_per_100k FROM zk LEFT JOIN pz ON pickup_zone_id = zone_id""")
 def zone_breakdown(s, d):
@@ -342,7 +358,7 @@ POINTS = """WITH p AS (SELECT vec_id AS point_id, CAST(embedding[1] AS DOUBLE) A
 
 
 def located(s, d):
-    return geo.mapping(geo.locate(a.points(s, d), a.polygons(s), cell=0.25))
+    return geo.mapping(geo.locate(a.points(s, d), a.polygons(s)))
 
 
 @query(POINTS + "SELECT * FROM m")
@@ -350,6 +366,15 @@ def point_in_polygon(s, d):
     return located(s, d).select("point_id", "zone_id", "ambiguous", "mapping")
 
 
+@query(f"""{POINTS} SELECT CAST(count(*) FILTER (x > -0.25 AND x < 0.25 AND y > -0.25 AND y < 0.25) > 0 AS BOOLEAN) AS some, true AS most_by_cell,
+  (SELECT count(*) FROM (SELECT DISTINCT x, y FROM p SEMI JOIN h ON p.point_id = h.point_id)) AS inside FROM p""")
+def polygon_lookups(s, d):
+    """How places were decided: most of those that a zone holds by a cell alone."""
+    r = geo.lookups(a.points(s, d), a.polygons(s))
+    inside = located(s, d).where("zone_id is not null").select("x", "y").distinct().agg(F.count("*").alias("inside"))
+    return r.select((F.col("places") > 0).alias("some"), (F.col("share_by_sides") < 0.5).alias("most_by_cell")).crossJoin(inside)
+
+
 @query(POINTS + """SELECT count(*) AS rows, count(*) FILTER (mapping IN ('mapped', 'ambiguous_lowest_id')) AS mapped, count(*) FILTER (mapping = 'no_coordinates') AS no_coordinates,
   count(*) FILTER (mapping = 'outside_all_zones') AS outside_all_zones, count(*) FILTER (ambiguous) AS ambiguous, count(*) FILTER (point_id % 2 = 0) AS passenger_total,
   count(*) FILTER (point_id % 2 = 0 AND zone_id IS NULL) AS passenger_unmapped, count(*) FILTER (zone_id IS NOT NULL AND point_id % 3 <> 0) AS comparable,
@@ -509,6 +534,33 @@ def ping_gaps(s, d):
     return orders.pings(e, "user_id", "ts", "event_id").select("event_id", "gap_min", F.round("km", 6).alias("km"), "jump")
 
 
+HOT = """WITH p AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN -1 WHEN event_id % 5 = 0 THEN NULL ELSE user_id END AS k, ts,
+  40.0::DOUBLE + (event_id % 100) / 100.0::DOUBLE AS lat, -74.0::DOUBLE + (event_id % 37) / 100.0::DOUBLE AS lon FROM events)"""
+
+
+def hot_pings(s, d):
+    """Half of all events under one key, a tenth under none."""
+    k = F.expr("if(event_id % 2 = 0, -1, if(event_id % 5 = 0, null, user_id))").alias("k")
+    return a.table(s, d, "events").select("event_id", k, "ts", F.expr("40.0D + (event_id % 100) / 100.0D").alias("lat"), F.expr("-74.0D + (event_id % 37) / 100.0D").alias("lon"))
+
+
+@query(HOT + """, l AS (SELECT *, lag(ts) OVER w AS t0, lag(lat) OVER w AS la, lag(lon) OVER w AS lo FROM p WINDOW w AS (PARTITION BY k ORDER BY ts, event_id)),
+ k AS (SELECT *, date_diff('microsecond', t0, ts) / 60e6::DOUBLE AS gap_min, 111.0::DOUBLE * sqrt((lat - la) * (lat - la) + ((lon - lo) * cos(radians(lat))) * ((lon - lo) * cos(radians(lat)))) AS km FROM l)
+ SELECT event_id, gap_min, round(km, 6) AS km, coalesce(km > 20, false) AS jump FROM k""")
+def hot_ping_gaps(s, d):
+    """Gaps where one key is cut into segments of about a hundredth of all events."""
+    e = hot_pings(s, d)
+    return orders.pings(e, "k", "ts", "event_id", most=max(50, e.count() // 100)).select("event_id", "gap_min", F.round("km", 6).alias("km"), "jump")
+
+
+@query(HOT + """, e AS (SELECT event_id, k, CASE WHEN event_id % 7 <> 0 THEN ts END AS event_time FROM p)
+ SELECT event_id, k AS order_id, CAST(row_number() OVER (PARTITION BY k ORDER BY event_time NULLS LAST, event_id) AS INTEGER) AS position FROM e""")
+def hot_timeline(s, d):
+    """Positions in the same keys, a seventh of the times unknown."""
+    e = hot_pings(s, d).select("event_id", F.col("k").alias("order_id"), F.expr("if(event_id % 7 <> 0, ts, null)").alias("event_time"))
+    return segments.placed(e, "order_id", ["event_time", "event_id"], "position", max(50, e.count() // 100)).select("event_id", "order_id", "position")
+
+
 SIDES = f"WITH {a.SIDES_SQL} "
 
 
