@@ -109,8 +109,6 @@ def test_no_task_of_a_quantile_reads_more_than_its_share(spark, monkeypatch):
     q = quantiles.by_rounds(df, [0.05, 0.5, 0.95])
     found = q.first()
     assert [found.q0, found.q1, found.q2] == pytest.approx(np.quantile(v, [0.05, 0.5, 0.95]).tolist())
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan  # over the values of wanted stretches only:
     rows = df.select(quantiles.octave(F.col("v")).alias("b"), "v")
     assert rows.groupBy("b").count().count() < 64 * 34 and rows.select("b").distinct().count() > 1000
 

@@ -8,13 +8,16 @@ stretches take part; a double's digits are used up after a few rounds. What is l
 value by value. A shuffle moves at most the stretches of a task and the values of stretches
 with SMALL rows, and no task or window gets more of a group than that.
 
-The rounds run when a figure is asked for, as each depends on the one before it.
+The rounds run when a figure is asked for, as each depends on the one before it. Meanwhile
+groups and values are kept in memory and on the executors' disks, so that whatever they derive
+from is read once; a lost executor's part is derived anew. They are released with the result.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +44,8 @@ def octave(v: Column) -> Column:
 
 def kept_small(df: DataFrame) -> DataFrame:
     """df, worked out once: in the driver where it has few rows, else in the shared folder."""
-    rows = df.limit(LOCAL + 1).collect()
-    if len(rows) <= LOCAL:
+    rows = df.limit(LOCAL + 1).toArrow()
+    if rows.num_rows <= LOCAL:
         return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     at = work_folder(df.sparkSession, "stretches") / "s"
     df.write.parquet(str(at))
@@ -78,7 +81,16 @@ def by_rounds(values: DataFrame, qs: list[float], by: list[str] | None = None) -
     quantiles and n 0. NaN is above all other values."""
     by = by or []
     keys = [f"_g{i}" for i in range(len(by))]
-    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v").cast("double").alias("v")).where("v is not null")
+    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v").cast("double").alias("v")).where("v is not null").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = kept_small(selected(rows, keys, qs))
+    finally:
+        rows.unpersist()
+    return found.select(*[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], *[f"q{i}" for i in range(len(qs))], "n")
+
+
+def selected(rows: DataFrame, keys: list[str], qs: list[float]) -> DataFrame:
+    """keys, q0, q1, ... and n of the rows (keys, v)."""
     facts = [F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")]
     near = kept_small(wanted(rows.groupBy(*keys, octave(F.col("v")).alias("b")).agg(*facts), keys, ["b"], qs, True))
     one_value = F.col("lo").eqNullSafe(F.col("hi"))
@@ -97,7 +109,7 @@ def by_rounds(values: DataFrame, qs: list[float], by: list[str] | None = None) -
     found = decided.unionByName(looked).groupBy(*keys).agg(*picks, F.coalesce(F.max("n"), F.lit(0)).alias("n"))
     whole = lambda s: s == F.floor(s)  # noqa: E731  no step between two values, which may be infinite
     between = [F.when(whole(s), F.col(f"_p{2 * i}")).otherwise(F.col(f"_p{2 * i}") + (F.col(f"_p{2 * i + 1}") - F.col(f"_p{2 * i}")) * (s - F.floor(s))) for i, s in enumerate(spots(qs))]
-    return found.select(*[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], *[q.alias(f"q{i}") for i, q in enumerate(between)], "n")
+    return found.select(*keys, *[q.alias(f"q{i}") for i, q in enumerate(between)], "n")
 
 
 def summary(df: DataFrame, by: list[str], aggregates: list[Column], measures: dict[str, tuple]) -> DataFrame:
