@@ -105,6 +105,18 @@ def test_fingerprints_equal_sets(spark, monkeypatch, cells):
     held_against(spark, rows, fingerprint.fingerprints(df).collect())
 
 
+def test_no_task_gets_a_text_of_every_block(spark, awkward, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BLOCK_CHARS", 200)
+    for most in (500_000, 0):
+        monkeypatch.setattr(fingerprint, "BROADCAST_BLOCKS", most)
+        rows = fingerprint.with_next(awkward)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        whole = [line for line in plan.split("\n") if "Window [" in line and "text" in line]
+        assert whole and all("block#" in line for line in whole)  # windows over texts are within a block
+        assert "SinglePartition" not in "".join(line for line in rows._jdf.queryExecution().executedPlan().toString().split("\n") if "text" in line)
+        assert rows.where("end = 0").count() == awkward.count()
+
+
 def test_equal_texts_have_equal_fingerprints(spark, awkward, empty):
     rows = [(r.doc_id, r[1]) for r in awkward.collect()]
     got = fingerprint.fingerprints(awkward).collect()

@@ -104,10 +104,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
     least = placed(keys).groupBy("block").agg(F.min(order).alias("m")).select(F.col("block").alias("b"), F.col("m.doc_id").alias("least"), F.col("m.tie").alias("least_tie"))
     least = stored(least, "print-firsts")
-    side = F.broadcast(least) if least.count() <= BROADCAST_BLOCKS else least
+    small = (lambda df: F.broadcast(df)) if least.count() <= BROADCAST_BLOCKS else (lambda df: df)
+    side = small(least)
     first = rows.join(side, (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("tie") == F.col("least_tie"))).groupBy("block").agg(F.min("text").alias("text"))
-    by_block = Window.orderBy("block")
-    ends = first.select("block", F.coalesce(F.lead("text").over(by_block), F.first("text").over(by_block)).alias("text"))
+    by_block = Window.orderBy("b")  # block numbers only; first texts follow by an equal join
+    follows = least.select(F.col("b").alias("own"), F.coalesce(F.lead("b").over(by_block), F.first("b").over(by_block)).alias("then"))
+    ends = first.join(small(follows), F.col("block") == F.col("then")).select(F.col("own").alias("block"), "text")
     every = rows.select("block", F.lit(0).alias("end"), "doc_id", "tie", "text").union(ends.select("block", F.lit(1), F.lit(None).cast("long"), F.lit(0).cast("long"), "text"))
     w = Window.partitionBy("block").orderBy("end", F.asc_nulls_first("doc_id"), "tie", "text")
     return every.select("block", "end", F.row_number().over(w).alias("rid"), "doc_id", "text", F.lead("text").over(w).alias("next"))
