@@ -6,6 +6,8 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
+from pyspark.sql import functions as F
+
 from wayfold.llm import bpe, grammar, rollup
 from wayfold.llm.shingles import words_of
 
@@ -186,7 +188,7 @@ def test_rollup_follows_changes(spark, tmp_path):
     assert not store.commit("b", c((1, "t", "en", "v", 7, "revise", "")))
     assert total() == [("s", "en", 1, 5), ("t", "en", 1, 7)]
     # a batch that failed before its entry left files; it runs again and counts once
-    store._write(spark.createDataFrame([(2, "v", "s", "en", 99, 1, 3)], rollup.LEDGER))
+    store._write(spark.createDataFrame([(2, "v", "s", "en", 99, 1, 3)], rollup.LEDGER), 64)
     assert total() == [("s", "en", 1, 5), ("t", "en", 1, 7)]
     assert store.commit("c", c((2, "s", "en", "v", 1, "delete", ""), (2, "s", "en", "v", 4, "revise", ""), (2, "s", "en", "v", 6, "revise", "")))
     assert total() == [("s", "en", 1, 6), ("t", "en", 1, 7)]
@@ -235,6 +237,25 @@ def test_the_ledger_is_rewritten_after_some_batches(spark, tmp_path, monkeypatch
     assert [(r.n_docs, r.n_tokens) for r in store.totals().collect()] == [(3, 15)]
 
 
+def test_buckets_follow_the_ledger_and_the_log_is_read_from_its_pointer(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rollup, "COMPACT", 3)
+    monkeypatch.setattr(rollup, "BUCKETS", 2)
+    monkeypatch.setattr(rollup, "ROWS", 10)
+    store = rollup.TokenRollup(spark, f"file://{tmp_path}/r")
+    c = lambda a, e, n, change="insert": spark.range(a, e).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit("v").alias("tokenizer_version"), F.lit(n).cast("long").alias("n_tokens"), F.lit(change).alias("change"))
+    assert store.commit("b0", c(0, 15, 1))
+    few = store.buckets(store.tail())
+    for k in range(1, 5):
+        assert store.commit(f"b{k}", c(15 * k, 15 * k + 100, 1))
+    assert few == 2 and store.buckets(store.tail()) >= 8  # rewritten with more
+    assert len(store.tail()) < len(store.log()) and not store.commit("b0", c(0, 15, 9)) and store.known("b2") and not store.known("b9")
+    assert store.commit("less", c(0, 160, 0, "delete")) and store.compact() and len(store.tail()) == 1
+    assert store.buckets(store.tail()) == 2 and [(r.n_docs, r.n_tokens) for r in store.totals().collect()] == []
+    assert store.commit("again", c(3, 5, 7)) and [(r.n_docs, r.n_tokens) for r in store.totals().collect()] == [(2, 14)]
+    used = spark.read.parquet(f"file://{tmp_path}/r/ledger").select("bucket").distinct().count()
+    assert used >= 8
+
+
 def test_maintained_equals_counting_again(spark, awkward, empty, tmp_path):
     enc = rollup.coder(RANKS, P.PATTERN)
     got = rollup.maintained(awkward, "v", RANKS, P.PATTERN, f"file://{tmp_path}/a")

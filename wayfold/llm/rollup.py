@@ -11,9 +11,12 @@ only if it is absent; so of two writers one wins, and the other computes its row
 the longer log, or finds its batch there and stops. A batch that failed half-way is in no
 entry and can run again; one that was committed is ignored when it comes again.
 
-The ledger is written in BUCKETS by a hash of its key, and a batch reads only the buckets
-that its documents fall into. After COMPACT batches the ledger is rewritten to what is
-current, and their deltas to their sum.
+The ledger is written in buckets by a hash of its key, and a batch reads only the buckets
+that its documents fall into. A bucket has about ROWS rows: their number is chosen when the
+ledger begins and anew whenever it is rewritten. After COMPACT batches it is rewritten to what
+is current, and their deltas to their sum. A pointer then names the entry that replaces all
+before it, so a batch reads the entries from there on; whether it is in already is looked up
+where the entries are.
 
 Defined results: a document has one count per tokenizer version, an insert of a known one
 revises it, a deletion of an unknown one does nothing; of several changes of a document in
@@ -32,14 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, hadoop_fs, new_folder, pick, ship, stored, text_chunks
+from .common import WORD, hadoop_fs, new_folder, pick, ship, shuffle_partitions, stored, text_chunks
 
 KEY = ["doc_id", "tokenizer_version"]
 GROUP = ["source", "lang", "tokenizer_version"]
 COUNT = ["doc_id", "tokenizer_version", "source", "lang", "n_tokens"]
 LEDGER = "doc_id long, tokenizer_version string, source string, lang string, n_tokens long, sign int, bucket int"
 DELTA = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
-BUCKETS, COMPACT = 64, 24
+#: Buckets at least (of older entries: exactly) and at most, rows of one, and batches until a rewrite.
+BUCKETS, MOST, ROWS, COMPACT = 64, 1 << 15, 1_000_000, 24
 
 
 class TokenRollup:
@@ -54,6 +58,32 @@ class TokenRollup:
         rows = self.spark.read.text(f"{self.folder}/log", wholetext=True).collect()
         return sorted((json.loads(r.value) for r in rows), key=lambda e: e["version"])
 
+    def tail(self) -> list[dict]:
+        """The entries from the last one that is known to replace all before it."""
+        fs, path = hadoop_fs(self.spark, f"{self.folder}/log")
+        if not fs.exists(path):
+            return []
+        at, marks = hadoop_fs(self.spark, f"{self.folder}/replaced")
+        start = max([int(x.getPath().getName()) for x in at.listStatus(marks)], default=0) if at.exists(marks) else 0
+        names = sorted(n for x in fs.listStatus(path) if (n := x.getPath().getName())[0] != "_" and n.endswith(".json") and int(n[:12]) >= start)
+        if not names:
+            return []
+        rows = self.spark.read.text([f"{self.folder}/log/{n}" for n in names], wholetext=True).collect()
+        return sorted((json.loads(r.value) for r in rows), key=lambda e: e["version"])
+
+    def known(self, batch: str) -> bool:
+        """Whether a batch is in; its name is looked for by Spark, however many there are."""
+        fs, path = hadoop_fs(self.spark, f"{self.folder}/log")
+        if not fs.exists(path) or not fs.listStatus(path):
+            return False
+        entries = self.spark.read.text(f"{self.folder}/log", wholetext=True)
+        return not entries.where(F.get_json_object("value", "$.batch") == batch).isEmpty()
+
+    def buckets(self, log: list[dict]) -> int:
+        """How many buckets the live folders have."""
+        first = max([k for k, e in enumerate(log) if e["replaces"]], default=0)
+        return log[first].get("buckets", BUCKETS) if log else BUCKETS
+
     def live(self, log: list[dict]) -> list[str]:
         """Names of what counts: from the last entry that replaces the others."""
         first = max([k for k, e in enumerate(log) if e["replaces"]], default=0)
@@ -101,15 +131,16 @@ class TokenRollup:
 
     def current(self) -> DataFrame:
         """The count of every document that is in."""
-        return standing(self._ledger(self.log())).select(*COUNT)
+        return standing(self._ledger(self.tail())).select(*COUNT)
 
     def totals(self) -> DataFrame:
-        return self._deltas(self.log())
+        return self._deltas(self.tail())
 
-    def _write(self, ledger: DataFrame, delta: DataFrame | None = None) -> str:
-        """Writes ledger rows and their delta under a new name."""
+    def _write(self, ledger: DataFrame, n: int, delta: DataFrame | None = None) -> str:
+        """Writes ledger rows in n buckets, and their delta, under a new name."""
         name = uuid.uuid4().hex
-        ledger.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/ledger/batch={name}")
+        dealt = ledger.repartition("bucket") if n <= shuffle_partitions(self.spark) else ledger.repartition(n, "bucket")
+        dealt.write.partitionBy("bucket").parquet(f"{self.folder}/ledger/batch={name}")
         if delta is None:
             rows = self.spark.read.schema(LEDGER).parquet(f"{self.folder}/ledger/batch={name}")
             delta = rows.groupBy(*GROUP).agg(F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("n_tokens"))
@@ -123,39 +154,58 @@ class TokenRollup:
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """changes: doc_id, source, lang, tokenizer_version, n_tokens, change. False if it was in."""
-        if any(e["batch"] == batch for e in self.log()):
+        if self.known(batch):
             return False
         state = F.struct((F.col("change") != "delete").alias("stays"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "source", "lang")
         new = pick(changes, "doc_id", "source", "lang", "tokenizer_version", "n_tokens", "change").withColumn("doc_id", F.col("doc_id").cast("long"))
         new = new.groupBy(*KEY).agg(F.max(state).alias("s")).select(*KEY, "s.*")
-        new = stored(new.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int")), "rollup-batch")
-        plus = new.where("stays").select(*COUNT, F.lit(1).alias("sign"), "bucket")
+        written = stored(new, "rollup-batch")
         while True:
-            log, rows = self.log(), plus
-            if any(e["batch"] == batch for e in log):
+            log = self.tail()
+            if self.known(batch):
                 return False
+            n = self.buckets(log) if log else buckets_for(written.count())
+            new = written.withColumn("bucket", bucket_of(n))
+            rows = new.where("stays").select(*COUNT, F.lit(1).alias("sign"), "bucket")
+            plus = rows
             if log:
                 touched = [r.bucket for r in new.select("bucket").distinct().collect()]
                 old, keys = standing(self._ledger(log).where(F.col("bucket").isin(touched))).alias("o"), new.select(*KEY).alias("k")
                 same = F.col("o.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("o.tokenizer_version").eqNullSafe(F.col("k.tokenizer_version"))
                 rows = plus.union(old.join(keys, same, "left_semi").select(*COUNT, F.lit(-1).alias("sign"), "bucket"))
-            name = self._write(rows)
-            if self._append({"version": len(log), "batch": batch, "folder": name, "replaces": False}):
-                if len(self.live([*log, {"folder": name, "replaces": False}])) > COMPACT:
+            name = self._write(rows, n)
+            entry = {"version": log[-1]["version"] + 1 if log else 0, "batch": batch, "folder": name, "replaces": False, "buckets": n}
+            if self._append(entry):
+                if len(self.live([*log, entry])) > COMPACT:
                     self.compact()
                 return True
             self._drop(name)
 
     def compact(self) -> bool:
         """Replaces the live folders by what they add up to. False if another writer came between."""
-        log = self.log()
-        name = self._write(standing(self._ledger(log)).select(*COUNT, F.lit(1).alias("sign"), "bucket"), self._deltas(log))
-        done = self._append({"version": len(log), "batch": None, "folder": name, "replaces": True})
-        if not done:
+        log = self.tail()
+        rows = standing(self._ledger(log)).select(*COUNT, F.lit(1).alias("sign"))
+        n = buckets_for(rows.count())
+        name = self._write(rows.withColumn("bucket", bucket_of(n)), n, self._deltas(log))
+        version = log[-1]["version"] + 1 if log else 0
+        done = self._append({"version": version, "batch": None, "folder": name, "replaces": True, "buckets": n})
+        if done:
+            fs, at = hadoop_fs(self.spark, f"{self.folder}/replaced/{version:012d}")
+            fs.mkdirs(at)  # an older one does as well
+        else:
             self._drop(name)
         return done
 
 
+def bucket_of(n: int):
+    return F.pmod(F.xxhash64(*KEY), F.lit(n)).cast("int")
+
+
+def buckets_for(rows: int) -> int:
+    """A power of two, so that a bucket has ROWS rows at most, about."""
+    return min(MOST, max(BUCKETS, 1 << max(0, (rows // ROWS)).bit_length()))
+
+
 def standing(ledger: DataFrame) -> DataFrame:
     """The ledger's rows that weren't taken back."""
     return ledger.groupBy(*COUNT, "bucket").agg(F.sum("sign").alias("_n")).where("_n > 0").drop("_n")
