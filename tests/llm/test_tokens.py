@@ -5,7 +5,6 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
-
 from pyspark.sql import functions as F
 
 from wayfold.llm import bpe, grammar, rollup
