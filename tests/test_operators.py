@@ -333,6 +333,25 @@ def test_no_task_gets_a_hot_key(spark, monkeypatch):
     assert sum(cut) == n and plain[-1] > 4 * np.median(plain) and cut[-1] < 2 * np.median(cut)
 
 
+@pytest.mark.parametrize("name", ["bucketed_journey", "bucketed_coverage"])
+def test_buckets_leave_no_shuffle(spark, name):
+    from wayfold.plans import registry
+    from wayfold.sources import bucketed
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = registry.queries()[name](spark, "/root/testdata/sf0.001")
+        plain = registry.queries()["order_journey"](spark, "/root/testdata/sf0.001")
+        assert bucketed.shuffles(df) == 0 and bucketed.shuffles(plain) >= 5
+        assert df.count() == plain.count()
+        before = {t.name for t in spark.catalog.listTables()}
+        assert not [t for t in before if t.startswith("bucketed_")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert bucketed.buckets_for(spark.range(100), spark.range(3000), rows=1000) == 4 and bucketed.buckets_for(spark.range(3)) == 1
+
+
 def test_levels(spark):
     z = spark.createDataFrame([(1, "A", 10, 2), (2, "A", 90, 1), (3, None, 5, 4), (4, "B", 0, 1)], "zone_id int, borough string, hvfhv_pickups long, complaints_passenger long")
     got = {(r.level, r.borough, r.zone_id): (r.complaints_passenger, r.hvfhv_pickups, r.rate_per_100k) for r in friction.levels(z, {"borough": 5, "zone": 10}).collect()}

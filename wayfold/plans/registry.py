@@ -11,6 +11,7 @@ from ..config import Thresholds
 from ..functions import expressions as x
 from ..functions import quantiles, segments
 from ..operators import enrich, friction, geo, kpis, lifecycle, orders, quality
+from ..sources import bucketed
 from . import adapters as a
 
 T = Thresholds(min_rides_per_zone=20)
@@ -578,6 +579,31 @@ def order_journey(s, d):
     return sides(s, d).select(*JOUR)
 
 
+def in_buckets(s, d):
+    """Orders and what belongs to them, written in buckets of the order's id."""
+    o = a.orders(s, d)
+    n = max(8, bucketed.buckets_for(o, a.actions(s, d)))
+    delays = orders.with_delay(o).select("order_id", F.when(F.col("delay_min").isNotNull(), (F.col("delay_min") > 0).cast("int")).alias("late_flag"), "delay_min")
+    return bucketed.journey_tables(s, n, orders=o, outcomes=delays, actions=a.actions(s, d), tickets=a.tickets(s, d), interventions=a.interventions(s, d))
+
+
+@query(ORACLES["order_journey"])
+def bucketed_journey(s, d):
+    """The same rows from bucketed tables: no shuffle is left in the plan."""
+    t = in_buckets(s, d)
+    return orders.journey(t["orders"].select("order_id", "restaurant_id", "actual_delivery_at"), t["outcomes"], t["actions"], t["tickets"], t["interventions"]).select(*JOUR)
+
+
+@query(f"""{SIDES}, c AS (SELECT order_id, count(*) AS n FROM actions GROUP BY 1), t AS (SELECT order_id, count(*) AS n FROM tickets WHERE order_id IS NOT NULL GROUP BY 1)
+  SELECT order_id, coalesce(c.n, 0) AS n_actions, coalesce(t.n, 0) AS n_tickets, c.n IS NULL AS no_action, t.n IS NULL AS no_ticket FROM ords LEFT JOIN c USING (order_id) LEFT JOIN t USING (order_id)""")
+def bucketed_coverage(s, d):
+    """Which orders have actions and tickets, from the same buckets."""
+    t = in_buckets(s, d)
+    n = {k: t[k].groupBy("order_id").agg(F.count("*").alias(f"n_{k}")) for k in ("actions", "tickets")}
+    out = t["orders"].select("order_id").join(n["actions"], "order_id", "left").join(n["tickets"], "order_id", "left")
+    return out.select("order_id", *[F.coalesce(f"n_{k}", F.lit(0)).alias(f"n_{k}") for k in n], F.col("n_actions").isNull().alias("no_action"), F.col("n_tickets").isNull().alias("no_ticket"))
+
+
 @query(SIDES + """SELECT late_flag = 1 AS is_late, count(*) AS orders, avg(CAST(n_tickets > 0 AS INTEGER)) AS with_ticket, avg(CAST(frustrated AS INTEGER)) AS frustrated_share,
   avg(CAST(n_interventions > 0 AS INTEGER)) AS with_intervention, avg(eta_views) AS mean_eta_views, quantile_cont(delay_min, 0.5) AS median_delay
   FROM jour WHERE late_flag IS NOT NULL GROUP BY 1""")
