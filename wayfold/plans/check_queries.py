@@ -38,14 +38,16 @@ def complaints(s, d):
     return placed.withColumn("zone_borough", F.expr("case zone_id when 5 then 'North' when 9 then 'South' end"))
 
 
-@query(COMPLAINTS + """SELECT 'nyc311.retrieval_complete' AS "check", CASE WHEN n = 2000 THEN 'PASS' ELSE 'FAIL' END AS status, 'friction' AS scope FROM g
+@query(COMPLAINTS + """SELECT 'nyc311.retrieval_complete' AS "check", CASE WHEN n = (SELECT count(*) FROM embeddings) THEN 'PASS' ELSE 'FAIL' END AS status, 'friction' AS scope FROM g
  UNION ALL SELECT 'nyc311.unique_key', CASE WHEN dup > 0 THEN 'FAIL' ELSE 'PASS' END, 'friction' FROM g UNION ALL SELECT 'nyc311.required_fields', CASE WHEN lacking > 0 THEN 'WARN' ELSE 'PASS' END, 'friction' FROM g
  UNION ALL SELECT 'nyc311.filter_semantics', 'PASS', 'friction' UNION ALL SELECT 'nyc311.date_coverage', CASE WHEN outside > 0 THEN 'FAIL' WHEN days < 31 THEN 'WARN' ELSE 'PASS' END, 'friction' FROM g
  UNION ALL SELECT 'nyc311.chronology_and_status', CASE WHEN early > 0 THEN 'WARN' ELSE 'PASS' END, 'info' FROM g UNION ALL SELECT 'nyc311.descriptor_classification', CASE WHEN unknown > 0 THEN 'WARN' ELSE 'PASS' END, 'info' FROM g
  UNION ALL SELECT 'nyc311.zone_mapping_coverage', CASE WHEN mapped / n::DOUBLE >= 0.95 THEN 'PASS' WHEN mapped / n::DOUBLE >= 0.01 THEN 'WARN' ELSE 'FAIL' END, 'friction' FROM g
  UNION ALL SELECT 'nyc311.zone_mapping_borough_agreement', CASE WHEN comparable > 0 AND agree / comparable::DOUBLE >= 0.98 THEN 'PASS' ELSE 'WARN' END, 'friction' FROM g""")
 def complaint_checks(s, d):
-    found = friction.complaint_checks(complaints(s, d).persist(), 2000, date.fromisoformat(a.FIRST), date.fromisoformat(a.LAST), monthly.COMPLAINT_TYPE, 0.01)
+    rows = complaints(s, d).persist()
+    found = friction.complaint_checks(rows, a.table(s, d, "embeddings").count(), date.fromisoformat(a.FIRST), date.fromisoformat(a.LAST), monthly.COMPLAINT_TYPE, 0.01)
+    rows.unpersist()
     return quality.as_frame(s, found).select("check", "status", "scope")
 
 

@@ -99,12 +99,13 @@ def raw_grain(s, d):
     return orders.grain(a.raw_orders(s, d), "order_id", a.orders(s, d))
 
 
-@query(MORE + """SELECT 'pages_recount_to_total' AS "check", (SELECT count(*) FROM dispatch) = 12000 AS passed UNION ALL SELECT 'no_key_twice', (SELECT coalesce(max(n),
+@query(MORE + """SELECT 'pages_recount_to_total' AS "check", (SELECT count(*) FROM dispatch) = (SELECT count(*) FROM ords) AS passed UNION ALL SELECT 'no_key_twice', (SELECT coalesce(max(n),
   0) <= 1 FROM (SELECT count(*) AS n FROM dispatch GROUP BY order_id)) UNION ALL SELECT 'every_known_key_found', NOT EXISTS (SELECT 1
   FROM ords WHERE order_id NOT IN (SELECT order_id FROM dispatch)) UNION ALL SELECT 'every_found_key_known', NOT EXISTS (SELECT 1
   FROM dispatch WHERE order_id NOT IN (SELECT order_id FROM ords))""")
 def page_completeness(s, d):
-    return orders.page_completeness(a.dispatch(s, d), "order_id", 12000, a.orders(s, d))
+    known = a.orders(s, d)
+    return orders.page_completeness(a.dispatch(s, d), "order_id", known.count(), known)
 
 
 @query(MORE + """SELECT manual_status_updates, count(*) AS records, count(*) FILTER (lower(trim(status)) = 'preparing' AND last_updated_at > pickup_at) AS stale_preparing,

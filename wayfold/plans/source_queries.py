@@ -6,6 +6,7 @@ import io
 import json
 import sqlite3
 import struct
+import tempfile
 import zipfile
 from pathlib import Path
 from urllib.parse import urlsplit
@@ -76,53 +77,71 @@ def weather_file(s, d):
     return tables.weather(tables.weather_response(s, str(at))).drop("place")
 
 
-@query("SELECT event_id % 40 AS page_of, count(*) AS rows, count(DISTINCT unique_key) AS keys, count(x) AS with_x FROM (SELECT event_id, CAST(event_id AS VARCHAR) AS unique_key, CASE WHEN event_id % 3 <> 0 THEN event_id / 2.0 END AS x FROM events WHERE event_type = 'error' AND event_id < 2000) GROUP BY 1")
+class Shelf(http.Retry):
+    """Pages that Spark has written, handed out one at a time under their numbers, as a service would."""
+
+    def __init__(self, spark, rows, order: str, record, size: int):
+        super().__init__()
+        self.place, self.size = work_folder(spark, "shelf"), size
+        sorted_rows = rows.repartitionByRange(order).sortWithinPartitions(order)
+        sorted_rows.write.parquet(str(self.place / "rows"))
+        numbered = tables.numbered(spark, str(self.place / "rows"), name="_at")
+        self.total = numbered.count()
+        page = F.floor(F.col("_at") / size).cast("int")
+        pages = numbered.groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(F.struct("_at", record.alias("r")))).alias("rs"))  # size rows each
+        pages.select("page", F.to_json(F.transform("rs", lambda x: x["r"])).alias("value")).repartition("page").write.partitionBy("page").text(str(self.place / "pages"))
+
+    def rows_of(self, page: int) -> str:
+        folder = self.place / "pages" / f"page={page}"
+        found = [n for n in folder.names() if n.startswith("part-")]
+        return (folder / found[0]).read().decode() if found else "[]"
+
+
+@query("SELECT event_id % 40 AS page_of, count(*) AS rows, count(DISTINCT unique_key) AS keys, count(x) AS with_x FROM (SELECT event_id, CAST(event_id AS VARCHAR) AS unique_key, CASE WHEN event_id % 3 <> 0 THEN event_id / 2.0 END AS x FROM events WHERE event_type = 'error') GROUP BY 1")
 def complaint_pages(s, d):
     """Pages fetched until a short one, kept as they came, counted again from where they are kept."""
-    rows = a.table(s, d, "events").where("event_type = 'error' AND event_id < 2000").select("event_id").orderBy("event_id").collect()
-    every = [{"unique_key": str(r.event_id), "descriptor": str(r.event_id % 40), "x_coordinate_state_plane": "?" if r.event_id % 3 == 0 else str(r.event_id / 2)} for r in rows]
 
-    class Pages(http.Retry):
+    class Service(Shelf):
         def get(self, url, handle):
-            first, size = map(int, url.split("+"))
-            return json.dumps(every[first : first + size]).encode()
+            return self.rows_of(int(url) // self.size).encode()
 
+    rows = a.table(s, d, "events").where("event_type = 'error'").select("event_id")
+    record = F.expr("named_struct('unique_key', cast(event_id as string), 'descriptor', cast(event_id % 40 as string), 'x_coordinate_state_plane', if(event_id % 3 = 0, '?', cast(event_id / 2 as string)))")
+    service = Service(s, rows, "event_id", record, 501)
     folder = work_folder(s, "pages")
-    m = http.pages(lambda offset, size: f"{offset}+{size}", 37, folder / "p", Pages(), len(every))
+    m = http.pages(lambda offset, size: str(offset), service.size, folder / "p", service, service.total)
     if not http.intact(folder, m) or m["received"] != m["expected"]:
         raise ValueError("the pages aren't what was announced")
     kept = tables.complaints(s, str(folder / "p"))
     return kept.groupBy(F.col("descriptor").cast("long").alias("page_of")).agg(F.count("*").alias("rows"), F.countDistinct("unique_key").alias("keys"), F.count("x").alias("with_x"))
 
 
-@query("""SELECT 'pages_recount_to_total' AS "check", true AS passed UNION ALL SELECT 'no_key_twice', true UNION ALL SELECT 'every_known_key_found', (SELECT count(*) FROM orders WHERE o_orderkey < 900 AND o_orderkey % 11 = 0) = 0
+@query("""SELECT 'pages_recount_to_total' AS "check", true AS passed UNION ALL SELECT 'no_key_twice', true UNION ALL SELECT 'every_known_key_found', (SELECT count(*) FROM orders WHERE o_orderkey % 11 = 0) = 0
   UNION ALL SELECT 'every_found_key_known', true""")
 def dispatch_pages(s, d):
     """Numbered pages that say whether more follow; what is kept is counted again and held against the orders."""
-    known = a.table(s, d, "orders").where("o_orderkey < 900").select(F.col("o_orderkey").alias("order_id"))
-    rows = [{"order_id": r.order_id, "eta_model_version": f"v{r.order_id % 2}"} for r in known.where("order_id % 11 <> 0").orderBy("order_id").collect()]
 
-    class Pages(http.Retry):
+    class Service(Shelf):
         def get(self, url, handle):
             n = int(url)
-            return json.dumps({"data": rows[50 * n - 50 : 50 * n], "has_more": 50 * n < len(rows), "total_records": len(rows)}).encode()
+            return f'{{"data": {self.rows_of(n - 1)}, "has_more": {json.dumps(self.size * n < self.total)}, "total_records": {self.total}}}'.encode()
 
+    known = a.table(s, d, "orders").select(F.col("o_orderkey").alias("order_id"))
+    service = Service(s, known.where("order_id % 11 <> 0"), "order_id", F.expr("named_struct('order_id', order_id, 'eta_model_version', concat('v', order_id % 2))"), 1000)
     folder = work_folder(s, "dispatch")
-    m = http.numbered_pages(str, folder / "p", Pages())
+    m = http.numbered_pages(str, folder / "p", service)
     kept = tables.page_rows(s, str(folder / "p"), "order_id: long, eta_model_version: string")
     return orders.page_completeness(kept, "order_id", m["expected"], known)
 
 
-@query("SELECT user_id % 7 AS driver_id, event_type AS type, count(*) AS events, count(DISTINCT user_id) AS orders FROM events WHERE event_id < 3000 GROUP BY 1, 2")
+@query("SELECT user_id % 7 AS driver_id, event_type AS type, count(*) AS events, count(DISTINCT user_id) AS orders FROM events GROUP BY 1, 2")
 def nested_events(s, d):
-    """Events nested by driver, a row each."""
-    e = a.table(s, d, "events").where("event_id < 3000").select("user_id", "event_type", "ts").collect()
-    drivers: dict = {}
-    for r in e:
-        drivers.setdefault(r.user_id % 7, []).append({"order_id": str(r.user_id), "type": r.event_type, "timestamp": str(r.ts), "lat": 1.0, "lon": 2.0})
-    at = work_folder(s, "nested") / "e.json"
-    at.write_json([{"driver_id": str(k), "events": v} for k, v in drivers.items()])
-    return tables.driver_events(s, str(at)).groupBy(F.col("driver_id").cast("long").alias("driver_id"), "type").agg(F.count("*").alias("events"), F.countDistinct("order_id").alias("orders"))
+    """Events nested by driver and hour, one JSON object a line, written and read by Spark."""
+    event = F.struct(F.col("user_id").cast("string").alias("order_id"), F.col("event_type").alias("type"), F.col("ts").cast("string").alias("timestamp"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"))
+    drivers = a.table(s, d, "events").groupBy((F.col("user_id") % 7).cast("string").alias("driver_id"), F.date_trunc("HOUR", "ts").alias("hour")).agg(F.collect_list(event).alias("events"))
+    at = str(work_folder(s, "nested") / "events")
+    drivers.select("driver_id", "events").write.json(at)
+    return tables.driver_events(s, at, lines=True).groupBy(F.col("driver_id").cast("long").alias("driver_id"), "type").agg(F.count("*").alias("events"), F.countDistinct("order_id").alias("orders"))
 
 
 def square_file(keys: list[tuple[int, str]]) -> bytes:
@@ -153,7 +172,7 @@ def shape_file(s, d):
 @query("SELECT s_suppkey, s_name, s_acctbal, s_suppkey % 3 = 0 AS third FROM supplier")
 def sqlite_file(s, d):
     folder = work_folder(s, "sqlite")
-    at = Path(local_path(folder) or "/nowhere") / "s.db"  # SQLite reads files of a disk, here the driver's
+    at = Path(local_path(folder) or tempfile.mkdtemp(prefix="wayfold-")) / "s.db"  # SQLite writes files of a disk, here the driver's
     with sqlite3.connect(at) as c:
         c.execute("CREATE TABLE supplier (k INTEGER, name TEXT, balance REAL)")
         c.executemany("INSERT INTO supplier VALUES (?, ?, ?)", [tuple(r) for r in a.table(s, d, "supplier").select("s_suppkey", "s_name", "s_acctbal").collect()])
