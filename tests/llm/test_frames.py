@@ -215,7 +215,7 @@ def test_top_k_equals_all_scores(spark, monkeypatch, block, first):
     got = topk.top_k(df, F.col("vec_id") % 10 == 0, k=10, scale=1024.0)
     assert sorted(map(tuple, got.collect())) == exact_rows(rows, set(range(0, 300, 10)), 10, 1024.0)
     # the same a block at a time, in this process
-    monkeypatch.setattr(topk, "FIRST", first)
+    monkeypatch.setattr(topk, "STEP", first)
     ints = np.floor(1024 * v[np.arange(300) % 200].astype(np.float64))
     best, read = topk.Best(30, 10), 0
     for a in range(0, 300, block):

