@@ -268,6 +268,32 @@ def zone_checks(zones: DataFrame) -> list[Check]:
     ]
 
 
+def download_complete(announced: int | None, kept: int, found: dict, more: dict) -> Check:
+    """Whether a file has as many bytes as were announced; found: what its footer says."""
+    whole = announced is None or announced == kept
+    detail = ", ".join(f"{k.replace('_', ' ')} {v}" for k, v in ({"bytes": kept} | more | {"row_groups": found["row_groups"]}).items())
+    return Check("hvfhv.download_complete", PASS if whole else FAIL, detail=detail, category="completeness", evidence=found | {"bytes": kept} | more)
+
+
+def shape_checks(zones: DataFrame, shapes: DataFrame) -> list[Check]:
+    """Zones without a geometry, and geometries that the lookup doesn't have."""
+    known = zones.where("not is_placeholder").select("location_id")
+    lacking = known.join(shapes, known["location_id"] == shapes["zone_id"], "left_anti").count()
+    unknown = shapes.join(zones, shapes["zone_id"] == zones["location_id"], "left_anti").count()
+    return [Check("zone_shapes.id_consistency", WARN if lacking or unknown else PASS, "friction", f"without geometry {lacking}, not in the lookup {unknown}", "completeness", {"without_geometry": lacking, "not_in_lookup": unknown})]
+
+
+def weather_structure(response: DataFrame, variables: list[str], timezone: str) -> list[Check]:
+    """Whether a response has all arrays, as long as its hours, and the time zone that was asked for."""
+    held = [F.coalesce(F.max(F.size(f"hourly.{v}")), F.lit(-1)).alias(v) for v in ("time", *variables)]
+    r = response.agg(F.max("timezone").alias("_zone"), *held).first()
+    lacking = [v for v in ("time", *variables) if r[v] < 0]
+    uneven = [v for v in variables if v not in lacking and r[v] != r.time]
+    out = [Check("weather.structure", FAIL if lacking or uneven else PASS, "weather", f"missing {lacking}" + (f", of another length {uneven}" if uneven else ""), evidence={"missing": lacking, "uneven": uneven})]
+    out.append(Check("weather.timezone", PASS if r["_zone"] == timezone else FAIL, "weather", f"got {r['_zone']}", "semantic"))
+    return out
+
+
 def hour_coverage(weather: DataFrame, first, last) -> DataFrame:
     """Hours expected from the day before the month, received, missing, repeated; nulls a variable."""
     spark = weather.sparkSession

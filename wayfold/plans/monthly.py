@@ -124,11 +124,8 @@ def get_trips(r: Run) -> DataFrame:
     m, used = http.preserved(r.feeds.trips.format(month=r.month), to, r.retry)
     r.manifests["hvfhv"] = m
     found = tables.footer(r.spark, str(to))
-    whole = m["content_length"] is None or int(m["content_length"]) == m["bytes"]
-    r.checks.append(Check(
-        "hvfhv.download_complete", PASS if whole else FAIL, detail=f"bytes {m['bytes']}, reused {used}, row groups {found['row_groups']}",
-        category="completeness", evidence=found | {"bytes": m["bytes"], "reused": used},
-    ))
+    announced = None if m["content_length"] is None else int(m["content_length"])
+    r.checks.append(quality.download_complete(announced, m["bytes"], found, {"reused": used}))
     return tables.trips(r.spark, str(to))
 
 
@@ -152,13 +149,11 @@ def get_shapes(r: Run, zones: DataFrame) -> DataFrame | None:
     try:
         r.manifests["zone_shapes"], _ = http.preserved(r.feeds.shapes, to, r.retry)
         shapes = tables.shapes(r.spark, str(to)).persist()
-        known = zones.where("not is_placeholder").select("location_id")
-        lacking = known.join(shapes, known["location_id"] == shapes["zone_id"], "left_anti").count()
-        unknown = shapes.join(zones, shapes["zone_id"] == zones["location_id"], "left_anti").count()
+        found = quality.shape_checks(zones, shapes)
     except Exception as e:  # complaints can't be placed then; the rest of the month can be published
         r.checks.append(Check("zone_shapes.retrieval", FAIL, "friction", str(e)[:300], "completeness"))
         return None
-    r.checks.append(Check("zone_shapes.id_consistency", WARN if lacking or unknown else PASS, "friction", f"without geometry {lacking}, not in the lookup {unknown}", "completeness"))
+    r.checks += found
     return shapes
 
 
@@ -184,14 +179,14 @@ def get_weather(r: Run) -> DataFrame | None:
         r.checks.append(Check("weather.structure", FAIL, "weather", str(e)))
         return None
     r.checks.append(Check("weather.retrieval", PASS, "weather", f"bytes {m['bytes']}", "completeness"))
-    hourly = payload.get("hourly") if isinstance(payload, dict) else None
-    lacking = [v for v in ("time", *tables.WEATHER_VARIABLES) if v not in (hourly or {})]
-    r.checks.append(Check("weather.structure", FAIL if lacking else PASS, "weather", f"missing {lacking}"))
-    if lacking:
+    if not isinstance(payload, dict) or not isinstance(payload.get("hourly"), dict):
+        r.checks.append(Check("weather.structure", FAIL, "weather", "no hourly part"))
         return None
-    if payload.get("timezone") != TIMEZONE:
-        r.checks.append(Check("weather.timezone", FAIL, "weather", f"got {payload.get('timezone')}", "semantic"))
     response = tables.weather_response(r.spark, str(folder / m["file"]))
+    found = quality.weather_structure(response, list(tables.WEATHER_VARIABLES), TIMEZONE)
+    r.checks += [c for c in found if c.check == "weather.structure" or c.status == FAIL]
+    if found[0].status == FAIL:
+        return None
     rows = tables.weather(response)
     away = response.select(haversine_km(F.lit(LATITUDE), F.lit(LONGITUDE), "latitude", "longitude").alias("km")).first().km
     if r.chaos == "weather_gap":

@@ -258,6 +258,38 @@ def published_zones(s, d):
     return tables.csv(s, str(at)).select(F.col("pickup_zone_id").cast("long").alias("pickup_zone_id"), F.col("rides").cast("long").alias("rides"), "ranked")
 
 
+@query(f"""WITH {a.ZONES_SQL}, shapes AS (SELECT 5 AS zone_id UNION ALL SELECT 9)
+  SELECT 'hvfhv.download_complete' AS "check", 'PASS' AS status, (SELECT count(*) FROM lineitem) AS counted
+  UNION ALL SELECT 'hvfhv.required_columns', 'PASS', 10 UNION ALL SELECT 'zones.required_columns', 'PASS', 4
+  UNION ALL SELECT 'zone_shapes.id_consistency', CASE WHEN lacking + unknown > 0 THEN 'WARN' ELSE 'PASS' END, lacking FROM (SELECT
+    (SELECT count(*) FROM zones WHERE NOT is_placeholder AND location_id NOT IN (SELECT zone_id FROM shapes)) AS lacking,
+    (SELECT count(*) FROM shapes WHERE zone_id NOT IN (SELECT location_id FROM zones)) AS unknown)
+  UNION ALL SELECT 'weather.structure', 'PASS', (SELECT count(DISTINCT date_trunc('hour', ts)) FROM events) UNION ALL SELECT 'weather.timezone', 'PASS', 1""")
+def source_checks(s, d):
+    """What is checked of each source before its rows are: of files that Spark wrote from the tables."""
+    folder = work_folder(s, "sources")
+    a.rides(s, d).write.parquet(str(folder / "trips"))
+    trips = tables.numbered(s, str(folder / "trips"), tables.TRIP_COLUMNS)
+    files = [n for n in (folder / "trips").names() if n.endswith(".parquet")]
+    feet = [tables.footer(s, str(folder / "trips" / n)) for n in files]
+    found = {k: sum(f[k] for f in feet) for k in ("rows", "row_groups")}
+    kept = sum((folder / "trips").sizes().get(n, 0) for n in files)
+    zones = a.zones(s, d)
+    lookup = zones.select(F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone").alias("Zone"), "service_zone")
+    hours = a.table(s, d, "events").groupBy(F.date_format(F.date_trunc("HOUR", "ts"), "yyyy-MM-dd'T'HH:mm").alias("time")).agg(F.count("*").cast("double").alias("n"))
+    parallel = hours.agg(F.sort_array(F.collect_list(F.struct("time", "n"))).alias("h"))  # a month's hours
+    arrays = [F.transform("h", lambda x: x["time"]).alias("time"), *[F.transform("h", lambda x: x["n"]).alias(v) for v in tables.WEATHER_VARIABLES]]
+    parallel.select(F.lit(40.7).alias("latitude"), F.lit(-74.0).alias("longitude"), F.lit("America/New_York").alias("timezone"), F.struct(*arrays).alias("hourly")).coalesce(1).write.json(str(folder / "weather"))
+    response = tables.weather_response(s, str(folder / "weather"))
+    counted = {"hvfhv.download_complete": found["rows"], "hvfhv.required_columns": len(tables.TRIP_COLUMNS), "zones.required_columns": len(tables.ZONE_COLUMNS)}
+    checks = [
+        quality.download_complete(kept, kept, found, {}), quality.required_columns(trips.columns, tables.TRIP_COLUMNS, "hvfhv"), quality.required_columns(lookup.columns, tables.ZONE_COLUMNS, "zones"),
+        *quality.shape_checks(zones, a.polygons(s)), *quality.weather_structure(response, list(tables.WEATHER_VARIABLES), "America/New_York"),
+    ]
+    counted |= {"zone_shapes.id_consistency": checks[3].evidence["without_geometry"], "weather.structure": tables.weather(response).count(), "weather.timezone": response.count()}
+    return s.createDataFrame([(c.check, c.status, counted[c.check]) for c in checks], "check string, status string, counted long")
+
+
 @query("SELECT 'zones.location_id_unique' AS \"check\", 'PASS' AS status UNION ALL SELECT 'zones.placeholder_codes', 'WARN'")
 def published_checks(s, d):
     """Checks as JSON, written and read again."""
