@@ -21,7 +21,7 @@ from wayfold.config import Thresholds
 from wayfold.operators import quality
 from wayfold.plans import monthly
 from wayfold.sources import http as web
-from wayfold.sources import offline, tables
+from wayfold.sources import offline, shapefiles, tables
 from wayfold.storage import Place
 
 ZONES = '﻿"LocationID","Borough","Zone","service_zone"\n1,"A","One","z"\n2,"A","Two","z"\n3,"B","Three","z"\n264,"Unknown","N/A","N/A"\n'
@@ -374,43 +374,6 @@ def test_places(spark, tmp_path):
     assert (here / "f" / "c").read() == b"abc" and (here / "f" / "c").parent.name == "f" and (here / "none").names() == []
 
 
-def shapefile(records, rows, deleted=()):
-    """Records of (kind, rings) and rows of (id, name) as the bytes of a zip, by the format's description."""
-    shp = b""
-    for k, (kind, rings) in enumerate(records, 1):
-        pts = [p for r in rings for p in r]
-        body = struct.pack("<i", kind)
-        if kind:
-            first = [sum(len(r) for r in rings[:i]) for i in range(len(rings))]
-            body += struct.pack("<4d2i", 0, 0, 0, 0, len(rings), len(pts)) + struct.pack(f"<{len(first)}i", *first) + b"".join(struct.pack("<2d", *p) for p in pts)
-            if kind in (15, 25):
-                body += struct.pack(f"<{2 + len(pts)}d", *[0.0] * (2 + len(pts)))
-        shp += struct.pack(">ii", k, len(body) // 2) + body
-    shp = struct.pack(">i20x", 9994) + struct.pack(">i", (100 + len(shp)) // 2) + b"\0" * 72 + shp + b"past the end"
-    widths = (("LocationID", b"N", 12), ("zone", b"C", 9), ("borough", b"C", 5))
-    fields = b"".join(n.encode().ljust(11, b"\0") + t + b"\0" * 4 + bytes([w]) + b"\0" * 15 for n, t, w in widths)
-    dbf = b"\3\0\0\0" + struct.pack("<IHH", len(rows), 32 + len(fields) + 1, 27) + b"\0" * 20 + fields + b"\r"
-    for k, (i, name) in enumerate(rows):
-        dbf += (b"*" if k in deleted else b" ") + str(i).rjust(12).encode() + name.encode().ljust(9)[:9] + b"B".ljust(5)
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr("a/Z.SHP", shp)
-        z.writestr("a/Z.dbf", dbf + b"\x1a")
-    return out.getvalue()
-
-
-def test_shapefiles():
-    square = lambda a, b: [(a, a), (a, b), (b, b), (b, a), (a, a)]
-    two = [square(0.0, 9.0), square(2.0, 3.0)]
-    got = tables.polygons_of(shapefile([(5, two), (0, []), (15, [square(1.0, 2.0)]), (25, two[:1])], [("1", "Né"), ("2.000", ""), ("3", "C"), ("4", "D")], deleted=(3,)))
-    assert [(i, n, b, [len(r) for r in rings]) for i, n, b, rings in got] == [(1, "Né", "B", [5, 5]), (2, "", "B", []), (3, "C", "B", [5])]
-    assert got[0][3][1] == [list(p) for p in two[1]]
-    with pytest.raises(ValueError, match="no polygon"):
-        tables.polygons_of(shapefile([(1, two)], [("1", "a")]))
-    with pytest.raises(ValueError, match="belong together"):
-        tables.polygons_of(shapefile([(5, two)], [("1", "a"), ("2", "b")]))
-
-
 def test_readers(spark, tmp_path):
     import sqlite3
 
@@ -441,7 +404,7 @@ def test_readers(spark, tmp_path):
     d = tables.order_times(spark.createDataFrame([("2024-01-01 10:00:00",), ("x",)], "t string"), ["t"])
     assert [r.t for r in d.collect()] == [dt.datetime(2024, 1, 1, 10), None]
     (tmp_path / "z.zip").write_bytes(shape_zip([(7, "Seven", "B", 1.0, 2.0)]))
-    z = tables.shapes(spark, str(tmp_path / "z.zip")).first()
+    z = shapefiles.read(spark, str(tmp_path / "z.zip")).first()
     assert (z.zone_id, z.zone, len(z.rings[0])) == (7, "Seven", 5)
     assert len(tables.checksums(spark, str(tmp_path / "z.zip")).first().sha256) == 64
     s = tables.sample(spark.range(1000).withColumnRenamed("id", "ride_id"), 100)

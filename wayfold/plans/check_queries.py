@@ -7,9 +7,11 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from .. import publish
 from ..functions import expressions as x
 from ..functions import quantiles
 from ..operators import friction, geo, kpis, quality
+from ..storage import work_folder
 from . import adapters as a
 from . import monthly
 from .registry import PICKUPS, POINTS, Q, T, journey, life, per_zone, query
@@ -56,6 +58,16 @@ def complaint_categories(s, d):
     return complaints(s, d).groupBy("category").agg(F.count("*").alias("complaints"), F.count_if("pickup_reliability_reason").alias("pickup_reliability"), F.count("zone_id").alias("mapped"))
 
 
+@query(COMPLAINTS + """SELECT CAST(unique_key AS VARCHAR) AS unique_key, concat('"', category, '", ', 'so') AS category, zone_id, CASE zone_id WHEN 5 THEN 'North' WHEN 9 THEN 'South' END AS zone_borough FROM z""")
+def published_complaints(s, d):
+    """Placed complaints in one CSV file, quotes and commas in their values, written and read again."""
+    at = work_folder(s, "complaints-csv") / "nyc311_complaints_mapped.csv"
+    quoted = F.concat(F.lit('"'), "category", F.lit('", so')).alias("category")
+    publish.one_csv(complaints(s, d).select("unique_key", quoted, "zone_id", "zone_borough"), at)
+    back = s.read.schema("unique_key string, category string, zone_id int, zone_borough string").option("header", True).option("escape", '"')
+    return back.csv(str(at))
+
+
 # ---- outputs --------------------------------------------------------------------------------
 
 

@@ -23,7 +23,7 @@ from ..config import Thresholds, month_bounds
 from ..functions.expressions import haversine_km, since_epoch
 from ..operators import enrich, friction, geo, kpis, lifecycle, quality
 from ..operators.quality import FAIL, PASS, WARN, Check
-from ..sources import http, tables
+from ..sources import http, shapefiles, tables
 from ..storage import Place
 from . import report
 
@@ -148,7 +148,7 @@ def get_shapes(r: Run, zones: DataFrame) -> DataFrame | None:
     to = r.data / "reference" / "taxi_zones.zip"
     try:
         r.manifests["zone_shapes"], _ = http.preserved(r.feeds.shapes, to, r.retry)
-        shapes = tables.shapes(r.spark, str(to)).persist()
+        shapes = shapefiles.read(r.spark, str(to)).persist()
         found = quality.shape_checks(zones, shapes)
     except Exception as e:  # complaints can't be placed then; the rest of the month can be published
         r.checks.append(Check("zone_shapes.retrieval", FAIL, "friction", str(e)[:300], "completeness"))
@@ -404,7 +404,7 @@ def _fill(r: Run, edition: publish.Edition, log) -> Place:
     publish.small_csv(breakdown.orderBy("pickup_zone_id"), staged / "zone_breakdown.csv")
     if placed is not None:
         cols = ["unique_key", "created_date", "descriptor", "descriptor_2", "category", "pickup_reliability_reason", "reported_borough", "zone_id", "zone", "zone_borough", "mapping"]
-        placed.select(*cols).write.option("header", True).csv(str(staged / "nyc311_complaints_mapped.csv"))
+        publish.one_csv(placed.select(*cols), staged / "nyc311_complaints_mapped.csv")
     checks = [dict(zip(("check", "status", "scope", "category", "detail"), c.row(), strict=True)) | {"evidence": c.evidence} for c in r.checks]
     repeated = next(c.evidence["duplicates"] for c in r.checks if c.check == "hvfhv.trip_uniqueness")
     decided = quality.decisions(scene, r.thresholds, repeated)

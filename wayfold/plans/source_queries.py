@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import publish
 from ..functions.expressions import haversine_km
 from ..operators import enrich, kpis, lifecycle, orders, quality
-from ..sources import http, tables
+from ..sources import http, shapefiles, tables
 from ..storage import Place, work_folder
 from . import adapters as a
 from .registry import LIFE, ZONES, T, journey, query
@@ -163,10 +163,11 @@ def square_file(keys: list[tuple[int, str]]) -> bytes:
 
 @query("SELECT CAST(n_nationkey AS INTEGER) AS zone_id, n_name AS zone, 'B' AS borough, 1 AS rings, 5 AS points, 10.0::DOUBLE * n_nationkey AS least FROM nation")
 def shape_file(s, d):
+    """A shapefile that is read in several parts, by ranges of records."""
     at = work_folder(s, "shapes") / "z.zip"
     at.write(square_file([(r.n_nationkey, r.n_name) for r in a.table(s, d, "nation").collect()]))
     points = F.flatten("rings")
-    return tables.shapes(s, str(at)).select("zone_id", "zone", "borough", F.size("rings").alias("rings"), F.size(points).alias("points"), F.array_min(F.transform(points, lambda p: p["x"])).alias("least"))
+    return shapefiles.read(s, str(at), part_bytes=1000).select("zone_id", "zone", "borough", F.size("rings").alias("rings"), F.size(points).alias("points"), F.array_min(F.transform(points, lambda p: p["x"])).alias("least"))
 
 
 @query("SELECT s_suppkey, s_name, s_acctbal, s_suppkey % 3 = 0 AS third FROM supplier")
