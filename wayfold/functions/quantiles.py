@@ -1,12 +1,13 @@
 """Exact quantiles of groups by selection in rounds, for values of any range.
 
-`percentile` keeps a map of all values a group in one task. Here the first round counts values
-by 1/32 octave of their size, with each stretch's least and greatest value; running counts say
-which stretches hold the wanted places. A stretch of one value is decided. Others with more
-than SMALL rows are cut again, evenly between their ends, and again, where only rows of wanted
-stretches take part; a double's digits are used up after a few rounds. What is left is counted
-value by value. A shuffle moves at most the stretches of a task and the values of stretches
-with SMALL rows, and no task or window gets more of a group than that.
+`percentile` keeps a map of all values a group in one task. Here a group of up to SMALL rows is
+one stretch. Larger ones, and rows of few groups at once, are counted by 1/32 octave of their values'
+size, with each stretch's least and greatest value; running counts say which stretches hold the
+wanted places. A stretch of one value is decided. Others with more than SMALL rows are cut
+again, evenly between their ends, and again, where only rows of wanted stretches take part; a
+double's digits are used up after a few rounds. What is left is counted value by value. A
+shuffle moves at most the stretches of a task and the values of stretches with SMALL rows, and
+no task or window gets more of a group than that.
 
 The rounds run when a figure is asked for, as each depends on the one before it. Meanwhile
 groups and values are kept in memory and on the executors' disks, so that whatever they derive
@@ -52,13 +53,13 @@ def kept_small(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(str(at))
 
 
-def wanted(cut: DataFrame, keys: list[str], stretch: list[str], qs: list[float], first: bool) -> DataFrame:
-    """Of counted stretches (keys, stretch, c, lo, hi and, after the first round, n and base) those
-    that hold a wanted place, with before: rows below them in the group."""
-    run = Window.partitionBy(*keys, *stretch[:-1]).orderBy(stretch[-1]).rowsBetween(Window.unboundedPreceding, -1)
+def wanted(cut: DataFrame, keys: list[str], qs: list[float], first: bool) -> DataFrame:
+    """Of counted stretches (keys, b, c, lo, hi and, unless nothing was counted before, n and base)
+    those that hold a wanted place, with before: rows below them in the group."""
+    run = Window.partitionBy(*keys, *([] if first else ["base"])).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("c").over(run), F.lit(0))
     n = F.sum("c").over(Window.partitionBy(*keys)) if first else F.col("n")
-    at = cut.select(*keys, *stretch, "c", "lo", "hi", n.alias("n"), (below if first else below + F.col("base")).alias("before"))
+    at = cut.select(*keys, "c", "lo", "hi", n.alias("n"), (below if first else below + F.col("base")).alias("before"))
     return at.where(reduce(lambda a, b: a | b, [held(p, F.col("before"), F.col("c")) for p in places(qs)]))
 
 
@@ -74,33 +75,41 @@ def held(place: Column, low: Column, c: Column) -> Column:
     return (place >= low) & (place < low + c)
 
 
-def by_rounds(values: DataFrame, qs: list[float], by: list[str] | None = None) -> DataFrame:
+def by_rounds(values: DataFrame, qs: list[float], by: list[str] | None = None, few: bool = False) -> DataFrame:
     """The columns by, then q0, q1, ... and n of a column v, with linear interpolation.
 
     Null values don't count; a group of nothing else isn't there, and without groups it has null
-    quantiles and n 0. NaN is above all other values."""
+    quantiles and n 0. NaN is above all other values. few: groups are so few, and likely large,
+    that their sizes aren't looked at first."""
     by = by or []
     keys = [f"_g{i}" for i in range(len(by))]
-    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v").cast("double").alias("v")).where("v is not null").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col("v").cast("double").alias("v")).where("v is not null")
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = kept_small(selected(rows, keys, qs))
+        found = kept_small(selected(rows, keys, qs, few or not by))
     finally:
         rows.unpersist()
     return found.select(*[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], *[f"q{i}" for i in range(len(qs))], "n")
 
 
-def selected(rows: DataFrame, keys: list[str], qs: list[float]) -> DataFrame:
+def selected(rows: DataFrame, keys: list[str], qs: list[float], few: bool) -> DataFrame:
     """keys, q0, q1, ... and n of the rows (keys, v)."""
     facts = [F.count("*").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")]
-    near = kept_small(wanted(rows.groupBy(*keys, octave(F.col("v")).alias("b")).agg(*facts), keys, ["b"], qs, True))
     one_value = F.col("lo").eqNullSafe(F.col("hi"))
+    large = ~one_value & (F.col("c") > SMALL)
     inside = lambda to: rows.alias("r").join(to.alias("k"), same("r", "k", keys) & (F.col("r.v") >= F.col("k.lo")) & (F.col("r.v") <= F.col("k.hi")))
-    while not near.where(~one_value & (F.col("c") > SMALL)).isEmpty():
-        part = F.floor((F.col("r.v") - F.col("k.lo")) / (F.col("k.hi") - F.col("k.lo")) * CUTS).cast("long")
-        cut = inside(near.where(~one_value)).select(*[F.col(f"r.`{k}`") for k in keys], F.col("k.before").alias("base"), F.col("k.n"), part.alias("b"), "r.v")
+    if few:
+        near = kept_small(wanted(rows.groupBy(*keys, octave(F.col("v")).alias("b")).agg(*facts), keys, qs, True))
+        part = None
+    else:
+        near = kept_small(rows.groupBy(*keys).agg(*facts).select(*keys, "c", "lo", "hi", F.col("c").alias("n"), F.lit(0).cast("long").alias("before")))
+        part = octave(F.col("r.v"))
+    while not near.where(large).isEmpty():
+        if part is None:
+            part = F.floor((F.col("r.v") - F.col("k.lo")) / (F.col("k.hi") - F.col("k.lo")) * CUTS).cast("long")
+        cut = inside(near.where(large)).select(*[F.col(f"r.`{k}`") for k in keys], F.col("k.before").alias("base"), F.col("k.n"), part.alias("b"), "r.v")
         cut = cut.groupBy(*keys, "base", "n", "b").agg(*facts)
-        finer = wanted(cut, keys, ["base", "b"], qs, False).select(*near.columns)
-        near = kept_small(near.where(one_value).unionByName(finer))
+        near, part = kept_small(near.where(~large).unionByName(wanted(cut, keys, qs, False).select(*near.columns))), None
     decided = near.where(one_value).select(*keys, "n", F.col("before").alias("_at"), "c", F.col("lo").alias("v"))
     counts = inside(near.where(~one_value)).groupBy(*[F.col(f"r.`{k}`") for k in keys], F.col("k.n"), F.col("k.before"), F.col("r.v")).agg(F.count("*").alias("c"))
     inner = Window.partitionBy(*keys, "n", "before").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,7 +138,7 @@ def summary(df: DataFrame, by: list[str], aggregates: list[Column], measures: di
     column = lambda v: F.col(v) if isinstance(v, str) else v
     one = lambda i, v, w: F.struct(F.lit(i).alias("kind"), (column(v) if w is None else F.when(w, column(v))).cast("double").alias("v"))
     tall = df.select(*by, F.explode(F.array(*[one(i, v, w) for i, (v, w) in enumerate(kinds)])).alias("_x")).select(*by, "_x.kind", "_x.v")
-    found = by_rounds(tall, qs, [*by, "kind"])
+    found = by_rounds(tall, qs, [*by, "kind"], few=not by)
     wide = found.groupBy(*by).agg(*[F.max(F.when(F.col("kind") == kind, F.col(f"q{qs.index(q)}"))).alias(name) for name, (kind, q) in of.items()])
     j = plain.alias("p").join(wide.alias("w"), same("p", "w", by), "left")
     return j.select("p.*", *[f"w.{name}" for name in measures])

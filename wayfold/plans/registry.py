@@ -46,8 +46,9 @@ def life(s: SparkSession, d: str) -> DataFrame:
     return lifecycle.with_lifecycle(a.rides(s, d))
 
 
-def journey(s: SparkSession, d: str) -> DataFrame:
-    return enrich.journey(life(s, d), a.zones(s, d), a.weather(s, d), T.light_rain_max_mm)
+def journey(s: SparkSession, d: str, weather: bool = True) -> DataFrame:
+    """weather: False for figures that need none, as no plan can tell that an hour has one row."""
+    return enrich.journey(life(s, d), a.zones(s, d), a.weather(s, d) if weather else None, T.light_rain_max_mm)
 
 
 LIFE, JOURNEY = f"WITH {a.RIDES_SQL} ", f"WITH {a.JOURNEY_SQL} "
@@ -115,24 +116,24 @@ ZONES = JOURNEY[:-1] + f", zk AS (SELECT PULocationID AS pickup_zone_id, pickup_
 
 @query(ZONES + "SELECT * FROM zk")
 def kpi_by_zone(s, d):
-    return kpis.by_zone(journey(s, d), T.min_rides_per_zone)
+    return kpis.by_zone(journey(s, d, weather=False), T.min_rides_per_zone)
 
 
 @query(ZONES[:-1] + f""", r AS (SELECT pickup_zone_id, {R2('p90_min')} AS p90 FROM zk WHERE ranked), b AS (SELECT 'best' AS side, CAST(row_number() OVER (ORDER BY p90, pickup_zone_id) AS INTEGER) AS place, * FROM r),
   w AS (SELECT 'worst' AS side, CAST(row_number() OVER (ORDER BY p90 DESC, pickup_zone_id DESC) AS INTEGER) AS place, * FROM r) SELECT * FROM b WHERE place <= 5 UNION ALL SELECT * FROM w WHERE place <= 5""")
 def kpi_zone_extremes(s, d):
-    return kpis.zone_extremes(kpis.by_zone(journey(s, d), T.min_rides_per_zone))
+    return kpis.zone_extremes(kpis.by_zone(journey(s, d, weather=False), T.min_rides_per_zone))
 
 
 @query(ZONES[:-1] + f""", c AS (SELECT {R2(Q(0.9))} AS city FROM life WHERE in_kpi_population), z AS (SELECT *, {R2('p90_min')} AS p90 FROM zk)
   SELECT count(*) FILTER (ranked) AS zones_ranked, count(*) FILTER (NOT ranked) AS zones_below_min_rides, min(p90) FILTER (ranked) AS best_p90, max(p90) FILTER (ranked) AS worst_p90, count(*) FILTER (ranked AND p90 > city * 1.5::DOUBLE) AS zones_over_1_5x FROM z, c""")
 def kpi_zone_summary(s, d):
-    return kpis.zone_summary(kpis.by_zone(journey(s, d), T.min_rides_per_zone), kpis.headline(life(s, d)))
+    return kpis.zone_summary(kpis.by_zone(journey(s, d, weather=False), T.min_rides_per_zone), kpis.headline(life(s, d)))
 
 
 @query(JOURNEY + f"SELECT pickup_borough, count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min FROM journey WHERE in_zone_population GROUP BY 1 HAVING count(*) >= 20")
 def kpi_by_borough(s, d):
-    return kpis.grouped(journey(s, d), ["pickup_borough"], F.col("in_zone_population"), T.min_rides_per_zone)
+    return kpis.grouped(journey(s, d, weather=False), ["pickup_borough"], F.col("in_zone_population"), T.min_rides_per_zone)
 
 
 @query(LIFE + f"SELECT CASE hvfhs_license_num WHEN 'HV0003' THEN 'Uber' WHEN 'HV0005' THEN 'Lyft' ELSE 'unknown' END AS company, count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min FROM life WHERE in_kpi_population GROUP BY 1")
@@ -303,7 +304,7 @@ PICKUPS = f"""{a.JOURNEY_SQL}, {a.COMPLAINTS_SQL}, pk AS (SELECT PULocationID AS
 
 
 def per_zone(s, d):
-    return friction.by_zone(a.complaints(s, d), friction.pickups_by_zone(journey(s, d)), a.zones(s, d))
+    return friction.by_zone(a.complaints(s, d), friction.pickups_by_zone(journey(s, d, weather=False)), a.zones(s, d))
 
 
 @query(f"WITH {PICKUPS} SELECT * FROM pzz")
@@ -320,7 +321,7 @@ def complaints_by_borough(s, d):
   SELECT 'borough' AS level, borough, complaints_passenger, hvfhv_pickups, complaints_passenger * 100000.0::DOUBLE / hvfhv_pickups AS rate_per_100k, p90_min FROM pb LEFT JOIN bw ON borough IS NOT DISTINCT FROM pickup_borough WHERE hvfhv_pickups >= 20
   UNION ALL SELECT 'city', NULL, CAST(sum(complaints_passenger) AS BIGINT), CAST(sum(hvfhv_pickups) AS BIGINT), sum(complaints_passenger) * 100000.0::DOUBLE / sum(hvfhv_pickups), NULL FROM pb""")
 def kpi_complaint_rate(s, d):
-    j = journey(s, d)
+    j = journey(s, d, weather=False)
     waits = kpis.grouped(j, ["pickup_borough"], F.col("in_zone_population"), T.min_rides_per_zone)
     return friction.kpi5(per_zone(s, d), waits, T.min_rides_per_zone)
 
@@ -336,7 +337,7 @@ def kpi_complaint_rate(s, d):
 def kpi_levels(s, d):
     """Complaint rates and waits of the city, boroughs and zones, each with its own threshold."""
     up = friction.levels(per_zone(s, d), {"borough": 50, "zone": 20})
-    w = kpis.by_level(journey(s, d)).select(*[F.col(c).alias(f"_{c}") for c in ("level", "borough", "zone_id")], "rides", "median_min", "p90_min")
+    w = kpis.by_level(journey(s, d, weather=False)).select(*[F.col(c).alias(f"_{c}") for c in ("level", "borough", "zone_id")], "rides", "median_min", "p90_min")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("level", "borough", "zone_id")]
     return up.join(w, same, "left").drop("_level", "_borough", "_zone_id")
 
@@ -344,7 +345,7 @@ def kpi_levels(s, d):
 @query(f"""WITH {PICKUPS}, zk AS (SELECT PULocationID AS pickup_zone_id, pickup_zone, pickup_borough, count(*) AS rides, {Q(0.5)} AS median_min, {Q(0.9)} AS p90_min, count(*) >= 20 AS ranked FROM journey WHERE in_zone_population GROUP BY 1, 2, 3)
   SELECT zk.*, coalesce(hvfhv_pickups, 0) AS hvfhv_pickups, {', '.join(f'coalesce({c}, 0) AS {c}' for c in friction.COUNTERS)}, CASE WHEN hvfhv_pickups > 0 THEN coalesce(complaints_passenger, 0) * 100000.0::DOUBLE / hvfhv_pickups END AS rate_per_100k FROM zk LEFT JOIN pz ON pickup_zone_id = zone_id""")
 def zone_breakdown(s, d):
-    return friction.zone_breakdown(kpis.by_zone(journey(s, d), T.min_rides_per_zone), per_zone(s, d))
+    return friction.zone_breakdown(kpis.by_zone(journey(s, d, weather=False), T.min_rides_per_zone), per_zone(s, d))
 
 
 POINTS = """WITH p AS (SELECT vec_id AS point_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
