@@ -89,3 +89,12 @@ def test_tasks_fetch_over_http_with_retries(spark, tmp_path):
         server.shutdown()
     assert (m["pages"], m["received"], m["expected"]) == (7, 7, 7)
     assert sorted(r.k for r in tables.rows_of(web.bodies(spark, Place(spark, tmp_path), m), "k: long").collect()) == list(range(7))
+
+
+def test_output_checks_keep_no_rides(spark, monkeypatch):
+    """What is persisted holds a value and its groups, not a ride's whole row."""
+    kept, frame = [], type(spark.range(0))
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *level: kept.append(len(self.columns)) or real(self, *level))
+    assert registry.queries()["output_checks"](spark, SF).count() == 6
+    assert kept and max(kept) < 10

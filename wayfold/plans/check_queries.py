@@ -79,11 +79,11 @@ def published_complaints(s, d):
   UNION ALL SELECT 'output.stage_share_bounds', CASE WHEN share BETWEEN 0 AND 100 THEN 'PASS' ELSE 'FAIL' END FROM s UNION ALL SELECT 'output.zone_reconciliation', CASE WHEN zr.n = zp THEN 'PASS' ELSE 'FAIL' END FROM zr, g
   UNION ALL SELECT 'output.friction_reconciliation', CASE WHEN c = mc.n AND b.n = za THEN 'PASS' ELSE 'FAIL' END FROM b, mc, g UNION ALL SELECT 'output.metric_count', 'PASS'""")
 def output_checks(s, d):
-    j, pz, c = journey(s, d).persist(), per_zone(s, d), a.complaints(s, d)
+    """Nothing of a ride is kept between figures: each reads the columns it needs, none needs weather."""
+    j, pz, c = journey(s, d, weather=False), per_zone(s, d), a.complaints(s, d)
     placed = c.agg(F.count("zone_id").alias("mapped"), F.count("*").alias("passenger_total"), F.lit(0).alias("passenger_unmapped")).first()
     found, _ = monthly.figures(SimpleNamespace(thresholds=T), j, pz, placed, True, {"publish_friction_kpi": True})
     checks = monthly.output_checks(found, quality.populations(j).first(), friction.by_borough(pz).collect(), placed.mapped)
-    j.unpersist()
     return quality.as_frame(s, checks).select("check", "status")
 
 
