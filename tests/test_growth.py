@@ -7,6 +7,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from wayfold.functions import segments
 from wayfold.plans import registry
 from wayfold.sources import http as web
 from wayfold.sources import tables
@@ -98,3 +99,14 @@ def test_output_checks_keep_no_rides(spark, monkeypatch):
     monkeypatch.setattr(frame, "persist", lambda self, *level: kept.append(len(self.columns)) or real(self, *level))
     assert registry.queries()["output_checks"](spark, SF).count() == 6
     assert kept and max(kept) < 10
+
+
+def test_windows_are_dealt_by_rows(spark, monkeypatch):
+    """No task sorts more for a larger table, whether or not a key is cut."""
+    monkeypatch.setattr(segments, "DEALT", 500)
+    df = spark.range(20_000).selectExpr("id", "if(id < 4000, 0, id % 900) AS k", "id AS t")
+    for most in (None, 700):
+        for f in (segments.placed, segments.lagged):
+            args = (df, "k", ["t", "id"], "p", most) if f is segments.placed else (df, "k", ["t", "id"], ["id"], "p", most)
+            at = f(*args).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+            assert len(at) > 15 and sum(r["count"] for r in at) == 20_000

@@ -4,7 +4,8 @@ A key with more than `most` rows is cut into segments of its order: quantile ske
 order give the cuts, so segments hold about `most` rows each, rows of one time stay together,
 and a segment lies wholly after the one before it. Windows then hold a segment. What a segment
 needs from those before it, its last row or a count, is one row a segment; a small join brings
-it. Keys with fewer rows are one segment.
+it. Keys with fewer rows are one segment. Tasks are as many as the rows need, so that what one of
+them sorts doesn't grow with the table.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from .expressions import since_epoch
 MOST = 1_000_000
 #: Segments whose last rows are sent along to every task at most.
 BROADCAST_SEGMENTS = 100_000
+#: Rows that a task is dealt, about.
+DEALT = 500_000
 
 
 def whole(df: DataFrame, at: str) -> Column:
@@ -30,10 +33,11 @@ def cut(df: DataFrame, key: str, at: str, most: int | None = None, nulls_last: b
 
     Null keys are one key; null times lie first, or last."""
     most = most or MOST
-    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
-    r = counts.agg(F.count("*").alias("keys"), F.max("_n").alias("n")).first()
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    counts = sizes.where(F.col("_n") > most)
+    r = sizes.agg(F.count_if(F.col("_n") > most).alias("keys"), F.max("_n").alias("n"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
     if not r.keys:
-        return df.withColumn("_seg", F.lit(0)), 0
+        return dealt(df, r.rows, key).withColumn("_seg", F.lit(0)), 0
     parts = min(10_000, -(-2 * r.n // most))  # twice as many as are needed, as sketches are inexact
     few = F.broadcast(counts) if r.keys <= BROADCAST_SEGMENTS else counts
     hot = df.join(few, F.col(key).eqNullSafe(F.col("_key"))).where(F.col(at).isNotNull()).select("_key", whole(df, at).alias("_at"))
@@ -42,7 +46,15 @@ def cut(df: DataFrame, key: str, at: str, most: int | None = None, nulls_last: b
     edge = parts if nulls_last else -1
     place = F.when(F.col("_cuts").isNull(), 0).when(F.col(at).isNull(), edge).otherwise(F.size(F.filter("_cuts", lambda c: c < whole(df, at))))
     joined = df.join(cuts, F.col(key).eqNullSafe(F.col("_key")), "left")
-    return joined.select(*[F.col(c) for c in df.columns], place.alias("_seg")), r.keys * (parts + 1)
+    return dealt(joined.select(*[F.col(c) for c in df.columns], place.alias("_seg")), r.rows, key, "_seg"), r.keys * (parts + 1)
+
+
+def dealt(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """df in tasks of DEALT rows, where Spark would make fewer of them: it joins small partitions as
+    long as every core has one, and goes by their bytes as they are compressed."""
+    spark, tasks = df.sparkSession, -(-rows // DEALT)
+    few = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *by) if tasks > few else df
 
 
 def joined_on(df: DataFrame, small: DataFrame, key: str, segments: int) -> DataFrame:
