@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfold.functions import segments
-from wayfold.plans import registry
+from wayfold.plans import registry, source_queries
 from wayfold.sources import http as web
 from wayfold.sources import tables
 from wayfold.storage import Place
@@ -110,3 +110,23 @@ def test_windows_are_dealt_by_rows(spark, monkeypatch):
             args = (df, "k", ["t", "id"], "p", most) if f is segments.placed else (df, "k", ["t", "id"], ["id"], "p", most)
             at = f(*args).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
             assert len(at) > 15 and sum(r["count"] for r in at) == 20_000
+
+
+def test_lines_are_sorted_and_compared_in_tasks_by_rows(spark, monkeypatch):
+    """Ranges grow in number, not in rows, and the comparison sees a second read that differs."""
+    monkeypatch.setattr(source_queries, "DEALT", 200)
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    at = source_queries.lines_as_files(spark, SF)
+    tasks = {f.rsplit("/", 1)[1].split("-")[1] for f in spark.read.parquet(at).inputFiles()}
+    assert len(tasks) >= n // 400
+    ask = registry.queries()["ordinals_of_rides"]
+    assert tuple(ask(spark, SF).first()) == (0, n - 1, n, n)
+    real, reads = tables.numbered, []
+
+    def shifted(session, *args, **kw):
+        reads.append(session)
+        df = real(session, *args, **kw)
+        return df if len(reads) == 1 else df.withColumn("l_partkey", F.expr("if(ride_id = 7, l_partkey + 1, l_partkey)"))
+
+    monkeypatch.setattr(tables, "numbered", shifted)
+    assert tuple(ask(spark, SF).first()) == (0, n - 1, n, n - 1) and reads[0] is not reads[1]
