@@ -130,3 +130,8 @@ def test_lines_are_sorted_and_compared_in_tasks_by_rows(spark, monkeypatch):
 
     monkeypatch.setattr(tables, "numbered", shifted)
     assert tuple(ask(spark, SF).first()) == (0, n - 1, n, n - 1) and reads[0] is not reads[1]
+
+
+def test_complaint_pages_reach_tasks_alone(spark, monkeypatch):
+    driver_is_passed_by(monkeypatch)
+    assert registry.queries()["complaint_pages"](spark, SF).agg(F.sum("rows")).first()[0] == spark.read.parquet(f"{SF}/events.parquet").where("event_type = 'error'").count()
