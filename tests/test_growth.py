@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfold.functions import segments
-from wayfold.plans import registry, source_queries
+from wayfold.operators import enrich
+from wayfold.plans import adapters, registry, source_queries
 from wayfold.sources import http as web
 from wayfold.sources import tables
 from wayfold.storage import Place
@@ -135,3 +136,17 @@ def test_lines_are_sorted_and_compared_in_tasks_by_rows(spark, monkeypatch):
 def test_complaint_pages_reach_tasks_alone(spark, monkeypatch):
     driver_is_passed_by(monkeypatch)
     assert registry.queries()["complaint_pages"](spark, SF).agg(F.sum("rows")).first()[0] == spark.read.parquet(f"{SF}/events.parquet").where("event_type = 'error'").count()
+
+
+def test_published_journey_writes_its_rides_once_and_shuffles_none(spark, monkeypatch):
+    made, real = [], adapters.rides
+    monkeypatch.setattr(adapters, "rides", lambda *args, **kw: made.append(args) or real(*args, **kw))
+    assert registry.queries()["published_journey"](spark, SF).first().columns == 33
+    assert len(made) == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        weather = spark.range(3).selectExpr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int)) AS hour", "1.0D AS temperature_c", "0.0D AS precipitation_mm", "2.0D AS wind_speed_kmh")
+        joined = enrich.with_weather(real(spark, SF), weather.groupBy("hour").agg(*[F.max(c).alias(c) for c in weather.columns[1:]]))
+        assert "SortMergeJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

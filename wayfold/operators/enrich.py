@@ -45,7 +45,7 @@ def with_weather(rides: DataFrame, weather: DataFrame | None, light_max: float =
         out = out.withColumns({c: F.lit(None).cast("float") for c in cols})
     else:
         w = weather.select(F.col("hour").alias("_h"), *[F.col(c).cast("float").alias(c) for c in cols])
-        out = out.join(w, out["weather_hour"] == F.col("_h"), "left").drop("_h")
+        out = out.join(F.broadcast(w), out["weather_hour"] == F.col("_h"), "left").drop("_h")  # hours are few, whatever they were counted from
     out = out.withColumn("weather_matched", F.col("precipitation_mm").isNotNull())
     return out.withColumn("precip_band", precipitation_band(F.col("precipitation_mm"), F.col("weather_matched"), light_max))
 
